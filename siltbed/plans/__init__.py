@@ -1,6 +1,6 @@
 """The named queries of every module."""
 
-from siltbed.plans import registry, relational
+from siltbed.plans import registry, relational, scalar, tables  # noqa: F401
 
 
 def queries():

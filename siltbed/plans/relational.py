@@ -21,28 +21,56 @@ def _(spark, sf):
     return out.select("datasource", "value", same_day.alias("stamped"))
 
 
-def readings_as_json(spark, sf, with_type=False):
-    """Events rendered as raw device readings: user = device, value - 50 = reading."""
-    e = table(spark, sf, "events")
-    fields = [
-        F.col("user_id").cast("int").alias("device_id"),
-        (F.col("value") - 50).alias("heartrate"),
-        F.col("event_type").alias("name"),
-        F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("time"),
-    ]
-    if with_type:
-        fields.append(F.get_json_object("props", "$.k").alias("device_type"))
-    return e.select(F.to_json(F.struct(*fields)).alias("value"))
+def readings(spark, sf):
+    """Events as device readings: user = device, value - 50 = reading.
+
+    One reading per user and second, so that (device_id, eventtime) is a key.
+    """
+    second = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    return (
+        table(spark, sf, "events")
+        .groupBy(F.col("user_id").cast("int").alias("device_id"), second.alias("t"))
+        .agg(
+            (F.max("value") - 50).alias("heartrate"),
+            F.max("event_type").alias("name"),
+            F.max(F.get_json_object("props", "$.k")).alias("device_type"),
+        )
+        .withColumn("time", F.unix_timestamp("t").cast("double"))
+    )
+
+
+def as_lines(rows, with_type=False):
+    """Readings as raw JSON lines."""
+    kind = ["device_type"] if with_type else []
+    return rows.select(
+        F.to_json(F.struct("device_id", "heartrate", *kind, "name", "time")).alias("value")
+    )
+
+
+READINGS_SQL = """SELECT CAST(user_id AS INTEGER) AS device_id, date_trunc('second', ts) AS t,
+    max(value) - 50 AS hr, max(event_type) AS name, max(json_extract_string(props, '$.k')) AS device_type
+    FROM events GROUP BY 1, 2"""
+
+GOLD_SQL = f"""WITH r AS ({READINGS_SQL}),
+    w AS (SELECT *, lag(hr) OVER (PARTITION BY device_id ORDER BY t) AS p,
+                    lead(hr) OVER (PARTITION BY device_id ORDER BY t) AS n FROM r),
+    s AS (SELECT device_id, CASE WHEN hr < 0 THEN (p + n) / 2 ELSE hr END AS hr FROM w)
+    SELECT device_id, round(avg(hr), 6) AS mean_heartrate, round(stddev(hr), 6) AS std_heartrate,
+           round(max(hr), 6) AS max_heartrate FROM s GROUP BY device_id"""
+
+
+def rounded_gold(gold):
+    names = ["mean_heartrate", "std_heartrate", "max_heartrate"]
+    return gold.select("device_id", *[r6(n).alias(n) for n in names])
 
 
 @query(
     "parse_json_v1",
-    """SELECT CAST(user_id AS INTEGER) AS device_id, round(value - 50, 6) AS heartrate,
-              date_trunc('second', ts) AS eventtime, event_type AS name, CAST(ts AS DATE) AS p_eventdate
-       FROM events""",
+    f"""SELECT device_id, round(hr, 6) AS heartrate, t AS eventtime, name, CAST(t AS DATE) AS p_eventdate
+        FROM ({READINGS_SQL})""",
 )
 def _(spark, sf):
-    out = transforms.parse_readings(readings_as_json(spark, sf))
+    out = transforms.parse_readings(as_lines(readings(spark, sf)))
     return out.withColumns(
         {"heartrate": r6("heartrate"), "eventtime": F.col("eventtime").cast("timestamp_ntz")}
     )
@@ -50,13 +78,12 @@ def _(spark, sf):
 
 @query(
     "parse_json_v2",
-    """SELECT CAST(user_id AS INTEGER) AS device_id, json_extract_string(props, '$.k') AS device_type,
-              round(value - 50, 6) AS heartrate, date_trunc('second', ts) AS eventtime,
-              event_type AS name, CAST(ts AS DATE) AS p_eventdate
-       FROM events""",
+    f"""SELECT device_id, device_type, round(hr, 6) AS heartrate, t AS eventtime, name,
+               CAST(t AS DATE) AS p_eventdate FROM ({READINGS_SQL})""",
 )
 def _(spark, sf):
-    out = transforms.parse_readings(readings_as_json(spark, sf, with_type=True), with_type=True)
+    lines = as_lines(readings(spark, sf), with_type=True)
+    out = transforms.parse_readings(lines, with_type=True)
     return out.withColumns(
         {"heartrate": r6("heartrate"), "eventtime": F.col("eventtime").cast("timestamp_ntz")}
     )
@@ -453,44 +480,15 @@ def _(spark, sf):
 # --- the flagship: raw JSON to gold in one batch -----------------------------------------------
 
 
-@query(
-    "flagship_gold",
-    """WITH r AS (SELECT event_id, user_id, date_trunc('second', ts) AS t, value - 50 AS hr FROM events),
-            w AS (SELECT *, lag(hr) OVER (PARTITION BY user_id ORDER BY t, event_id) AS p,
-                            lead(hr) OVER (PARTITION BY user_id ORDER BY t, event_id) AS n FROM r),
-            s AS (SELECT user_id, CASE WHEN hr < 0 THEN (p + n) / 2 ELSE hr END AS hr FROM w)
-       SELECT CAST(user_id AS INTEGER) AS device_id, round(avg(hr), 6) AS mean_heartrate,
-              round(stddev(hr), 6) AS std_heartrate, round(max(hr), 6) AS max_heartrate
-       FROM s GROUP BY user_id""",
-)
+@query("flagship_gold", GOLD_SQL)
 def flagship(spark, sf):
-    """Events as raw JSON, through bronze and silver, repaired, to per-device statistics."""
-    e = table(spark, sf, "events")
-    # The name carries the event id: the repair needs a unique row key inside one second.
-    raw = e.select(
-        F.to_json(
-            F.struct(
-                F.col("user_id").cast("int").alias("device_id"),
-                (F.col("value") - 50).alias("heartrate"),
-                F.col("event_id").cast("string").alias("name"),
-                F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("time"),
-            )
-        ).alias("value")
-    )
-    silver = transforms.parse_readings(transforms.ingest_metadata(raw)).withColumn(
-        "event_id", F.col("name").cast("bigint")
-    )
-    updates = repair.interpolate_neighbors(silver, tie=("event_id",))
+    """Raw JSON readings through bronze and silver, repaired, to per-device statistics."""
+    silver = transforms.parse_readings(transforms.ingest_metadata(as_lines(readings(spark, sf))))
+    updates = repair.interpolate_neighbors(silver)
     repaired = merge.merge_update(
-        silver, updates, ["device_id", "eventtime", "event_id"], {"heartrate": "heartrate"}
-    )
-    gold = aggregates.key_stats(repaired, "device_id", "heartrate")
-    return gold.select(
-        "device_id",
-        r6("mean_heartrate").alias("mean_heartrate"),
-        r6("std_heartrate").alias("std_heartrate"),
-        r6("max_heartrate").alias("max_heartrate"),
+        silver, updates, ["device_id", "eventtime"], {"heartrate": "heartrate"}
     )
+    return rounded_gold(aggregates.key_stats(repaired, "device_id", "heartrate"))
 
 
 @query(

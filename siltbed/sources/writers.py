@@ -14,9 +14,10 @@ def overwrite_path(
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_table(df: DataFrame, name: str) -> DataFrame:
-    """Overwrite a managed table and return it."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Overwrite a catalog table, managed or at ``path``, and return it."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
