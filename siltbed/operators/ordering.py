@@ -113,15 +113,16 @@ def row_number_within(
 ) -> DataFrame:
     """Row number inside each group, with hot groups split over several ranges."""
     numbered = row_number_global(df, [*group, *order], "_global")
-    starts = numbered.groupBy(*group).agg(F.min("_global").alias("_start"))
-    same = [numbered[g].eqNullSafe(starts[g]) for g in group]
-    test = same[0]
-    for s in same[1:]:
-        test = test & s
-    return numbered.join(starts, test).select(
-        *[numbered[c] for c in df.columns],
-        (F.col("_global") - F.col("_start") + 1).cast("bigint").alias(name),
+    starts = (
+        numbered.groupBy(*group)
+        .agg(F.min("_global").alias("_start"))
+        .withColumnsRenamed({g: f"_key_{g}" for g in group})
     )
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_key_{g}"))
+    position = (F.col("_global") - F.col("_start") + 1).cast("bigint").alias(name)
+    return numbered.join(starts, same).select(*df.columns, position)
 
 
 def exact_quantiles(

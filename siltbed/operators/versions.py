@@ -82,12 +82,17 @@ def commit(
     schema: StructType | str | None = None,
     evolve: bool = False,
     skip_empty: bool = False,
+    cluster: bool = True,
 ) -> int | None:
     """Write ``df`` as the next commit and return its number.
 
     Returns None without writing if (source, batch_id) is already in the table, which makes a
     retried stream batch harmless. The columns must fit ``schema`` (or the table's newest
     commit); with ``evolve`` new columns are accepted and become part of the table.
+
+    ``cluster`` brings the rows of one table partition together before the write, so that files
+    do not number tasks times partitions. It is a rebalance, which adaptive execution splits
+    again where one partition is large. Switch it off where a batch has few partition values.
     """
     spark = df.sparkSession
     if _glob(spark, f"{table}/commit_v=*/_op=*/_source={source}/_batch_id={batch_id}"):
@@ -99,7 +104,8 @@ def commit(
     version = latest_version(spark, table) + 1
     home = f"commit_v={version}/_op={op}/_source={source}/_batch_id={batch_id}"
     staging = f"{table}.staging/{uuid.uuid4().hex[:12]}"
-    df.write.partitionBy(*partition_by).parquet(f"{staging}/{home}")
+    rows = df.hint("rebalance", *partition_by) if partition_by and cluster else df
+    rows.write.partitionBy(*partition_by).parquet(f"{staging}/{home}")
     fs, staged = _fs(spark, staging)
     try:
         if skip_empty and spark.read.schema(df.schema).parquet(f"{staging}/{home}").isEmpty():

@@ -55,7 +55,7 @@ def raw_to_bronze(spark: SparkSession, layers: Layers) -> None:
     lines = transforms.ingest_metadata(readers.text_stream(spark, layers.raw))
     writer = append_writer(
         lines, layers.bronze, layers.checkpoint("bronze"), "write_raw_to_bronze",
-        partition_by=["p_ingestdate"], schema=transforms.BRONZE_SCHEMA,
+        partition_by=["p_ingestdate"], schema=transforms.BRONZE_SCHEMA, cluster=False,
     )
     finish(writer.trigger(availableNow=True).start())
 
@@ -92,7 +92,8 @@ def merge_late(spark: SparkSession, layers: Layers, path: str, batch_id: int) ->
     bronze = versions.read_as_of(spark, layers.bronze)
     fresh = merge.unseen_rows(bronze, late, ["value"])
     return versions.commit(
-        fresh, layers.bronze, "late", batch_id, partition_by=["p_ingestdate"], skip_empty=True
+        fresh, layers.bronze, "late", batch_id,
+        partition_by=["p_ingestdate"], skip_empty=True, cluster=False,
     )
 
 

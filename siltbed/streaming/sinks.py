@@ -21,6 +21,7 @@ def append_writer(
     partition_by: Sequence[str] = (),
     schema: StructType | str | None = None,
     evolve: bool = False,
+    cluster: bool = True,
 ) -> DataStreamWriter:
     """Named, checkpointed append stream into a commit table; call ``.start()`` on the result.
 
@@ -31,7 +32,8 @@ def append_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         versions.commit(
-            batch, table, name, batch_id, partition_by=partition_by, schema=schema, evolve=evolve
+            batch, table, name, batch_id,
+            partition_by=partition_by, schema=schema, evolve=evolve, cluster=cluster,
         )
 
     return (
