@@ -52,15 +52,20 @@ def silver_transfers(bronze: DataFrame) -> DataFrame:
         F.lower("transaction_hash").alias("transaction_hash"),
         "block_number",
         F.to_date("block_timestamp").alias("date"),
+        F.trunc("block_timestamp", "month").alias("p_month"),
     )
 
 
 def ingest_transfers(
     spark: SparkSession, bronze_path: str, schema: StructType | str, table: str, checkpoint: str
 ) -> None:
-    """Add what is new in bronze to the silver table; running it again adds nothing twice."""
+    """Add what is new in bronze to the silver table; running it again adds nothing twice.
+
+    Years of history make a few hundred months but thousands of days, so the table is partitioned
+    by month.
+    """
     stream = readers.table_stream(spark, bronze_path, schema)
     writer = append_writer(
-        silver_transfers(stream), table, checkpoint, "silver_transfers", partition_by=["date"]
+        silver_transfers(stream), table, checkpoint, "silver_transfers", partition_by=["p_month"]
     )
     finish(writer.trigger(availableNow=True).start())

@@ -20,6 +20,19 @@ from siltbed.scratch import materialize
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position below
 
 
+GRAINS = ("day", "hour", "minute", "second")
+ROWS_PER_CELL = 5_000_000  # what one task may sort comfortably
+
+
+def suggest_grain(df: DataFrame, key: str, time: str, rows: int = ROWS_PER_CELL) -> str:
+    """The coarsest grain in which no key has more than ``rows`` rows (else the finest)."""
+    for grain in GRAINS[:-1]:
+        cells = df.groupBy(key, F.date_trunc(grain, F.col(time))).agg(F.count("*").alias("n"))
+        if (cells.agg(F.max("n")).first()[0] or 0) <= rows:
+            return grain
+    return GRAINS[-1]
+
+
 def neighbours(
     df: DataFrame,
     key: str,
@@ -33,35 +46,28 @@ def neighbours(
     """Previous and next ``value`` of the same key in time order.
 
     Rows without key or time have no place in a series and are left out. The work per task is
-    bounded by one key's rows in one grain; the second window sees one row per key and grain.
+    bounded by one key's rows in one grain; the second window sees at most two rows, the first and
+    the last, of each key and grain. Both branches read one and the same shuffle.
     """
     cell = F.date_trunc(grain, F.col(time))
     rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn("_cell", cell)
-    order = F.struct(time, *tie)
-
-    edges = rows.groupBy(key, "_cell").agg(
-        F.min_by(F.struct(value), order).alias("_first"),
-        F.max_by(F.struct(value), order).alias("_last"),
-    )
-    across = Window.partitionBy(key).orderBy("_cell")
-    edges = edges.select(
-        key,
-        "_cell",
-        F.lag("_last").over(across)[value].alias("_before"),
-        F.lead("_first").over(across)[value].alias("_after"),
-    )
-
     within = Window.partitionBy(key, "_cell").orderBy(time, *tie)
-    # A struct is NULL only where the row has no neighbour inside the grain; its field may be
-    # NULL where the neighbour's own value is.
-    inside = rows.withColumn("_p", F.lag(F.struct(value)).over(within)).withColumn(
-        "_n", F.lead(F.struct(value)).over(within)
+    across = Window.partitionBy(key).orderBy(time, *tie)
+    # A struct is NULL only where there is no neighbour; its field may be NULL where the
+    # neighbour's own value is.
+    boxed = F.struct(F.col(value).alias("v"))
+    inside = rows.withColumns({"_p": F.lag(boxed).over(within), "_n": F.lead(boxed).over(within)})
+    at_edge = F.col("_p").isNull() | F.col("_n").isNull()
+    edges = inside.where(at_edge).withColumns(
+        {
+            "_p": F.coalesce("_p", F.lag(boxed).over(across)),
+            "_n": F.coalesce("_n", F.lead(boxed).over(across)),
+        }
     )
-    joined = inside.join(edges, [key, "_cell"], "left")
-    return joined.select(
-        *[joined[c] for c in df.columns],
-        F.when(F.col("_p").isNull(), F.col("_before")).otherwise(F.col("_p")[value]).alias(prev_name),
-        F.when(F.col("_n").isNull(), F.col("_after")).otherwise(F.col("_n")[value]).alias(next_name),
+    return (
+        inside.where(~at_edge)
+        .unionAll(edges)
+        .select(*df.columns, F.col("_p.v").alias(prev_name), F.col("_n.v").alias(next_name))
     )
 
 

@@ -1,6 +1,6 @@
 """The named queries of every module."""
 
-from siltbed.plans import registry, relational, scalar, tables, tokens  # noqa: F401
+from siltbed.plans import checking, learning, registry, relational, scalar, tables, tokens  # noqa: F401
 
 
 def queries():

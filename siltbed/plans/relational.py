@@ -484,11 +484,7 @@ def _(spark, sf):
 def flagship(spark, sf):
     """Raw JSON readings through bronze and silver, repaired, to per-device statistics."""
     silver = transforms.parse_readings(transforms.ingest_metadata(as_lines(readings(spark, sf))))
-    updates = repair.interpolate_neighbors(silver)
-    repaired = merge.merge_update(
-        silver, updates, ["device_id", "eventtime"], {"heartrate": "heartrate"}
-    )
-    return rounded_gold(aggregates.key_stats(repaired, "device_id", "heartrate"))
+    return rounded_gold(aggregates.key_stats(repair.repaired(silver), "device_id", "heartrate"))
 
 
 @query(

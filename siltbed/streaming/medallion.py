@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.operators import aggregates, merge, repair, transforms, versions
+from siltbed.operators import aggregates, merge, ordering, repair, transforms, versions
 from siltbed.operators.schemas import from_ddl
 from siltbed.sources import readers, writers
 from siltbed.streaming.control import finish
@@ -108,7 +108,8 @@ def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     """
     before = versions.latest_version(spark, layers.silver)
     silver = silver_now(spark, layers, before)
-    updates = repair.interpolate_neighbors(silver).select(*READING_KEY, "heartrate")
+    grain = ordering.suggest_grain(silver, *READING_KEY)
+    updates = repair.interpolate_neighbors(silver, grain=grain).select(*READING_KEY, "heartrate")
     changed = merge.changed_rows(silver, updates, READING_KEY, {"heartrate": "heartrate"})
     done = versions.commit(
         changed, layers.silver, "repair", before, op="update",
