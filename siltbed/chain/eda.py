@@ -102,12 +102,13 @@ def ether_volume(transactions: DataFrame) -> DataFrame:
     """
     unit = F.lit(WEI_PER_ETHER).cast("DECIMAL(19,0)")
     wei = F.col("value").cast(WEI)
+    rest = wei % unit
+    # Without its rest the amount divides evenly, so no digit is rounded away.
     parts = transactions.select(
-        F.expr(f"CAST(value AS {WEI}) DIV CAST({WEI_PER_ETHER} AS DECIMAL(19,0))").alias("whole"),
-        (wei % unit).alias("rest"),
+        ((wei - rest).cast(WEI) / unit).cast("DECIMAL(20,0)").alias("whole"), rest.alias("rest")
     )
     sums = parts.agg(
-        F.sum(F.col("whole").cast("DECIMAL(20,0)")).alias("whole"), F.sum("rest").alias("rest")
+        F.sum("whole").alias("whole"), F.sum("rest").alias("rest")
     )
     return sums.select(
         (F.col("whole").cast("double") + F.col("rest").cast("double") / float(WEI_PER_ETHER)).alias(
