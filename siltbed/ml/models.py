@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from siltbed.functions.columns import ratio
 from siltbed.ml.features import split_bucket
 from siltbed.operators.schemas import SchemaMismatch
+from siltbed.scratch import ensure_checkpoint_dir
 
 MAX_TREE_DEPTH = 30  # the library's own limit
 
@@ -42,6 +43,7 @@ def train_gbt(
     df: DataFrame, features: Sequence[str], label: str = "price", seed: int = 42,
     max_iter: int = 20, step_size: float = 0.1, max_depth: int = 5, **params: object,
 ) -> PipelineModel:
+    ensure_checkpoint_dir(df.sparkSession)
     boosted = GBTRegressor(
         labelCol=label, seed=seed, maxIter=max_iter, stepSize=step_size, maxDepth=max_depth, **params
     )

@@ -58,8 +58,7 @@ def missing_slots(
     Rows are reduced to distinct slots first; what is then gathered per key is at most the
     slots between start and end, whatever the number of rows.
     """
-    have = df.select(F.col(key), slot.alias("slot")).distinct()
-    per_key = have.groupBy(key).agg(F.collect_list("slot").alias("_have"))
+    per_key = _slots(df, key, slot, start, end).groupBy(key).agg(F.collect_list("slot").alias("_have"))
     every = F.sequence(start, end, F.expr(f"interval {step}"))
     return per_key.select(key, F.explode(F.array_except(every, "_have")).alias("slot"))
 
@@ -68,9 +67,13 @@ def missing_report(
     df: DataFrame, key: str, slot: Column, start: Column, end: Column, step: str = "1 hour"
 ) -> DataFrame:
     """Expected, present and missing slots per key."""
-    have = df.select(F.col(key), slot.alias("slot")).where(F.col("slot").between(start, end))
     n = F.size(F.sequence(start, end, F.expr(f"interval {step}"))).cast("bigint")
-    actual = have.distinct().groupBy(key).agg(F.count("*").alias("actual"))
+    actual = _slots(df, key, slot, start, end).groupBy(key).agg(F.count("slot").alias("actual"))
     return actual.select(
         key, n.alias("expected"), "actual", (n - F.col("actual")).alias("missing")
     )
+
+
+def _slots(df: DataFrame, key: str, slot: Column, start: Column, end: Column) -> DataFrame:
+    """Distinct (key, slot); a slot outside the span is NULL, so its key is still reported."""
+    return df.select(F.col(key), F.when(slot.between(start, end), slot).alias("slot")).distinct()

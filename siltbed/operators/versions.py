@@ -72,6 +72,19 @@ def table_schema(spark: SparkSession, table: str) -> StructType | None:
     return StructType([f for f in found if f.name not in COMMIT_COLUMNS])
 
 
+def last_batch(spark: SparkSession, table: str, source: str) -> int | None:
+    """Newest batch number of a source.
+
+    Walks back from the newest commit and stops at the source's own last one, which for a running
+    stream is among the last few: the cost does not grow with the number of commits.
+    """
+    for folder in reversed(commit_dirs(spark, table)):
+        found = _glob(spark, f"{folder}/_op=*/_source={source}/_batch_id=*")
+        if found:
+            return int(found[0].rsplit("_batch_id=", 1)[1])
+    return None
+
+
 def commit(
     df: DataFrame,
     table: str,
@@ -86,8 +99,8 @@ def commit(
 ) -> int | None:
     """Write ``df`` as the next commit and return its number.
 
-    Returns None without writing if (source, batch_id) is already in the table, which makes a
-    retried stream batch harmless. The columns must fit ``schema`` (or the table's newest
+    Returns None without writing if the source's batch is already in the table, which makes a
+    retried stream batch harmless; the batch numbers of one source must grow. The columns must fit ``schema`` (or the table's newest
     commit); with ``evolve`` new columns are accepted and become part of the table.
 
     ``cluster`` brings the rows of one table partition together before the write, so that files
@@ -95,7 +108,8 @@ def commit(
     again where one partition is large. Switch it off where a batch has few partition values.
     """
     spark = df.sparkSession
-    if _glob(spark, f"{table}/commit_v=*/_op=*/_source={source}/_batch_id={batch_id}"):
+    written = last_batch(spark, table, source)
+    if written is not None and batch_id <= written:
         return None
     known = table_schema(spark, table) or schema
     if known is not None:
@@ -201,6 +215,7 @@ __all__ = [
     "create_table",
     "current_rows",
     "history",
+    "last_batch",
     "latest_version",
     "read_as_of",
     "read_commits",

@@ -8,7 +8,7 @@ from siltbed.functions import columns as fn
 from siltbed.ml import features, models, monitor, registry, runlog
 from siltbed.operators import ordering
 from siltbed.plans.registry import query, r6, table
-from siltbed.scratch import fresh_dir
+from siltbed.scratch import fresh_dir, materialize
 
 PRIORITY_RANKS = {"5-LOW": 0, "4-NOT SPECIFIED": 1, "3-MEDIUM": 2, "2-HIGH": 3, "1-URGENT": 4}
 INPUTS = ["accommodates", "beds", "bathrooms", "review_scores_rating", "strictness", "bookable", "month"]
@@ -52,8 +52,12 @@ def numeric_listings(spark, sf):
 
 
 def split_and_filled(spark, sf):
-    """Train and test rows, gaps in the counts filled with the train medians."""
-    train, test = features.split_train_test(numeric_listings(spark, sf), ["id"], 0.8)
+    """Train and test rows, gaps in the counts filled with the train medians.
+
+    The features are stored first: training reads its rows many times.
+    """
+    rows = materialize(numeric_listings(spark, sf), "features")
+    train, test = features.split_train_test(rows, ["id"], 0.8)
     fill = features.medians(train, ["beds", "bathrooms"])
     return features.impute(train, fill), features.impute(test, fill)
 

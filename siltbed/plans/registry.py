@@ -31,3 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def r6(column: str | Column) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, 6)
+
+
+def r9(column: str | Column) -> Column:
+    """For means: a mean of two-decimal values often ends exactly on a half at six places, where
+    the order of summation would decide the last digit."""
+    return F.round(F.col(column) if isinstance(column, str) else column, 9)

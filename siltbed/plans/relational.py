@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltbed.operators import aggregates, joins, merge, ordering, repair, transforms
-from siltbed.plans.registry import query, r6, table
+from siltbed.plans.registry import query, r6, r9, table
 
 # --- projections and filters ---------------------------------------------------------------
 
@@ -55,13 +55,17 @@ GOLD_SQL = f"""WITH r AS ({READINGS_SQL}),
     w AS (SELECT *, lag(hr) OVER (PARTITION BY device_id ORDER BY t) AS p,
                     lead(hr) OVER (PARTITION BY device_id ORDER BY t) AS n FROM r),
     s AS (SELECT device_id, CASE WHEN hr < 0 THEN (p + n) / 2 ELSE hr END AS hr FROM w)
-    SELECT device_id, round(avg(hr), 6) AS mean_heartrate, round(stddev(hr), 6) AS std_heartrate,
+    SELECT device_id, round(avg(hr), 9) AS mean_heartrate, round(stddev(hr), 6) AS std_heartrate,
            round(max(hr), 6) AS max_heartrate FROM s GROUP BY device_id"""
 
 
 def rounded_gold(gold):
-    names = ["mean_heartrate", "std_heartrate", "max_heartrate"]
-    return gold.select("device_id", *[r6(n).alias(n) for n in names])
+    return gold.select(
+        "device_id",
+        r9("mean_heartrate").alias("mean_heartrate"),
+        r6("std_heartrate").alias("std_heartrate"),
+        r6("max_heartrate").alias("max_heartrate"),
+    )
 
 
 @query(
@@ -164,7 +168,7 @@ def _(spark, sf):
 
 @query(
     "join_inner_using",
-    """SELECT e.event_id, e.user_id, round(g.m, 6) AS mean_value FROM events e
+    """SELECT e.event_id, e.user_id, round(g.m, 9) AS mean_value FROM events e
        JOIN (SELECT user_id, avg(value) AS m FROM events GROUP BY user_id) g ON e.user_id = g.user_id
        WHERE CAST(e.ts AS DATE) > CAST('2024-01-31' AS DATE) - 7""",
 )
@@ -173,7 +177,7 @@ def _(spark, sf):
     mean = e.groupBy("user_id").agg(F.avg("value").alias("m"))
     recent = F.col("ts").cast("date") > F.date_sub(F.lit("2024-01-31").cast("date"), 7)
     out = joins.attach_aggregate(e, mean, "user_id", recent)
-    return out.select("event_id", "user_id", r6("m").alias("mean_value"))
+    return out.select("event_id", "user_id", r9("m").alias("mean_value"))
 
 
 @query(
@@ -313,21 +317,21 @@ def _(spark, sf):
 
 @query(
     "gold_stats",
-    """SELECT user_id, round(avg(value), 6) AS mean_value, round(stddev(value), 6) AS std_value,
+    """SELECT user_id, round(avg(value), 9) AS mean_value, round(stddev(value), 6) AS std_value,
               max(value) AS max_value FROM events GROUP BY user_id""",
 )
 def _(spark, sf):
     gold = aggregates.key_stats(table(spark, sf, "events"), "user_id", "value")
-    return gold.withColumns({"mean_value": r6("mean_value"), "std_value": r6("std_value")})
+    return gold.withColumns({"mean_value": r9("mean_value"), "std_value": r6("std_value")})
 
 
 @query(
     "avg_sorted",
-    "SELECT p_brand, round(avg(p_retailprice), 6) AS avg_price FROM part GROUP BY p_brand ORDER BY p_brand",
+    "SELECT p_brand, round(avg(p_retailprice), 9) AS avg_price FROM part GROUP BY p_brand ORDER BY p_brand",
 )
 def _(spark, sf):
     out = aggregates.average_sorted(table(spark, sf, "part"), "p_brand", "p_retailprice")
-    return out.select("p_brand", r6("avg_p_retailprice").alias("avg_price"))
+    return out.select("p_brand", r9("avg_p_retailprice").alias("avg_price"))
 
 
 @query(

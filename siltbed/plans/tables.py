@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from siltbed.operators import aggregates, ordering, schemas, transforms, versions
-from siltbed.plans.registry import query, r6, table
+from siltbed.plans.registry import query, r6, r9, table
 from siltbed.plans.relational import (
     GOLD_SQL,
     READINGS_SQL,
@@ -168,13 +168,13 @@ def _(spark, sf):
 
 @query(
     "sink_stream_complete",
-    """SELECT user_id, round(avg(value), 6) AS mean_value, round(stddev(value), 6) AS std_value,
+    """SELECT user_id, round(avg(value), 9) AS mean_value, round(stddev(value), 6) AS std_value,
               max(value) AS max_value FROM events GROUP BY user_id""",
 )
 def _(spark, sf):
     stream = readers.table_stream(spark, sf, EVENTS_DDL, glob="events.parquet")
     gold = run_complete(spark, aggregates.key_stats(stream, "user_id", "value"), "gold")
-    return gold.withColumns({"mean_value": r6("mean_value"), "std_value": r6("std_value")})
+    return gold.withColumns({"mean_value": r9("mean_value"), "std_value": r6("std_value")})
 
 
 @query("sink_table_overwrite", "SELECT s_suppkey, s_acctbal FROM supplier")

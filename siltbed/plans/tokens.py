@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siltbed.chain import eda, etl, recommend
 from siltbed.operators import versions
 from siltbed.plans.registry import query, r6, table
-from siltbed.scratch import fresh_dir
+from siltbed.scratch import fresh_dir, materialize
 
 FIRST_DAY = "1995-01-01"  # day of block 0
 WALLET = 7  # the wallet asked about
@@ -62,6 +62,16 @@ def purchases(spark, sf):
     return transfers(spark, sf, sender=True).withColumn("to_address", F.col("from_address"))
 
 
+def pairs_table(spark, sf):
+    """The wallet and token pairs as a stored table, as the recommender would find it."""
+    return materialize(recommend.interactions(purchases(spark, sf)), "pairs")
+
+
+def id_pairs(spark, sf):
+    pairs = pairs_table(spark, sf).select("wallet", "token", "n_transfers")
+    return materialize(recommend.with_integer_ids(pairs), "ids")
+
+
 PAIRS_SQL = """SELECT o_custkey AS wallet, l_partkey AS token, count(*) AS n_transfers, sum(l_quantity) AS amount
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
 
@@ -267,7 +277,7 @@ SIMILAR_SQL = f"""WITH h AS ({PAIRS_SQL}), me AS (SELECT token FROM h WHERE wall
 
 @query("rec_similar_wallets", f"{SIMILAR_SQL} SELECT wallet, shared, round(cosine, 6) AS cosine FROM near")
 def _(spark, sf):
-    out = recommend.similar_wallets(recommend.interactions(purchases(spark, sf)), WALLET)
+    out = recommend.similar_wallets(pairs_table(spark, sf), WALLET)
     return out.withColumn("cosine", r6("cosine"))
 
 
@@ -281,13 +291,13 @@ def _(spark, sf):
         FROM (SELECT * FROM sc ORDER BY score DESC, token LIMIT 10)""",
 )
 def _(spark, sf):
-    out = recommend.top_tokens_for(recommend.interactions(purchases(spark, sf)), WALLET, 10)
+    out = recommend.top_tokens_for(pairs_table(spark, sf), WALLET, 10)
     return out.withColumn("score", r6("score"))
 
 
 @query("rec_als")
 def _(spark, sf):
-    ids = recommend.with_integer_ids(recommend.interactions(purchases(spark, sf)))
+    ids = id_pairs(spark, sf)
     model = recommend.fit_als(ids.select("wallet_id", "token_id", "n_transfers"))
     return recommend.recommend_als(model, ids, WALLET, 10)
 
@@ -315,8 +325,7 @@ def _(spark, sf):
 
 @query("rec_als_compare")
 def _(spark, sf):
-    t = purchases(spark, sf)
-    ids = recommend.with_integer_ids(recommend.interactions(t))
+    ids = id_pairs(spark, sf)
     held_out = F.pmod(F.xxhash64("wallet", "token"), F.lit(5)) == 0
     return recommend.compare_als(
         ids.where(~held_out), ids.where(held_out), [{"rank": 4}, {"rank": 8, "reg": 0.01}]

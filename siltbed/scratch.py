@@ -42,3 +42,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Iterative algorithms cut their lineage here; a folder that is already set is kept."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")

@@ -11,9 +11,15 @@ from pyspark.sql.types import StructType
 RAW_SCHEMA = "value STRING"
 
 
-def text_stream(spark: SparkSession, path: str) -> DataFrame:
+FILES_PER_BATCH = 10_000  # a first load is then many commits, not one that must all succeed
+
+
+def text_stream(
+    spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
     """New files of a drop folder, one row per line, column ``value``."""
-    return spark.readStream.schema(RAW_SCHEMA).text(path)
+    reader = spark.readStream.schema(RAW_SCHEMA)
+    return reader.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
 def text_batch(spark: SparkSession, path: str) -> DataFrame:
@@ -25,14 +31,12 @@ def table_stream(
     path: str,
     schema: StructType | str,
     glob: str | None = None,
-    max_files: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """A Parquet table directory as an unbounded table."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
 
 
