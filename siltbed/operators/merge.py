@@ -33,8 +33,9 @@ def _one_per_key(source: DataFrame, keys: Sequence[str], values: Sequence[str])
     The fold hash-partitions on the merge key, which the join after it needs anyway, and a key
     with many copies is folded before the shuffle.
     """
+    # Only rows with one copy are ever used, so the values may be picked one by one.
     folded = source.groupBy(*keys).agg(
-        F.any_value(F.struct(*values)).alias("_new"), F.count("*").alias("_copies")
+        *[F.any_value(v).alias(f"_new_{v}") for v in values], F.count("*").alias("_copies")
     )
     return _renamed(folded, keys)
 
@@ -51,7 +52,7 @@ def _updated_columns(
     for field in target.schema:
         column = F.col(field.name)
         if field.name in matched_set:
-            new = F.col("_new")[matched_set[field.name]].cast(field.dataType)
+            new = F.col(f"_new_{matched_set[field.name]}").cast(field.dataType)
             column = (
                 F.when(F.col("_copies").isNull(), column)
                 .when(F.col("_copies") > 1, F.raise_error(message).cast(field.dataType))
