@@ -50,8 +50,8 @@ class Registry:
 
     def register(self, name: str, run_id: str) -> int:
         """New version = highest ever given to that name plus one. Deleted numbers stay used."""
-        used = self.events().where(F.col("model_name") == name).agg(F.max("version")).first()[0]
-        version = (used or 0) + 1
+        row = next_versions(self.events()).where(F.col("model_name") == name).first()
+        version = row["next_version"] if row else 1
         self._add(name, version, "register", stage="None", run_id=run_id)
         return version
 
@@ -64,10 +64,8 @@ class Registry:
 
     def description(self, name: str) -> str | None:
         """Newest model-level description."""
-        told = self.events().where(
-            (F.col("model_name") == name) & F.col("version").isNull() & (F.col("event") == "describe")
-        )
-        return told.agg(F.max_by("description", "seq")).first()[0]
+        row = model_descriptions(self.events()).where(F.col("model_name") == name).first()
+        return row["description"] if row else None
 
     def transition(self, name: str, version: int, stage: str) -> None:
         if stage not in STAGES:
@@ -140,3 +138,22 @@ def current_state(events: DataFrame) -> DataFrame:
         ~F.col("_deleted") & (F.col("_gone").isNull() | (F.col("_seq") > F.col("_gone")))
     )
     return living.select("model_name", "version", "stage", "description", "run_id")
+
+
+def next_versions(events: DataFrame) -> DataFrame:
+    """The version number a new registration of each model would get."""
+    return events.groupBy("model_name").agg(
+        (F.coalesce(F.max("version"), F.lit(0)) + 1).cast("int").alias("next_version")
+    )
+
+
+def model_descriptions(events: DataFrame) -> DataFrame:
+    """Newest model-level description of each model."""
+    told = events.where((F.col("event") == "describe") & F.col("version").isNull())
+    return told.groupBy("model_name").agg(F.max_by("description", "seq").alias("description"))
+
+
+def version_paths(events: DataFrame, runs: DataFrame) -> DataFrame:
+    """(model_name, version, stage, artifact_path) of all living versions, by way of their runs."""
+    living = current_state(events).select("model_name", "version", "stage", "run_id")
+    return living.join(runs.select("run_id", "artifact_path"), "run_id").drop("run_id")

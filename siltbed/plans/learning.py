@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltbed.functions import columns as fn
-from siltbed.ml import features, models, monitor, registry, runlog
+from siltbed.ml import features, models, monitor, registry, runlog, workflow
 from siltbed.operators import ordering
+from siltbed.operators.schemas import SchemaMismatch
 from siltbed.plans.registry import query, r6, table
 from siltbed.scratch import fresh_dir, materialize
 
@@ -237,12 +238,18 @@ def _(spark, sf):
 # --- models (row checks: the library's trees have no SQL twin) --------------------------------------
 
 
-@query("preprocess_pipeline")
+def _in_range(df, rows):
+    """A forest averages labels it has seen, so no prediction leaves their range."""
+    low, high = rows.agg(F.min("price"), F.max("price")).first()
+    return df.select("id", F.col("prediction").between(low, high).alias("in_range"))
+
+
+@query("preprocess_and_train", "SELECT o_orderkey AS id, true AS in_range FROM orders")
 def _(spark, sf):
-    """Imputation, assembly and forest; every input reaches the model."""
+    """Imputation, assembly and forest; every input reaches the model, every row gets a price."""
     train, test = split_and_filled(spark, sf)
     model = models.train_random_forest(train, INPUTS, num_trees=5, max_depth=4)
-    return model.transform(test).select("id", "prediction")
+    return _in_range(model.transform(train.unionByName(test)), train)
 
 
 @query("train_random_forest")
@@ -279,22 +286,51 @@ def _stored_model(spark, train):
     return model, path
 
 
-@query("model_save_load")
+@query("model_save_load", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM orders")
 def _(spark, sf):
-    """Rows where the reloaded model disagrees with the one in memory: their number must be 0."""
+    """Rows where the reloaded model disagrees with the one in memory: none."""
     train, test = split_and_filled(spark, sf)
     model, path = _stored_model(spark, train)
-    mine = model.transform(test).select("id", "prediction")
-    theirs = models.score_batch(test, path).select("id", F.col("prediction").alias("again"))
+    every = train.unionByName(test)
+    mine = model.transform(every).select("id", "prediction")
+    theirs = models.score_batch(every, path).select("id", F.col("prediction").alias("again"))
     differs = ~F.col("prediction").eqNullSafe(F.col("again"))
     return mine.join(theirs, "id").agg(F.count("*").alias("n_rows"), F.count_if(differs).alias("n_differ"))
 
 
-@query("score_batch")
+@query("score_batch", "SELECT o_orderkey AS id, true AS in_range FROM orders")
 def _(spark, sf):
     train, test = split_and_filled(spark, sf)
     _model, path = _stored_model(spark, train)
-    return models.score_batch(test, path).select("id", "prediction")
+    return _in_range(models.score_batch(train.unionByName(test), path), train)
+
+
+@query("score_contract", "SELECT count(*) AS n_rows, true AS refused FROM orders")
+def _(spark, sf):
+    """Raw rows without the engineered columns are refused; prepared rows are all scored."""
+    train, test = split_and_filled(spark, sf)
+    _model, path = _stored_model(spark, train)
+    every = train.unionByName(test)
+    try:
+        models.score_batch(every.drop("strictness"), path)
+        refused = False
+    except SchemaMismatch as exc:
+        refused = "strictness" in str(exc)
+    scored = models.score_batch(every, path).where("prediction IS NOT NULL")
+    return scored.agg(F.count("*").alias("n_rows"), F.lit(refused).alias("refused"))
+
+
+@query("workflow_three_step", "SELECT count(*) AS n_predictions, 'OK,OK,OK' AS statuses FROM orders")
+def _(spark, sf):
+    rows = numeric_listings(spark, sf)
+    filled = features.impute(rows, features.medians(rows, ["beds", "bathrooms"]))
+    steps = workflow.run_workflow(
+        spark, filled, fresh_dir(spark, "workflow"), INPUTS, ["id"], num_trees=5, max_depth=4
+    )
+    statuses = ",".join(s["status"] for s in steps)
+    return spark.read.parquet(steps[-1]["predictions_path"]).agg(
+        F.count("prediction").alias("n_predictions"), F.lit(statuses).alias("statuses")
+    )
 
 
 @query("score_custom", "SELECT p_partkey, p_size, CAST(p_size + 5 AS DOUBLE) AS prediction FROM part")
@@ -303,17 +339,19 @@ def _(spark, sf):
     return models.score_custom(p, lambda batch: batch["p_size"] + 5, ["p_size"])
 
 
-@query("score_pre_post")
+@query("score_pre_post", "SELECT o_orderkey AS id, true AS label_fits FROM orders")
 def _(spark, sf):
     train, test = split_and_filled(spark, sf)
     _model, path = _stored_model(spark, train)
     label = fn.threshold_label("prediction", 200_000, "Expensive", "Not Expensive")
-    return models.score_pre_post(
-        test.withColumnRenamed("month", "order_month"),
+    out = models.score_pre_post(
+        train.unionByName(test).withColumnRenamed("month", "order_month"),
         path,
         lambda df: df.withColumnRenamed("order_month", "month"),
-        lambda df: df.select("id", label.alias("label")),
+        lambda df: df.select("id", "prediction", label.alias("label")),
     )
+    fits = (F.col("prediction") > 200_000) == (F.col("label") == "Expensive")
+    return out.select("id", fits.alias("label_fits"))
 
 
 # --- run log, registry, monitoring -------------------------------------------------------------------
@@ -386,26 +424,101 @@ def _(spark, sf):
     )
 
 
+def _event_registry(spark, sf, event, version, stage=None, description=None):
+    """Events in registry shape: a model per user, what happened in order of event id."""
+    text = lambda c: F.lit(None).cast("string") if c is None else c
+    return table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("model_name"),
+        version.cast("int").alias("version"),
+        event.alias("event"),
+        text(stage).alias("stage"),
+        text(description).alias("description"),
+        F.col("event_id").cast("string").alias("run_id"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+K = "CAST(get_json_object(props, '$.k') AS INT)"
+
+
 @query(
     "registry_transition",
     """SELECT CAST(user_id AS VARCHAR) AS model_name, event_type AS stage FROM
          (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) t WHERE rn = 1""",
 )
 def _(spark, sf):
-    """Events in registry shape: a model per user, its newest event is its stage."""
-    events = table(spark, sf, "events").select(
-        F.col("user_id").cast("string").alias("model_name"),
-        F.lit(1).alias("version"),
-        F.lit("transition").alias("event"),
-        F.col("event_type").alias("stage"),
-        F.lit(None).cast("string").alias("description"),
-        F.lit(None).cast("string").alias("run_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        F.col("event_id").alias("seq"),
-    )
+    """A model's newest event is its stage."""
+    events = _event_registry(spark, sf, F.lit("transition"), F.lit(1), stage=F.col("event_type"))
     return registry.current_state(events).select("model_name", "stage")
 
 
+@query(
+    "registry_register",
+    """SELECT CAST(user_id AS VARCHAR) AS model_name, max(CAST(json_extract_string(props, '$.k') AS INTEGER)) + 1 AS next_version
+       FROM events GROUP BY user_id""",
+)
+def _(spark, sf):
+    events = _event_registry(spark, sf, F.lit("register"), F.expr(K))
+    return registry.next_versions(events)
+
+
+@query(
+    "registry_describe",
+    """SELECT CAST(user_id AS VARCHAR) AS model_name, max_by(event_type || ' ' || value, event_id) AS description
+       FROM events WHERE event_type <> 'error' GROUP BY user_id""",
+)
+def _(spark, sf):
+    """Every event but errors describes its model; the newest text wins."""
+    kind = F.when(F.col("event_type") == "error", "register").otherwise("describe")
+    text = F.concat("event_type", F.lit(" "), F.col("value").cast("string"))
+    events = _event_registry(spark, sf, kind, F.lit(None), description=text)
+    return registry.model_descriptions(events)
+
+
+@query(
+    "registry_delete",
+    """SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(json_extract_string(props, '$.k') AS INTEGER) AS version
+       FROM events GROUP BY 1, 2 HAVING count(*) FILTER (WHERE event_type = 'error') = 0""",
+)
+def _(spark, sf):
+    """A version (user and k) with an error event is deleted."""
+    kind = F.when(F.col("event_type") == "error", "delete").otherwise("register")
+    events = _event_registry(spark, sf, kind, F.expr(K))
+    return registry.current_state(events).select("model_name", "version")
+
+
+@query(
+    "registry_resolve",
+    """SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(json_extract_string(props, '$.k') AS INTEGER) AS version,
+              '/models/' || max(event_id) AS artifact_path FROM events GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    """Each version points at the artifact of its newest run."""
+    events = _event_registry(spark, sf, F.lit("register"), F.expr(K))
+    path = F.concat(F.lit("/models/"), "run_id")
+    runs = _event_runs(spark, sf).select("run_id", path.alias("artifact_path"))
+    return registry.version_paths(events, runs).drop("stage")
+
+
+@query(
+    "monitor_promote",
+    """WITH m AS (SELECT user_id, max(value) FILTER (WHERE event_type = 'view') AS staged,
+                         max(value) FILTER (WHERE event_type = 'click') AS production FROM events GROUP BY user_id)
+       SELECT CAST(user_id AS VARCHAR) AS model_name, staged, production, production IS NULL OR staged < production * 0.9 AS promote
+       FROM m WHERE staged IS NOT NULL""",
+)
+def _(spark, sf):
+    """Views as the staged version's errors, clicks as the production version's."""
+    stage = F.when(F.col("event_type") == "view", "Staging").when(F.col("event_type") == "click", "Production")
+    metrics = (
+        table(spark, sf, "events")
+        .groupBy(F.col("user_id").cast("string").alias("model_name"), stage.alias("stage"))
+        .agg(F.max("value").alias("mse"))
+    )
+    return monitor.promotions(metrics, min_gain=0.1)
+
+
 @query(
     "registry_latest",
     "SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(max(event_id) AS INTEGER) AS version FROM events GROUP BY user_id",

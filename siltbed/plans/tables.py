@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from siltbed.operators import aggregates, ordering, schemas, transforms, versions
@@ -466,6 +467,60 @@ def _(spark, sf):
     return run_complete(spark, by_type(again), "mode_complete")
 
 
+def _run_named(spark, sf, label):
+    """Start an endless stream, wait for its reports, and hand over its name and table path."""
+    home, name = fresh_dir(spark, label), unique_name(label)
+    stream = readers.table_stream(spark, sf, EVENTS_DDL, glob="events.parquet")
+    writer = sinks.complete_writer(by_type(stream), f"{home}/table", f"{home}/checkpoint", name)
+    started = writer.trigger(processingTime="200 milliseconds").start()
+    started.processAllAvailable()
+    return name, f"{home}/table"
+
+
+FLAGGED_SQL = BY_TYPE_SQL.replace("SELECT ", "SELECT true AS as_told, ", 1)
+
+
+@query("stream_until_ready", FLAGGED_SQL)
+def _(spark, sf):
+    name, path = _run_named(spark, sf, "ready")
+    told = control.until_stream_is_ready(spark, name, 1)
+    control.stop_named_stream(spark, name)
+    return spark.read.parquet(path).withColumn("as_told", F.lit(told))
+
+
+@query("stream_list", FLAGGED_SQL)
+def _(spark, sf):
+    name, path = _run_named(spark, sf, "listed")
+    listed = name in control.stream_names(spark)
+    control.stop_named_stream(spark, name)
+    gone = name not in control.stream_names(spark)
+    return spark.read.parquet(path).withColumn("as_told", F.lit(listed and gone))
+
+
+@query("stream_stop_named", FLAGGED_SQL)
+def _(spark, sf):
+    name, path = _run_named(spark, sf, "stopped")
+    told = control.stop_named_stream(spark, name) and not control.stop_named_stream(spark, name)
+    return spark.read.parquet(path).withColumn("as_told", F.lit(told))
+
+
+@query("stream_schema_halt", "SELECT event_id, value, true AS halted FROM events")
+def _(spark, sf):
+    """A stream that brings an unknown column dies and leaves the table as it was."""
+    home = fresh_dir(spark, "halt")
+    stream = readers.table_stream(spark, sf, EVENTS_DDL, glob="events.parquet")
+    halted = False
+    for step, names in enumerate([["event_id", "value"], ["event_id", "value", "event_type"]]):
+        writer = sinks.append_writer(
+            stream.select(*names), f"{home}/table", f"{home}/checkpoint{step}", f"halt_{step}"
+        )
+        try:
+            control.finish(writer.trigger(availableNow=True).start())
+        except StreamingQueryException as exc:
+            halted = "columns not in the table: event_type" in str(exc)
+    return versions.read_as_of(spark, f"{home}/table").withColumn("halted", F.lit(halted))
+
+
 @query("stream_chain", GOLD_SQL)
 def _(spark, sf):
     layers = medallion.Layers(fresh_dir(spark, "chain"))

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 from siltbed.operators import versions
 
+_QUERY_ID = "sql.streaming.queryId"  # set by Spark on the thread that runs a batch
+
 
 def append_writer(
     stream: DataFrame,
@@ -25,14 +27,17 @@ def append_writer(
 ) -> DataStreamWriter:
     """Named, checkpointed append stream into a commit table; call ``.start()`` on the result.
 
-    Each micro-batch is one commit tagged with the stream's name and batch number, so a batch
-    that is retried after a failure is written once. Without ``evolve`` a batch whose columns
-    do not fit the table fails the stream.
+    Each micro-batch is one commit tagged with the stream's name, its checkpoint's id and the batch
+    number, so a batch that is retried after a failure is written once, and a stream begun anew
+    with a fresh checkpoint is a source of its own. Without ``evolve`` a batch whose columns do not
+    fit the table fails the stream.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        checkpoint_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        source = f"{name}.{checkpoint_id}" if checkpoint_id else name
         versions.commit(
-            batch, table, name, batch_id,
+            batch, table, source, batch_id,
             partition_by=partition_by, schema=schema, evolve=evolve, cluster=cluster,
         )
 

@@ -33,7 +33,7 @@ def drop_file(readings, path, mode="append"):
 
 @pytest.fixture
 def two_months(spark, home):
-    layers = medallion.Layers(f"{home}/health")
+    layers = medallion.Layers(f"{home}/layers")
     for month in (january(spark), february_short(spark)):
         drop_file(month, layers.raw)
         medallion.raw_to_bronze(spark, layers)
@@ -225,3 +225,32 @@ def test_json_folder_stream_one_file_per_batch(spark, home):
     got = spark.table("activity")
     assert got.count() == 41
     assert got.where("_corrupt_record IS NOT NULL").count() == 1
+
+
+def test_fresh_checkpoint_is_a_new_source_and_a_kept_one_is_not(spark, home):
+    drop_file(january(spark), f"{home}/raw")
+    lines = readers.text_stream(spark, f"{home}/raw")
+    for checkpoint, rows in (("a", 3720), ("a", 3720), ("b", 7440)):
+        writer = sinks.append_writer(lines, f"{home}/t", f"{home}/{checkpoint}", "lines")
+        control.finish(writer.trigger(availableNow=True).start())
+        assert versions.read_as_of(spark, f"{home}/t").count() == rows
+
+
+def test_batch_that_failed_after_its_commit_is_not_doubled(spark, home):
+    """The commit is in place but the checkpoint does not know: the retry is skipped."""
+    drop_file(january(spark), f"{home}/raw")
+    lines = readers.text_stream(spark, f"{home}/raw")
+    write_once = sinks.append_writer
+
+    def crash_after(batch, batch_id):
+        checkpoint_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        versions.commit(batch, f"{home}/t", f"lines.{checkpoint_id}", batch_id)
+        raise RuntimeError("lost the driver here")
+
+    crashing = lines.writeStream.queryName("lines").option("checkpointLocation", f"{home}/c")
+    with pytest.raises(StreamingQueryException):
+        control.finish(crashing.foreachBatch(crash_after).trigger(availableNow=True).start())
+    assert versions.read_as_of(spark, f"{home}/t").count() == 3720
+    writer = write_once(lines, f"{home}/t", f"{home}/c", "lines")
+    control.finish(writer.trigger(availableNow=True).start())
+    assert versions.read_as_of(spark, f"{home}/t").count() == 3720
