@@ -71,6 +71,55 @@ def neighbours(
     )
 
 
+def neighbours_of(
+    df: DataFrame,
+    wanted: Column,
+    key: str,
+    time: str,
+    value: str,
+    tie: Sequence[str] = (),
+    grain: str = "day",
+    prev_name: str = "prev_amt",
+    next_name: str = "next_amt",
+) -> DataFrame:
+    """``neighbours`` of the rows that satisfy ``wanted`` only, for when they are few.
+
+    Only cells (a key in one grain) with a wanted row are shuffled and sorted. Of all other rows no
+    more than the first and last value of each cell is needed, which is an aggregate without any
+    sort, taken over the keys that have a wanted row.
+    """
+    rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn(
+        "_cell", F.date_trunc(grain, F.col(time))
+    )
+    cells = rows.where(wanted).select(key, "_cell").distinct()
+    within = Window.partitionBy(key, "_cell").orderBy(time, *tie)
+    boxed = F.struct(F.col(value).alias("v"))
+    inside = (
+        rows.join(cells, [key, "_cell"], "left_semi")
+        .withColumns({"_p": F.lag(boxed).over(within), "_n": F.lead(boxed).over(within)})
+        .where(wanted)
+    )
+
+    order = F.struct(time, *tie) if tie else F.col(time)
+    ends = (
+        rows.join(cells.select(key).distinct(), key, "left_semi")
+        .groupBy(key, "_cell")
+        .agg(F.min_by(value, order).alias("_first"), F.max_by(value, order).alias("_last"))
+    )
+    across = Window.partitionBy(key).orderBy("_cell")
+    ends = ends.select(
+        key,
+        "_cell",
+        F.lag(F.struct(F.col("_last").alias("v"))).over(across).alias("_before"),
+        F.lead(F.struct(F.col("_first").alias("v"))).over(across).alias("_after"),
+    )
+    return inside.join(ends, [key, "_cell"]).select(
+        *df.columns,
+        F.coalesce("_p", "_before")["v"].alias(prev_name),
+        F.coalesce("_n", "_after")["v"].alias(next_name),
+    )
+
+
 def _ranged(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:
     """Rows range-partitioned and sorted on the whole key, each with its partition and position.
 

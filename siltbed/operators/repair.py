@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions.columns import midpoint
-from siltbed.operators.ordering import neighbours
+from siltbed.operators.ordering import neighbours, neighbours_of
 
 
 def interpolate_neighbors(
@@ -16,14 +16,20 @@ def interpolate_neighbors(
     value: str = "heartrate",
     tie: tuple[str, ...] = (),
     grain: str = "day",
+    few: bool = False,
 ) -> DataFrame:
     """Broken (negative) readings with the mean of the readings before and after them.
 
     A reading at the end of its key's series has one neighbour only and becomes NULL; a
-    neighbour that is itself broken is used as it is.
+    neighbour that is itself broken is used as it is. ``few`` says that broken readings are rare;
+    the result is the same, but most readings are then never shuffled.
     """
-    sided = neighbours(readings, key, time, value, tie, grain)
-    return sided.where(F.col(value) < 0).select(
+    broken = F.col(value) < 0
+    if few:
+        sided = neighbours_of(readings, broken, key, time, value, tie, grain)
+    else:
+        sided = neighbours(readings, key, time, value, tie, grain).where(broken)
+    return sided.select(
         *[
             midpoint("prev_amt", "next_amt").alias(c) if c == value else F.col(c)
             for c in readings.columns

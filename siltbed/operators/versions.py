@@ -179,7 +179,8 @@ def read_as_of(
     if version is not None and version > latest_version(spark, table):
         raise ValueError(f"{table} has no commit {version}")
     commits = read_commits(spark, table, version)
-    if keys and _glob(spark, f"{table}/commit_v=*/_op=update"):
+    # The filter is on a folder name: without update commits no file is left to look into.
+    if keys and not commits.where(F.col("_op") == "update").isEmpty():
         return current_rows(commits, keys)
     return commits.drop(*COMMIT_COLUMNS)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltbed.chain import eda, etl, recommend
+from siltbed.chain import eda, etl, project, recommend
 from siltbed.operators import versions
 from siltbed.plans.registry import query, r6, table
 from siltbed.scratch import fresh_dir, materialize
@@ -330,3 +330,21 @@ def _(spark, sf):
     return recommend.compare_als(
         ids.where(~held_out), ids.where(held_out), [{"rank": 4}, {"rank": 8, "reg": 0.01}]
     )
+
+
+@query("token_project")
+def _(spark, sf):
+    """Ingest, train, promote, recommend over a bronze copy of the purchases."""
+    home = fresh_dir(spark, "project")
+    bronze = purchases(spark, sf).select(
+        F.col("token_address").cast("string").alias("token_address"),
+        F.col("to_address").cast("string").alias("to_address"),
+        F.col("value").cast("string").alias("value"),
+        F.col("transaction_hash").cast("string").alias("transaction_hash"),
+        "block_number",
+        F.col("date").cast("timestamp").alias("block_timestamp"),
+    )
+    bronze.write.parquet(f"{home}/bronze")
+    return project.run_project(
+        spark, f"{home}/out", f"{home}/bronze", bronze.schema, str(WALLET), grid=[{"rank": 4}, {"rank": 8}]
+    )

@@ -37,12 +37,8 @@ def register(spark: SparkSession, name: str, path: str) -> DataFrame:
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    if spark.table(name).schema and spark.catalog.tableExists(name):
-        try:
-            spark.catalog.recoverPartitions(name)
-        except Exception as exc:  # an unpartitioned table has nothing to recover
-            if "NOT_A_PARTITIONED_TABLE" not in str(exc):
-                raise
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltbed.operators import aggregates, merge, ordering, repair, transforms, versions
 from siltbed.operators.schemas import from_ddl
@@ -18,6 +19,7 @@ from siltbed.streaming.control import finish
 from siltbed.streaming.sinks import append_writer
 
 READING_KEY = ["device_id", "eventtime"]
+FEW_BROKEN = 0.01  # below this share only the surroundings of broken readings are sorted
 
 
 @dataclass(frozen=True)
@@ -104,12 +106,20 @@ def silver_now(spark: SparkSession, layers: Layers, version: int | None = None)
 def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     """Replace broken readings by the mean of their neighbours; False if there was none.
 
-    Silver is read as one fixed version, so the update stays right while streams append.
+    Silver is read as one fixed version, so the update stays right while streams append. The scan
+    of one column tells whether there is work at all, and how much.
     """
     before = versions.latest_version(spark, layers.silver)
     silver = silver_now(spark, layers, before)
+    found = silver.agg(
+        F.count_if(F.col("heartrate") < 0).alias("broken"), F.count("*").alias("rows")
+    ).first()
+    if not found["broken"]:
+        return False
+    few = found["broken"] < FEW_BROKEN * found["rows"]
     grain = ordering.suggest_grain(silver, *READING_KEY)
-    updates = repair.interpolate_neighbors(silver, grain=grain).select(*READING_KEY, "heartrate")
+    updates = repair.interpolate_neighbors(silver, grain=grain, few=few)
+    updates = updates.select(*READING_KEY, "heartrate")
     changed = merge.changed_rows(silver, updates, READING_KEY, {"heartrate": "heartrate"})
     done = versions.commit(
         changed, layers.silver, "repair", before, op="update",

@@ -3,7 +3,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from siltbed.chain import eda, etl, recommend
+from siltbed.chain import eda, etl, project, recommend
+from siltbed.ml import runlog
+from siltbed.ml.registry import Registry
 from siltbed.operators import versions
 from siltbed.operators.schemas import SchemaMismatch
 from siltbed.sources import readers
@@ -137,3 +139,33 @@ def test_als_recommends_unheld_tokens(spark):
     model = recommend.fit_als(ids, rank=2, max_iter=3)
     got = [r["token"] for r in recommend.recommend_als(model, ids, "me", 3).collect()]
     assert set(got) <= {"C", "D", "E"} and len(got) == 3
+
+
+def test_project_runs_again(spark, home):
+    """Two rounds over a growing bronze: versions add up, one version serves, links are given."""
+    wallet, token = F.col("id") % 17, (F.col("id") * 7 + F.col("id") % 5) % 23
+    bronze = spark.range(600).select(
+        F.concat(F.lit("0xT"), token).alias("token_address"),
+        F.concat(F.lit("0xW"), wallet).alias("to_address"),
+        F.lit("100").alias("value"),
+        F.concat(F.lit("0xH"), F.col("id")).alias("transaction_hash"),
+        F.timestamp_seconds(F.lit(1577836800) + F.col("id") * 3600).alias("block_timestamp"),
+    )
+    out = project.Project(f"{home}/out")
+    for round_number in (1, 2):
+        part = bronze.where(F.col("transaction_hash").substr(4, 9).cast("int") % 2 == round_number - 1)
+        part.write.mode("append").parquet(f"{home}/bronze")
+        got = project.run_project(
+            spark, out.home, f"{home}/bronze", bronze.schema, "0xw3", "2020-01-05", [{"rank": 2}, {"rank": 4}], 3
+        ).collect()
+        assert len(got) == 3 and all(r["link"].endswith(r["token"]) for r in got)
+        held = versions.read_as_of(spark, out.transfers)
+        assert held.count() == 300 * round_number
+        assert runlog.read_runs(spark, out.runs).count() == 2 * round_number
+    registry = Registry(spark, out.registry)
+    assert registry.latest(project.MODEL) == 2
+    stages = sorted(r["stage"] for r in registry.versions(project.MODEL).collect())
+    assert stages in (["Archived", "Production"], ["Production", "Staging"])
+    answers = project.explore(held)
+    assert answers["max_transfers"].first()[0] == 1
+    assert answers["transfers_per_day"].agg(F.sum("n")).first()[0] == 600

@@ -43,6 +43,11 @@ def test_neighbours(spark, points):
         for i, (_t, row, _v) in enumerate(own):
             want[row] = (own[i - 1][2] if i else None, own[i + 1][2] if i + 1 < len(own) else None)
     assert got == want
+    few = ordering.neighbours_of(series(spark, data), F.col("v") < 0, "k", "t", "v", tie=("id",))
+    broken = {d[0] for d in data if d[3] is not None and d[3] < 0}
+    assert {r["id"]: (r["prev_amt"], r["next_amt"]) for r in few.collect()} == {
+        i: w for i, w in want.items() if i in broken
+    }
 
 
 def test_grain_does_not_change_the_result(spark):
