@@ -6,6 +6,7 @@ the table as it then is, and replaces the production model only if the new one i
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -43,8 +44,9 @@ class Project:
     def registry(self) -> str:
         return f"{self.home}/registry"
 
-    def model(self, run: str) -> str:
-        return f"{self.home}/models/{run}"
+    def new_models(self) -> str:
+        """A folder for the models of one training: their shared ids and one folder each."""
+        return f"{self.home}/models/{uuid.uuid4().hex[:12]}"
 
 
 def ingest(spark: SparkSession, project: Project, bronze: str, schema: StructType | str) -> DataFrame:
@@ -66,8 +68,9 @@ def _held_out() -> Column:
     return F.pmod(F.xxhash64("wallet", "token"), F.lit(HELD_OUT_SHARE)) == 0
 
 
-def stored_ids(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/ids")
+def stored_ids(spark: SparkSession, model_path: str) -> DataFrame:
+    """The ids a model was trained with lie beside it."""
+    return spark.read.parquet(f"{model_path.rsplit('/', 1)[0]}/ids")
 
 
 def preference_error(spark: SparkSession, path: str, pairs: DataFrame) -> float:
@@ -79,7 +82,7 @@ def preference_error(spark: SparkSession, path: str, pairs: DataFrame) -> float:
     wallets = ids.select("wallet", "wallet_id").distinct()
     tokens = ids.select("token", "token_id").distinct()
     known = pairs.select("wallet", "token").join(wallets, "wallet", "left").join(tokens, "token", "left")
-    model = ALSModel.load(f"{path}/als").setColdStartStrategy("nan")
+    model = ALSModel.load(path).setColdStartStrategy("nan")
     scored = model.transform(known.na.fill(-1, ["wallet_id", "token_id"]))
     scored = scored.select(
         F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)).alias("prediction"),
@@ -100,18 +103,15 @@ def train(
     registry = Registry(spark, project.registry)
     train_rows = pairs.where(~_held_out()).select("wallet", "token", "n_transfers")
     test_rows = pairs.where(_held_out())
-    ids_path = project.model(f"ids-{data_version}")
-    ids = recommend.with_integer_ids(train_rows)
-    ids.write.mode("overwrite").parquet(f"{ids_path}/ids")
-    ids = stored_ids(spark, ids_path)
+    models = project.new_models()
+    recommend.with_integer_ids(train_rows).write.parquet(f"{models}/ids")
+    ids = spark.read.parquet(f"{models}/ids")
     tags = runlog.data_tags(ids, "train") | runlog.data_tags(test_rows, "test")
 
     tried = []
     for number, params in enumerate(grid):
-        path = project.model(f"als-{data_version}-{number}")
-        model = recommend.fit_als(ids, seed=seed, **params)
-        model.write().overwrite().save(f"{path}/als")
-        ids.write.mode("overwrite").parquet(f"{path}/ids")
+        path = f"{models}/als-{number}"
+        recommend.fit_als(ids, seed=seed, **params).save(path)
         error = preference_error(spark, path, test_rows)
         run = runlog.log_run(
             spark, project.runs, MODEL, f"als-{number}", params, {"rmse": error}, tags, path, data_version
@@ -141,7 +141,7 @@ def recommend_tokens(spark: SparkSession, project: Project, wallet: object, k: i
     """The production model's tokens for a wallet, with links."""
     runs = runlog.read_runs(spark, project.runs)
     path = Registry(spark, project.registry).resolve(f"models:/{MODEL}/Production", runs)
-    model = ALSModel.load(f"{path}/als")
+    model = ALSModel.load(path)
     best = recommend.recommend_als(model, stored_ids(spark, path), wallet, k)
     link = F.concat(F.lit(recommend.TOKEN_PAGE), F.col("token").cast("string"))
     return best.withColumn("link", link)

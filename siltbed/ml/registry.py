@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.sources.paths import exists
+
 EVENT_SCHEMA = (
     "model_name STRING, version INT, event STRING, stage STRING, description STRING, "
     "run_id STRING, event_time TIMESTAMP, seq BIGINT"
@@ -23,9 +25,10 @@ class Registry:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
-        spark.createDataFrame([], EVENT_SCHEMA).write.mode("append").parquet(path)
 
     def events(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], EVENT_SCHEMA)
         return self.spark.read.schema(EVENT_SCHEMA).parquet(self.path)
 
     def _add(

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from siltbed.operators.schemas import SchemaMismatch, enforce, evolved
+from siltbed.sources.paths import file_system, glob
 
 COMMIT_COLUMNS = ["commit_v", "_op", "_source", "_batch_id"]
 _COMMIT_FIELDS = [
@@ -29,25 +30,13 @@ _COMMIT_FIELDS = [
 ]
 
 
-def _fs(spark: SparkSession, path: str):
-    """The Hadoop file system and path object for ``path`` (HDFS, object store or local)."""
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
-
-
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    fs, location = _fs(spark, pattern)
-    return sorted(str(s.getPath().toString()) for s in fs.globStatus(location) or [])
-
-
 def _version_of(path: str) -> int:
     return int(path.rsplit("commit_v=", 1)[1].split("/", 1)[0])
 
 
 def commit_dirs(spark: SparkSession, table: str) -> list[str]:
     """Commit folders, oldest first. One listing of the table's top folder."""
-    return sorted(_glob(spark, f"{table}/commit_v=*"), key=_version_of)
+    return sorted(glob(spark, f"{table}/commit_v=*"), key=_version_of)
 
 
 def latest_version(spark: SparkSession, table: str) -> int:
@@ -58,7 +47,7 @@ def latest_version(spark: SparkSession, table: str) -> int:
 
 def create_table(spark: SparkSession, table: str) -> str:
     """Make the empty table folder, so that a stream may be started on it."""
-    fs, location = _fs(spark, table)
+    fs, location = file_system(spark, table)
     fs.mkdirs(location)
     return table
 
@@ -79,7 +68,7 @@ def last_batch(spark: SparkSession, table: str, source: str) -> int | None:
     stream is among the last few: the cost does not grow with the number of commits.
     """
     for folder in reversed(commit_dirs(spark, table)):
-        found = _glob(spark, f"{folder}/_op=*/_source={source}/_batch_id=*")
+        found = glob(spark, f"{folder}/_op=*/_source={source}/_batch_id=*")
         if found:
             return int(found[0].rsplit("_batch_id=", 1)[1])
     return None
@@ -120,14 +109,14 @@ def commit(
     staging = f"{table}.staging/{uuid.uuid4().hex[:12]}"
     rows = df.hint("rebalance", *partition_by) if partition_by and cluster else df
     rows.write.partitionBy(*partition_by).parquet(f"{staging}/{home}")
-    fs, staged = _fs(spark, staging)
+    fs, staged = file_system(spark, staging)
     try:
         if skip_empty and spark.read.schema(df.schema).parquet(f"{staging}/{home}").isEmpty():
             return None
-        fs.mkdirs(_fs(spark, table)[1])
+        fs.mkdirs(file_system(spark, table)[1])
         moved = fs.rename(
-            _fs(spark, f"{staging}/commit_v={version}")[1],
-            _fs(spark, f"{table}/commit_v={version}")[1],
+            file_system(spark, f"{staging}/commit_v={version}")[1],
+            file_system(spark, f"{table}/commit_v={version}")[1],
         )
         if not moved:
             raise OSError(f"commit {version} of {table} could not be moved into place")

@@ -416,14 +416,14 @@ def _(spark, sf):
 @query(
     "interpolate_few",
     """SELECT event_id, round((p + n) / 2, 6) AS hr FROM
-         (SELECT event_id, 450 - value AS hr, lag(450 - value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p,
-                 lead(450 - value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) t
+         (SELECT event_id, 200 - value AS hr, lag(200 - value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p,
+                 lead(200 - value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) t
        WHERE hr < 0""",
 )
 def _(spark, sf):
     """Only the highest values are broken here, so few cells need sorting."""
     e = table(spark, sf, "events").select(
-        "event_id", "user_id", "ts", (F.lit(450) - F.col("value")).alias("hr")
+        "event_id", "user_id", "ts", (F.lit(200) - F.col("value")).alias("hr")
     )
     out = repair.interpolate_neighbors(e, "user_id", "ts", "hr", tie=("event_id",), few=True)
     return out.select("event_id", r6("hr").alias("hr"))
