@@ -314,10 +314,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """How well a wallet's most frequent tokens so far foretell the tokens it gets later."""
-    t = purchases(spark, sf)
-    split = F.lit(SPLIT_DAY).cast("date")
-    past = recommend.interactions(t.where(F.col("date") < split))
-    later = recommend.interactions(t.where(F.col("date") >= split))
+    past, later = recommend.split_interactions(purchases(spark, sf), SPLIT_DAY)
     best = recommend.top_k_per_wallet(past, 10, "n_transfers")
     out = recommend.ranking_quality(best, later, 10)
     return out.withColumns({"precision": r6("precision"), "recall": r6("recall")})
