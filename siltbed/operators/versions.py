@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from siltbed.operators.schemas import SchemaMismatch, enforce, evolved
+from siltbed.operators.schemas import SchemaMismatch, enforce, evolved, from_ddl
 from siltbed.sources.paths import file_system, glob
+from siltbed.sources.readers import table_stream
 
 COMMIT_COLUMNS = ["commit_v", "_op", "_source", "_batch_id"]
 _COMMIT_FIELDS = [
@@ -125,6 +126,17 @@ def commit(
     return version
 
 
+def stream_appends(spark: SparkSession, table: str, schema: StructType | str) -> DataFrame:
+    """The table's appended rows as a stream; merged-in rows arrive with their commit.
+
+    Update commits are left out: to an append-only stream they would look like further rows.
+    """
+    data = from_ddl(schema)
+    full = StructType([*data.fields, *_COMMIT_FIELDS])
+    rows = table_stream(spark, create_table(spark, table), full)
+    return rows.where(F.col("_op") == "append").select(*data.names)
+
+
 def read_commits(
     spark: SparkSession, table: str, as_of: int | None = None, schema: StructType | None = None
 ) -> DataFrame:
@@ -209,6 +221,7 @@ __all__ = [
     "latest_version",
     "read_as_of",
     "read_commits",
+    "stream_appends",
     "table_history",
     "table_schema",
 ]

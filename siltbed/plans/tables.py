@@ -463,7 +463,7 @@ def _(spark, sf):
     stream = readers.table_stream(spark, sf, EVENTS_DDL, glob="events.parquet")
     writer = sinks.append_writer(stream, f"{home}/table", f"{home}/checkpoint", "mode_append")
     control.finish(writer.trigger(availableNow=True).start())
-    again = readers.table_stream(spark, f"{home}/table", EVENTS_DDL)
+    again = versions.stream_appends(spark, f"{home}/table", EVENTS_DDL)
     return run_complete(spark, by_type(again), "mode_complete")
 
 

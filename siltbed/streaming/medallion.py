@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.operators import aggregates, merge, ordering, repair, transforms, versions
-from siltbed.operators.schemas import from_ddl
 from siltbed.sources import readers, writers
 from siltbed.streaming.control import finish
 from siltbed.streaming.sinks import append_writer
@@ -62,22 +61,16 @@ def raw_to_bronze(spark: SparkSession, layers: Layers) -> None:
     finish(writer.trigger(availableNow=True).start())
 
 
-def bronze_stream(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Bronze as an unbounded table: later commits, merged rows among them, flow on by themselves."""
-    versions.create_table(spark, layers.bronze)
-    schema = from_ddl(transforms.BRONZE_SCHEMA)
-    return readers.table_stream(spark, layers.bronze, schema).select(*schema.names)
-
-
 def bronze_to_silver(
     spark: SparkSession,
     layers: Layers,
     parse: Callable[[DataFrame], DataFrame] = transforms.parse_readings,
     evolve: bool = False,
 ) -> None:
-    """Parsed readings appended to silver."""
+    """Parsed readings appended to silver. Rows merged into bronze later flow on by themselves."""
+    bronze = versions.stream_appends(spark, layers.bronze, transforms.BRONZE_SCHEMA)
     writer = append_writer(
-        parse(bronze_stream(spark, layers)),
+        parse(bronze),
         layers.silver,
         layers.checkpoint("silver"),
         "write_bronze_to_silver",

@@ -126,6 +126,16 @@ def test_repair_matches_a_plain_python_pass(spark, two_months):
     assert {(r[0], r[1]): r[2] for r in after} == want
 
 
+def test_stream_over_a_repaired_table_sees_each_reading_once(spark, two_months, home):
+    layers = two_months
+    assert medallion.repair_silver(spark, layers)
+    stream = versions.stream_appends(spark, layers.silver, transforms.SILVER_V1_SCHEMA)
+    counts = stream.groupBy("device_id").agg(F.count("*").alias("n"))
+    writer = sinks.complete_writer(counts, f"{home}/counts", f"{home}/c", "silver_counts")
+    control.finish(writer.trigger(availableNow=True).start())
+    assert spark.read.parquet(f"{home}/counts").agg(F.sum("n")).first()[0] == 7128
+
+
 def test_gold_from_chain(spark, home):
     layers = medallion.Layers(f"{home}/chain")
     drop_file(january(spark), layers.raw)
