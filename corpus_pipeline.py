@@ -1,24 +1,48 @@
 """From raw documents to packed sequences: five stages, each one an operator of ``siltbed.llm``.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again
-as the next stage's documents.
+as the next stage's documents. All but the last return the columns of ``documents``: toxic documents go,
+one document of each group of near-duplicates stays, documents that hold a benchmark item go, personal
+data is replaced in the text, and what is left is packed into windows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import packing
+from siltbed.llm import decontaminate, neardup, packing, pii, toxicity
 from siltbed.llm.common import documents, stored
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.reject(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs, pii.learn(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_copies),
+    ("decontamination", drop_leaks),
+    ("pii", hide_personal_data),
+    ("packing", pack),
+]
 
-#: Learned models and retrieval have no SQL; tests compare each stage with brute force.
+#: Learned models, sketches and tokenizers have no SQL; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 

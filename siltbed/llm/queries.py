@@ -6,11 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import packing, tokenfiles
+from siltbed.llm import decontaminate, fingerprints, lm, neardup, packing, pii, quality, secrets, tokenfiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": lm.op1_lm_scores,
     "op2_packing": packing.op2_packing,
+    "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_token_files": tokenfiles.op4_token_files,
+    "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op7_pii": pii.op7_pii,
+    "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_quality": quality.op9_quality,
+    "op10_secrets": secrets.op10_secrets,
 }
 
+#: None of the ten returns only what SQL can express (learned scores, sketches, tokenizers, packing), so
+#: tests hold each against a brute-force version, a round trip or held-out labels.
 ORACLES: dict[str, str] = {}
