@@ -61,6 +61,16 @@ def same_row(a: Row | None, b: Row | None) -> bool:
     return a.asDict() == b.asDict()
 
 
+def same_row_columns(a: Sequence[str | Column], b: Sequence[str | Column]) -> Column:
+    """``same_row`` for two lists of columns of one row, matched by place: never NULL."""
+    if len(a) != len(b):
+        return F.lit(False)
+    same: Column = F.lit(True)
+    for x, y in zip(a, b):
+        same = same & col(x).eqNullSafe(col(y))
+    return same
+
+
 def close(a: object, b: object, tolerance: float = TOLERANCE) -> bool:
     """Numbers that differ by at most ``tolerance``; None equals only None, text is never close."""
     if a is None or b is None:
@@ -82,6 +92,18 @@ def contains(values: Iterable[object], value: object) -> bool:
     return value in values
 
 
+def contains_column(values: Sequence[object], value: str | Column) -> Column:
+    """``contains`` as a column expression: NULL is contained only where it is listed."""
+    listed = [v for v in values if v is not None]
+    found = F.coalesce(col(value).isin(*listed), F.lit(False)) if listed else F.lit(False)
+    return found | col(value).isNull() if len(listed) < len(values) else found
+
+
+def equal_columns(a: str | Column, b: str | Column) -> Column:
+    """Whether two columns agree, NULL agreeing with NULL only: never NULL."""
+    return col(a).eqNullSafe(col(b))
+
+
 def column_has_type(df: DataFrame, column: str, type_name: str) -> bool:
     """The column exists and has the given type (``simpleString`` form, e.g. ``bigint``)."""
     return dict(df.dtypes).get(column) == type_name
@@ -95,6 +117,12 @@ def answer_matches(spark: SparkSession, answer: object, expected_hash: int) -> b
     return answer_hash(spark, answer) == expected_hash
 
 
+def answers_match(answer: str | Column, expected_hash: str | Column) -> Column:
+    """``answer_matches`` for a column of answers and a column of stored hashes. No answer matches no hash
+    but that of a missing answer."""
+    return stable_hash(col(answer).cast("string")).eqNullSafe(col(expected_hash))
+
+
 def assert_equal_text(expected: object, result: object) -> None:
     if str(expected) != str(result):
         raise AssertionError(f"{result} is not the expected {expected}")
@@ -231,6 +259,11 @@ def log_result(spark: SparkSession, path: str, name: str, value: float) -> None:
     row.write.mode("append").csv(path)
 
 
+def log_results(results: DataFrame, path: str) -> None:
+    """Append a whole table of (name, value) to the log in one job."""
+    results.select(F.col("name").cast("string"), F.col("value").cast("double")).write.mode("append").csv(path)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).csv(path)
 

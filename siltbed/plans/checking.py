@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from siltbed.functions import columns as fn
 from siltbed.operators import aggregates, checks, datagen
 from siltbed.plans.registry import query, table
 from siltbed.scratch import fresh_dir
@@ -27,10 +28,9 @@ def _(spark, sf):
     """SELECT o_orderkey, o_totalprice IS NOT DISTINCT FROM trunc(o_totalprice) AND o_orderstatus = 'F' AS same FROM orders""",
 )
 def _(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    other = F.struct(F.floor("o_totalprice").cast("double").alias("p"), F.lit("F").alias("s"))
-    mine = F.struct(F.col("o_totalprice").alias("p"), F.col("o_orderstatus").alias("s"))
-    return o.select("o_orderkey", mine.eqNullSafe(other).alias("same"))
+    o = table(spark, sf, "orders")
+    other = [F.floor("o_totalprice").cast("double"), F.lit("F")]
+    return o.select("o_orderkey", checks.same_row_columns(["o_totalprice", "o_orderstatus"], other).alias("same"))
 
 
 @query(
@@ -51,7 +51,7 @@ def _(spark, sf):
 @query("check_contains", "SELECT event_id, event_type IN ('click', 'view') AS listed FROM events")
 def _(spark, sf):
     return table(spark, sf, "events").select(
-        "event_id", F.col("event_type").isin("click", "view").alias("listed")
+        "event_id", checks.contains_column(["click", "view"], "event_type").alias("listed")
     )
 
 
@@ -61,7 +61,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     li = table(spark, sf, "lineitem")
-    return li.select("l_suppkey", F.col("l_returnflag").eqNullSafe(F.col("l_linestatus")).alias("same"))
+    return li.select("l_suppkey", checks.equal_columns("l_returnflag", "l_linestatus").alias("same"))
 
 
 @query(
@@ -90,14 +90,15 @@ def _(spark, sf):
     )
 
 
-@query("check_answer_hash", "SELECT true AS right_answer, false AS wrong_answer")
+@query(
+    "check_answer_hash",
+    """SELECT o_orderkey, o_orderstatus = 'F' AS matches FROM orders""",
+)
 def _(spark, sf):
-    n = table(spark, sf, "orders").count()
-    stored = checks.answer_hash(spark, n)
-    verdicts = (
-        checks.answer_matches(spark, n, stored), checks.answer_matches(spark, n + 1, stored)
-    )
-    return spark.createDataFrame([verdicts], "right_answer BOOLEAN, wrong_answer BOOLEAN")
+    """Each order's status as an answer, held against the stored hash of the right one."""
+    o = table(spark, sf, "orders")
+    stored = fn.stable_hash(F.lit("F"))
+    return o.select("o_orderkey", checks.answers_match("o_orderstatus", stored).alias("matches"))
 
 
 @query(
@@ -107,18 +108,17 @@ def _(spark, sf):
 def _(spark, sf):
     path = fresh_dir(spark, "results")
     n = aggregates.count_by_key(table(spark, sf, "orders"), "o_orderstatus")
-    for row in n.collect():  # one row per order status
-        checks.log_result(spark, path, row["o_orderstatus"], row["n_rows"])
+    checks.log_results(n.select(F.col("o_orderstatus").alias("name"), F.col("n_rows").alias("value")), path)
     return checks.read_results(spark, path)
 
 
 @query(
     "gen_columns",
-    """SELECT c_custkey, true AS int_ok, true AS price_ok, true AS state_ok, true AS password_ok,
-              true AS words_ok, true AS name_ok, true AS date_ok FROM customer""",
+    """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_broken, count(*) AS n_passwords,
+              true AS ints_vary, true AS prices_vary, true AS states_vary, true AS words_vary, true AS days_vary FROM customer""",
 )
 def _(spark, sf):
-    """Generated columns beside a real table's rows, checked by their own rules."""
+    """Generated columns beside a real table's rows: every value keeps its rule, and none is constant."""
     built = (
         datagen.TableBuilder(spark, "people", table(spark, sf, "customer").select("c_custkey"))
         .integers("n", 0, 100)
@@ -130,13 +130,23 @@ def _(spark, sf):
         .date_strings("day")
         .to_df()
     )
-    return built.select(
-        "c_custkey",
-        F.col("n").between(0, 99).alias("int_ok"),
-        F.col("price").rlike(r"^\$[0-9],?[0-9]*\.[0-9]{2}$").alias("price_ok"),
-        F.col("state").isin(datagen.STATES).alias("state_ok"),
-        F.col("password").rlike("^[A-Za-z0-9]{12}$").alias("password_ok"),
-        (F.size("words") == 3).alias("words_ok"),
-        F.col("name").rlike("^[A-Z][a-z]+ [A-Z][a-z]+$").alias("name_ok"),
-        F.col("day").between("2015-08-05 12:00:00", "2019-08-05 12:00:00").alias("date_ok"),
+    kept = (
+        F.col("n").between(0, 99)
+        & F.col("price").rlike(r"^\$[0-9],?[0-9]*\.[0-9]{2}$")
+        & F.col("state").isin(datagen.STATES)
+        & F.col("password").rlike("^[A-Za-z0-9]{12}$")
+        & (F.size("words") == 3)
+        & F.col("name").rlike("^[A-Z][a-z]+ [A-Z][a-z]+$")
+        & F.col("day").between(datagen.DEFAULT_START, datagen.DEFAULT_END)
+    )
+    rows = F.count("*")
+    return built.agg(
+        rows.alias("n_rows"),
+        F.count_if(~F.coalesce(kept, F.lit(False))).alias("n_broken"),
+        F.count_distinct("password").alias("n_passwords"),
+        (F.count_distinct("n") > 50).alias("ints_vary"),
+        (F.count_distinct("price") * 2 > rows).alias("prices_vary"),
+        (F.count_distinct("state") > 25).alias("states_vary"),
+        (F.count_distinct("words") * 2 > rows).alias("words_vary"),
+        (F.count_distinct("day") * 2 > rows).alias("days_vary"),
     )

@@ -5,28 +5,26 @@ from pyspark.sql.types import StructType
 
 from siltbed.operators import checks
 
-DUCK_MOUSE = [("Duck", 10000), ("Mouse", 60000)]
-DUCK_CHICKEN = [("Duck", 10000), ("Chicken", 60000)]
-BASE = StructType().add("LastName", "string").add("MaxSalary", "double")
+TOWNS = [("Ulm", 126), ("Bonn", 331)]
+OTHER_TOWNS = [("Ulm", 126), ("Jena", 331)]
+BASE = StructType().add("town", "string").add("people", "double")
 
 
+# Two numbers are close up to and including the tolerance, None only to None, text never.
 @pytest.mark.parametrize(
     "a, b, tolerance, expected",
     [
-        (1, 1, 0.01, True),
-        (100.001, 100, 0.01, True),
-        (100, 100.001, 0.01, True),
-        (100.001, "blah", 0.01, False),
-        ("blah", 100.001, 0.01, False),
-        (1.0, 1.2, 0.0001, False),
-        (1.0, 1.02, 0.0001, False),
-        (1.0, 1.002, 0.0001, False),
-        (1.0, 1.0002, 0.0001, False),
-        (1.0, 1.00002, 0.0001, True),
-        (1.000002, 1.0, 0.0001, True),
-        (1, None, 0.01, False),
-        (None, 1, 0.01, False),
-        (None, None, 0.01, True),
+        (7, 7, 0.01, True),
+        (20.25, 20.5, 0.25, True),
+        (20.5, 20.25, 0.25, True),
+        (20.25, 20.75, 0.25, False),
+        (-3, 3, 0.5, False),
+        (5e9, 5e9 + 1, 1, True),
+        ("oak", 3.5, 0.5, False),
+        (3.5, "oak", 0.5, False),
+        (0, None, 0.5, False),
+        (None, 0, 0.5, False),
+        (None, None, 0.5, True),
     ],
 )
 def test_close_values_and_columns(spark, a, b, tolerance, expected):
@@ -39,12 +37,13 @@ def test_close_values_and_columns(spark, a, b, tolerance, expected):
 @pytest.mark.parametrize(
     "other, order, nullable, expected",
     [
-        ("MaxSalary DOUBLE, LastName STRING", False, True, True),
-        ("MaxSalary DOUBLE, LastName STRING", True, True, False),
-        ("LastName STRING, MaxSalary BOOLEAN", True, True, False),
-        ("LastName STRING NOT NULL, MaxSalary DOUBLE", True, True, False),
-        ("LastName STRING NOT NULL, MaxSalary DOUBLE", True, False, True),
-        ("LastName STRING, MaxSalary DOUBLE, Country STRING", True, True, False),
+        ("town STRING, people DOUBLE", True, True, True),
+        ("people DOUBLE, town STRING", False, False, True),
+        ("people DOUBLE, town STRING", True, False, False),
+        ("town STRING, people BIGINT", False, False, False),
+        ("town STRING, people DOUBLE NOT NULL", True, False, True),
+        ("town STRING, people DOUBLE NOT NULL", True, True, False),
+        ("town STRING", True, False, False),
     ],
 )
 def test_same_schema(spark, other, order, nullable, expected):
@@ -53,60 +52,64 @@ def test_same_schema(spark, other, order, nullable, expected):
 
 def test_same_schema_of_none():
     assert checks.same_schema(None, None)
-    assert not checks.same_schema(None, BASE)
-    assert not checks.same_schema(BASE, None)
+    assert not checks.same_schema(None, BASE) and not checks.same_schema(BASE, None)
 
 
 def test_same_row():
-    a, b = Row(LastName="Duck", MaxSalary=10000), Row(LastName="Mouse", MaxSalary=60000)
-    assert checks.same_row(a, a)
-    assert not checks.same_row(a, b)
-    assert checks.same_row(a, Row(MaxSalary=10000, LastName="Duck"))
-    assert not checks.same_row(None, a) and not checks.same_row(a, None)
-    assert checks.same_row(None, None)
-    wider = Row(LastName="Duck", MaxSalary=10000, City="Anaheim")
-    assert not checks.same_row(a, wider) and not checks.same_row(wider, a)
+    a, b = Row(town="Ulm", people=126), Row(town="Bonn", people=331)
+    assert checks.same_row(a, a) and checks.same_row(None, None)
+    assert checks.same_row(a, Row(people=126, town="Ulm"))
+    assert not checks.same_row(a, b) and not checks.same_row(a, None) and not checks.same_row(None, a)
+    assert not checks.same_row(a, Row(town="Ulm", people=126, river="Danube"))
+
+
+def test_column_forms(spark):
+    df = spark.createDataFrame([("x", "x", 1), ("x", "y", 2), (None, None, 3), ("x", None, 4)], "a STRING, b STRING, n INT")
+    rows = df.orderBy("n").select(
+        checks.same_row_columns(["a", F.lit(1)], ["b", F.lit(1)]),
+        checks.same_row_columns(["a"], ["b", "n"]),
+        checks.contains_column(["y", None], "b"),
+        checks.contains_column(["x"], "b"),
+        checks.contains_column([], "b"),
+        checks.equal_columns("a", "b"),
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        (True, False, False, True, False, True),
+        (False, False, True, False, False, False),
+        (True, False, True, False, False, True),
+        (False, False, True, False, False, False),
+    ]
 
 
 def test_same_tables(spark):
-    a, b, c = (spark.createDataFrame(d) for d in (DUCK_MOUSE, DUCK_CHICKEN, DUCK_MOUSE))
-    assert checks.same_tables(a, c)
-    assert checks.same_tables(a, c, order_by=["_1"])
-    assert not checks.same_tables(a, b)
-    assert not checks.same_tables(a, a.unionAll(a.limit(1)))
+    a, b, c = (spark.createDataFrame(d) for d in (TOWNS, OTHER_TOWNS, TOWNS))
+    assert checks.same_tables(a, c) and checks.same_tables(a, c, order_by=["_1"])
+    assert not checks.same_tables(a, b) and not checks.same_tables(a, a.unionAll(a.limit(1)))
     assert not checks.same_tables(a, None) and checks.same_tables(None, None)
 
 
-def suite_of_four():
+def halves():
+    """Two checks of four hold, a point each."""
     s = checks.CheckSuite()
-    s.add("1", "first", lambda: True)
-    s.add("2", "second", lambda: False)
-    s.add("3", None, lambda: True)
-    s.add("4", "fourth", lambda: False)
+    for name, holds in (("north", True), ("south", False), ("east", False), ("west", True)):
+        s.add(name, f"{name} side", lambda holds=holds: holds)
     return s
 
 
 def test_suite_scores(spark):
-    a, b, c = (spark.createDataFrame(d) for d in (DUCK_MOUSE, DUCK_CHICKEN, DUCK_MOUSE))
-    four = suite_of_four()
-    assert tuple(checks.report_score(four.report(spark)).first()) == (2, 4, 50)
+    """Percentages are rounded down, and an empty suite scores 0 of 0."""
+    a, b = (spark.createDataFrame(d) for d in (TOWNS, OTHER_TOWNS))
+    assert tuple(checks.report_score(halves().report(spark)).first()) == (2, 4, 50)
 
     s = checks.CheckSuite()
-    s.add("5", "plain", lambda: True, points=3)
-    s.add("6", "equal", lambda: "cat" == "doc", points=3)
-    s.add("7", "equal", lambda: 99 == 100 - 1, points=3)
-    s.add("list-pass", "listed", lambda: checks.contains(["dog", "bird", "cat"], "cat"), points=3)
-    s.add("list-fail", "listed", lambda: checks.contains(["dog", "bird", "cat"], "cow"), points=3)
-    s.add("floats-pass", "close", lambda: checks.close(1.001, 1.002, 0.01), points=3)
-    s.add("floats-fail", "close", lambda: checks.close(1.001, 1.002, 0.0001), points=3)
-    s.add("rows-pass", "rows", lambda: checks.same_row(a.collect()[0], b.collect()[0]))
-    s.add("rows-fail", "rows", lambda: checks.same_row(a.collect()[1], b.collect()[1]))
-    s.add("df-pass", "tables", lambda: checks.same_tables(a, c, True, True))
-    s.add("df-fail", "tables", lambda: checks.same_tables(a, b, True, True))
+    s.add("towns match themselves", None, lambda: checks.same_tables(a, a), points=6)
+    s.add("towns match others", None, lambda: checks.same_tables(a, b), points=7)
+    s.add("Ulm is listed", None, lambda: checks.contains(["Ulm", "Bonn"], "Ulm"), points=5)
+    s.add("rows agree", None, lambda: checks.same_row(a.first(), b.first()), points=3)
+    s.add("close", None, lambda: checks.close(0.5, 0.75, 0.125), points=4)
     report = s.report(spark)
     assert tuple(checks.report_score(report).first()) == (14, 25, 56)
-    both = report.unionAll(four.report(spark))
-    assert tuple(checks.report_score(both).first()) == (16, 29, 55)
+    assert tuple(checks.report_score(report.unionAll(halves().report(spark))).first()) == (16, 29, 55)
     assert tuple(checks.report_score(checks.CheckSuite().report(spark)).first()) == (0, 0, 0)
 
 
@@ -143,20 +146,20 @@ def test_expectations_in_one_aggregate(spark):
 
 
 def test_answers_log_types_and_plan(spark, home):
-    assert spark.range(1).select(F.abs(F.hash(F.lit("cat")))).first()[0] == 715777456
-    assert checks.answer_hash(spark, "cat") == 715777456
-    assert checks.answer_matches(spark, "cat", 715777456)
-    assert not checks.answer_matches(spark, "dog", 715777456)
-    checks.assert_equal_text("1", 1)
+    right = spark.range(1).select(F.abs(F.hash(F.lit("heron")))).first()[0]
+    assert checks.answer_hash(spark, "heron") == right
+    assert checks.answer_matches(spark, "heron", right) and not checks.answer_matches(spark, "stork", right)
+    checks.assert_equal_text("12", 12)
     with pytest.raises(AssertionError):
-        checks.assert_equal_text("cat", "dog")
+        checks.assert_equal_text("heron", "stork")
+    answers = spark.createDataFrame([("heron",), ("stork",), (None,)], "x STRING")
+    assert [r[0] for r in answers.select(checks.answers_match("x", F.lit(right))).collect()] == [True, False, False]
 
-    for name, value in [("a", 1), ("b", 0.5)]:
-        checks.log_result(spark, f"{home}/log", name, value)
-    assert checks.results_map(checks.read_results(spark, f"{home}/log")) == {"a": 1.0, "b": 0.5}
+    checks.log_result(spark, f"{home}/log", "speed", 3)
+    checks.log_results(spark.createDataFrame([("width", 0.25), ("speed", 2.0)], "name STRING, value DOUBLE"), f"{home}/log")
+    assert checks.results_map(checks.read_results(spark, f"{home}/log")) == {"speed": 3.0, "width": 0.25}
 
     df = spark.range(5).withColumn("x", F.lit("t"))
     assert checks.column_has_type(df, "id", "bigint")
-    assert not checks.column_has_type(df, "id", "string")
-    assert not checks.column_has_type(df, "nope", "string")
+    assert not checks.column_has_type(df, "id", "string") and not checks.column_has_type(df, "nope", "string")
     assert "== Optimized Logical Plan ==" in checks.plan_text(df)
