@@ -9,17 +9,10 @@ from pyspark.sql import functions as F
 
 from siltbed.operators.ordering import row_number_global
 
-LOOKUP_ROWS = 100_000  # the largest lookup side that is broadcast
-
-
 def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str] | Column, how: str = "inner") -> DataFrame:
-    """Attach a lookup table, broadcast only if it is counted to be small.
-
-    The count reads at most one row past the limit from each partition of ``dim``. A larger
-    side is joined by shuffle, where adaptive execution splits hot keys.
-    """
-    small = dim.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
-    return facts.join(F.broadcast(dim) if small else dim, on, how)
+    """Attach a lookup table. Adaptive execution measures its bytes: below the session's limit it is
+    broadcast, above it both sides are shuffled and hot keys are split."""
+    return facts.join(dim, on, how)
 
 
 def positional(

@@ -5,12 +5,16 @@ An ``append`` commit adds rows. An ``update`` commit holds the new state of the
 Every fact about a commit is a directory name, so as-of reads, history and "was this batch
 already written" prune by directory and read no data they do not need.
 
+Each commit also holds the table's schema (``_schema``, a line of JSON that readers of data skip), since
+types cannot be told from folder names: a partition named 007 may be text.
+
 One writer per table at a time. A commit is written to a staging folder beside the table and moved
 into it in one rename, so a lost driver leaves no half commit behind.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -54,25 +58,23 @@ def create_table(spark: SparkSession, table: str) -> str:
 
 
 def table_schema(spark: SparkSession, table: str) -> StructType | None:
-    """Data columns of the newest commit (which always carries the full schema)."""
+    """Data columns of the newest commit (which always carries the full schema), as stored with it;
+    partition columns come last."""
     dirs = commit_dirs(spark, table)
     if not dirs:
         return None
-    found = spark.read.option("basePath", table).parquet(dirs[-1]).schema
-    return StructType([f for f in found if f.name not in COMMIT_COLUMNS])
+    return StructType.fromJson(json.loads(spark.read.text(f"{dirs[-1]}/_schema").first()[0]))
 
 
 def last_batch(spark: SparkSession, table: str, source: str) -> int | None:
-    """Newest batch number of a source.
+    """Newest batch number of a source: one look at the folder names of its commits."""
+    found = glob(spark, f"{table}/commit_v=*/_op=*/_source={source}/_batch_id=*")
+    return max((int(f.rstrip("/").rsplit("_batch_id=", 1)[1]) for f in found), default=None)
 
-    Walks back from the newest commit and stops at the source's own last one, which for a running
-    stream is among the last few: the cost does not grow with the number of commits.
-    """
-    for folder in reversed(commit_dirs(spark, table)):
-        found = glob(spark, f"{folder}/_op=*/_source={source}/_batch_id=*")
-        if found:
-            return int(found[0].rsplit("_batch_id=", 1)[1])
-    return None
+
+def _nullable(fields: Sequence[StructField]) -> StructType:
+    """As read back from files, where every column may be NULL."""
+    return StructType([StructField(f.name, f.dataType, True) for f in fields])
 
 
 def commit(
@@ -110,6 +112,9 @@ def commit(
     staging = f"{table}.staging/{uuid.uuid4().hex[:12]}"
     rows = df.hint("rebalance", *partition_by) if partition_by and cluster else df
     rows.write.partitionBy(*partition_by).parquet(f"{staging}/{home}")
+    fields = sorted(df.schema, key=lambda f: f.name in partition_by)
+    stored = spark.createDataFrame([(_nullable(fields).json(),)], "value STRING")
+    stored.coalesce(1).write.text(f"{staging}/commit_v={version}/_schema")
     fs, staged = file_system(spark, staging)
     try:
         if skip_empty and spark.read.schema(df.schema).parquet(f"{staging}/{home}").isEmpty():

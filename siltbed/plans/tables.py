@@ -255,11 +255,6 @@ def _(spark, sf):
     return hit.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("top"))
 
 
-@query("file_stats")
-def _(spark, sf):
-    return files.file_stats(spark, sf)
-
-
 @query(
     "manifest_diff",
     """WITH e AS (SELECT CAST(doc_id AS VARCHAR) AS name, n_chars AS size FROM documents),
@@ -288,8 +283,10 @@ def _(spark, sf):
 def _(spark, sf):
     home = fresh_dir(spark, "commits")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    for batch, status in enumerate(["F", "O", "P"]):
-        part = o.where(F.col("o_orderstatus") == status)
+    named = ["F", "O", "P"]
+    parts = [F.col("o_orderstatus") == s for s in named] + [~F.coalesce(F.col("o_orderstatus").isin(named), F.lit(False))]
+    for batch, which in enumerate(parts):  # the last batch holds all other statuses
+        part = o.where(which)
         versions.commit(part, home, "orders", batch)
         versions.commit(part, home, "orders", batch)  # a retry: skipped
     return versions.read_as_of(spark, home).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
@@ -308,18 +305,33 @@ def _order_commits(spark, sf):
 
 @query(
     "read_as_of",
-    """WITH c AS (SELECT *, day(CAST(ts AS DATE)) AS cm FROM events WHERE day(CAST(ts AS DATE)) <= 10)
-       SELECT user_id, event_type, round(value, 6) AS value FROM
-         (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY cm DESC, ts DESC, event_id DESC) AS rn FROM c) t
-       WHERE rn = 1""",
+    """SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN abs(c_acctbal) ELSE c_acctbal END AS c_acctbal
+       FROM customer WHERE c_mktsegment <> 'BUILDING'""",
 )
 def _(spark, sf):
-    tagged = table(spark, sf, "events").withColumn("commit_v", F.dayofmonth("ts"))
-    upto = tagged.where("commit_v <= 10").select(
-        "user_id", "event_type", "value", "commit_v", "ts", "event_id"
-    )
-    newest = ordering.latest_by_key(upto, ["user_id"], ["commit_v", "ts", "event_id"])
-    return newest.select("user_id", "event_type", r6("value").alias("value"))
+    """Two loads and a correction are visible; a third load that came later is not."""
+    home = fresh_dir(spark, "as-of")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    versions.commit(c.where("c_mktsegment = 'MACHINERY'"), home, "load", 0)
+    versions.commit(c.where("c_mktsegment not in ('MACHINERY', 'BUILDING')"), home, "load", 1)
+    fix = c.where("c_nationkey % 2 = 0 and c_mktsegment <> 'BUILDING'").withColumn("c_acctbal", F.abs("c_acctbal"))
+    versions.commit(fix, home, "fix", 0, op="update")
+    versions.commit(c.where("c_mktsegment = 'BUILDING'"), home, "load", 2)
+    return versions.read_as_of(spark, home, 2, ["c_custkey"]).select("c_custkey", "c_acctbal")
+
+
+@query(
+    "commit_text_partitions",
+    """SELECT c_custkey, right('00' || c_nationkey, 3) AS nation, c_acctbal FROM customer""",
+)
+def _(spark, sf):
+    """Two commits partitioned by a text of digits, which stays text with its zeros."""
+    home = fresh_dir(spark, "text-partitions")
+    nation = F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("nation")
+    c = table(spark, sf, "customer").select("c_custkey", nation, "c_acctbal")
+    for batch in range(2):
+        versions.commit(c.where(F.col("c_custkey") % 2 == batch), home, "load", batch, partition_by=["nation"])
+    return versions.read_as_of(spark, home)
 
 
 @query(
@@ -359,22 +371,6 @@ def _(spark, sf):
     return versions.table_history(spark, _order_commits(spark, sf)).drop("committed_at")
 
 
-@query("table_detail")
-def _(spark, sf):
-    return catalog.table_detail(spark, sf)
-
-
-@query(
-    "describe_table",
-    """SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS col_name,
-              CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-                   WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS data_type
-       FROM information_schema.columns WHERE table_name = 'events'""",
-)
-def _(spark, sf):
-    return catalog.describe_table(table(spark, sf, "events"))
-
-
 @query("schema_enforce", "SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_phone, c_acctbal FROM customer")
 def _(spark, sf):
     c = table(spark, sf, "customer").select("c_acctbal", "c_custkey")

@@ -14,7 +14,8 @@ def stream_names(spark: SparkSession) -> list[str | None]:
 
 def _stop(query: StreamingQuery, timeout: int) -> None:
     query.stop()
-    query.awaitTermination(timeout)
+    if not query.awaitTermination(timeout):
+        raise TimeoutError(f"stream {query.name} still runs {timeout} s after it was told to stop")
 
 
 def stop_all_streams(spark: SparkSession, timeout: int = 60) -> bool:
@@ -53,9 +54,12 @@ def until_stream_is_ready(
     raise TimeoutError(f"stream {name} gave fewer than {progressions} reports in {timeout} s")
 
 
-def finish(query: StreamingQuery, timeout: int = 1800) -> StreamingQuery:
-    """Wait for an ``availableNow`` stream to use up its input."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` stream to use up its input, however long that takes. With a
+    ``timeout`` in seconds a stream that needs longer is stopped and raises."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream {query.name} still runs after {timeout} s")
     return query

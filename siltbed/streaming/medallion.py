@@ -23,9 +23,11 @@ FEW_BROKEN = 0.01  # below this share only the surroundings of broken readings a
 
 @dataclass(frozen=True)
 class Layers:
-    """Folders of one set of layered tables. Each stream has its own checkpoint folder."""
+    """Folders of one set of layered tables. Each stream has its own checkpoint folder. ``limit`` is
+    the longest that a step may take, in seconds; without it a step takes the time it needs."""
 
     root: str
+    limit: float | None = None
 
     @property
     def raw(self) -> str:
@@ -58,7 +60,7 @@ def raw_to_bronze(spark: SparkSession, layers: Layers) -> None:
         lines, layers.bronze, layers.checkpoint("bronze"), "write_raw_to_bronze",
         partition_by=["p_ingestdate"], schema=transforms.BRONZE_SCHEMA, cluster=False,
     )
-    finish(writer.trigger(availableNow=True).start())
+    finish(writer.trigger(availableNow=True).start(), layers.limit)
 
 
 def bronze_to_silver(
@@ -78,7 +80,7 @@ def bronze_to_silver(
         schema=transforms.SILVER_V1_SCHEMA,
         evolve=evolve,
     )
-    finish(writer.trigger(availableNow=True).start())
+    finish(writer.trigger(availableNow=True).start(), layers.limit)
 
 
 def merge_late(spark: SparkSession, layers: Layers, path: str, batch_id: int) -> int | None:
@@ -101,6 +103,10 @@ def repair_silver(spark: SparkSession, layers: Layers) -> bool:
 
     Silver is read as one fixed version, so the update stays right while streams append. The scan
     of one column tells whether there is work at all, and how much.
+
+    A reading that came several times counts once: its greatest value is its value, so a sound copy
+    repairs a broken one, and only a reading without any sound copy takes its neighbours' mean. All
+    its copies get the same new value.
     """
     before = versions.latest_version(spark, layers.silver)
     silver = silver_now(spark, layers, before)
@@ -110,9 +116,13 @@ def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     if not found["broken"]:
         return False
     few = found["broken"] < FEW_BROKEN * found["rows"]
-    grain = ordering.suggest_grain(silver, *READING_KEY)
-    updates = repair.interpolate_neighbors(silver, grain=grain, few=few)
-    updates = updates.select(*READING_KEY, "heartrate")
+    once = silver.groupBy(*READING_KEY).agg(
+        F.max("heartrate").alias("heartrate"), F.min("heartrate").alias("_least")
+    )
+    grain = ordering.suggest_grain(once, *READING_KEY)
+    updates = repair.interpolate_neighbors(once, grain=grain, few=few)
+    sound = once.where("_least < 0 and heartrate >= 0")
+    updates = updates.unionByName(sound).select(*READING_KEY, "heartrate")
     changed = merge.changed_rows(silver, updates, READING_KEY, {"heartrate": "heartrate"})
     done = versions.commit(
         changed, layers.silver, "repair", before, op="update",

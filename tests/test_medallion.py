@@ -264,3 +264,38 @@ def test_batch_that_failed_after_its_commit_is_not_doubled(spark, home):
     writer = write_once(lines, f"{home}/t", f"{home}/c", "lines")
     control.finish(writer.trigger(availableNow=True).start())
     assert versions.read_as_of(spark, f"{home}/t").count() == 3720
+
+
+def test_a_batch_of_bad_lines_only_stops_nothing(spark, home):
+    layers = medallion.Layers(f"{home}/layers", limit=600)
+    for lines in (["not json", "{}"], ['{"device_id": 1, "heartrate": 2.5, "name": "a", "time": 1577836800.0}']):
+        writers.write_lines(readers.rows(spark, [(x,) for x in lines], "value STRING"), layers.raw, "append")
+        medallion.raw_to_bronze(spark, layers)
+        medallion.bronze_to_silver(spark, layers)
+    silver = medallion.silver_now(spark, layers)
+    assert dict(silver.dtypes)["p_eventdate"] == "date"
+    assert silver.count() == 3 and silver.where("heartrate = 2.5").count() == 1
+
+
+def test_repair_of_doubled_readings(spark, home):
+    """Copies of one reading that differ in spacing: a sound copy wins, broken ones are repaired alike."""
+    layers = medallion.Layers(f"{home}/layers")
+    lines = [f'{{"device_id": 1, "heartrate": {h}, "name": "a", "time": {1577836800 + 60 * i}}}' for i, h in enumerate([10, -5, 30, -7, 50])]
+    lines += [lines[1].replace(": ", ":"), lines[3].replace("-7", "45").replace(": ", ":")]
+    writers.write_lines(readers.rows(spark, [(x,) for x in lines], "value STRING"), layers.raw)
+    medallion.raw_to_bronze(spark, layers)
+    medallion.bronze_to_silver(spark, layers)
+    assert medallion.repair_silver(spark, layers)
+    got = medallion.silver_now(spark, layers).orderBy("eventtime").collect()
+    assert [r["heartrate"] for r in got] == [10.0, 20.0, 20.0, 30.0, 45.0, 45.0, 50.0]
+    assert not medallion.repair_silver(spark, layers)
+
+
+def test_steps_wait_as_long_as_they_need_or_are_told(spark, home):
+    drop_file(january(spark), f"{home}/raw")
+    stream = readers.text_stream(spark, f"{home}/raw")
+    writer = sinks.preview(stream.groupBy().agg(F.count("*").alias("n")), "slow_preview", "complete")
+    query = writer.start()
+    with pytest.raises(TimeoutError, match="still runs after 1"):
+        control.finish(query, 1)
+    assert not query.isActive

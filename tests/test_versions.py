@@ -29,6 +29,29 @@ def test_batches_are_written_once_and_numbered(spark, home):
         versions.read_as_of(spark, t, 9)
 
 
+def test_partitions_of_digits_stay_text(spark, home):
+    t, ddl = f"{home}/t", "kind STRING, x INT"
+    versions.commit(rows(spark, ("007", 1), ("1", 2), ddl=ddl), t, "s", 0, partition_by=["kind"])
+    versions.commit(rows(spark, ("010", 3), ("x", 4), ddl=ddl), t, "s", 1, partition_by=["kind"])
+    assert [(f.name, f.dataType.simpleString()) for f in versions.table_schema(spark, t)] == [("x", "int"), ("kind", "string")]
+    assert values(versions.read_as_of(spark, t).select("kind", "x")) == [("007", 1), ("010", 3), ("1", 2), ("x", 4)]
+
+
+def test_a_first_batch_without_any_partition_value(spark, home):
+    t, ddl = f"{home}/t", "x INT, day DATE"
+    versions.commit(rows(spark, (None, None), ddl=ddl), t, "s", 0, partition_by=["day"])
+    good = rows(spark, (1, "2020-01-01"), ddl="x INT, day STRING").withColumn("day", F.col("day").cast("date"))
+    versions.commit(good, t, "s", 1, partition_by=["day"])
+    assert sorted(str(r["day"]) for r in versions.read_as_of(spark, t).collect()) == ["2020-01-01", "None"]
+
+
+def test_sources_are_found_by_folder_names(spark, home):
+    t = f"{home}/t"
+    for i in range(3):
+        versions.commit(rows(spark, (i, "a")), t, "one", i)
+    assert versions.last_batch(spark, t, "one") == 2 and versions.last_batch(spark, t, "two") is None
+
+
 def test_as_of_grows_with_append_commits(spark, home):
     t = f"{home}/t"
     for i in range(12):
