@@ -4,7 +4,8 @@ Tables follow one naming: ``blocks(number, timestamp)``, ``transactions(hash, bl
 transaction_index, from_address, to_address, value, gas_price)``, ``receipts(transaction_hash,
 gas_used)``, ``token_transfers(token_address, from_address, to_address, value, transaction_hash,
 block_number)``, ``tokens(address, symbol)``, ``contracts(address, is_erc20)``,
-``prices(token_address, date, price_usd)``. Amounts are whole wei in DECIMAL(38,0).
+``prices(token_address, date, price_usd)``. Amounts are whole wei in DECIMAL(38,0). They are summed in
+two parts, whole ether and the wei left over, so no sum passes 38 digits and none is rounded.
 
 Wherever a popular address or token could crowd one task, rows are counted per key first and only
 the counts are joined or ranked.
@@ -50,14 +51,15 @@ def contract_call_pct(transactions: DataFrame, contracts: DataFrame) -> DataFram
 
 
 def top_tokens(transfers: DataFrame, tokens: DataFrame, k: int = 100) -> DataFrame:
-    """The k tokens with most transfers; symbols are looked up for those k only."""
+    """The k tokens with most transfers, the most first; symbols are looked up for those k only, and a
+    token that is listed several times has the least of its symbols."""
     n = transfers.groupBy("token_address").agg(F.count("*").alias("n_transfers"))
     best = top_k(n, [F.desc("n_transfers"), F.asc("token_address")], k)
     names = tokens.select(F.col("address").alias("token_address"), "symbol")
     named = names.join(F.broadcast(best.select("token_address")), "token_address", "left_semi")
-    return best.join(named, "token_address", "left").select(
-        "token_address", "symbol", "n_transfers"
-    )
+    once = named.groupBy("token_address").agg(F.min("symbol").alias("symbol"))
+    joined = best.join(once, "token_address", "left").select("token_address", "symbol", "n_transfers")
+    return joined.orderBy(F.desc("n_transfers"), F.asc("token_address"))
 
 
 def new_address_fraction(transfers: DataFrame) -> DataFrame:
@@ -95,21 +97,30 @@ def max_throughput(transactions: DataFrame, block_seconds: int = BLOCK_SECONDS)
     return n.agg((F.max("n") / F.lit(float(block_seconds))).alias("tps"))
 
 
+def _unit() -> Column:
+    return F.lit(WEI_PER_ETHER).cast("DECIMAL(19,0)")
+
+
+def _parts(amount: str) -> tuple[Column, Column]:
+    """Whole ether and the wei left over. Without its rest an amount divides evenly, so no digit is
+    rounded away."""
+    wei = F.col(amount).cast(WEI)
+    rest = wei % _unit()
+    return ((wei - rest).cast(WEI) / _unit()).cast("DECIMAL(20,0)"), rest.cast("DECIMAL(18,0)")
+
+
+def _joined(whole: str, rest: str) -> Column:
+    """The amount of two summed parts; NULL where it has more than 38 digits, which no part loses."""
+    return F.try_add(F.try_multiply(F.col(whole).cast("DECIMAL(38,0)"), _unit()).cast(WEI), F.col(rest).cast(WEI)).cast(WEI)
+
+
 def ether_volume(transactions: DataFrame) -> DataFrame:
     """Total value in ether.
 
     Whole ether and the wei left over are summed apart: a sum of wei alone could pass 38 digits.
     """
-    unit = F.lit(WEI_PER_ETHER).cast("DECIMAL(19,0)")
-    wei = F.col("value").cast(WEI)
-    rest = wei % unit
-    # Without its rest the amount divides evenly, so no digit is rounded away.
-    parts = transactions.select(
-        ((wei - rest).cast(WEI) / unit).cast("DECIMAL(20,0)").alias("whole"), rest.alias("rest")
-    )
-    sums = parts.agg(
-        F.sum("whole").alias("whole"), F.sum("rest").alias("rest")
-    )
+    whole, rest = _parts("value")
+    sums = transactions.agg(F.sum(whole).alias("whole"), F.sum(rest).alias("rest"))
     return sums.select(
         (F.col("whole").cast("double") + F.col("rest").cast("double") / float(WEI_PER_ETHER)).alias(
             "ether"
@@ -127,44 +138,62 @@ def max_transfers_in_transaction(transfers: DataFrame) -> DataFrame:
 
 
 def movements(transfers: DataFrame) -> DataFrame:
-    """Each transfer as one gain and one loss: (address, token_address, date, amount). One scan."""
-    wei = F.col("value").cast(WEI)
-    sides = F.array(
-        F.struct(F.col("to_address").alias("address"), wei.alias("amount")),
-        F.struct(F.col("from_address").alias("address"), (-wei).cast(WEI).alias("amount")),
+    """Each transfer as one gain and one loss: (address, token_address, date, whole, rest, sign). One scan.
+
+    The two parts of an amount are short enough to be negated without loss.
+    """
+    whole, rest = _parts("value")
+    side = lambda address, sign: F.struct(
+        F.col(address).alias("address"),
+        (whole * F.lit(sign)).cast("DECIMAL(20,0)").alias("whole"),
+        (rest * F.lit(sign)).cast("DECIMAL(18,0)").alias("rest"),
     )
-    return transfers.select("token_address", "date", F.inline(sides))
+    return transfers.select("token_address", "date", F.inline(F.array(side("to_address", 1), side("from_address", -1))))
 
 
 def balance_on(transfers: DataFrame, day: date | str, address: Column | None = None) -> DataFrame:
-    """Token balances at the end of a day; ``address`` is an optional predicate on it."""
+    """Token balances at the end of a day; ``address`` is an optional predicate on it.
+
+    ``whole`` and ``rest`` are exact at any size; ``balance`` is their sum, NULL beyond 38 digits.
+    """
     moves = movements(transfers).where(F.col("date") <= F.lit(str(day)).cast("date"))
     if address is not None:
         moves = moves.where(address)
-    return moves.groupBy("address", "token_address").agg(F.sum("amount").alias("balance"))
+    sums = moves.groupBy("address", "token_address").agg(F.sum("whole").alias("whole"), F.sum("rest").alias("rest"))
+    return sums.withColumn("balance", _joined("whole", "rest"))
 
 
 def balance_history(transfers: DataFrame) -> DataFrame:
-    """Balance after each day on which it moved.
+    """Balance after each day on which it moved, with the day's change; parts as in ``balance_on``.
 
     Moves are first summed per day, so one window holds at most one row per day.
     """
     daily = movements(transfers).groupBy("address", "token_address", "date").agg(
-        F.sum("amount").alias("change")
+        F.sum("whole").cast("DECIMAL(28,0)").alias("whole"), F.sum("rest").cast("DECIMAL(28,0)").alias("rest")
     )
     upto = (
         Window.partitionBy("address", "token_address")
         .orderBy("date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return daily.withColumn("balance", F.sum("change").over(upto))
+    changed = daily.withColumn("change", _joined("whole", "rest"))
+    summed = changed.withColumns({c: F.sum(c).over(upto) for c in ("whole", "rest")})
+    return summed.withColumn("balance", _joined("whole", "rest"))
 
 
 def per_day(rows: DataFrame, time: str, name: str = "n") -> DataFrame:
     return rows.groupBy(F.to_date(time).alias("date")).agg(F.count("*").alias(name))
 
 
-def with_price(balances: DataFrame, prices: DataFrame, amount: str = "balance") -> DataFrame:
-    """Dated balances with that day's price and their worth in dollars; no price gives NULL."""
-    joined = balances.join(prices, ["token_address", "date"], "left")
-    return joined.withColumn("usd", F.col(amount).cast("double") * F.col("price_usd"))
+def with_price(balances: DataFrame, prices: DataFrame, tokens: DataFrame, amount: str = "balance") -> DataFrame:
+    """Dated balances with that day's price and their worth in dollars; no price gives NULL.
+
+    A balance counts the token's smallest unit, of which 10 ** decimals make one token. A token that is
+    not listed, or without decimals, counts as it is. A day that the feed prices several times has the
+    greatest of its prices; a token listed several times has the most of its decimals.
+    """
+    feed = prices.groupBy("token_address", "date").agg(F.max("price_usd").alias("price_usd"))
+    places = tokens.groupBy(F.col("address").alias("token_address")).agg(F.max("decimals").cast("int").alias("decimals"))
+    joined = balances.join(feed, ["token_address", "date"], "left").join(places, "token_address", "left")
+    units = F.pow(F.lit(10.0), F.coalesce("decimals", F.lit(0)))
+    return joined.withColumn("usd", F.col(amount).cast("double") / units * F.col("price_usd"))

@@ -41,14 +41,18 @@ def migrate(df: DataFrame, expected: StructType | str) -> DataFrame:
 def silver_transfers(bronze: DataFrame) -> DataFrame:
     """Typed transfers: lower-case addresses, amounts as whole wei, the block's date.
 
-    An amount that is not a whole number of at most 38 digits becomes NULL.
+    An amount that is not a whole number of at most 38 digits, a fraction for instance, has no
+    ``value``; its text is then kept as ``unread_value``, and ``unread`` counts such rows.
     """
     b = migrate(bronze, BRONZE_TRANSFERS)
+    text = F.trim("value")
+    value = F.when(text.rlike("^0*[0-9]{1,38}$"), F.regexp_replace(text, "^0+(?=[0-9])", "")).try_cast("DECIMAL(38,0)")
     return b.select(
         F.lower("token_address").alias("token_address"),
         F.lower("from_address").alias("from_address"),
         F.lower("to_address").alias("to_address"),
-        F.col("value").try_cast("DECIMAL(38,0)").alias("value"),
+        value.alias("value"),
+        F.when(value.isNull(), F.col("value")).alias("unread_value"),
         F.lower("transaction_hash").alias("transaction_hash"),
         "block_number",
         F.to_date("block_timestamp").alias("date"),
@@ -56,8 +60,14 @@ def silver_transfers(bronze: DataFrame) -> DataFrame:
     )
 
 
+def unread(silver: DataFrame) -> DataFrame:
+    """Number of transfers whose amount could not be read."""
+    return silver.agg(F.count("unread_value").alias("n_unread"))
+
+
 def ingest_transfers(
-    spark: SparkSession, bronze_path: str, schema: StructType | str, table: str, checkpoint: str
+    spark: SparkSession, bronze_path: str, schema: StructType | str, table: str, checkpoint: str,
+    limit: float | None = None,
 ) -> None:
     """Add what is new in bronze to the silver table; running it again adds nothing twice.
 
@@ -68,4 +78,4 @@ def ingest_transfers(
     writer = append_writer(
         silver_transfers(stream), table, checkpoint, "silver_transfers", partition_by=["p_month"]
     )
-    finish(writer.trigger(availableNow=True).start())
+    finish(writer.trigger(availableNow=True).start(), limit)

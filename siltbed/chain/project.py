@@ -11,13 +11,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltbed.chain import eda, etl, recommend
+from siltbed.ml import models as models_io
 from siltbed.ml import monitor, runlog
 from siltbed.ml.registry import Registry
 from siltbed.operators import versions
@@ -73,22 +73,9 @@ def stored_ids(spark: SparkSession, model_path: str) -> DataFrame:
     return spark.read.parquet(f"{model_path.rsplit('/', 1)[0]}/ids")
 
 
-def preference_error(spark: SparkSession, path: str, pairs: DataFrame) -> float:
-    """Error of a stored model's preference on pairs it should like, by the model's own ids.
-
-    Wallets or tokens the model does not know count as preference 0.
-    """
-    ids = stored_ids(spark, path)
-    wallets = ids.select("wallet", "wallet_id").distinct()
-    tokens = ids.select("token", "token_id").distinct()
-    known = pairs.select("wallet", "token").join(wallets, "wallet", "left").join(tokens, "token", "left")
-    model = ALSModel.load(path).setColdStartStrategy("nan")
-    scored = model.transform(known.na.fill(-1, ["wallet_id", "token_id"]))
-    scored = scored.select(
-        F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)).alias("prediction"),
-        F.lit(1.0).alias("preference"),
-    )
-    return RegressionEvaluator(labelCol="preference", metricName="rmse").evaluate(scored)
+def miss_rate(spark: SparkSession, path: str, pairs: DataFrame) -> float:
+    """Share of pairs that a stored model does not rank among its best, by the model's own ids."""
+    return 1.0 - recommend.hit_rate(ALSModel.load(path), stored_ids(spark, path), pairs).first()["hit_rate"]
 
 
 def train(
@@ -112,9 +99,10 @@ def train(
     for number, params in enumerate(grid):
         path = f"{models}/als-{number}"
         recommend.fit_als(ids, seed=seed, **params).save(path)
-        error = preference_error(spark, path, test_rows)
+        models_io.save_signature(spark, path, ids.select("wallet_id", "token_id", "n_transfers").schema)
+        error = miss_rate(spark, path, test_rows)
         run = runlog.log_run(
-            spark, project.runs, MODEL, f"als-{number}", params, {"rmse": error}, tags, path, data_version
+            spark, project.runs, MODEL, f"als-{number}", params, {"miss_rate": error}, tags, path, data_version
         )
         tried.append((error, run))
     version = registry.register(MODEL, min(tried)[1])
@@ -129,12 +117,12 @@ def watch(spark: SparkSession, project: Project, pairs: DataFrame, staged: int,
     held_out = pairs.where(_held_out())
     sides = {"staged": staged, "production": production}
     rows = [
-        (side, preference_error(spark, registry.resolve(f"models:/{MODEL}/{v}", runs), held_out))
+        (side, miss_rate(spark, registry.resolve(f"models:/{MODEL}/{v}", runs), held_out))
         for side, v in sides.items()
         if v is not None
     ]
-    metrics = spark.createDataFrame(rows, "model STRING, rmse DOUBLE")
-    return monitor.promote_if_better(registry, MODEL, staged, production, metrics, "rmse", min_gain)
+    metrics = spark.createDataFrame(rows, "model STRING, miss_rate DOUBLE")
+    return monitor.promote_if_better(registry, MODEL, staged, production, metrics, "miss_rate", min_gain)
 
 
 def recommend_tokens(spark: SparkSession, project: Project, wallet: object, k: int = 10) -> DataFrame:
@@ -157,9 +145,12 @@ def run_project(
     grid: Sequence[Mapping[str, float]] = ({"rank": 8},),
     k: int = 10,
 ) -> DataFrame:
-    """All five steps; returns the recommendation for ``wallet``."""
+    """All five steps; returns the recommendation for ``wallet``. The answers of the explore step are
+    tables below ``explore``."""
     project = Project(home)
     transfers = ingest(spark, project, bronze, schema)
+    for question, answer in explore(transfers).items():
+        answer.write.mode("overwrite").parquet(f"{home}/explore/{question}")
     pairs_path = f"{home}/pairs"
     recommend.interactions(transfers, start).write.mode("overwrite").parquet(pairs_path)
     pairs = spark.read.parquet(pairs_path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +30,6 @@ REVIEW_SCORES = [
     "review_scores_value",
 ]
 
-MAX_LEVELS = 2000
-
-
 def split_bucket(keys: Sequence[str], seed: int = 42, buckets: int = 100) -> Column:
     """A bucket that depends only on the row's key and the seed, not on how rows are spread."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(buckets)).cast("int")
@@ -49,29 +47,35 @@ def split_train_test(
     return split_by(df, in_train)
 
 
-def levels(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list:
-    """Sorted distinct values of a category. More than ``limit`` of them raise: such a column
-    is no category, and as columns it would not fit a schema."""
-    found = (
-        df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    )
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in found)
-
-
-def one_hot(
-    df: DataFrame, column: str, prefix: str, values: Sequence | None = None
-) -> DataFrame:
-    """One 0/1 BIGINT column per level, all levels kept, the original column dropped."""
-    known = levels(df, column) if values is None else values
+def one_hot(df: DataFrame, column: str, prefix: str, values: Sequence) -> DataFrame:
+    """One 0/1 BIGINT column for each of the given levels, the original column dropped."""
     flags = [
         F.when(F.col(column) == F.lit(v), 1).otherwise(0).cast("bigint").alias(f"{prefix}_{v}")
-        for v in known
+        for v in values
     ]
     return df.select("*", *flags).drop(column)
 
 
+def one_hot_encoder(columns: Mapping[str, str]) -> Pipeline:
+    """Encoder of categories with any number of levels: ``columns`` maps a column to the name of its
+    sparse 0/1 vector, which has one place per level and one more for NULL and unseen values.
+
+    Levels are placed by their order as text, so equal tables give equal vectors.
+    """
+    stages = []
+    for column, vector in columns.items():
+        index = f"_{vector}_index"
+        stages.append(StringIndexer(inputCol=column, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCol=index, outputCol=vector, dropLast=False))
+    return Pipeline(stages=stages)
+
+
+def one_hot_sparse(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """``df`` with the sparse vectors of ``one_hot_encoder`` in place of the columns."""
+    coded = one_hot_encoder(columns).fit(df).transform(df)
+    return coded.drop(*columns, *(f"_{v}_index" for v in columns.values()))
+
+
 def unmapped(df: DataFrame, column: str, ranks: Mapping[str, int]) -> DataFrame:
     """How many values an ordinal encoding does not know."""
     strange = F.col(column).isNotNull() & ordinal(column, ranks).isNull()
@@ -94,12 +98,18 @@ def rounded_place(df: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Exact train medians, one number per column."""
-    return {r["column"]: r["value"] for r in exact_quantiles(df, columns, 0.5).collect()}
+    """Exact train medians, one number per column. A column without any value has none and raises."""
+    found = {r["column"]: r["value"] for r in exact_quantiles(df, columns, 0.5).collect()}
+    if absent := [c for c in columns if c not in found]:
+        raise ValueError(f"no value to take a median of: {', '.join(absent)}")
+    return found
 
 
 def impute(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
-    return df.fillna(dict(values))
+    """NULLs filled. A column of whole numbers becomes DOUBLE, so that a median of 1.5 stays 1.5."""
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    wide = {c: F.col(c).cast("double") for c, t in df.dtypes if c in values and t in whole}
+    return df.withColumns(wide).fillna(dict(values))
 
 
 def impute_constant(df: DataFrame, columns: Sequence[str], value: float = NO_REVIEW) -> DataFrame:
@@ -107,17 +117,17 @@ def impute_constant(df: DataFrame, columns: Sequence[str], value: float = NO_REV
 
 
 def prepare_listings(df: DataFrame, categories: Mapping[str, str]) -> DataFrame:
-    """Raw listings to numeric columns: price, flags, policy rank, dummies per category.
+    """Raw listings to numeric columns: price, flags, policy rank, a sparse 0/1 vector per category.
 
-    ``categories`` maps a column to the prefix of its dummy columns.
+    ``categories`` maps a column to the name of its vector.
     """
     out = df.withColumns(
         {
             "price": price_to_double("price"),
+            # The names of the two flags.
             "host_is_superhost_": binary_flag("host_is_superhost"),
             "instant_bookable_": binary_flag("instant_bookable"),
             "cancellation_policy_strictness": ordinal("cancellation_policy", CANCELLATION_RANKS),
         }
     ).drop("zipcode", "cancellation_policy", "host_is_superhost", "instant_bookable")
-    known = {c: levels(df, c) for c in categories}
-    return reduce(lambda d, c: one_hot(d, c, categories[c], known[c]), categories, out)
+    return one_hot_sparse(out, categories)

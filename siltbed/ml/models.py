@@ -20,9 +20,6 @@ from siltbed.ml.features import split_bucket
 from siltbed.operators.schemas import SchemaMismatch
 from siltbed.scratch import ensure_checkpoint_dir
 
-MAX_TREE_DEPTH = 30  # the library's own limit
-
-
 def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
@@ -31,10 +28,11 @@ def train_random_forest(
     df: DataFrame, features: Sequence[str], label: str = "price", seed: int = 42,
     num_trees: int = 20, max_depth: int = 5, **params: object,
 ) -> PipelineModel:
-    """Regression forest with its feature assembly, as one stored pipeline."""
+    """Regression forest with its feature assembly, as one stored pipeline. A depth beyond the
+    library's own limit of 30 raises."""
     forest = RandomForestRegressor(
         labelCol=label, seed=seed, numTrees=num_trees,
-        maxDepth=min(max_depth, MAX_TREE_DEPTH), **params,
+        maxDepth=max_depth, **params,
     )
     return Pipeline(stages=[assembler(features), forest]).fit(df)
 
@@ -126,10 +124,13 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
 def save_model(model: PipelineModel, path: str, inputs: StructType) -> None:
     """Model files and the input schema scoring has to bring."""
     model.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(inputs.json(),)], "schema STRING").write.mode("overwrite").json(
-        f"{path}/inputs"
-    )
+    save_signature(SparkSession.getActiveSession(), path, inputs)
+
+
+def save_signature(spark: SparkSession, path: str, inputs: StructType) -> None:
+    """The columns a stored model takes, beside it."""
+    row = spark.createDataFrame([(inputs.json(),)], "schema STRING")
+    row.write.mode("overwrite").json(f"{path}/inputs")
 
 
 def load_model(path: str) -> PipelineModel:

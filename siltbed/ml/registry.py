@@ -76,8 +76,10 @@ class Registry:
         self._version(name, version)
         self._add(name, version, "transition", stage=stage)
 
-    def latest(self, name: str) -> int:
-        return self.versions(name).agg(F.max("version")).first()[0]
+    def latest(self, name: str) -> int | None:
+        """Newest living version of a model; None without one."""
+        row = latest_versions(self.events()).where(F.col("model_name") == name).first()
+        return row["version"] if row else None
 
     def in_stage(self, name: str, stage: str) -> int | None:
         """Newest version of a model in a stage."""
@@ -150,6 +152,11 @@ def next_versions(events: DataFrame) -> DataFrame:
     )
 
 
+def latest_versions(events: DataFrame) -> DataFrame:
+    """(model_name, version): the newest version of each model that is not deleted."""
+    return current_state(events).groupBy("model_name").agg(F.max("version").alias("version"))
+
+
 def model_descriptions(events: DataFrame) -> DataFrame:
     """Newest model-level description of each model."""
     told = events.where((F.col("event") == "describe") & F.col("version").isNull())

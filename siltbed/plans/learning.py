@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from siltbed.functions import columns as fn
 from siltbed.ml import features, models, monitor, registry, runlog, workflow
-from siltbed.operators import ordering
+from siltbed.operators import ordering, versions
 from siltbed.operators.schemas import SchemaMismatch
 from siltbed.plans.registry import query, r6, table
 from siltbed.scratch import fresh_dir, materialize
@@ -126,7 +128,20 @@ def _(spark, sf):
               CAST(o_orderstatus = 'P' AS BIGINT) AS "st_P" FROM orders""",
 )
 def _(spark, sf):
-    return features.one_hot(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", "st")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return features.one_hot(o, "o_orderstatus", "st", ["F", "O", "P"])
+
+
+@query(
+    "feat_one_hot_sparse",
+    """SELECT CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS place, count(*) AS n FROM part GROUP BY p_name""",
+)
+def _(spark, sf):
+    """A category with thousands of levels: the places that the sparse vectors set, and how often."""
+    coded = features.one_hot_sparse(table(spark, sf, "part").select("p_name"), {"p_name": "name"})
+    total = coded.agg(Summarizer.sum(F.col("name")).alias("total"))
+    places = total.select(F.posexplode(vector_to_array("total")).alias("place", "n"))
+    return places.where("n > 0").select("place", F.col("n").cast("bigint").alias("n"))
 
 
 @query("feat_drop", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -238,45 +253,78 @@ def _(spark, sf):
 # --- models (row checks: the library's trees have no SQL twin) --------------------------------------
 
 
-def _in_range(df, rows):
-    """A forest averages labels it has seen, so no prediction leaves their range."""
-    low, high = rows.agg(F.min("price"), F.max("price")).first()
-    return df.select("id", F.col("prediction").between(low, high).alias("in_range"))
+def _known_price(rows):
+    """A price that some inputs tell: what a model has to find."""
+    told = 100.0 * F.col("accommodates") + 60.0 * F.col("strictness") + 10.0 * F.col("month")
+    return rows.withColumn("price", told)
+
+
+def _known_split(spark, sf):
+    train, test = split_and_filled(spark, sf)
+    return _known_price(train), _known_price(test)
 
 
-@query("preprocess_and_train", "SELECT o_orderkey AS id, true AS in_range FROM orders")
+def _beats_mean(scored, least=0.5):
+    """(n_rows, beats_mean): the share of the price's variance that the predictions explain."""
+    out = models.eval_regression(scored, "price", "prediction").select((F.col("r2") > least).alias("beats_mean"))
+    return scored.agg(F.count("prediction").alias("n_rows")).withColumn("_one", F.lit(1)).join(out.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+BEATS_SQL = "SELECT count(*) AS n_rows, true AS beats_mean FROM orders"
+
+
+@query("preprocess_and_train", BEATS_SQL)
 def _(spark, sf):
     """Imputation, assembly and forest; every input reaches the model, every row gets a price."""
-    train, test = split_and_filled(spark, sf)
-    model = models.train_random_forest(train, INPUTS, num_trees=5, max_depth=4)
-    return _in_range(model.transform(train.unionByName(test)), train)
+    train, test = _known_split(spark, sf)
+    model = models.train_random_forest(train, INPUTS, num_trees=10, max_depth=6)
+    return _beats_mean(model.transform(train.unionByName(test)))
 
 
-@query("train_random_forest")
+@query("train_random_forest", "SELECT true AS beats_mean")
 def _(spark, sf):
-    train, test = split_and_filled(spark, sf)
-    model = models.train_random_forest(train, INPUTS, num_trees=10, max_depth=5)
-    return models.eval_regression(model.transform(test), "price", "prediction")
+    """On rows the forest has not seen."""
+    train, test = _known_split(spark, sf)
+    model = models.train_random_forest(train, INPUTS, num_trees=10, max_depth=6)
+    return _beats_mean(model.transform(test)).drop("n_rows")
 
 
-@query("train_gbt")
+@query("train_gbt", "SELECT true AS beats_mean")
 def _(spark, sf):
-    train, test = split_and_filled(spark, sf)
-    model = models.train_gbt(train, INPUTS, max_iter=5, max_depth=3)
-    return models.eval_regression(model.transform(test), "price", "prediction")
+    train, test = _known_split(spark, sf)
+    model = models.train_gbt(train, INPUTS, max_iter=10, max_depth=3)
+    return _beats_mean(model.transform(test)).drop("n_rows")
 
 
-@query("grid_search")
+@query(
+    "grid_search",
+    "SELECT CAST(4 AS BIGINT) AS n_tried, CAST(4 AS BIGINT) AS n_params, true AS deeper_is_better, true AS best_beats_mean",
+)
 def _(spark, sf):
-    train, _test = split_and_filled(spark, sf)
-    found = models.grid_search(train, INPUTS, ["id"], num_trees=[4, 8], max_depth=[3, 5])
-    return models.grid_scores(spark, found)
+    """Four parameter sets; three inputs tell the price, so one split cannot match five levels of them."""
+    train, _test = _known_split(spark, sf)
+    found = models.grid_search(train, INPUTS, ["id"], num_trees=[4, 8], max_depth=[1, 5])
+    scores = models.grid_scores(spark, found)
+    depth = F.get_json_object("params", "$.maxDepth").cast("int")
+    best = lambda d: F.max(F.when(depth == d, F.col("r2")))
+    return scores.agg(
+        F.count("*").alias("n_tried"), F.count_distinct("params").alias("n_params"),
+        (best(5) > best(1)).alias("deeper_is_better"), (F.max("r2") > 0.5).alias("best_beats_mean"),
+    )
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"SELECT CAST({len(INPUTS)} AS BIGINT) AS n_features, true AS sums_to_one, true AS telling_first",
+)
 def _(spark, sf):
-    train, _test = split_and_filled(spark, sf)
-    return models.feature_importance(spark, models.train_random_forest(train, INPUTS, num_trees=5))
+    """The inputs that make the price weigh more than all others together."""
+    train, _test = _known_split(spark, sf)
+    found = models.feature_importance(spark, models.train_random_forest(train, INPUTS, num_trees=10, max_depth=6))
+    told = F.sum(F.when(F.col("feature").isin("accommodates", "strictness", "month"), F.col("importance")).otherwise(0.0))
+    return found.agg(
+        F.count("*").alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"), (told > 0.5).alias("telling_first")
+    )
 
 
 def _stored_model(spark, train):
@@ -298,11 +346,11 @@ def _(spark, sf):
     return mine.join(theirs, "id").agg(F.count("*").alias("n_rows"), F.count_if(differs).alias("n_differ"))
 
 
-@query("score_batch", "SELECT o_orderkey AS id, true AS in_range FROM orders")
+@query("score_batch", BEATS_SQL)
 def _(spark, sf):
-    train, test = split_and_filled(spark, sf)
+    train, test = _known_split(spark, sf)
     _model, path = _stored_model(spark, train)
-    return _in_range(models.score_batch(train.unionByName(test), path), train)
+    return _beats_mean(models.score_batch(train.unionByName(test), path))
 
 
 @query("score_contract", "SELECT count(*) AS n_rows, true AS refused FROM orders")
@@ -339,19 +387,23 @@ def _(spark, sf):
     return models.score_custom(p, lambda batch: batch["p_size"] + 5, ["p_size"])
 
 
-@query("score_pre_post", "SELECT o_orderkey AS id, true AS label_fits FROM orders")
+@query("score_pre_post", "SELECT count(*) AS n_rows, true AS mostly_right, true AS both_labels FROM orders")
 def _(spark, sf):
-    train, test = split_and_filled(spark, sf)
+    """Labels of predictions agree with labels of the true price for most rows."""
+    train, test = _known_split(spark, sf)
     _model, path = _stored_model(spark, train)
-    label = fn.threshold_label("prediction", 200_000, "Expensive", "Not Expensive")
+    bound = 530
+    label = lambda c: fn.threshold_label(c, bound, "Expensive", "Not Expensive")
     out = models.score_pre_post(
         train.unionByName(test).withColumnRenamed("month", "order_month"),
         path,
         lambda df: df.withColumnRenamed("order_month", "month"),
-        lambda df: df.select("id", "prediction", label.alias("label")),
+        lambda df: df.select("id", label("price").alias("true_label"), label("prediction").alias("label")),
+    )
+    right = F.avg((F.col("label") == F.col("true_label")).cast("int"))
+    return out.agg(
+        F.count("label").alias("n_rows"), (right > 0.75).alias("mostly_right"), (F.count_distinct("label") == 2).alias("both_labels")
     )
-    fits = (F.col("prediction") > 200_000) == (F.col("label") == "Expensive")
-    return out.select("id", fits.alias("label_fits"))
 
 
 # --- run log, registry, monitoring -------------------------------------------------------------------
@@ -411,13 +463,19 @@ def _(spark, sf):
 @query(
     "data_version_log",
     """SELECT CAST(count(*) AS VARCHAR) AS train_rows, 'struct<o_orderkey:bigint,o_totalprice:double>' AS train_schema,
-              CAST(3 AS BIGINT) AS data_version FROM orders""",
+              CAST(count(DISTINCT year(CAST(o_orderdate AS DATE))) - 1 AS BIGINT) AS data_version FROM orders""",
 )
 def _(spark, sf):
-    path = fresh_dir(spark, "runs")
-    train = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    """The training table has a commit per year; the run logs the newest one's number."""
+    path, home = fresh_dir(spark, "runs"), fresh_dir(spark, "training")
+    orders = table(spark, sf, "orders")
+    years = sorted(r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect())
+    for batch, year in enumerate(years):
+        rows = orders.where(F.year("o_orderdate") == year).select("o_orderkey", "o_totalprice")
+        versions.commit(rows, home, "load", batch)
+    train = versions.read_as_of(spark, home)
     tags = runlog.data_tags(train, "train")
-    runlog.log_run(spark, path, "exp", "versions", {}, {}, tags, data_version=3)
+    runlog.log_run(spark, path, "exp", "versions", {}, {}, tags, data_version=versions.latest_version(spark, home))
     return runlog.read_runs(spark, path).select(
         F.col("tags")["train_rows"].alias("train_rows"), F.col("tags")["train_schema"].alias("train_schema"),
         "data_version",
@@ -521,19 +579,22 @@ def _(spark, sf):
 
 @query(
     "registry_latest",
-    "SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(max(event_id) AS INTEGER) AS version FROM events GROUP BY user_id",
+    """SELECT CAST(user_id AS VARCHAR) AS model_name, max(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS version FROM
+         (SELECT *, count(*) FILTER (WHERE event_type = 'error') OVER (PARTITION BY user_id, json_extract_string(props, '$.k')) AS e FROM events)
+       WHERE e = 0 GROUP BY user_id""",
 )
 def _(spark, sf):
-    """Every event registers a version of its user's model; the newest is a number, not a text."""
-    e = table(spark, sf, "events").select(
-        F.col("user_id").cast("string").alias("model_name"), F.col("event_id").cast("int").alias("version")
-    )
-    return ordering.latest_by_key(e, ["model_name"], ["version"])
+    """The newest living version of every model: one with an error event is deleted."""
+    kind = F.when(F.col("event_type") == "error", "delete").otherwise("register")
+    return registry.latest_versions(_event_registry(spark, sf, kind, F.expr(K)))
 
 
-@query("monitor_compare")
+@query("monitor_compare", "SELECT true AS both_compared, true AS larger_is_better")
 def _(spark, sf):
-    train, test = split_and_filled(spark, sf)
-    small = models.train_random_forest(train, INPUTS, num_trees=3, max_depth=2)
-    large = models.train_random_forest(train, INPUTS, num_trees=8, max_depth=5)
-    return monitor.compare_models(test, {"production": small, "staged": large})
+    """A deep forest explains a price that three inputs make better than single splits do."""
+    train, test = _known_split(spark, sf)
+    small = models.train_random_forest(train, INPUTS, num_trees=3, max_depth=1)
+    large = models.train_random_forest(train, INPUTS, num_trees=8, max_depth=6)
+    out = monitor.compare_models(test, {"production": small, "staged": large})
+    error = lambda m: F.max(F.when(F.col("model") == m, F.col("mse")))
+    return out.agg((F.count_distinct("model") == 2).alias("both_compared"), (error("staged") < error("production")).alias("larger_is_better"))

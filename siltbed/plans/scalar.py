@@ -24,14 +24,15 @@ def _(spark, sf):
     return table(spark, sf, "region").select(F.col("r_name"))
 
 
-@query("fn_now", "SELECT event_id, true AS is_past, true AS same_day FROM events")
+@query(
+    "fn_now",
+    "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_instants, true AS after_all FROM events",
+)
 def _(spark, sf):
-    now = F.current_timestamp()
-    return table(spark, sf, "events").select(
-        "event_id",
-        (F.col("ts").cast("timestamp") < now).alias("is_past"),
-        (now.cast("date") == F.current_date()).alias("same_day"),
-    )
+    """One instant for all rows of a query, later than every event."""
+    e = table(spark, sf, "events").select("ts", F.current_timestamp().alias("now"))
+    after = F.min(F.col("now").cast("timestamp_ntz") > F.col("ts"))
+    return e.agg(F.count("*").alias("n_rows"), F.count_distinct("now").alias("n_instants"), after.alias("after_all"))
 
 
 @query("fn_from_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
@@ -167,23 +168,48 @@ def _(spark, sf):
     )
 
 
-@query("fn_hash")
+@query(
+    "fn_hash",
+    "SELECT count(DISTINCT p_name) AS n_names, CAST(0 AS BIGINT) AS n_with_two, true AS told_apart FROM part",
+)
 def _(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", fn.stable_hash("p_name").alias("h"))
+    """Equal names have one hash, and nearly all different names have different ones."""
+    h = table(spark, sf, "part").select("p_name", fn.stable_hash("p_name").alias("h"))
+    per_name = h.groupBy("p_name").agg(F.count_distinct("h").alias("n"), F.min("h").alias("h"))
+    return per_name.agg(
+        F.count("*").alias("n_names"),
+        F.count_if(F.col("n") > 1).alias("n_with_two"),
+        (F.count_distinct("h") >= 0.999 * F.count("*")).alias("told_apart"),
+    )
 
 
-@query("fn_rand", "SELECT event_id, true AS in_range FROM events")
+@query(
+    "fn_rand",
+    "SELECT count(*) AS n_rows, true AS in_range, true AS differ, true AS centred FROM events",
+)
 def _(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.rand(42).between(0, 1).alias("in_range"))
+    r = table(spark, sf, "events").select(F.rand(42).alias("r"))
+    return r.agg(
+        F.count("*").alias("n_rows"),
+        F.min(F.col("r").between(0, 1)).alias("in_range"),
+        (F.count_distinct("r") > 0.99 * F.count("*")).alias("differ"),
+        F.avg("r").between(0.45, 0.55).alias("centred"),
+    )
 
 
-@query("null_inject", "SELECT event_id, true AS null_or_same FROM events")
+@query(
+    "null_inject",
+    "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed, true AS a_fifth FROM events",
+)
 def _(spark, sf):
-    e = table(spark, sf, "events").select(
-        "event_id", "value", fn.null_share("value", 0.2, 42).alias("holed")
+    """A fifth of the values becomes NULL, the others stay as they are."""
+    e = table(spark, sf, "events").select("value", fn.null_share("value", 0.2, 42).alias("holed"))
+    gone = F.avg(F.col("holed").isNull().cast("int")) - F.avg(F.col("value").isNull().cast("int"))
+    return e.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("holed") != F.col("value")).alias("n_changed"),
+        gone.between(0.15, 0.25).alias("a_fifth"),
     )
-    kept = F.col("holed").isNull() | (F.col("holed") == F.col("value"))
-    return e.select("event_id", kept.alias("null_or_same"))
 
 
 @query(

@@ -187,7 +187,7 @@ MOVES_SQL = """SELECT l_suppkey AS address, l_partkey AS token_address, l_quanti
 )
 def _(spark, sf):
     out = eda.balance_on(transfers(spark, sf, sender=True), "1998-01-01")
-    return out.withColumn("balance", F.col("balance").cast("bigint"))
+    return out.select("address", "token_address", F.col("balance").cast("bigint").alias("balance"))
 
 
 DAILY_SQL = f"""SELECT address, token_address, d AS date, change,
@@ -201,7 +201,7 @@ DAILY_SQL = f"""SELECT address, token_address, d AS date, change,
 )
 def _(spark, sf):
     out = eda.balance_history(transfers(spark, sf, sender=True))
-    return out.withColumns({c: F.col(c).cast("bigint") for c in ["change", "balance"]})
+    return out.select("address", "token_address", "date", *(F.col(c).cast("bigint").alias(c) for c in ["change", "balance"]))
 
 
 @query("eda_tx_over_time", "SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1")
@@ -241,22 +241,22 @@ def _(spark, sf):
 @query(
     "price_enrich",
     f"""WITH p AS (SELECT l_partkey AS token_address, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price_usd
-                   FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2)
-        SELECT b.address, b.token_address, b.date, CAST(b.balance AS BIGINT) AS balance, round(b.balance * p.price_usd, 2) AS usd
-        FROM ({DAILY_SQL}) b LEFT JOIN p ON b.token_address = p.token_address AND b.date = p.date""",
+                   FROM lineitem GROUP BY 1, 2)
+        SELECT b.address, b.token_address, b.date, CAST(b.balance AS BIGINT) AS balance,
+               round(b.balance / pow(10.0::DOUBLE, p_size % 4) * p.price_usd, 6) AS usd
+        FROM ({DAILY_SQL}) b LEFT JOIN p ON b.token_address = p.token_address AND b.date = p.date
+        LEFT JOIN part ON p_partkey = b.token_address""",
 )
 def _(spark, sf):
-    """The price feed knows only some tokens and days, so other balances have no worth."""
-    feed = (
-        table(spark, sf, "lineitem")
-        .where("l_returnflag = 'A'")
-        .groupBy(F.col("l_partkey").alias("token_address"), F.col("l_shipdate").cast("date").alias("date"))
-        .agg(F.max("l_extendedprice").alias("price_usd"))
+    """Line items are the price feed, several to a token and day; a part's size gives its decimals."""
+    feed = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("token_address"), F.col("l_shipdate").cast("date").alias("date"), F.col("l_extendedprice").alias("price_usd")
     )
-    out = eda.with_price(eda.balance_history(transfers(spark, sf, sender=True)), feed)
+    tokens = table(spark, sf, "part").select(F.col("p_partkey").alias("address"), (F.col("p_size") % 4).alias("decimals"))
+    out = eda.with_price(eda.balance_history(transfers(spark, sf, sender=True)), feed, tokens)
     return out.select(
         "address", "token_address", "date", F.col("balance").cast("bigint").alias("balance"),
-        F.round("usd", 2).alias("usd"),
+        r6("usd").alias("usd"),
     )
 
 
@@ -295,11 +295,22 @@ def _(spark, sf):
     return out.withColumn("score", r6("score"))
 
 
-@query("rec_als")
+PROPERTY_SQL = f"""WITH h AS ({PAIRS_SQL})
+    SELECT least(10, count(DISTINCT token) FILTER (WHERE token NOT IN (SELECT token FROM h WHERE wallet = {WALLET}))) AS n_tokens,
+           CAST(0 AS BIGINT) AS n_held FROM h"""
+
+
+def _properties(best, pairs, wallet):
+    """A recommendation: as many different tokens as asked for, none that the wallet holds."""
+    held = pairs.where(F.col("wallet") == F.lit(wallet)).select("token", F.lit(1).alias("held"))
+    return best.join(held, "token", "left").agg(F.count_distinct("token").alias("n_tokens"), F.count("held").alias("n_held"))
+
+
+@query("rec_als", PROPERTY_SQL)
 def _(spark, sf):
     ids = id_pairs(spark, sf)
     model = recommend.fit_als(ids.select("wallet_id", "token_id", "n_transfers"))
-    return recommend.recommend_als(model, ids, WALLET, 10)
+    return _properties(recommend.recommend_als(model, ids, WALLET, 10), ids, WALLET)
 
 
 @query(
@@ -320,16 +331,23 @@ def _(spark, sf):
     return out.withColumns({"precision": r6("precision"), "recall": r6("recall")})
 
 
-@query("rec_als_compare")
+@query(
+    "rec_als_compare",
+    f"""WITH h AS ({PAIRS_SQL}), n AS (SELECT count(*) AS n_pairs FROM h WHERE (31 * wallet + token) % 5 = 0)
+        SELECT params, n_pairs, true AS a_share FROM n, (VALUES ('{{''rank'': 4}}'), ('{{''rank'': 8, ''reg'': 0.01}}')) p(params)""",
+)
 def _(spark, sf):
+    """Two parameter sets, each asked to rank every held-out pair."""
     ids = id_pairs(spark, sf)
-    held_out = F.pmod(F.xxhash64("wallet", "token"), F.lit(5)) == 0
-    return recommend.compare_als(
+    held_out = F.pmod(31 * F.col("wallet") + F.col("token"), F.lit(5)) == 0
+    out = recommend.compare_als(
         ids.where(~held_out), ids.where(held_out), [{"rank": 4}, {"rank": 8, "reg": 0.01}]
     )
+    share = F.col("hit_rate").between(0.01, 1) & (F.col("n_unknown") < F.col("n_pairs"))
+    return out.select("params", "n_pairs", share.alias("a_share"))
 
 
-@query("token_project")
+@query("token_project", PROPERTY_SQL)
 def _(spark, sf):
     """Ingest, train, promote, recommend over a bronze copy of the purchases."""
     home = fresh_dir(spark, "project")
@@ -342,6 +360,8 @@ def _(spark, sf):
         F.col("date").cast("timestamp").alias("block_timestamp"),
     )
     bronze.write.parquet(f"{home}/bronze")
-    return project.run_project(
+    best = project.run_project(
         spark, f"{home}/out", f"{home}/bronze", bronze.schema, str(WALLET), grid=[{"rank": 4}, {"rank": 8}]
     )
+    pairs = spark.read.parquet(f"{home}/out/pairs").select("wallet", "token")
+    return _properties(best, pairs, str(WALLET))

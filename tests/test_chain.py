@@ -32,8 +32,8 @@ def test_transfer_questions(spark):
     # single (token, receiver) transfers: A to x, B to y, B to z
     assert eda.new_address_fraction(t).first()[0] == pytest.approx(3 / 5)
     assert eda.max_transfers_in_transaction(t).first()[0] == 2
-    symbols = readers.rows(spark, [("A", "AAA")], "address STRING, symbol STRING")
-    top = [tuple(r) for r in eda.top_tokens(t, symbols, 2).orderBy(F.desc("n_transfers")).collect()]
+    symbols = readers.rows(spark, [("A", "AAA"), ("A", "AAB"), ("A", "AAA")], "address STRING, symbol STRING")
+    top = [tuple(r) for r in eda.top_tokens(t, symbols, 2).collect()]
     assert top == [("A", "AAA", 3), ("B", None, 2)]
 
 
@@ -45,12 +45,38 @@ def test_balances(spark):
     assert {r["token_address"]: int(r["balance"]) for r in only} == {"A": 50, "B": 7}
     hist = eda.balance_history(t).where("address = 'x'").orderBy("date").collect()
     assert [int(r["balance"]) for r in hist] == [100, 50]
-    prices = readers.rows(spark, [("A", "2020-01-02", 2.0)], "token_address STRING, date STRING, price_usd DOUBLE")
-    worth = eda.with_price(eda.balance_history(t), prices.withColumn("date", F.col("date").cast("date")))
+    prices = readers.rows(spark, [("A", "2020-01-02", 2.0), ("A", "2020-01-02", 1.0)], "token_address STRING, date STRING, price_usd DOUBLE")
+    prices = prices.withColumn("date", F.col("date").cast("date"))
+    listed = readers.rows(spark, [("A", 0), ("A", None), ("B", 3)], "address STRING, decimals INT")
+    worth = eda.with_price(eda.balance_history(t), prices, listed)
+    assert worth.count() == eda.balance_history(t).count()
     got = {(r["address"], r["token_address"], str(r["date"])): r["usd"] for r in worth.collect()}
     assert got["x", "A", "2020-01-02"] == 100.0 and got["y", "B", "2020-01-03"] is None
 
 
+def test_worth_counts_whole_tokens(spark):
+    held = readers.rows(spark, [("x", "T", "2020-01-01", Decimal(15 * 10**17))], "address STRING, token_address STRING, date STRING, balance DECIMAL(38,0)")
+    price = readers.rows(spark, [("T", "2020-01-01", 2.0)], "token_address STRING, date STRING, price_usd DOUBLE")
+    assert eda.with_price(held, price, readers.rows(spark, [("T", 18)], "address STRING, decimals INT")).first()["usd"] == pytest.approx(3.0)
+
+
+@pytest.mark.parametrize("digits", [1, 18, 19, 35, 36, 37, 38])
+def test_long_amounts_cancel(spark, digits):
+    """What one side gains the other loses, to the last digit, also where a sum passes 38 digits."""
+    amount = Decimal("12345678901234567890123456789012345678"[:digits])
+    nines = Decimal("9" * digits)
+    data = [("T", "a", "b", amount), ("T", "b", "c", nines), ("T", "a", "c", nines), ("T", "a", "c", nines)]
+    t = readers.rows(spark, data, "token_address STRING, from_address STRING, to_address STRING, value DECIMAL(38,0)")
+    t = t.withColumn("date", F.lit("2020-01-01").cast("date"))
+    whole = 10**18
+    got = {r["address"]: int(r["whole"]) * whole + int(r["rest"]) for r in eda.balance_on(t, "2020-01-02").collect()}
+    a, n = int(amount), int(nines)
+    assert got == {"a": -a - 2 * n, "b": a - n, "c": 3 * n} and sum(got.values()) == 0
+    small = {r["address"]: r["balance"] for r in eda.balance_on(t, "2020-01-02").collect()}
+    assert all(small[k] is None if abs(v) >= 10**38 else int(small[k]) == v for k, v in got.items())
+    assert {r["address"]: r["balance"] for r in eda.balance_history(t).collect()} == small
+
+
 def test_ether_volume_past_38_digits_of_wei(spark):
     huge = Decimal(9 * 10**37)
     df = spark.createDataFrame([(huge,), (huge,), (Decimal(ETHER + ETHER // 2),)], "value DECIMAL(38,0)")
@@ -83,7 +109,12 @@ def test_silver_transfers_types_and_migration(spark, home):
     got = etl.silver_transfers(bronze).collect()
     assert got[0]["token_address"] == "0xab" and got[0]["value"] == Decimal(5 * 10**30)
     assert got[0]["from_address"] is None and str(got[0]["p_month"]) == "2020-01-01"
-    assert got[1]["value"] is None
+    assert got[1]["value"] is None and got[1]["unread_value"] == "1.5x" and got[0]["unread_value"] is None
+    odd = ["100.5", "-3", "00042", "0", "9" * 38, "9" * 39, "1e5", " 7 ", None]
+    amounts = bronze.limit(1).select("token_address", "to_address", F.explode(F.array(*(F.lit(x) for x in odd))).alias("value"), "block_timestamp")
+    read = etl.silver_transfers(amounts)
+    assert sorted(int(r["value"]) for r in read.collect() if r["value"] is not None) == [0, 7, 42, 10**38 - 1]
+    assert etl.unread(read).first()[0] == 4
     with pytest.raises(SchemaMismatch):
         etl.silver_transfers(bronze.withColumn("value", F.array("value")))
 
@@ -139,6 +170,28 @@ def test_als_recommends_unheld_tokens(spark):
     model = recommend.fit_als(ids, rank=2, max_iter=3)
     got = [r["token"] for r in recommend.recommend_als(model, ids, "me", 3).collect()]
     assert set(got) <= {"C", "D", "E"} and len(got) == 3
+    # the product of the factors is the model's own prediction
+    mine = ids.where("wallet = 'me'").first()["wallet_id"]
+    asked = ids.select("token", "token_id").distinct().withColumn("wallet_id", F.lit(mine))
+    own = {r["token"]: r["prediction"] for r in model.transform(asked).collect()}
+    for r in recommend.recommend_als(model, ids, "me", 3).collect():
+        assert r["score"] == pytest.approx(own[r["token"]], abs=1e-5)
+
+
+def test_hit_rate_counts_unknown_pairs_apart(spark):
+    """Two groups with tokens of their own: a held-out token of the own group is ranked high."""
+    data = [(f"w{w}", f"t{t}") for w in range(20) for t in range(40) if t % 2 == w % 2 and (w * 7 + t) % 9]
+    rows = readers.rows(spark, data, "wallet STRING, token STRING").withColumn("n_transfers", F.lit(1))
+    ids = recommend.with_integer_ids(rows)
+    model = recommend.fit_als(ids, rank=4, max_iter=6)
+    held = [(f"w{w}", f"t{t}") for w in range(20) for t in range(40) if t % 2 == w % 2 and not (w * 7 + t) % 9]
+    strange = [("nobody", "t1"), ("w1", "nothing"), (None, "t1")]
+    good = recommend.hit_rate(model, ids, readers.rows(spark, held, "wallet STRING, token STRING"), k=15, against=30).first()
+    assert (good["n_pairs"], good["n_unknown"]) == (len(held), 0) and good["hit_rate"] > 0.6
+    mixed = recommend.hit_rate(model, ids, readers.rows(spark, held + strange, "wallet STRING, token STRING"), k=15, against=30).first()
+    assert (mixed["n_pairs"], mixed["n_unknown"]) == (len(held) + 3, 3)
+    none = recommend.hit_rate(model, ids, readers.rows(spark, strange, "wallet STRING, token STRING")).first()
+    assert (none["n_unknown"], none["hit_rate"]) == (3, 0.0)
 
 
 def test_project_runs_again(spark, home):
@@ -166,6 +219,8 @@ def test_project_runs_again(spark, home):
     assert registry.latest(project.MODEL) == 2
     stages = sorted(r["stage"] for r in registry.versions(project.MODEL).collect())
     assert stages in (["Archived", "Production"], ["Production", "Staging"])
+    stored = spark.read.parquet(f"{out.home}/explore/transfers_per_day")
+    assert stored.agg(F.sum("n")).first()[0] == 600
     answers = project.explore(held)
     assert answers["max_transfers"].first()[0] == 1
     assert answers["transfers_per_day"].agg(F.sum("n")).first()[0] == 600

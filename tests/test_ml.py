@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from siltbed.ml import features, models, monitor, registry, runlog, workflow
@@ -35,15 +36,37 @@ def ready(spark):
 
 def test_prepare_listings(spark):
     df = prepared(spark)
-    assert all(t in ("double", "int", "bigint") for _, t in df.dtypes)
-    assert {"room_Entire home", "room_Private room", "cancellation_policy_strictness"} <= set(df.columns)
-    assert df.where("`room_Entire home` + `room_Private room` <> 1").count() == 0
+    assert {t for _, t in df.dtypes} <= {"double", "int", "bigint", "vector"}
+    assert {"room", "cancellation_policy_strictness"} <= set(df.columns) and "room_type" not in df.columns
+    rooms = {(r["id"] % 2, tuple(r["room"])) for r in df.select("id", vector_to_array("room").alias("room")).collect()}
+    assert rooms == {(0, (1.0, 0.0, 0.0)), (1, (0.0, 1.0, 0.0))}
     assert df.where("instant_bookable_ = 1").count() == 100
 
 
-def test_one_hot_refuses_too_many_levels(spark):
-    with pytest.raises(ValueError, match="more than 5"):
-        features.levels(spark.range(10), "id", 5)
+def test_one_hot_of_any_number_of_levels(spark):
+    df = spark.range(5000).select("id", F.format_string("level %05d", "id").alias("c"))
+    df = df.unionAll(df.limit(1).select("id", F.lit(None).cast("string")))
+    got = features.one_hot_sparse(df, {"c": "v"}).where("id > 4990 or id = 0").orderBy("id").collect()
+    assert {(r["id"], r["v"].size, tuple(r["v"].indices)) for r in got if r["id"]} == {(i, 5001, (i,)) for i in range(4991, 5000)}
+    assert sorted(tuple(r["v"].indices) for r in got if not r["id"]) == [(0,), (5000,)]
+    wide = features.one_hot(df, "c", "c", ["level 00000", "level 00007"])
+    assert wide.agg(F.sum("`c_level 00000`"), F.sum("`c_level 00007`")).first()[:] == (1, 1)
+
+
+def test_medians_of_whole_numbers_and_of_nothing(spark):
+    df = readers.rows(spark, [(1, None), (2, None), (None, None)], "n INT, nothing DOUBLE")
+    filled = features.impute(df, features.medians(df, ["n"]))
+    assert sorted(r["n"] for r in filled.collect()) == [1.0, 1.5, 2.0]
+    with pytest.raises(ValueError, match="nothing"):
+        features.medians(df, ["n", "nothing"])
+
+
+def test_too_deep_a_tree_raises(spark):
+    with pytest.raises(Exception, match="maxDepth|depth"):
+        models.train_random_forest(ready(spark), INPUTS, num_trees=1, max_depth=45)
+
+
+def test_unmapped_policies(spark):
     got = features.unmapped(readers.rows(spark, [("flexible",), ("odd",), (None,)], "p STRING"), "p", features.CANCELLATION_RANKS)
     assert got.first()[0] == 1
 
@@ -149,7 +172,7 @@ def test_registry_life_cycle(spark, home):
         reg.delete_model("m")
     reg.transition("m", 2, "Archived")
     reg.delete_model("m")
-    assert reg.versions("m").isEmpty()
+    assert reg.versions("m").isEmpty() and reg.latest("m") is None
     assert reg.register("m", r1) == 3
 
 

@@ -33,7 +33,7 @@ def test_scans_are_narrow(spark, name, pushed, columns):
 @pytest.mark.parametrize(
     "name",
     ["interpolate_neighbors", "gold_stats", "eda_balance_history", "read_as_of", "best_run",
-     "missing_report", "df_equal", "merge_update", "merge_insert_new", "flagship_gold", "rec_interactions"],
+     "missing_report", "df_equal", "merge_update", "merge_insert_new", "flagship_gold", "rec_interactions", "join_broadcast"],
 )
 def test_no_single_task_and_no_cross_join(spark, name):
     text = plan(spark, name)
@@ -42,6 +42,17 @@ def test_no_single_task_and_no_cross_join(spark, name):
     assert "BroadcastNestedLoopJoin" not in text
 
 
+def test_recommendations_join_on_real_keys(spark):
+    from siltbed.chain import recommend
+    from siltbed.plans.tokens import WALLET, id_pairs
+
+    ids = id_pairs(spark, SF_DIR)
+    model = recommend.fit_als(ids.select("wallet_id", "token_id", "n_transfers"), rank=2, max_iter=1)
+    for df in (recommend.recommend_als(model, ids, WALLET, 10), recommend.hit_rate(model, ids, ids)):
+        text = plan_text(df, "formatted")
+        assert "NestedLoop" not in text and "CartesianProduct" not in text
+
+
 def test_filter_stays_above_the_window(spark):
     """Broken rows are chosen after their neighbours are known."""
     text = plan(spark, "interpolate_neighbors", "simple")
