@@ -125,12 +125,14 @@ def watch(spark: SparkSession, project: Project, pairs: DataFrame, staged: int,
     return monitor.promote_if_better(registry, MODEL, staged, production, metrics, "miss_rate", min_gain)
 
 
-def recommend_tokens(spark: SparkSession, project: Project, wallet: object, k: int = 10) -> DataFrame:
-    """The production model's tokens for a wallet, with links."""
+def recommend_tokens(
+    spark: SparkSession, project: Project, wallet: object, pairs: DataFrame, k: int = 10
+) -> DataFrame:
+    """The production model's tokens for a wallet, with links; none that it holds by ``pairs``."""
     runs = runlog.read_runs(spark, project.runs)
     path = Registry(spark, project.registry).resolve(f"models:/{MODEL}/Production", runs)
     model = ALSModel.load(path)
-    best = recommend.recommend_als(model, stored_ids(spark, path), wallet, k)
+    best = recommend.recommend_als(model, stored_ids(spark, path), wallet, k, pairs)
     link = F.concat(F.lit(recommend.TOKEN_PAGE), F.col("token").cast("string"))
     return best.withColumn("link", link)
 
@@ -156,4 +158,4 @@ def run_project(
     pairs = spark.read.parquet(pairs_path)
     staged = train(spark, project, pairs, grid)
     watch(spark, project, pairs, staged)
-    return recommend_tokens(spark, project, wallet, k)
+    return recommend_tokens(spark, project, wallet, pairs, k)
