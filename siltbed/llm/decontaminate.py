@@ -12,7 +12,7 @@ A passage is a leak if its distance is at most ``MAX_SHARE`` of the item's chara
 read in blocks of at most ``BLOCK_ITEMS`` items, the bound of what is sent to the tasks; documents are
 scanned once per block, in place, without a shuffle.
 
-Items too short for any walk (about eight words) are found by their exact words.
+Items too short for any walk (about a dozen words) are found by their exact words.
 
 Defined cases: null texts count as empty and match nothing, nor do items without a word; repeated items
 and repeated documents give a row each; a null doc_id is kept as null; ties between places take the
@@ -34,7 +34,7 @@ from siltbed.llm.neardup import mix
 
 SPAN = 8
 #: Walks, steps of each, samples of each walk, places in a sample (besides the first step).
-WALKS, STEPS, SAMPLES, PLACES = 4, 24, 3, 4
+WALKS, STEPS, SAMPLES, PLACES = 4, 24, 3, 6
 MAX_SHARE = 0.2
 BLOCK_ITEMS = 20_000
 #: Words on either side of the expected place that the exact comparison may use.
@@ -43,7 +43,7 @@ SLACK = 6
 _RNG = np.random.default_rng(8)
 _BITS = _RNG.integers(1, 1 << 63, (WALKS, STEPS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Later samples reach less far, so that anchors near an item's end are indexed too.
-_REACH = [STEPS, STEPS * 2 // 3, STEPS // 3]
+_REACH = [STEPS, STEPS * 2 // 3, STEPS // 2]
 _PLACES = [[np.sort(1 + _RNG.choice(_REACH[s] - 1, PLACES, replace=False)) for s in range(SAMPLES)] for _ in range(WALKS)]
 
 
@@ -52,7 +52,16 @@ def words_of(text: str) -> list[str]:
 
 
 def hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def _extremes(x: np.ndarray, best) -> np.ndarray:
+    """The least or greatest of every ``SPAN`` neighbours; SPAN is a power of two."""
+    step = 1
+    while step < SPAN:
+        x = best(x[:-step], x[step:])
+        step *= 2
+    return x
 
 
 def anchors(h: np.ndarray) -> np.ndarray:
@@ -61,9 +70,9 @@ def anchors(h: np.ndarray) -> np.ndarray:
     order = mix(h)
     if n <= SPAN:
         return np.flatnonzero(order == order.min()) if n else np.zeros(0, dtype=np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(order, SPAN).min(axis=1)
-    padded = np.concatenate([np.zeros(SPAN - 1, np.uint64), least, np.zeros(SPAN - 1, np.uint64)])
-    return np.flatnonzero(np.lib.stride_tricks.sliding_window_view(padded, SPAN).max(axis=1)[:n] == order)
+    edge = np.zeros(SPAN - 1, np.uint64)
+    least = np.concatenate([edge, _extremes(order, np.minimum), edge])
+    return np.flatnonzero(_extremes(least, np.maximum)[:n] == order)
 
 
 def walk_keys(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +152,11 @@ class Index:
             return found
         keys, _ = walk_keys(h, starts)
         rows, columns = np.nonzero(self._in(self.known, keys))
-        for k, at in zip(keys[rows, columns], starts[columns]):
-            a, b = np.searchsorted(self.keys, k, "left"), np.searchsorted(self.keys, k, "right")
-            found.update((int(at - o), int(n)) for o, n in zip(self.offset[a:b], self.owner[a:b]))
+        met = keys[rows, columns]
+        first, last = (np.searchsorted(self.keys, met, side) for side in ("left", "right"))
+        for k in np.flatnonzero(last > first):
+            at, of = starts[columns[k]], slice(first[k], last[k])
+            found.update((int(at - o), int(n)) for o, n in zip(self.offset[of], self.owner[of]))
         return found
 
     def leaks(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
