@@ -92,7 +92,7 @@ def test_odd_rows_pass_every_stage(spark, odd, empty, odd_rows, sf, stage):
     out = f(spark, odd, sf)
     if name != "packing":
         assert out.columns == odd.columns
-        assert out.count() == (len(odd_rows) - 4 if name == "near_dedup" else len(odd_rows))
+        assert out.count() == (len(odd_rows) - 3 if name == "near_dedup" else len(odd_rows))
 
 
 def test_one_of_each_keeps_one_of_equal_rows(spark):
@@ -104,4 +104,4 @@ def test_one_of_each_keeps_one_of_equal_rows(spark):
 
 def test_redaction_survives_overlaps(spark):
     df = spark.createDataFrame([(1, "mail 4111 1111 1111 1111@x.org now +1 555 123 4567.")], "doc_id long, text string")
-    assert pii.redact(df, None).first().text == "mail [CARD]@x.org now [PHONE]." or "[EMAIL]" in pii.redact(df, None).first().text
+    assert pii.redact(df, None).first().text == "mail [CARD] now [PHONE]."
