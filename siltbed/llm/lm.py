@@ -131,7 +131,17 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    frequent = [(bytes(r.word), r.c) for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
+    # Sixteen steps to a doubling: at most a thousand sizes, of which the largest are taken whole as long as
+    # they hold no more than FREQUENT words.
+    size = F.floor(F.log2("c") * 16)
+    least, held = float("inf"), 0
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.size):
+        held += r.n
+        if held > FREQUENT:
+            break
+        least = r.size
+    taken = counts.where((size >= least) | (F.length("word") == 0)).collect()
+    frequent = sorted(((bytes(r.word), r.c) for r in taken), key=lambda x: (-x[1], x[0]))
     own = {w for w, _ in [x for x in frequent if x[0]][:OWN]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +233,12 @@ def log_table(p: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """The averaged weights after both trainings; ``texts`` holds the training texts."""
-    sample = texts.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
+    """The averaged weights after both trainings; ``texts`` holds the ids and texts to train on."""
+    marks = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    cut = int(min(1.0, SAMPLE / max(vocabulary.ends, 1)) * (1 << 30))
+    some = texts.where(marks < cut).limit(2 * SAMPLE).select("text").collect()  # about SAMPLE of them
+    sample = sorted(some, key=lambda r: r.text)
+    texts = texts.select("text")
     q = noise_of(vocabulary)
     p = initial(q)
     fit(p, contexts([vocabulary.classes(words_of(r.text))[1] for r in sample]), q, RATE, PASSES, 1)
@@ -314,8 +328,8 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     rows of ``docs`` for which ``held_out`` is false."""
     importable(docs.sparkSession)
     whole = text_of(docs).withColumn("held_out", held_out)
-    texts = whole.where(~F.col("held_out")).select("text")
-    counts = stored(word_counts(texts), "word-counts")
+    texts = whole.where(~F.col("held_out")).select("doc_id", "text")
+    counts = stored(word_counts(texts.select("text")), "word-counts")
     v = vocabulary(counts)
     p = train(texts, v)
     parts = stored(parts_of(whole, v, p).withColumn("row", F.monotonically_increasing_id()), "scores")

@@ -138,8 +138,8 @@ def test_lm_of_odd_rows(odd, odd_rows, empty):
 
 
 def test_probabilities_add_up(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text")
-    counts = lm.word_counts(docs)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    counts = lm.word_counts(docs.select("text"))
     v = lm.vocabulary(counts)
     p = lm.train(docs.limit(50), v)
     table = lm.log_table(p)
