@@ -13,12 +13,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, allowed: Co
     """At most about ``most`` texts with their 0/1 label, from the label rows for which ``allowed`` holds.
 
     The rows are chosen by a hash of the id, so a second run takes the same. Labels that are null or
-    contradict each other for one id are left out. Only the chosen ids, no more than ``most``, are sent to
-    the tasks that read the documents.
+    contradict each other for one id are left out. Only the chosen ids, about ``most`` and never more than
+    twice that, are sent to the tasks that read the documents.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("y")).where(allowed & F.col("y").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z and doc_id is not null").select("doc_id", "y")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    cut = int(min(1.0, most / max(known.count(), 1)) * (1 << 30))
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut).limit(2 * most)
     rows = text_of(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
     # An id that comes many times would bring more rows than asked for: one text each.
     first: dict[int, tuple[str, int]] = {}
