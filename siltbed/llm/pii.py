@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from siltbed.llm.common import documents, stored, text_of
 
-#: Proposals that are fitted, and the trees.
-SAMPLE, TREES, DEPTH = 6000, 10, 4
+#: Proposals that are fitted, documents they come from, and the trees.
+SAMPLE, SAMPLE_DOCUMENTS, TREES, DEPTH = 6000, 40_000, 10, 4
 PRECISION = 0.98
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -179,8 +179,12 @@ def margin(model, s: Column) -> Column:
 
 
 def learn(docs: DataFrame) -> tuple[object, list[float]] | None:
-    """The trees, and each generator's least margin; None where there is nothing to learn from."""
-    proposed = with_proposals(with_base(text_of(docs))).select("doc_id", F.explode("_proposed").alias("p"))
+    """The trees, and each generator's least margin; None where there is nothing to learn from. The
+    proposals come from documents chosen by a hash, about ``SAMPLE_DOCUMENTS`` of them."""
+    whole = text_of(docs)
+    cut = int(min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1)) * (1 << 30))
+    some = whole.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < cut)
+    proposed = with_proposals(with_base(some)).select("doc_id", F.explode("_proposed").alias("p"))
     order = F.xxhash64("doc_id", "p.start", "p.end", "p.kind")
     rows = proposed.select(order.alias("order"), "p.kind", "p.known", "p.f.*").orderBy("order", "kind").limit(SAMPLE)
     rows = stored(rows.withColumn("y", F.col("known").cast("double")), "proposals")
