@@ -8,9 +8,14 @@ similarity. ``BANDS`` bands of ``ROWS`` coordinates make buckets; a pair at simi
 them with probability 2e-5, at 0.8 with 1e-7. Every link is confirmed on the full sets.
 
 Equal sets are one class from the start. Within a bucket no list of all pairs is made: first every class
-is compared with the smallest one of its bucket; only where a bucket still holds several components are
-classes of different components compared with each other. A pair left out joins nothing that is not
-joined already, so the components are those of all links among the candidates.
+is compared with the smallest one of its bucket. Where a bucket still holds several components (classes
+that share a passage, say, but little else), its classes are dealt into blocks of about ``BLOCK``, and
+blocks are held against each other by their sketches; only pairs of different components whose sketches
+agree in ``LIKELY`` of their coordinates go on to the exact comparison. At similarity 0.75 that is five
+standard deviations below what is expected (one pair in two million). First each class is compared with
+the one most like it, which joins nearly all that can be joined; then all likely pairs that are still of
+different components are compared. A pair of one component joins nothing that is not joined already, so
+the components are those of all links among the candidates.
 
 Defined cases: words are cut at ASCII white space after lower-casing A-Z; fewer than five words make one
 shingle of them all; a null or empty text has no shingles and is linked with nothing; rows with one
@@ -35,6 +40,8 @@ SHINGLE, ROWS, BANDS = 5, 5, 40
 T = ROWS * BANDS
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Classes of a block, and the share of equal coordinates from which a pair is compared exactly.
+BLOCK, LIKELY = 256, 0.6
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -114,7 +121,8 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = b.slice(at, 512)
             sets = [shingles(t) for t in part.column(1).to_pylist()]
             full = [s for s in sets if len(s)]
-            keys = iter(band_keys(sketches(full)).view(np.int64)) if full else iter(())
+            made = sketches(full) if full else np.zeros((0, T), np.uint64)
+            keys, short = iter(band_keys(made).view(np.int64)), iter((made & np.uint64(0xFFFF)).astype("<u2"))
             names = [_set_key(s) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -124,8 +132,9 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([a for a, _ in names], pa.int64()),
                     pa.array([x for _, x in names], pa.int64()),
                     pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([next(short).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "mark", "n_shingles", "a", "b", "bands"],
+                names=["doc_id", "mark", "n_shingles", "a", "b", "bands", "sketch"],
             )
 
 
@@ -154,6 +163,62 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
+def _likely(best: bool):
+    """Likely pairs of different components; rows come sorted by (band, i, j), at most two blocks each.
+    With ``best`` only the likeliest one of each row."""
+
+    def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        block, a, n, root = (np.array([r[k] for r in rows], dtype=np.int64) for k in (3, 4, 5, 6))
+        sketch = np.frombuffer(b"".join(r[7] for r in rows), dtype="<u2").reshape(len(rows), T)
+        whole = rows[0][1] == rows[0][2]
+        u, v = [], []
+        for r in range(len(rows)):
+            ok = (root != root[r]) & (100 * np.minimum(n, n[r]) >= PERCENT * np.maximum(n, n[r]))
+            if not whole:
+                ok &= block != block[r]
+            if not best:
+                ok[: r + 1] = False
+            at = np.flatnonzero(ok)
+            if len(at):
+                share = (sketch[at] == sketch[r]).mean(axis=1)
+                at, share = at[share >= LIKELY], share[share >= LIKELY]
+                if best and len(at):
+                    at = at[[np.lexsort((a[at], -share))[0]]]
+                u.extend(np.minimum(a[at], a[r]).tolist())
+                v.extend(np.maximum(a[at], a[r]).tolist())
+        return u, v
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for b in batches:
+            u, v = [], []
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if held and row[:3] != held[0][:3]:
+                    for out, found in zip((u, v), pairs(held)):
+                        out.extend(found)
+                    held = []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        if held:
+            u, v = pairs(held)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def _across(members: DataFrame, classes: DataFrame, roots: DataFrame, best: bool) -> DataFrame:
+    """Likely pairs (u, v) within the buckets that hold several components, block against block."""
+    placed = members.join(roots, members["a"] == roots["node"], "left").select("band", "a", "n", F.coalesce("root", "a").alias("root"))
+    torn = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    rest = placed.join(torn.select("band", blocks.alias("blocks")), "band").join(classes.select("a", "sketch"), "a")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("a", F.lit(1)), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    place = ["band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    rest = rest.select(*place, "block", "a", "n", "root", "sketch").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return rest.mapInArrow(_likely(best), "u long, v long").distinct()
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets are close enough."""
     second = pairs.join(texts.select(F.col("a").alias("v"), F.col("text").alias("t")), "v")
@@ -167,9 +232,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     id and text."""
     whole = text_of(docs)
     marked = whole.withColumn("mark", F.xxhash64("doc_id", "text"))
-    made = stored(marked.mapInArrow(_sketched, "doc_id long, mark long, n_shingles long, a long, b long, bands array<long>"), "sketches")
+    made = stored(marked.mapInArrow(_sketched, "doc_id long, mark long, n_shingles long, a long, b long, bands array<long>, sketch binary"), "sketches")
     classes = stored(
-        made.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes"
+        made.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+        "classes",
     )
     dealt = classes.select(F.explode("bands").alias("band"), "a", "n", "least")
     full = dealt.groupBy("band").agg(F.min("a").alias("hub"), F.max("a").alias("other")).where("hub <> other").select("band", "hub")
@@ -183,16 +249,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = stored(_links(star, texts), "links")
     roots = components(links)
 
-    # Buckets that still hold several components: compare across these.
-    placed = members.join(roots, members["a"] == roots["node"], "left").select("band", "a", "n", F.coalesce("root", "a").alias("root"))
-    torn = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
-    rest = stored(placed.join(torn, "band"), "rest")
-    left, right = rest.alias("l"), rest.alias("r")
-    close = (F.col("l.n") * 100 >= F.col("r.n") * PERCENT) & (F.col("r.n") * 100 >= F.col("l.n") * PERCENT)
-    across = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.a") < F.col("r.a")) & (F.col("l.root") != F.col("r.root")) & close)
-    across = across.select(F.col("l.a").alias("u"), F.col("r.a").alias("v")).distinct()
-    more = _links(across.join(star, ["u", "v"], "left_anti"), texts)
-    roots = components(links.unionAll(more))
+    for best in (True, False):
+        across = stored(_across(members, classes, roots, best), "across")
+        links = stored(links.unionAll(_links(across, texts)), "links")
+        roots = components(links)
 
     rooted = classes.select("a", "least").join(roots, classes["a"] == roots["node"], "left").select("a", "least", F.coalesce("root", "a").alias("component"))
     named = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
