@@ -1,18 +1,21 @@
-"""Benchmark decontamination: random-walk embedding, bit sampling, exact edit distance.
+"""Benchmark decontamination: runs of characters counted along diagonals, exact edit distance.
 
-Texts are read as words (lower case, white space folded). An anchor is a word whose hash is the least of
-some ``SPAN`` words in a row, so any ``SPAN`` unchanged words share one. From each anchor a random walk
-reads on: at step j it writes the word under its pointer and moves the pointer on or not by a random bit
-of (j, word). Two passages at a small edit distance walk in step for most of the way, so their walks agree
-in most places; sampling a few places gives a bucket key, repeated over several walks and samples. Walks
-of the benchmark items make an index; windows of the documents that meet it are held against the whole
-item, by characters, with the exact distance of the item to the best place in its window.
+Texts are read with lower case and single spaces. A passage at a small edit distance to an item shares many
+runs of ``q`` characters with it, and all of these lie near one diagonal: place in the text less place in
+the item. For each document the runs it shares with the items are counted in overlapping bands of diagonals;
+a band that holds enough of them is held against the whole item, by characters, with the exact distance of
+the item to the best place in the band and ``MAX_SHARE`` of the item's size on either side.
 
-A passage is a leak if its distance is at most ``MAX_SHARE`` of the item's characters. The benchmark is
-read in blocks of at most ``BLOCK_ITEMS`` items, the bound of what is sent to the tasks; documents are
-scanned once per block, in place, without a shuffle.
+An edit voids at most ``q`` runs, so items of fewer than ``LONG`` characters are found for certain: they are
+looked for by runs of two or three, and a band passes if it holds what so many edits must leave. Longer ones
+are looked for by runs of six in bands of ``1 << BAND`` to twice as many diagonals, which must hold
+``SHARED`` of the item's size. Evenly spread edits near ``MAX_SHARE`` can leave less than that; the README
+gives the measured recall. Nothing depends on which words an edit hits.
 
-Items too short for any walk (about a dozen words) are found by their exact words.
+A passage is a leak if its distance is at most ``MAX_SHARE`` of the item's characters; an item too short for
+any edit must stand there as whole words. The benchmark is read in blocks of at most ``BLOCK_ITEMS`` items,
+the bound of what is sent to the tasks; documents are scanned once per block, in place, without a shuffle.
+The work for a character of a document grows with the size of the benchmark.
 
 Defined cases: null texts count as empty and match nothing, nor do items without a word; repeated items
 and repeated documents give a row each; a null doc_id is kept as null; ties between places take the
@@ -25,189 +28,193 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import documents, importable, text_of
-from siltbed.llm.neardup import mix
 
-SPAN = 8
-#: Walks, steps of each, samples of each walk, places in a sample (besides the first step).
-WALKS, STEPS, SAMPLES, PLACES = 4, 24, 3, 6
 MAX_SHARE = 0.2
 BLOCK_ITEMS = 20_000
-#: Words on either side of the expected place that the exact comparison may use.
-SLACK = 6
-
-_RNG = np.random.default_rng(8)
-_BITS = _RNG.integers(1, 1 << 63, (WALKS, STEPS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Later samples reach less far, so that anchors near an item's end are indexed too.
-_REACH = [STEPS, STEPS * 2 // 3, STEPS // 2]
-_PLACES = [[np.sort(1 + _RNG.choice(_REACH[s] - 1, PLACES, replace=False)) for s in range(SAMPLES)] for _ in range(WALKS)]
-
-
-def words_of(text: str) -> list[str]:
-    return text.lower().split()
-
-
-def hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-
-
-def _extremes(x: np.ndarray, best) -> np.ndarray:
-    """The least or greatest of every ``SPAN`` neighbours; SPAN is a power of two."""
-    step = 1
-    while step < SPAN:
-        x = best(x[:-step], x[step:])
-        step *= 2
-    return x
-
-
-def anchors(h: np.ndarray) -> np.ndarray:
-    """Places of the least hash of any ``SPAN`` neighbours; of all words where there are fewer."""
-    n = len(h)
-    order = mix(h)
-    if n <= SPAN:
-        return np.flatnonzero(order == order.min()) if n else np.zeros(0, dtype=np.int64)
-    edge = np.zeros(SPAN - 1, np.uint64)
-    least = np.concatenate([edge, _extremes(order, np.minimum), edge])
-    return np.flatnonzero(_extremes(least, np.maximum)[:n] == order)
-
-
-def walk_keys(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and last words read, one row for each walk and sample, one column for each start. Past the end
-    of ``h`` a walk reads zeros."""
-    padded = np.concatenate([h, np.zeros(STEPS, np.uint64)])
-    keys = np.zeros((WALKS * SAMPLES, len(starts)), dtype=np.uint64)
-    last = np.zeros((WALKS * SAMPLES, len(starts)), dtype=np.int64)
-    for w in range(WALKS):
-        at = starts.astype(np.int64).copy()
-        for j in range(STEPS):
-            symbol = padded[at]
-            for s in range(SAMPLES):
-                if j == 0 or j in _PLACES[w][s]:
-                    k = w * SAMPLES + s
-                    keys[k] = mix(keys[k] + symbol + np.uint64(k + 1))
-                    last[k] = at
-            at += ((symbol * _BITS[w, j]) >> np.uint64(63)).astype(np.int64)
-    return keys, last
-
-
-def sequence_hashes(h: np.ndarray, size: int) -> np.ndarray:
-    """One hash for each run of ``size`` words."""
-    out = np.zeros(max(len(h) - size + 1, 0), dtype=np.uint64)
-    for j in range(size):
-        out = mix(out + h[j : j + len(out)])
+#: Items from this size on are looked for by runs of six: bits of a band's width, and the share of hits.
+LONG, BAND, SHARED = 80, 4, 0.09
+#: Characters of items that are looked for together, characters of text in one step, and hits held at once.
+GROUP, STEP, HELD = 1 << 16, 1 << 17, 1 << 21
+_HASH_BITS = 20
+
+
+def folded(text: str) -> str:
+    return " ".join(text.lower().split())
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+
+
+def run_hashes(c: np.ndarray, q: int) -> np.ndarray:
+    """One hash for each run of ``q`` characters."""
+    n = max(len(c) - q + 1, 0)
+    out = c[:n].copy()
+    for j in range(1, q):
+        out *= np.uint32(2654435761)
+        out += c[j : j + n]
+    out *= np.uint32(0x9E3779B1)
+    out >>= np.uint32(32 - _HASH_BITS)
     return out
 
 
+class Item:
+    """One item, how many edits it may have, and by which runs it is looked for."""
+
+    def __init__(self, n: int, text: str):
+        self.n, self.most = n, int(MAX_SHARE * len(text))
+        self.text = text if self.most else f" {text} "
+        size = len(self.text)
+        self.q = 6 if size >= LONG else 3 if size >= 16 else 2
+        self.runs = run_hashes(codes(self.text), self.q)
+        if size >= LONG:
+            self.band, self.least = BAND, max(2, round(SHARED * size))
+        else:
+            self.band, self.least = self.most.bit_length(), size - self.q + 1 - self.q * self.most
+
+
+class Group:
+    """Items of one run length and like sizes, looked for together."""
+
+    def __init__(self, items: list[Item]):
+        self.items, self.q = items, items[0].q
+        self.longest = max(len(x.text) for x in items)
+        #: A passage that begins within ``step`` lies within ``whole``.
+        self.step = max(STEP, 2 * self.longest)
+        self.whole = self.step + 2 * self.longest
+        hashed = [x.runs for x in items]
+        bins = [(self.whole + len(x.text) >> x.band) + 2 for x in items]
+        self.first_bin = np.cumsum([0, *bins])
+        # A hit at place p falls into the band (p + shift) >> bits, numbered through all items.
+        shift = [len(x.text) - np.arange(len(g)) + (int(a) << x.band) for x, g, a in zip(items, hashed, self.first_bin)]
+        hashed_all = np.concatenate(hashed)
+        order = np.argsort(hashed_all, kind="stable")
+        kind = np.int32 if (int(self.first_bin[-1]) << items[-1].band) + self.whole < 1 << 31 else np.int64
+        self.shift = np.concatenate(shift)[order].astype(kind)
+        self.bits = items[0].band
+        if any(x.band != self.bits for x in items):
+            self.bits = np.concatenate([np.full(len(g), x.band) for x, g in zip(items, hashed)])[order].astype(kind)
+        self.count = np.bincount(hashed_all, minlength=1 << _HASH_BITS).astype(np.int32)
+        self.at = (np.cumsum(self.count) - self.count).astype(np.int32)
+        self.least = np.repeat([x.least for x in items], bins)
+        self.least[self.first_bin[1:] - 1] = 1 << 40  # the last band has no right neighbour of its own
+
+    def bands(self, c: np.ndarray) -> Iterator[tuple[Item, int, int]]:
+        """(item, least and greatest diagonal) of the stretches of bands that hold enough hits."""
+        g = run_hashes(c, self.q)
+        n = self.count[g]
+        places = np.flatnonzero(n)
+        if not len(places):
+            return
+        n, first = n[places], self.at[g[places]]
+        ends = np.cumsum(n, dtype=np.int64)
+        hits, done = None, 0
+        while done < len(places):
+            before = int(ends[done] - n[done])
+            stop = max(done + 1, int(np.searchsorted(ends, before + HELD, "right")))
+            part, to = n[done:stop], slice(done, stop)
+            posting = np.arange(int(ends[stop - 1]) - before, dtype=np.int32)
+            posting += np.repeat(first[to] - (ends[to] - part - before).astype(np.int32), part)
+            band = self.shift[posting]
+            band += np.repeat(places[to].astype(band.dtype), part)
+            band >>= self.bits if isinstance(self.bits, int) else self.bits[posting]
+            new = np.bincount(band, minlength=self.first_bin[-1])
+            hits, done = new if hits is None else hits + new, stop
+        hits[:-1] += hits[1:]
+        found = np.flatnonzero(hits >= self.least)
+        if not len(found):
+            return
+        owner = np.searchsorted(self.first_bin, found, "right") - 1
+        cut = np.flatnonzero((np.diff(found) > 2) | (np.diff(owner) > 0)) + 1
+        for a, b in zip(np.r_[0, cut], np.r_[cut, len(found)]):
+            x, zero = self.items[owner[a]], self.first_bin[owner[a]]
+            low, high = int(found[a] - zero) << x.band, int(found[b - 1] - zero + 2) << x.band
+            yield x, low - len(x.text), high - 1 - len(x.text)
+
+
 class Index:
-    """The walks of a block of benchmark items."""
+    """The items of a block, in groups."""
 
     def __init__(self, items: list[tuple]):
-        self.items = [(i, " ".join(words_of(t)), len(words_of(t))) for i, t in items]
-        keys, owner, offset, first = [], [], [], []
-        self.short: dict[int, dict[int, list[int]]] = {}  # size -> hash of all words -> items
-        for n, (_, text, size) in enumerate(self.items):
-            if not size:
-                continue
-            h = hashes(text.split(" "))
-            starts = anchors(h)
-            k, last = walk_keys(h, starts)
-            good = last < size
-            if not good.any():
-                self.short.setdefault(size, {}).setdefault(int(sequence_hashes(h, size)[0]), []).append(n)
-            first.append(h[starts])
-            keys.append(k[good])
-            owner.append(np.full(good.sum(), n))
-            offset.append(np.broadcast_to(starts, k.shape)[good])
-        keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.owner = np.concatenate(owner)[order] if owner else np.zeros(0, int)
-        self.offset = np.concatenate(offset)[order] if offset else np.zeros(0, int)
-        self.first = self._bitmap(np.concatenate(first) if first else np.zeros(0, np.uint64))
-        self.known = self._bitmap(self.keys)
-
-    @staticmethod
-    def _bitmap(x: np.ndarray) -> np.ndarray:
-        bits = np.zeros(1 << 20, dtype=bool)
-        bits[x & np.uint64((1 << 20) - 1)] = True
-        return bits
-
-    def _in(self, bitmap: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return bitmap[x & np.uint64((1 << 20) - 1)]
-
-    def candidates(self, h: np.ndarray) -> set[tuple[int, int]]:
-        """(place of the item's first word, item) of the windows that share a key."""
-        found = set()
-        for size, known in self.short.items():
-            own = sequence_hashes(h, size)
-            for at in np.flatnonzero(np.isin(own, np.array(list(known), dtype=np.uint64))):
-                found.update((int(at), n) for n in known[int(own[at])])
-        starts = anchors(h)
-        starts = starts[self._in(self.first, h[starts])]
-        if not len(starts):
-            return found
-        keys, _ = walk_keys(h, starts)
-        rows, columns = np.nonzero(self._in(self.known, keys))
-        met = keys[rows, columns]
-        first, last = (np.searchsorted(self.keys, met, side) for side in ("left", "right"))
-        for k in np.flatnonzero(last > first):
-            at, of = starts[columns[k]], slice(first[k], last[k])
-            found.update((int(at - o), int(n)) for o, n in zip(self.offset[of], self.owner[of]))
-        return found
+        texts = [folded(t) for _, t in items]
+        self.items = [Item(n, t) for n, t in enumerate(texts) if t]
+        self.groups, held, size = [], [], 0
+        for x in sorted(self.items, key=lambda x: (x.q, len(x.text))):
+            if held and (x.q != held[0].q or size + len(x.text) > GROUP):
+                self.groups.append(Group(held))
+                held, size = [], 0
+            held.append(x)
+            size += len(x.text)
+        if held:
+            self.groups.append(Group(held))
 
     def leaks(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, distance, first word of the window) of each leak, the best place of each item."""
-        split = [words_of(t) for t in texts]
-        h = hashes([w for words in split for w in words])
-        ends = np.cumsum([len(w) for w in split])
-        begins = ends - [len(w) for w in split]
+        """(text, item, distance, first word of the passage) of each leak, the best place of each item."""
+        split = [f" {folded(t)} " for t in texts]
+        whole = "\n".join(split)
+        ends = np.cumsum([len(t) + 1 for t in split])
+        c = codes(whole)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        tried = set()
-        if not (len(self.keys) or self.short) or not len(h):
-            return
-        for place, n in sorted(self.candidates(h)):
-            item_id, item, size = self.items[n]
-            # The text that holds the middle of the window.
-            d = int(np.searchsorted(ends, min(max(place + size // 2, 0), len(h) - 1), "right"))
-            at = max(place, int(begins[d])) - int(begins[d])
-            if (d, n, at // 4) in tried:
-                continue
-            tried.add((d, n, at // 4))
-            window = " ".join(split[d][max(0, at - SLACK) : at + size + SLACK])
-            distance = best_distance(item, window, int(MAX_SHARE * len(item)))
-            if distance is not None and ((d, n) not in best or distance < best[d, n][0]):
-                best[d, n] = (distance, at)
-        for (d, n), (distance, at) in sorted(best.items()):
-            yield d, n, distance, at
-
-
-def best_distance(pattern: str, text: str, most: int) -> int | None:
-    """The least edit distance of ``pattern`` to any stretch of ``text``; None above ``most``. Columns of
-    the distance table are kept as bits of whole numbers."""
+        for group in self.groups:
+            for at in range(0, len(c), group.step):
+                for x, low, high in group.bands(c[at : at + group.whole]):
+                    size = len(x.text)
+                    low, high = max(0, at + low - x.most), min(len(c), at + high + size + x.most)
+                    # The hits may be a few runs of the item over and over.
+                    if np.isin(x.runs, run_hashes(c[low:high], x.q)).sum() < x.least:
+                        continue
+                    for d in range(int(np.searchsorted(ends, low, "right")), len(split)):
+                        begin = int(ends[d]) - len(split[d]) - 1
+                        if begin >= high:
+                            break
+                        a, b = max(low - begin, 0), min(high - begin, len(split[d]))
+                        if b - a < size - x.most or best.get((d, x.n), (1,))[0] == 0:
+                            continue
+                        place = best_place(x.text, split[d][a:b], x.most)
+                        if place is not None and ((d, x.n) not in best or place[0] < best[d, x.n][0]):
+                            # One space stands before the first word.
+                            first = max(0, a + place[1] - len(x.text.strip()) - (x.text[-1] == " "))
+                            best[d, x.n] = (place[0], max(0, split[d][:first].count(" ") - 1))
+        for (d, n), (distance, first) in sorted(best.items()):
+            yield d, n, distance, first
+
+
+def best_place(pattern: str, text: str, most: int) -> tuple[int, int] | None:
+    """The least edit distance of ``pattern`` to any stretch of ``text`` and the end of the first such
+    stretch; None above ``most``. Columns of the distance table are kept as bits of whole numbers."""
     m = len(pattern)
     masks: dict[str, int] = {}
     for i, c in enumerate(pattern):
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, least = full, 0, m, m
-    for c in text:
+    up, down, score, least, end = full, 0, m, m, 0
+    for at, c in enumerate(text, 1):
         eq = masks.get(c, 0)
         same = (((eq & up) + up) ^ up) | eq | down
         more = down | ~(same | up) & full
         less = up & same
         if more & top:
             score += 1
-        if less & top:
+        elif less & top:
             score -= 1
+            if score < least:
+                least, end = score, at
+                if not least:
+                    break
         more, less = more << 1 & full, less << 1 & full
         up = less | ~((eq | down) | more) & full
         down = more & (eq | down)
-        least = min(least, score)
-    return least if least <= most else None
+    return (least, end) if least <= most else None
+
+
+def best_distance(pattern: str, text: str, most: int) -> int | None:
+    """The least edit distance of ``pattern`` to any stretch of ``text``; None above ``most``."""
+    place = best_place(pattern, text, most)
+    return None if place is None else place[0]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:

@@ -406,3 +406,40 @@ def test_decontamination_of_odd_rows(spark, odd, odd_rows, empty):
 def test_spans_are_written_as_json(spark, sf):
     for r in QUERIES["op6_toxicity"](spark, sf).collect():
         assert all(a < b for a, b in json.loads(r.toxic_spans))
+
+
+def leaked_of(pairs, words):
+    """Which of (item, its edited form) are found, each form between other words; forms beyond the limit are left out."""
+    pairs = [(x, y) for x, y in pairs if decontaminate.best_distance(x, y, int(decontaminate.MAX_SHARE * len(x))) is not None]
+    docs = [" ".join([*words(30), y, *words(30)]) for _, y in pairs]
+    found = {(d, n) for d, n, *_ in decontaminate.Index([(i, x) for i, (x, _) in enumerate(pairs)]).leaks(docs)}
+    return [(i, i) in found for i in range(len(pairs))]
+
+
+def test_recall_up_to_the_limit():
+    """Typos in every third word, every sixth word replaced, and single letters changed up to the limit."""
+    r = random.Random(9)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 10))) for _ in range(800)]
+    words = lambda n: r.choices(vocabulary, k=n)
+
+    def every(n, change):
+        out = []
+        for _ in range(150):
+            x = words(r.randrange(15, 60))
+            out.append((" ".join(x), " ".join(change(w) if i % n == n - 1 else w for i, w in enumerate(x))))
+        return out
+
+    def typo(w):
+        i = r.randrange(len(w))
+        return w[:i] + r.choice("qrstuvwxyz") + w[i + 1 :]
+
+    assert all(leaked_of(every(3, typo), words))
+    assert all(leaked_of(every(6, lambda w: r.choice(vocabulary)), words))
+    spread = []
+    for _ in range(150):
+        x = " ".join(words(r.randrange(15, 60)))
+        y = list(x)
+        for i in r.sample(range(len(y)), int(decontaminate.MAX_SHARE * len(y))):
+            y[i] = r.choice("qrstuvwxyz")
+        spread.append((x, "".join(y)))
+    assert sum(leaked_of(spread, words)) >= 0.98 * len(spread)
