@@ -443,3 +443,23 @@ def test_recall_up_to_the_limit():
             y[i] = r.choice("qrstuvwxyz")
         spread.append((x, "".join(y)))
     assert sum(leaked_of(spread, words)) >= 0.98 * len(spread)
+
+
+def test_short_items_and_long_insertions():
+    """Exact and edited items of 3 to 12 words, and an item with words inserted in its middle."""
+    r = random.Random(10)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 10))) for _ in range(800)]
+    words = lambda n: r.choices(vocabulary, k=n)
+    short = [words(r.randrange(3, 13)) for _ in range(400)]
+    assert all(leaked_of([(" ".join(x), " ".join(x)) for x in short], words))
+    changed = []
+    for x in short:
+        y = list(x)
+        y[r.randrange(len(y))] = r.choice(vocabulary)
+        changed.append((" ".join(x), " ".join(y)))
+    assert len(leaked_of(changed, words)) > 100 and all(leaked_of(changed, words))
+    long = []
+    for _ in range(10):
+        x, more = words(300), words(45)
+        long.append((" ".join(x), " ".join(x[:150] + more + x[150:])))
+    assert len(leaked_of(long, words)) > 3 and all(leaked_of(long, words))
