@@ -463,3 +463,27 @@ def test_short_items_and_long_insertions():
         x, more = words(300), words(45)
         long.append((" ".join(x), " ".join(x[:150] + more + x[150:])))
     assert len(leaked_of(long, words)) > 3 and all(leaked_of(long, words))
+
+
+def test_copies_do_not_fill_the_sample_of_findings(spark, monkeypatch):
+    """The candidate whose hash comes first stands in two thirds of all documents."""
+    r = random.Random(12)
+    texts = []
+    for i in range(120):
+        key = "".join(r.choice("0123456789abcdef") for _ in range(32)) if i % 2 else f"section{r.randrange(10**6)}.example.org/page{i}"
+        texts.append(f'words and token = "{key}" and more' if i % 2 else f"words and see {key} for more of it")
+    x = [secrets.symbols(t, s, e).astype("<u2").tobytes() for t in texts for s, e, _ in secrets.examine(t)[1]]
+    first = spark.createDataFrame(list(zip(texts, x)), "text string, x binary").orderBy(F.xxhash64("x")).first().text
+    df = spark.createDataFrame(list(enumerate(texts + [first] * 240)), "doc_id long, text string")
+    monkeypatch.setattr(secrets, "SAMPLE", 100)
+    seqs, n, confirmed, fit = secrets.findings(df)
+    assert len({s.tobytes() for s in seqs}) == len(seqs) == 100 and n.max() > 100
+    network, bar = secrets.learn(df)
+    scores = secrets.probabilities(network, [s for s, f, k in zip(seqs, fit, confirmed) if k and not f])
+    assert (scores >= bar).mean() >= secrets.RECALL
+
+
+def test_threshold_recalls_what_it_says():
+    scores, times = np.array([0.9, 0.3, 0.2, 0.1]), np.array([1.0, 1000.0, 1.0, 1.0])
+    assert secrets.threshold(scores, times) == 0.1
+    assert secrets.threshold(np.linspace(0.1, 0.4, 100), np.ones(100)) == np.linspace(0.1, 0.4, 100)[2]
