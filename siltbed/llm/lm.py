@@ -1,13 +1,14 @@
 """Language-model scores from a log-bilinear network trained with noise-contrastive estimation.
 
 Tokens are words (A-Z lowered, cut at ASCII white space) and one end per document. The corpus gives the
-count of every word. The most frequent words are classes of their own, the end is one, and all others
-share classes by their last three bytes. The network predicts a token's class from the classes of the two
+count of every word. The most frequent words are classes of their own, as many as the square root of the
+number of different words (``OWN`` to ``MOST_OWN``), the end is one, and all others share classes by their
+last three bytes. The network predicts a token's class from the classes of the two
 before it: their vectors, each through a matrix of its own, add up to a predicted vector, whose product
 with a class's vector is its score. It is trained in numpy by noise-contrastive estimation: first on a
-bounded sample on the driver, then in every task on contexts drawn evenly from all of its documents, and
-the tasks' weights are averaged. Scoring multiplies all pairs of classes with all class vectors at once and
-normalises, so every token's probability is one lookup; a word of a shared class has its share of that
+bounded sample on the driver, then in every task on all contexts of its documents, one full buffer after the
+other, and the tasks' weights are averaged. Scoring multiplies pairs of classes with all class vectors and
+normalises: all pairs at once for the least number of classes, otherwise each pair where it first comes up; a word of a shared class has its share of that
 class's count, and a word never seen has the share that words seen once suggest (Good-Turing). Over all
 words of a class and its unseen ones the probabilities add up to one.
 
@@ -21,9 +22,10 @@ and all classes equally likely; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -34,19 +36,27 @@ from pyspark.sql import functions as F
 from siltbed.llm.common import crc_mod, documents, importable, stored, text_of
 from siltbed.llm.learning import Adam, sigmoid
 
-CLASSES, OWN = 256, 170
+#: Classes and own words of a small vocabulary; further own words have the classes from CLASSES on.
+CLASSES, OWN, MOST_OWN = 256, 170, 2048
 END = OWN
 SHARED = CLASSES - OWN - 1
 FREQUENT = 1 << 17
 DIM, NOISE, BATCH = 32, 64, 2048
-#: Documents of the first training, its passes, and contexts drawn in each task for the second.
-SAMPLE, PASSES, DRAWN = 1500, 6, 200_000
+#: Documents of the first training, its passes, and contexts that a task holds at once in the second.
+SAMPLE, PASSES, BUFFER = 1500, 6, 200_000
 RATE, TASK_RATE = 0.003, 0.001
 #: A task's counts are handed on whenever it holds so many words.
 HELD_WORDS = 400_000
 SMOOTH = 0.1
 
-_SHAPES = {"context": (CLASSES, DIM), "target": (CLASSES, DIM), "bias": (CLASSES,), "near": (DIM, DIM), "far": (DIM, DIM)}
+
+def shapes(classes: int) -> dict[str, tuple]:
+    return {"context": (classes, DIM), "target": (classes, DIM), "bias": (classes,), "near": (DIM, DIM), "far": (DIM, DIM)}
+
+
+def own_words(v: int) -> int:
+    """How many of ``v`` words are classes of their own."""
+    return min(max(OWN, math.isqrt(v)), MOST_OWN)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -83,14 +93,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 class Vocabulary:
     """The frequent words and their counts, the classes, and each class's totals. Small enough for every
-    task: FREQUENT words and CLASSES totals."""
+    task: FREQUENT words, and CLASSES + MOST_OWN totals at most."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], n: int, v: int, totals: dict[int, tuple[int, int]]):
         self.words = [w for w, _ in frequent if w]
         self.counts = np.array([c for w, c in frequent if w], dtype=np.int64)
         self.n, self.v = n, v
         self.ends = next((c for w, c in frequent if not w), 0)
-        self.total, self.once = np.zeros(CLASSES), np.zeros(CLASSES)
+        self.classes_in_all = CLASSES + own_words(v) - OWN
+        self.total, self.once = np.zeros(self.classes_in_all), np.zeros(self.classes_in_all)
         for k, (t, o) in totals.items():
             self.total[k], self.once[k] = t, o
         self._built()
@@ -99,16 +110,17 @@ class Vocabulary:
         self.at = dict(zip(self.words, range(len(self.words))))
         rank = np.arange(len(self.words))
         shared = np.array([shared_class(w) for w in self.words], dtype=np.int64) if self.words else np.zeros(0, np.int64)
-        self.kind = np.where(rank < OWN, rank, shared)
+        own = own_words(self.v)
+        self.kind = np.where(rank < OWN, rank, np.where(rank < own, rank - OWN + CLASSES, shared))
         self.scale = self.n + SMOOTH * (self.v + 1)
         self.base = np.log10((self.counts + SMOOTH) / self.scale)
         self.unseen = (self.once + 1) / (self.total + 2)  # the share of a class's unseen words
         self.known_share = np.log10((1 - self.unseen) / np.maximum(self.total, 1))
-        self.within = np.where(rank < OWN, 0.0, np.log10(np.maximum(self.counts, 1)) + self.known_share[self.kind])
+        self.within = np.where(rank < own, 0.0, np.log10(np.maximum(self.counts, 1)) + self.known_share[self.kind])
         self.end_base = np.log10((self.ends + SMOOTH) / self.scale)
 
     def __getstate__(self):
-        return {"blob": b"\n".join(self.words), **{k: self.__dict__[k] for k in ("counts", "n", "v", "ends", "total", "once")}}
+        return {"blob": b"\n".join(self.words), **{k: self.__dict__[k] for k in ("counts", "n", "v", "ends", "classes_in_all", "total", "once")}}
 
     def __setstate__(self, state):
         blob = state.pop("blob")
@@ -142,7 +154,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         least = r.size
     taken = counts.where((size >= least) | (F.length("word") == 0)).collect()
     frequent = sorted(((bytes(r.word), r.c) for r in taken), key=lambda x: (-x[1], x[0]))
-    own = {w for w, _ in [x for x in frequent if x[0]][:OWN]}
+    own = {w for w, _ in [x for x in frequent if x[0]][: own_words(sums.v or 0)]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, once = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
@@ -164,7 +176,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 def initial(q: np.ndarray) -> dict[str, np.ndarray]:
     """Weights that predict the classes' shares ``q`` after every context."""
     r = np.random.default_rng(1)
-    p = {k: r.normal(0, 0.1, s).astype(np.float32) for k, s in _SHAPES.items()}
+    p = {k: r.normal(0, 0.1, s).astype(np.float32) for k, s in shapes(len(q)).items()}
     p["target"] *= np.float32(0.1)
     p["bias"] = np.log(q).astype(np.float32)
     p["near"] += np.eye(DIM, dtype=np.float32)
@@ -184,44 +196,55 @@ def contexts(kinds: list[np.ndarray]) -> np.ndarray:
 def noise_of(n: Vocabulary) -> np.ndarray:
     """The share of each class among all training tokens, slightly smoothed."""
     q = n.total + 1.0
-    q[n.kind[:OWN]] = n.counts[:OWN] + 1.0
+    own = own_words(n.v)
+    q[n.kind[:own]] = n.counts[:own] + 1.0
     q[END] = n.ends + 1.0
     return q / q.sum()
 
 
-def fit(p: dict, rows: np.ndarray, q: np.ndarray, rate: float, passes: int, seed: int) -> None:
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Row k: the sum of the rows of ``values`` where ``at`` is k."""
+    order = np.argsort(at, kind="stable")
+    k = at[order]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    out = np.zeros((n, values.shape[1]), dtype=values.dtype)
+    out[k[first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
+def fit(p: dict, rows: np.ndarray, q: np.ndarray, rate: float, passes: int, seed: int, adam: Adam | None = None) -> None:
     """Noise-contrastive estimation: tell each target from NOISE classes drawn from ``q``, which all
-    contexts of a batch share."""
-    r, adam, log_kq = np.random.default_rng(seed), Adam(rate), np.log(NOISE * q).astype(np.float32)
-    eye = np.eye(CLASSES, dtype=np.float32)
+    contexts of a batch share. With ``adam`` it goes on where that one stopped."""
+    r, adam, log_kq = np.random.default_rng(seed), adam or Adam(rate), np.log(NOISE * q).astype(np.float32)
+    classes = len(q)
     for _ in range(passes):
         order = r.permutation(len(rows))
         for at in range(0, len(order), BATCH):
-            far, near, target = rows[order[at : at + BATCH]].T
+            far, near, target = np.ascontiguousarray(rows[order[at : at + BATCH]].T)
             x, y = p["context"][near], p["context"][far]
             v = x @ p["near"] + y @ p["far"]
-            drawn = r.choice(CLASSES, NOISE, p=q)
-            true = sigmoid((v * p["target"][target]).sum(axis=1) + p["bias"][target] - log_kq[target]) - 1
-            false = sigmoid(v @ p["target"][drawn].T + p["bias"][drawn] - log_kq[drawn])
+            drawn = r.choice(classes, NOISE, p=q)
+            wanted, others = p["target"][target], p["target"][drawn]
+            true = sigmoid((v * wanted).sum(axis=1) + p["bias"][target] - log_kq[target]) - 1
+            false = sigmoid(v @ others.T + p["bias"][drawn] - log_kq[drawn])
             n = np.float32(1 / len(target))
             true, false = (true * n).astype(np.float32), (false * n).astype(np.float32)
-            is_target, is_drawn, is_near, is_far = eye[target], eye[drawn], eye[near], eye[far]
-            dv = true[:, None] * p["target"][target] + false @ p["target"][drawn]
+            dv = true[:, None] * wanted + false @ others
             adam.step(
                 p,
                 {
-                    "target": is_target.T @ (true[:, None] * v) + is_drawn.T @ (false.T @ v),
-                    "bias": is_target.T @ true + is_drawn.T @ false.sum(axis=0),
+                    "target": _sums(target, true[:, None] * v, classes) + _sums(drawn, false.T @ v, classes),
+                    "bias": (np.bincount(target, true, classes) + np.bincount(drawn, false.sum(axis=0), classes)).astype(np.float32),
                     "near": x.T @ dv,
                     "far": y.T @ dv,
-                    "context": is_near.T @ (dv @ p["near"].T) + is_far.T @ (dv @ p["far"].T),
+                    "context": _sums(near, dv @ p["near"].T, classes) + _sums(far, dv @ p["far"].T, classes),
                 },
             )
 
 
 def log_table(p: dict[str, np.ndarray]) -> np.ndarray:
-    """log10 of the normalised probability of every class after every pair of classes: rows far * CLASSES +
-    near, all by matrix products."""
+    """log10 of the normalised probability of every class after every pair of CLASSES classes: rows far *
+    CLASSES + near, all by matrix products."""
     x, y = p["context"] @ p["near"], p["context"] @ p["far"]
     out = np.empty((CLASSES * CLASSES, CLASSES), dtype=np.float32)
     for far in range(CLASSES):
@@ -232,6 +255,32 @@ def log_table(p: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
+def train_on(columns: Iterable[pa.Array], vocabulary: Vocabulary, p: dict, q: np.ndarray) -> tuple[dict, int]:
+    """The weights after one pass over every context of some columns of texts, and how many these are. No
+    more than ``BUFFER`` contexts are held beside those of a few texts."""
+    own, weight, adam = {k: v.copy() for k, v in p.items()}, 0, Adam(TASK_RATE)
+    held, size = [], 0
+
+    def learn(rows: np.ndarray) -> None:
+        nonlocal weight
+        fit(own, rows.astype(np.int64), q, TASK_RATE, 1, 3 + weight, adam)
+        weight += len(rows)
+
+    for texts in columns:
+        for at in range(0, len(texts), 256):
+            held.append(contexts([vocabulary.classes(words_of(t))[1] for t in texts.slice(at, 256).to_pylist()]).astype(np.int16))
+            size += len(held[-1])
+            if size >= BUFFER:
+                rows = np.concatenate(held)
+                for first in range(0, size - BUFFER + 1, BUFFER):
+                    learn(rows[first : first + BUFFER])
+                held = [rows[size - size % BUFFER :]]
+                size = len(held[0])
+    if size:
+        learn(np.concatenate(held))
+    return own, weight
+
+
 def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """The averaged weights after both trainings; ``texts`` holds the ids and texts to train on."""
     marks = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
@@ -244,19 +293,9 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     fit(p, contexts([vocabulary.classes(words_of(r.text))[1] for r in sample]), q, RATE, PASSES, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, n, r = {k: v.copy() for k, v in p.items()}, 0, np.random.default_rng(2)
-        rows, weight, keep = np.zeros((0, 3), np.int16), 0, 1.0
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                new = contexts([vocabulary.classes(words_of(t))[1] for t in b.column(0).slice(at, 256).to_pylist()])
-                weight += len(new)
-                # Thin out by halves as more comes, so that all documents have the same share.
-                rows = np.concatenate([rows, new[r.random(len(new)) < keep].astype(np.int16)])
-                while len(rows) > DRAWN:
-                    rows, keep = rows[r.random(len(rows)) < 0.5], keep / 2
+        own, weight = train_on((b.column(0) for b in batches), vocabulary, p, q)
         if weight:
-            fit(own, rows.astype(np.int64), q, TASK_RATE, 1, 3)
-            flat = np.concatenate([own[k].ravel() for k in _SHAPES]).astype(np.float64)
+            flat = np.concatenate([own[k].ravel() for k in shapes(len(q))]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * weight), pa.array(np.full(len(flat), float(weight)))], names=["i", "x", "w"])
 
     # One row per weight of the network, whatever the number of tasks.
@@ -266,7 +305,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
         for s in sums:
             flat[s.i] = s.x
         at = 0
-        for k, shape in _SHAPES.items():
+        for k, shape in shapes(len(q)).items():
             size = int(np.prod(shape))
             p[k] = flat[at : at + size].reshape(shape).astype(np.float32)
             at += size
@@ -275,16 +314,44 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
 
 # -- scores ------------------------------------------------------------------------------------------
 
-_tables: dict[int, np.ndarray] = {}
-
-
-def _table(p: dict) -> np.ndarray:
+class Scorer:
+    """log10 of the probability of classes after pairs of classes. The divisors of pairs are kept."""
+
+    def __init__(self, p: dict):
+        self.target, self.bias = p["target"], p["bias"]
+        self.near, self.far = p["context"] @ p["near"], p["context"] @ p["far"]
+        self.classes = len(self.bias)
+        self.table = log_table(p) if self.classes == CLASSES else None
+        self.divisor = None if self.table is not None else np.full(self.classes**2, np.nan, dtype=np.float32)
+
+    def logs(self, far: np.ndarray, near: np.ndarray, target: np.ndarray) -> np.ndarray:
+        pair = far * self.classes + near
+        if self.table is not None:
+            return self.table[pair, target].astype(np.float64)
+        new = np.unique(pair[np.isnan(self.divisor[pair])])
+        for at in range(0, len(new), 2048):
+            part = new[at : at + 2048]
+            s = (self.far[part // self.classes] + self.near[part % self.classes]) @ self.target.T + self.bias
+            top = s.max(axis=1)
+            self.divisor[part] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        out = np.empty(len(pair))
+        for at in range(0, len(pair), 1 << 15):
+            cut = slice(at, at + (1 << 15))
+            score = np.einsum("ij,ij->i", self.far[far[cut]] + self.near[near[cut]], self.target[target[cut]])
+            out[cut] = score + self.bias[target[cut]] - self.divisor[pair[cut]]
+        return out / np.log(10)
+
+
+_scorers: dict[int, Scorer] = {}
+
+
+def _scorer(p: dict) -> Scorer:
     """One per worker process."""
     key = zlib.crc32(p["target"].tobytes() + p["context"].tobytes())
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = log_table(p)
-    return _tables[key]
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(p)
+    return _scorers[key]
 
 
 _PARTS = "doc_id long, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>, kinds array<int>"
@@ -294,23 +361,24 @@ def parts_of(docs: DataFrame, vocabulary: Vocabulary, p: dict) -> DataFrame:
     """Each document's sums over its frequent words, and its other words with their counts and classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, v = _table(p), vocabulary
+        scorer, v = _scorer(p), vocabulary
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 columns: list[list] = [[] for _ in range(7)]
-                for text in part.column(1).to_pylist():
-                    words = words_of(text)
-                    at, kind = v.classes(words)
+                split = [words_of(text) for text in part.column(1).to_pylist()]
+                seen = [v.classes(words) for words in split]
+                ends = np.cumsum([0, *(len(kind) for _, kind in seen)])
+                logs = scorer.logs(*contexts([kind for _, kind in seen]).T)
+                models = np.add.reduceat(logs, ends[:-1]) if len(split) else []
+                for words, (at, _), model in zip(split, seen, models):
                     known = at[at >= 0]
-                    before = np.concatenate([[END, END], kind[:-1]])
-                    model = float(table[before[:-1] * CLASSES + before[1:], kind].sum(dtype=np.float64))
                     rare = Counter(words[j] for j in np.flatnonzero(at < 0))
                     values = (
                         len(words) + 1,
                         len(known) + (v.ends > 0),
                         float(v.base[known].sum() + v.end_base),
-                        model + float(v.within[known].sum()),
+                        float(model + v.within[known].sum()),
                         list(rare),
                         list(rare.values()),
                         [shared_class(w) for w in rare],
@@ -336,7 +404,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
 
     rare = parts.select("row", F.explode(F.arrays_zip("rare", "times", "kinds")).alias("x")).select("row", F.col("x.rare").alias("word"), "x.times", "x.kinds")
     joined = rare.join(counts, "word", "left")
-    per_class = lambda values: F.element_at(F.array(*(F.lit(float(x)) for x in values)), F.col("kinds") + 1)
+    per_class = lambda values: F.element_at(F.array(*(F.lit(float(x)) for x in values[:CLASSES])), F.col("kinds") + 1)
     seen = F.col("c").isNotNull()
     base = F.log10((F.coalesce("c", F.lit(0)) + SMOOTH) / F.lit(float(v.scale)))
     model = F.when(seen, F.log10(F.col("c").cast("double")) + per_class(v.known_share)).otherwise(per_class(np.log10(v.unseen)))

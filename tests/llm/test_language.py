@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from siltbed.llm import fingerprints, lm
@@ -154,3 +155,32 @@ def test_probabilities_add_up(spark, sf):
     rows = lm.contexts(held)
     network = table[rows[:, 0] * lm.CLASSES + rows[:, 1], rows[:, 2]].mean()
     assert network > np.log10(lm.noise_of(v))[rows[:, 2]].mean()
+
+
+def test_every_context_is_learned(spark, sf, monkeypatch):
+    """Whatever the buffer, each context of a task's texts goes through the network once."""
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    v = lm.vocabulary(lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    every = lm.contexts([v.classes(lm.words_of(t))[1] for t in texts])
+    q = lm.noise_of(v)
+    learned = []
+    monkeypatch.setattr(lm, "BUFFER", 700)
+    monkeypatch.setattr(lm, "fit", lambda p, rows, *_: learned.append(rows))
+    _, weight = lm.train_on([pa.array(texts[:40]), pa.array(texts[40:])], v, lm.initial(q), q)
+    assert weight == len(every) and max(map(len, learned)) <= 700
+    assert (np.concatenate(learned) == every).all()
+
+
+def test_own_classes_grow_with_the_vocabulary():
+    words = [(b"w%d" % i, 5000 - i) for i in range(3000)]
+    assert lm.own_words(20_000) == lm.OWN and lm.own_words(10**6) == 1000
+    v = lm.Vocabulary([(b"", 10), *words], 10**7, 10**6, {})
+    _, kind = v.classes([w for w, _ in words[:1000]])
+    assert len(set(kind)) == 1001 and v.classes_in_all == lm.CLASSES + 1000 - lm.OWN
+    q = lm.noise_of(v)
+    p = lm.initial(q)
+    lm.fit(p, np.random.default_rng(1).integers(0, len(q), (5000, 3)), q, 0.01, 1, 1)
+    every = np.arange(len(q))
+    for far, near in ((0, 0), (900, lm.END), (lm.OWN + 3, 1000)):
+        logs = lm.Scorer(p).logs(np.full_like(every, far), np.full_like(every, near), every)
+        assert abs((10**logs).sum() - 1) < 1e-4
