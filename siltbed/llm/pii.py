@@ -3,10 +3,12 @@
 Four base rules (email, ip, card, phone) find what their formats prove. Two generators propose more, with
 high recall and overlapping each other and the rules: anything like an address, and any run of seven or
 more digits with marks between them. Boosted trees learn, on a bounded sample of proposals, which of them
-are personal data, from their format (digits, marks, check digit, range of parts) and their context (the
-characters on both sides, telling words before). Base spans count as true. A threshold for each generator
-is set on other proposals so that at least ``PRECISION`` of those above it are true; proposals above it
-that touch no base span are added. Base spans always stay.
+are personal data, from their format and their context (the characters on both sides, telling words before).
+Those that touch a base span are the positive cases, those whose format rules personal data out (``_none``)
+the negative ones; all others have no label and are not learned from. The trees do not see what the base
+rules ask for: the plus sign with its country code, brackets, spelt-out marks, the check digit and the range of parts are hidden.
+A threshold for each generator is set so that ``RECALL`` of the proposals of all documents that touch a base
+span are above it; proposals above it that touch none and are not ruled out are added. Base spans always stay.
 
 The trees are written out as one SQL expression, so documents are scored where they lie: one row per
 document, no shuffle, no Python.
@@ -22,7 +24,6 @@ import re
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from siltbed.llm.common import documents, stored, text_of
 
 #: Proposals that are fitted, documents they come from, and the trees.
 SAMPLE, SAMPLE_DOCUMENTS, TREES, DEPTH = 6000, 40_000, 10, 4
-PRECISION = 0.98
+RECALL = 0.98
 
 KINDS = ["email", "ip", "card", "phone"]
 ADDED = ["like_email", "like_number"]
@@ -100,9 +101,15 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _plain(m: Column) -> Column:
+    """A proposal with spelt-out marks as they are meant."""
+    return F.regexp_replace(F.regexp_replace(m, r"\x20?(?:@|\(at\)|\[at\])\x20?", "@"), r"\x20?(?:\(dot\)|\[dot\])\x20?", ".")
+
+
 def _features(text: Column, s: Column) -> dict[str, Column]:
-    """What the trees see of a proposal: its format and its context."""
-    m, one = s["m"], F.lit(1)
+    """What the trees see of a proposal: its format, without the marks that the base rules ask for, and its
+    context."""
+    m, one = F.regexp_replace(_plain(s["m"]), r"^\+(?:[0-9]{1,3}[\x20().-]+)?|[+()]", ""), F.lit(1)
     count = lambda pattern: F.length(m) - F.length(F.regexp_replace(m, pattern, ""))
     before = F.when(s["start"] > 0, F.substring(text, s["start"], one)).otherwise(F.lit(""))
     after = F.substring(text, s["end"] + 1, one)
@@ -114,18 +121,28 @@ def _features(text: Column, s: Column) -> dict[str, Column]:
         "spaces": count(r"\x20"),
         "dashes": count("-"),
         "letters": count("[A-Za-z]"),
-        "at": m.contains("@").cast("int"),
-        "plus": m.startswith("+").cast("int"),
-        "bracket": m.contains("(").cast("int"),
-        "check": luhn(m).cast("int"),
-        "in_range": m.rlike(_IN_RANGE).cast("int"),
         "glued": before.rlike("[A-Za-z0-9]").cast("int") + after.rlike("[A-Za-z0-9]").cast("int"),
         "quoted": before.rlike("[\"'=:#/]").cast("int"),
         "told": lead.rlike(r"(?:phone|tel|call|fax|mail|card|visa|account|contact|address|ssn|iban)[^a-z]").cast("int"),
     }
 
 
-FEATURES = ["size", "digits", "dots", "spaces", "dashes", "letters", "at", "plus", "bracket", "check", "in_range", "glued", "quoted", "told"]
+FEATURES = ["size", "digits", "dots", "spaces", "dashes", "letters", "glued", "quoted", "told"]
+
+
+def _none(kind: int, text: Column, s: Column) -> Column:
+    """Whether a proposal's format rules personal data out: an address without a named top domain; a number
+    within a word, a decimal number, a date, four parts beyond their range, too many digits for anything, or
+    too many for a phone while the check digit is wrong."""
+    m = s["m"]
+    if kind == 0:
+        return ~_plain(m).rlike(r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$")
+    before = F.when(s["start"] > 0, F.substring(text, s["start"], F.lit(1))).otherwise(F.lit(""))
+    within = before.rlike("[A-Za-z]") | F.substring(text, s["end"] + 1, F.lit(1)).rlike("[A-Za-z]")
+    date = m.rlike(r"^(?:19|20)[0-9]{2}([.-])[0-9]{1,2}\1[0-9]{1,2}(?:\x20|$)")
+    parts = m.rlike(r"^[0-9]+(?:\.[0-9]+){3}$") & ~m.rlike(_IN_RANGE)
+    n = F.length(digits(m))
+    return within | m.rlike(r"^[0-9]+\.[0-9]+$") | date | parts | (n > 19) | ((n > 15) & ~luhn(m))
 
 
 def _touches(spans: Column, s: Column) -> Column:
@@ -137,8 +154,8 @@ def _all_base() -> Column:
 
 
 def with_proposals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``_proposed``: (kind, start, end, m, known, features) for each proposal; ``known`` tells
-    whether it touches a base span."""
+    """Adds ``_proposed``: (kind, start, end, known, none, features) for each proposal; ``known`` tells
+    whether it touches a base span, ``none`` whether it touches none and is ruled out."""
     t = F.col(text)
     found = {
         "_like_email": matches(t, _LIKE_EMAIL, t.rlike(r"@|\(at\)|\[at\]")),
@@ -148,7 +165,8 @@ def with_proposals(docs: DataFrame, text: str = "text") -> DataFrame:
     def described(kind: int) -> Column:
         def one(s: Column) -> Column:
             f = F.struct(*(v.cast("double").alias(k) for k, v in _features(t, s).items()))
-            return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _touches(_all_base(), s).alias("known"), f.alias("f"))
+            known = _touches(_all_base(), s)
+            return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), known.alias("known"), (~known & _none(kind, t, s)).alias("none"), f.alias("f"))
 
         return F.transform(F.col(f"_{ADDED[kind]}"), one)
 
@@ -179,31 +197,31 @@ def margin(model, s: Column) -> Column:
 
 
 def learn(docs: DataFrame) -> tuple[object, list[float]] | None:
-    """The trees, and each generator's least margin; None where there is nothing to learn from. The
-    proposals come from documents chosen by a hash, about ``SAMPLE_DOCUMENTS`` of them."""
+    """The trees, and each generator's least margin; None where there is nothing to learn from. The labelled
+    proposals come from documents chosen by a hash, about ``SAMPLE_DOCUMENTS`` of them; the margins are set
+    on all documents."""
     whole = text_of(docs)
     cut = int(min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1)) * (1 << 30))
     some = whole.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < cut)
-    proposed = with_proposals(with_base(some)).select("doc_id", F.explode("_proposed").alias("p"))
+    proposed = with_proposals(with_base(some)).select("doc_id", F.explode("_proposed").alias("p")).where("p.known or p.none")
     order = F.xxhash64("doc_id", "p.start", "p.end", "p.kind")
     rows = proposed.select(order.alias("order"), "p.kind", "p.known", "p.f.*").orderBy("order", "kind").limit(SAMPLE)
-    rows = stored(rows.withColumn("y", F.col("known").cast("double")), "proposals")
-    fit, check = rows.where("pmod(order, 10) < 7"), rows.where("pmod(order, 10) >= 7")
+    fit = stored(rows.withColumn("y", F.col("known").cast("double")), "proposals")
     if fit.select("y").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="v")
     trees = GBTClassifier(featuresCol="v", labelCol="y", maxIter=TREES, maxDepth=DEPTH, seed=7, cacheNodeIds=False)
     model = trees.fit(vectors.transform(fit))
-    scored = model.transform(vectors.transform(check)).select("kind", "y", F.round(vector_to_array("rawPrediction")[1], 2).alias("margin"))
-    # At most a few hundred different margins, each with its counts.
-    counts = scored.groupBy("kind", "margin").agg(F.count("*").alias("n"), F.sum("y").alias("true")).collect()
+    known = with_proposals(with_base(whole)).select(F.explode(F.filter("_proposed", lambda p: p["known"])).alias("p"))
+    # At most a few hundred different margins, each with its count.
+    counts = known.select("p.kind", F.round(margin(model, F.col("p")), 2).alias("margin")).groupBy("kind", "margin").agg(F.count("*").alias("n")).collect()
     bars = []
     for kind in range(len(ADDED)):
-        bar, n, true = float("inf"), 0, 0.0
-        for r in sorted((r for r in counts if r.kind == kind), key=lambda r: -r.margin):
-            n, true = n + r.n, true + r.true
-            if true >= PRECISION * n:
-                bar = r.margin
+        own = sorted((r for r in counts if r.kind == kind), key=lambda r: -r.margin)
+        bar, n = float("inf"), 0
+        for r in own:
+            if n < RECALL * sum(x.n for x in own):
+                bar, n = r.margin, n + r.n
         bars.append(bar)
     return model, bars
 
@@ -224,7 +242,7 @@ def with_spans(docs: DataFrame, learned: tuple | None, text: str = "text") -> Da
     scored = with_proposals(based, text)
 
     def good(kind: int):
-        return lambda s: (s["kind"] == kind) & ~s["known"] & (margin(model, s) >= bars[kind] - 0.005)
+        return lambda s: (s["kind"] == kind) & ~s["known"] & ~s["none"] & (margin(model, s) >= bars[kind] - 0.005)
 
     extra = [F.transform(F.filter("_proposed", good(k)), span(len(KINDS) + k)) for k in range(len(bars)) if bars[k] < float("inf")]
     return scored.withColumn("_spans", F.array_sort(F.concat("_base", *extra)))
