@@ -74,8 +74,8 @@ def stored_ids(spark: SparkSession, model_path: str) -> DataFrame:
 
 
 def miss_rate(spark: SparkSession, path: str, pairs: DataFrame) -> float:
-    """Share of pairs that a stored model does not rank among its best, by the model's own ids."""
-    return 1.0 - recommend.hit_rate(ALSModel.load(path), stored_ids(spark, path), pairs).first()["hit_rate"]
+    """One less the recall of held-out pairs among a stored model's best of all tokens, by its own ids."""
+    return 1.0 - recommend.recall_at_k(ALSModel.load(path), stored_ids(spark, path), pairs).first()["recall"]
 
 
 def train(

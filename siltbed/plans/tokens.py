@@ -343,7 +343,7 @@ def _(spark, sf):
     out = recommend.compare_als(
         ids.where(~held_out), ids.where(held_out), [{"rank": 4}, {"rank": 8, "reg": 0.01}]
     )
-    share = F.col("hit_rate").between(0.01, 1) & (F.col("n_unknown") < F.col("n_pairs"))
+    share = (F.col("recall") > 0) & (F.col("recall") <= 1) & (F.col("n_unknown") < F.col("n_pairs"))
     return out.select("params", "n_pairs", share.alias("a_share"))
 
 

@@ -224,3 +224,23 @@ def test_project_runs_again(spark, home):
     answers = project.explore(held)
     assert answers["max_transfers"].first()[0] == 1
     assert answers["transfers_per_day"].agg(F.sum("n")).first()[0] == 600
+
+
+def test_recall_ranks_among_all_tokens(spark):
+    """Against a ranking of every token by plain products, trained pairs left out."""
+    data = [(f"w{w}", f"t{t}") for w in range(20) for t in range(40) if (w + t) % 3 and (w * 7 + t) % 9]
+    rows = readers.rows(spark, data, "wallet STRING, token STRING").withColumn("n_transfers", F.lit(1))
+    ids = recommend.with_integer_ids(rows)
+    model = recommend.fit_als(ids, rank=3, max_iter=3)
+    held = [(f"w{w}", f"t{t}") for w in range(20) for t in range(40) if (w + t) % 3 and not (w * 7 + t) % 9] + [("nobody", "t1"), ("w1", "nothing")]
+    users, items = ({r["id"]: r["features"] for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    wallet, token = ({r[c]: r[f"{c}_id"] for r in ids.collect()} for c in ("wallet", "token"))
+    total = []
+    for w in {w for w, _ in held}:
+        wanted = {t for x, t in held if x == w}
+        free = [t for t in token if (w, t) not in set(data)] if w in wallet else []
+        score = {t: sum(a * b for a, b in zip(users[wallet[w]], items[token[t]])) for t in free}
+        total.append(len(wanted & set(sorted(free, key=lambda t: -score[t])[:4])) / len(wanted))
+    got = recommend.recall_at_k(model, ids, readers.rows(spark, held, "wallet STRING, token STRING"), k=4).first()
+    assert (got["n_pairs"], got["n_unknown"]) == (len(held), 2)
+    assert got["recall"] == pytest.approx(sum(total) / len(total), abs=0.02)
