@@ -20,12 +20,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, allowed: Co
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z and doc_id is not null").select("doc_id", "y")
     cut = int(min(1.0, most / max(known.count(), 1)) * (1 << 30))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut).limit(2 * most)
-    rows = text_of(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
-    # An id that comes many times would bring more rows than asked for: one text each.
-    first: dict[int, tuple[str, int]] = {}
-    for r in sorted(rows, key=lambda r: (r.doc_id, r.text)):
-        first.setdefault(r.doc_id, (r.text, r.y))
-    return [t for t, _ in first.values()], np.array([y for _, y in first.values()], dtype=np.float64)
+    # An id that comes many times is folded where it lies: one text each is sent to the driver.
+    found = text_of(docs).join(F.broadcast(chosen), "doc_id")
+    rows = sorted(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).collect())
+    return [r.text for r in rows], np.array([r.y for r in rows], dtype=np.float64)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

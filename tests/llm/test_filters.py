@@ -504,3 +504,16 @@ def test_unconfirmed_personal_data_is_found(spark):
         rest = row.text.split(" and ")[1]
         assert rest.startswith("on 20") and "user" in rest
         assert not row.doc_id % 2 or ("[NUMBER]" in rest and "(at)" not in rest), row.text
+
+
+def test_copies_of_an_id_do_not_reach_the_driver(spark, monkeypatch):
+    """An id that holds most rows sends one text, the least."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    docs = spark.createDataFrame([(1, f"text {i:04}") for i in range(500)] + [(2, "b"), (2, "a"), (3, "c")], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    sent, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: sent.append(collect(df)) or sent[-1])
+    texts, y = learning.labelled_sample(docs, marks, "toxic", F.lit(True), 100)
+    assert (texts, list(y)) == (["text 0000", "a", "c"], [1, 0, 1])
+    assert max(map(len, sent)) == 3
