@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import decontaminate, fingerprints, lm, neardup, packing, pii, quality, secrets, tokenfiles, toxicity
+from siltbed.llm import decontaminate, fingerprints, lm, neardup, packing, pii, quality, secrets, substrings, tokenfiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": lm.op1_lm_scores,
@@ -19,8 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_quality": quality.op9_quality,
     "op10_secrets": secrets.op10_secrets,
+    "op12_substrings": substrings.op12_substrings,
 }
 
-#: None of the ten returns only what SQL can express (learned scores, sketches, tokenizers, packing), so
-#: tests hold each against a brute-force version, a round trip or held-out labels.
-ORACLES: dict[str, str] = {}
+#: The first ten return what SQL cannot express (learned scores, sketches, tokenizers, packing), so tests
+#: hold each against a brute-force version, a round trip or held-out labels.
+ORACLES: dict[str, str] = {
+    "op12_substrings": substrings.OP12_SQL,
+}
