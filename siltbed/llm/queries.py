@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import decontaminate, fingerprints, lm, neardup, packing, pii, quality, secrets, substrings, tokenfiles, toxicity
+from siltbed.llm import decontaminate, fingerprints, lexical, lm, neardup, packing, pii, quality, secrets, substrings, tokenfiles, toxicity, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": lm.op1_lm_scores,
@@ -19,11 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_quality": quality.op9_quality,
     "op10_secrets": secrets.op10_secrets,
+    "op11_conversation_trie": trie.op11_conversation_trie,
     "op12_substrings": substrings.op12_substrings,
+    "op13_lexical_search": lexical.op13_lexical_search,
 }
 
 #: The first ten return what SQL cannot express (learned scores, sketches, tokenizers, packing), so tests
 #: hold each against a brute-force version, a round trip or held-out labels.
 ORACLES: dict[str, str] = {
+    "op11_conversation_trie": trie.OP11_SQL,
     "op12_substrings": substrings.OP12_SQL,
+    "op13_lexical_search": lexical.OP13_SQL,
 }
