@@ -5,18 +5,18 @@ document with a smaller doc_id. The minimiser of a window is the least hash of i
 equal windows have equal minimisers, and a run of consecutive windows with one minimiser (a super-k-mer,
 at most ``RUN`` windows) is one packed string of words, about three times shorter than its windows apart.
 
-1. Every document is cut into its super-k-mers: place, minimiser and a 128-bit name of the packed string.
+1. Every document is cut into its super-k-mers: place, minimiser and a 64-bit name of the packed string.
    Equal strings are folded before the shuffle, to the least and greatest doc_id that hold them.
 2. A minimiser with one string is settled by that: its windows stand nowhere else. Of all others, one copy
-   of each string travels, packed, to the bucket of its minimiser.
+   of each string travels, packed, to the bucket of its minimiser; the document that holds it is cut again.
 3. There the words get numbers, and sorting runs of 3, 9, 27 and then 50 numbers gives equal windows equal
    ranks, without hashes. Each string learns which of its windows a smaller doc_id holds (a 64-bit mask).
 4. The masks go back to the places of step 1, and each document drops the words that are covered.
 
 A bucket of more than ``BLOCK`` strings (the edges of a passage that very many documents share) is dealt
 into blocks; its windows are then folded block by block and meet by a 128-bit name of the window. Nothing
-is left out, and no task holds more than a block's strings at once. 128-bit names of n different things
-coincide somewhere with a probability of n * n / 2**129 (2e-13 for 10**13 windows).
+is left out, and no task holds more than a block's strings at once. Two different strings of one minimiser
+share a name with a probability of 2**-64, so n of them hold such a pair with one of n * n / 2**65.
 
 Defined cases: words are cut at ASCII white space, letters stay as they are; a null or empty text has no
 words and the hash of the empty text; fewer than 50 words have no window; a null doc_id counts as greater
@@ -46,7 +46,7 @@ RUN, BLOCK = 64, 1 << 15
 AT_ONCE = 1 << 18
 
 _LAST = (1 << 63) - 1
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEED = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -55,17 +55,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def cut(texts: list[list[bytes]], block: int = RUN) -> tuple[np.ndarray, ...]:
-    """The super-k-mers of some documents' words: (document, first window, windows, minimiser, name, name)."""
+    """The super-k-mers of some documents' words: (document, first window, windows, minimiser, name)."""
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(lengths)
     total = int(lengths.sum())
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if not len(lengths) or lengths.max() < WINDOW:
         return none
     w = mix(np.fromiter((xxhash.xxh3_64_intdigest(x) for t in texts for x in t), np.uint64, total) ^ _SEED)
     grams = np.zeros(total - GRAM + 1, np.uint64)
     for j in range(GRAM):
-        grams = grams * _BASES[0] + w[j : total - GRAM + 1 + j]
+        grams = grams * _BASE + w[j : total - GRAM + 1 + j]
     least, reach = mix(grams), 1  # the least of `reach` grams from each place
     width = WINDOW - GRAM + 1
     while 2 * reach <= width:
@@ -82,13 +82,11 @@ def cut(texts: list[list[bytes]], block: int = RUN) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(since % block == 0)
     windows = np.diff(np.r_[first, len(at)])
     start, key = at[first], least[first]
-    names = []
-    for base in _BASES:
-        up, down = _powers(base, total), _powers(np.uint64(pow(int(base), -1, 1 << 64)), total)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up[1:])])
-        names.append(mix((sums[start + windows + WINDOW - 1] - sums[start]) * down[start] + windows.astype(np.uint64)))
+    up, down = _powers(_BASE, total), _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), total)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up[1:])])
+    name = mix((sums[start + windows + WINDOW - 1] - sums[start]) * down[start] + windows.astype(np.uint64))
     own = owner[start]
-    return own, start - (ends - lengths)[own], windows, key, *names
+    return own, start - (ends - lengths)[own], windows, key, name
 
 
 def _parts(b: pa.RecordBatch, texts: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
@@ -112,28 +110,28 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, at, windows, *names = cut(words)
             rows = pa.array(own)
             columns = [part.column(0).take(rows), part.column(1).take(rows), at.astype(np.int32), windows.astype(np.int32), *map(_signed, names)]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["ord", "mark", "at", "n", "key", "a", "b"])
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["ord", "mark", "at", "n", "key", "name"])
+
+
+_PACKED = "key long, block int, name long, first long, words binary, blocks int"
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The wanted super-k-mers of each document as strings."""
+    """Of each document (ord, text, wanted) the super-k-mers that are wanted of it, as strings."""
     names = [c.split()[0] for c in _PACKED.split(", ")]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32()]
     for b in batches:
-        for at in range(0, b.num_rows, 64):
-            rows = []
-            for doc, text, wanted in zip(*(c.to_pylist() for c in b.slice(at, 64).columns)):
-                words = text.encode().split()
-                for x in wanted:
-                    packed = b" ".join(words[x["at"] : x["at"] + x["n"] + WINDOW - 1])
-                    rows.append((x["key"], x["block"], x["a"], x["b"], doc, packed, x["blocks"]))
+        for part, words in _parts(b, 1):
+            wanted = [{(x["key"], x["name"]): (x["block"], x["blocks"]) for x in w} for w in part.column(2).to_pylist()]
+            docs, rows = part.column(0).to_pylist(), []
+            own, at, windows, key, name = cut(words)
+            for o, i, n, k, a in zip(own.tolist(), at.tolist(), windows.tolist(), _signed(key).tolist(), _signed(name).tolist()):
+                if (told := wanted[o].pop((k, a), None)) is not None:
+                    rows.append((k, told[0], a, docs[o], b" ".join(words[o][i : i + n + WINDOW - 1]), told[1]))
             columns = zip(*rows) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-_PACKED = "key long, block int, a long, b long, first long, words binary, blocks int"
-
-
 def _joined(*runs: np.ndarray) -> np.ndarray:
     """One number for each row of numbers below 2**31, equal only for equal rows."""
     if len(runs) == 3 and max(int(x.max(initial=0)) for x in runs) >> 21:
@@ -164,38 +162,38 @@ def ranked(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return own, offset, _joined(r[at], r[at + WINDOW - size])
 
 
-_FOUND = "key long, a long, b long, mask long, at int, wa long, wb long, first long"
-_FOUND_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+_FOUND = "key long, name long, mask long, at int, wa long, wb long, first long"
+_FOUND_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def _judged(rows: list[tuple], torn: set[int]) -> pa.RecordBatch:
-    """Masks of the windows that a smaller document of these rows holds; of minimisers in ``torn``, whose
-    strings lie in several blocks, the different windows by name instead."""
-    words = [r[5].split(b" ") for r in rows]
-    first = np.array([r[4] for r in rows], dtype=np.int64)
+    """Masks of the windows that a smaller document of these rows (key, block, name, first, words, blocks)
+    holds; of minimisers in ``torn``, whose strings lie in several blocks, the windows by name instead."""
+    words = [r[4].split(b" ") for r in rows]
+    first = np.array([r[3] for r in rows], dtype=np.int64)
     own, offset, rank = ranked(words)
     least = np.full(int(rank.max()) + 1, _LAST, dtype=np.int64)
     np.minimum.at(least, rank, first[own])
     bits = np.where(least[rank] < first[own], np.uint64(1) << offset.astype(np.uint64), np.uint64(0))
     masks = np.bitwise_or.reduceat(bits, np.searchsorted(own, np.arange(len(rows))))
-    out = [(r[0], r[2], r[3], int(m), None, None, None, None) for r, m in zip(rows, _signed(masks).tolist()) if m and r[0] not in torn]
+    out = [(r[0], r[2], m, None, None, None, None) for r, m in zip(rows, _signed(masks).tolist()) if m and r[0] not in torn]
     if torn:
         for s, i in zip(own.tolist(), offset.tolist()):
             if (r := rows[s])[0] in torn:
-                name = xxhash.xxh3_128_digest(b" ".join(words[s][i : i + WINDOW]))
-                out.append((r[0], r[2], r[3], None, i, *np.frombuffer(name, "<i8").tolist(), r[4]))
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 8, _FOUND_TYPES)], names=[c.split()[0] for c in _FOUND.split(", ")])
+                window = xxhash.xxh3_128_digest(b" ".join(words[s][i : i + WINDOW]))
+                out.append((r[0], r[2], None, i, *np.frombuffer(window, "<i8").tolist(), r[3]))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 7, _FOUND_TYPES)], names=[c.split()[0] for c in _FOUND.split(", ")])
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole blocks of buckets, in order of (key, block, name); several small ones are sorted at once."""
-    rows = ((row) for b in batches for at in range(0, b.num_rows, 4096) for row in zip(*(c.to_pylist() for c in b.slice(at, 4096).columns)))
+    rows = (row for b in batches for at in range(0, b.num_rows, 4096) for row in zip(*(c.to_pylist() for c in b.slice(at, 4096).columns)))
     held, size, torn = [], 0, set()
-    for _, bucket in groupby(rows, key=lambda r: (r[0], r[1])):
-        for _, copies in groupby(bucket, key=lambda r: (r[2], r[3])):
-            held.append(min(copies, key=lambda r: r[4]))
-            size += len(held[-1][5]) // 7 + 1
-        if held[-1][6] > 1:
+    for _, bucket in groupby(rows, key=lambda r: r[:2]):
+        for _, copies in groupby(bucket, key=lambda r: r[2]):
+            held.append(next(copies))
+            size += len(held[-1][4]) // 7 + 1
+        if held[-1][5] > 1:
             torn.add(held[-1][0])
         if size >= AT_ONCE:
             yield _judged(held, torn)
@@ -205,36 +203,35 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """(ord, mark, text): the place of the doc_id, with null as the greatest, and a name of the row."""
-    whole = text_of(docs).select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), F.xxhash64("doc_id", "text").alias("mark"), "text")
-    return whole.select("ord", "mark", "text")
+    """(ord, mark, text, doc_id): the place of the doc_id, with null as the greatest, and a name of the row."""
+    return text_of(docs).select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), F.xxhash64("doc_id", "text").alias("mark"), "text", "doc_id")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(ord, mark, spans): for each row of ``_marked`` documents that repeats something, the places
     (at, n, bits) of super-k-mers; bit i stands for the window at word at + i."""
-    runs = stored(docs.mapInArrow(_runs, "ord long, mark long, at int, n int, key long, a long, b long"), "runs")
-    strings = stored(runs.groupBy("key", "a", "b").agg(F.min("ord").alias("first"), F.max("ord").alias("last")), "strings")
+    runs = stored(docs.select("ord", "mark", "text").mapInArrow(_runs, "ord long, mark long, at int, n int, key long, name long"), "runs")
+    holder = F.min_by("mark", "ord").alias("mark")
+    strings = stored(runs.groupBy("key", "name").agg(F.min("ord").alias("first"), F.max("ord").alias("last"), holder), "strings")
     # Where all strings of a minimiser come from one document, none can repeat another's window.
     buckets = strings.groupBy("key").agg(F.count("*").alias("size"), F.min("first").alias("lo"), F.max("last").alias("hi"))
-    buckets = buckets.where("size > 1 and lo < hi").select("key", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    wanted = strings.join(buckets, "key").select("key", "a", "b", F.col("first").alias("ord"), "blocks")
-    block = F.pmod(F.xxhash64("a", "b"), F.col("blocks")).cast("int").alias("block")
-    place = F.struct("at", "n", "key", block, "a", "b", "blocks")
-    wanted = runs.join(wanted, ["key", "a", "b", "ord"]).groupBy("ord", "mark").agg(F.collect_set(place).alias("wanted"))
+    buckets = stored(buckets.where("size > 1 and lo < hi").select("key", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")), "buckets")
+    block = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int").alias("block")
+    wanted = strings.join(buckets, "key").select(F.col("first").alias("ord"), "mark", F.struct("key", "name", block, "blocks").alias("x"))
+    wanted = stored(wanted.groupBy("ord", "mark").agg(F.collect_list("x").alias("wanted")), "wanted")
     packed = docs.join(wanted, ["ord", "mark"]).select("ord", "text", "wanted").mapInArrow(_packed, _PACKED)
-    found = packed.repartition("key", "block").sortWithinPartitions("key", "block", "a", "b").mapInArrow(_buckets, _FOUND)
+    found = packed.repartition("key", "block").sortWithinPartitions("key", "block", "name").mapInArrow(_buckets, _FOUND)
     found = stored(found, "windows")
 
     windows = found.where("wa is not null")
     holders = windows.groupBy("wa", "wb").agg(F.min("first").alias("least"))
-    again = windows.join(holders, ["wa", "wb"]).where("least < first").select("key", "a", "b", F.expr("shiftleft(1L, at)").alias("mask"))
-    masks = found.where("mask is not null").select("key", "a", "b", "mask").unionAll(again)
-    masks = masks.groupBy("key", "a", "b").agg(F.bit_or("mask").alias("mask"))
-    told = strings.join(masks, ["key", "a", "b"], "left").where("last > first or mask is not null").drop("last")
-    # A later holder of a string repeats all of its windows, the first holder those that the mask names.
-    bits = F.when(F.col("ord") > F.col("first"), F.lit(-1).cast("long")).otherwise(F.col("mask")).alias("bits")
-    places = runs.join(told, ["key", "a", "b"]).select("ord", "mark", "at", "n", bits).where("bits is not null")
+    again = windows.join(holders, ["wa", "wb"]).where("least < first").select("key", "name", F.expr("shiftleft(1L, at)").alias("mask"))
+    masks = found.where("mask is not null").select("key", "name", "mask").unionAll(again)
+    masks = masks.groupBy("key", "name").agg(F.bit_or("mask").alias("mask"))
+    # A later holder of a string repeats all of its windows; every holder those that a mask names.
+    told = strings.where("last > first").select("key", "name", "first", F.lit(-1).cast("long").alias("bits"))
+    told = told.unionAll(masks.select("key", "name", F.lit(None).cast("long"), "mask"))
+    places = runs.join(told, ["key", "name"]).where("first is null or ord > first").select("ord", "mark", "at", "n", "bits")
     return places.groupBy("ord", "mark").agg(F.collect_set(F.struct("at", "n", "bits")).alias("spans"))
 
 
@@ -271,9 +268,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, text): one row per row of ``docs``; ``text`` is what is left, words
     joined by one space."""
     marked = _marked(docs)
-    again = repeats(marked)
-    whole = text_of(docs).withColumns({"ord": F.coalesce("doc_id", F.lit(_LAST)), "mark": F.xxhash64("doc_id", "text")})
-    rows = whole.join(again, ["ord", "mark"], "left").select("doc_id", "text", "spans")
+    rows = marked.join(repeats(marked), ["ord", "mark"], "left").select("doc_id", "text", "spans")
     return rows.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
 
 
