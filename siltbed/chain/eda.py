@@ -4,8 +4,8 @@ Tables follow one naming: ``blocks(number, timestamp)``, ``transactions(hash, bl
 transaction_index, from_address, to_address, value, gas_price)``, ``receipts(transaction_hash,
 gas_used)``, ``token_transfers(token_address, from_address, to_address, value, transaction_hash,
 block_number)``, ``tokens(address, symbol)``, ``contracts(address, is_erc20)``,
-``prices(token_address, date, price_usd)``. Amounts are whole wei in DECIMAL(38,0). They are summed in
-two parts, whole ether and the wei left over, so no sum passes 38 digits and none is rounded.
+``prices(token_address, date, price_usd)``. Amounts are whole wei in DECIMAL(38,0), or text of digits where
+they are longer. Balances are summed in limbs (``functions.amounts``), so none is rounded at any size.
 
 Wherever a popular address or token could crowd one task, rows are counted per key first and only
 the counts are joined or ranked.
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltbed.functions import amounts
 from siltbed.operators.ordering import row_number_within, top_k
 
 BLOCK_SECONDS = 15
@@ -109,11 +110,6 @@ def _parts(amount: str) -> tuple[Column, Column]:
     return ((wei - rest).cast(WEI) / _unit()).cast("DECIMAL(20,0)"), rest.cast("DECIMAL(18,0)")
 
 
-def _joined(whole: str, rest: str) -> Column:
-    """The amount of two summed parts; NULL where it has more than 38 digits, which no part loses."""
-    return F.try_add(F.try_multiply(F.col(whole).cast("DECIMAL(38,0)"), _unit()).cast(WEI), F.col(rest).cast(WEI)).cast(WEI)
-
-
 def ether_volume(transactions: DataFrame) -> DataFrame:
     """Total value in ether.
 
@@ -137,48 +133,58 @@ def max_transfers_in_transaction(transfers: DataFrame) -> DataFrame:
     return n.agg(F.max("n").alias("max_transfers"))
 
 
+def _digits(transfers: DataFrame) -> Column:
+    """The amounts as digits: as the ETL keeps them, or those of a DECIMAL(38,0) ``value``."""
+    value = F.col("value").cast(WEI).cast("string")
+    return F.coalesce("digits", value) if "digits" in transfers.columns else value
+
+
 def movements(transfers: DataFrame) -> DataFrame:
-    """Each transfer as one gain and one loss: (address, token_address, date, whole, rest, sign). One scan.
+    """Each transfer as one gain and one loss: (address, token_address, date, signed limbs). One scan."""
+    side = lambda address, sign: F.struct(F.col(address).alias("address"), F.lit(sign).cast("bigint").alias("sign"))
+    cut = transfers.select("to_address", "from_address", "token_address", "date", *amounts.limbs(_digits(transfers)))
+    both = cut.select("token_address", "date", *amounts.NAMES, F.inline(F.array(side("to_address", 1), side("from_address", -1))))
+    return both.select("address", "token_address", "date", *((F.col(n) * F.col("sign")).alias(n) for n in amounts.NAMES))
+
+
+def _summed(names: list[str]) -> list[Column]:
+    return [F.sum(n).alias(n) for n in names]
 
-    The two parts of an amount are short enough to be negated without loss.
-    """
-    whole, rest = _parts("value")
-    side = lambda address, sign: F.struct(
-        F.col(address).alias("address"),
-        (whole * F.lit(sign)).cast("DECIMAL(20,0)").alias("whole"),
-        (rest * F.lit(sign)).cast("DECIMAL(18,0)").alias("rest"),
-    )
-    return transfers.select("token_address", "date", F.inline(F.array(side("to_address", 1), side("from_address", -1))))
+
+def _with_amounts(rows: DataFrame, name: str, limbs: list[str]) -> DataFrame:
+    """``name`` as DECIMAL(38,0), NULL beyond 38 digits, and ``<name>_digits`` exact at any size."""
+    digits = rows.withColumn(f"{name}_digits", amounts.text([F.col(n) for n in limbs])).drop(*limbs)
+    return digits.withColumn(name, amounts.decimal(F.col(f"{name}_digits")))
 
 
 def balance_on(transfers: DataFrame, day: date | str, address: Column | None = None) -> DataFrame:
     """Token balances at the end of a day; ``address`` is an optional predicate on it.
 
-    ``whole`` and ``rest`` are exact at any size; ``balance`` is their sum, NULL beyond 38 digits.
+    ``balance_digits`` is exact at any size; ``whole`` and ``rest`` are its whole ether and the wei left over,
+    ``balance`` is the number itself, NULL beyond 38 digits.
     """
     moves = movements(transfers).where(F.col("date") <= F.lit(str(day)).cast("date"))
     if address is not None:
         moves = moves.where(address)
-    sums = moves.groupBy("address", "token_address").agg(F.sum("whole").alias("whole"), F.sum("rest").alias("rest"))
-    return sums.withColumn("balance", _joined("whole", "rest"))
+    sums = _with_amounts(moves.groupBy("address", "token_address").agg(*_summed(amounts.NAMES)), "balance", amounts.NAMES)
+    whole, rest = amounts.parts(F.col("balance_digits"))
+    return sums.withColumns({"whole": whole, "rest": rest})
 
 
 def balance_history(transfers: DataFrame) -> DataFrame:
-    """Balance after each day on which it moved, with the day's change; parts as in ``balance_on``.
+    """Balance after each day on which it moved, with the day's change; amounts as in ``balance_on``.
 
     Moves are first summed per day, so one window holds at most one row per day.
     """
-    daily = movements(transfers).groupBy("address", "token_address", "date").agg(
-        F.sum("whole").cast("DECIMAL(28,0)").alias("whole"), F.sum("rest").cast("DECIMAL(28,0)").alias("rest")
-    )
+    daily = movements(transfers).groupBy("address", "token_address", "date").agg(*_summed(amounts.NAMES))
     upto = (
         Window.partitionBy("address", "token_address")
         .orderBy("date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    changed = daily.withColumn("change", _joined("whole", "rest"))
-    summed = changed.withColumns({c: F.sum(c).over(upto) for c in ("whole", "rest")})
-    return summed.withColumn("balance", _joined("whole", "rest"))
+    so_far = [f"total_{n}" for n in amounts.NAMES]
+    summed = daily.withColumns({t: F.sum(n).over(upto) for t, n in zip(so_far, amounts.NAMES)})
+    return _with_amounts(_with_amounts(summed, "change", amounts.NAMES), "balance", so_far)
 
 
 def per_day(rows: DataFrame, time: str, name: str = "n") -> DataFrame:
@@ -190,10 +196,14 @@ def with_price(balances: DataFrame, prices: DataFrame, tokens: DataFrame, amount
 
     A balance counts the token's smallest unit, of which 10 ** decimals make one token. A token that is
     not listed, or without decimals, counts as it is. A day that the feed prices several times has the
-    greatest of its prices; a token listed several times has the most of its decimals.
+    greatest of its prices; a token listed several times has the most of its decimals. A balance beyond 38
+    digits counts by its ``balance_digits``. Worth is a DOUBLE: about 15 digits of it are exact.
     """
     feed = prices.groupBy("token_address", "date").agg(F.max("price_usd").alias("price_usd"))
     places = tokens.groupBy(F.col("address").alias("token_address")).agg(F.max("decimals").cast("int").alias("decimals"))
     joined = balances.join(feed, ["token_address", "date"], "left").join(places, "token_address", "left")
     units = F.pow(F.lit(10.0), F.coalesce("decimals", F.lit(0)))
-    return joined.withColumn("usd", F.col(amount).cast("double") / units * F.col("price_usd"))
+    held = F.col(amount).cast("double")
+    if f"{amount}_digits" in balances.columns:
+        held = F.coalesce(held, F.col(f"{amount}_digits").cast("double"))
+    return joined.withColumn("usd", held / units * F.col("price_usd"))

@@ -2,8 +2,8 @@
 
 A window over one hot key is one task. Two ways around it are used here:
 
-* a *grain* (a day, an hour) splits each key's series, and a one-row-per-grain summary supplies
-  the values that cross a grain's edge;
+* places from a sample cut the series of a key with many rows into ranges, and the first and last row
+  of each range supply the values that cross its edge;
 * a range partitioning on the whole sort key, where each range knows how many rows precede it.
 """
 
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from siltbed.scratch import materialize
@@ -20,104 +21,93 @@ from siltbed.scratch import materialize
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position below
 
 
-GRAINS = ("day", "hour", "minute", "second")
-ROWS_PER_CELL = 5_000_000  # what one task may sort comfortably
+#: Sampled rows for each shuffle partition; a key with twice as many is cut into ranges.
+_SAMPLED = 20
 
 
-def suggest_grain(df: DataFrame, key: str, time: str, rows: int = ROWS_PER_CELL) -> str:
-    """The coarsest grain in which no key has more than ``rows`` rows (else the finest)."""
-    for grain in GRAINS[:-1]:
-        cells = df.groupBy(key, F.date_trunc(grain, F.col(time))).agg(F.count("*").alias("n"))
-        if (cells.agg(F.max("n")).first()[0] or 0) <= rows:
-            return grain
-    return GRAINS[-1]
+def _hot_cuts(rows: DataFrame, key: str, order: Column) -> dict:
+    """Key -> places (values of ``order``) that cut its series, for keys that are more than a task's share.
 
+    A sample of ``_SAMPLED`` rows for each shuffle partition; every key of at least twice as many sampled
+    rows gets a cut after each ``_SAMPLED``. So there are fewer cuts than partitions, whatever the data.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    picked = rows.select(F.col(key).alias("k"), order.alias("o")).orderBy(F.rand(11)).limit(_SAMPLED * parts)
+    sampled: dict = {}
+    for r in picked.collect():
+        sampled.setdefault(r["k"], []).append(r["o"])
+    return {k: sorted(o, key=_nulls_first)[_SAMPLED::_SAMPLED] for k, o in sampled.items() if len(o) >= 2 * _SAMPLED}
 
-def neighbours(
-    df: DataFrame,
-    key: str,
-    time: str,
-    value: str,
-    tie: Sequence[str] = (),
-    grain: str = "day",
-    prev_name: str = "prev_amt",
-    next_name: str = "next_amt",
-) -> DataFrame:
-    """Previous and next ``value`` of the same key in time order.
 
-    Rows without key or time have no place in a series and are left out. The work per task is
-    bounded by one key's rows in one grain; the second window sees at most two rows, the first and
-    the last, of each key and grain. Both branches read one and the same shuffle.
-    """
-    cell = F.date_trunc(grain, F.col(time))
-    rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn("_cell", cell)
-    within = Window.partitionBy(key, "_cell").orderBy(time, *tie)
-    across = Window.partitionBy(key).orderBy(time, *tie)
-    # A struct is NULL only where there is no neighbour; its field may be NULL where the
-    # neighbour's own value is.
-    boxed = F.struct(F.col(value).alias("v"))
-    inside = rows.withColumns({"_p": F.lag(boxed).over(within), "_n": F.lead(boxed).over(within)})
-    at_edge = F.col("_p").isNull() | F.col("_n").isNull()
-    edges = inside.where(at_edge).withColumns(
-        {
-            "_p": F.coalesce("_p", F.lag(boxed).over(across)),
-            "_n": F.coalesce("_n", F.lead(boxed).over(across)),
-        }
-    )
-    return (
-        inside.where(~at_edge)
-        .unionAll(edges)
-        .select(*df.columns, F.col("_p.v").alias(prev_name), F.col("_n.v").alias(next_name))
-    )
+def _nulls_first(place: tuple) -> tuple:
+    return tuple((x is not None, x) for x in place)
 
 
-def neighbours_of(
+def _cells(rows: DataFrame, key: str, order: Column, cuts: dict) -> DataFrame:
+    """``rows`` with ``_cell``, the number of the key's cuts at or before the row's place."""
+    if not cuts:
+        return rows.withColumn("_cell", F.lit(0))
+    place = rows.select(order.alias("o")).schema["o"].dataType
+    fields = StructType([StructField("_hot", rows.schema[key].dataType), StructField("_cuts", ArrayType(place))])
+    known = rows.sparkSession.createDataFrame([(k, [tuple(c) for c in v]) for k, v in cuts.items()], fields)
+    # Fewer cuts than shuffle partitions in all.
+    joined = rows.join(F.broadcast(known), F.col(key) == F.col("_hot"), "left")
+    passed = F.size(F.filter("_cuts", lambda c: c <= order))
+    return joined.withColumn("_cell", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).drop("_hot", "_cuts")
+
+
+def _carried(cells: DataFrame, key: str, value: str, order: Column, cuts: dict) -> DataFrame:
+    """(key, cell, value before the cell, value after it) of the cut keys: one row per cell."""
+    ends = (
+        cells.where(F.col(key).isin(list(cuts)))
+        .groupBy(F.col(key).alias("k"), "_cell")
+        .agg(F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"))
+    )
+    per_key: dict = {}
+    for r in sorted(ends.collect(), key=lambda r: r["_cell"]):
+        per_key.setdefault(r["k"], []).append(r)
+    rows = [
+        (k, r["_cell"], own[i - 1]["last"] if i else None, own[i + 1]["first"] if i + 1 < len(own) else None)
+        for k, own in per_key.items()
+        for i, r in enumerate(own)
+    ]
+    kind = cells.schema[value].dataType
+    names = [("_hot", cells.schema[key].dataType), ("_at", IntegerType()), ("_before", kind), ("_after", kind)]
+    return cells.sparkSession.createDataFrame(rows, StructType([StructField(n, t) for n, t in names]))
+
+
+def neighbours(
     df: DataFrame,
-    wanted: Column,
     key: str,
     time: str,
     value: str,
     tie: Sequence[str] = (),
-    grain: str = "day",
     prev_name: str = "prev_amt",
     next_name: str = "next_amt",
 ) -> DataFrame:
-    """``neighbours`` of the rows that satisfy ``wanted`` only, for when they are few.
+    """Previous and next ``value`` of the same key in the order of (time, tie).
 
-    Only cells (a key in one grain) with a wanted row are shuffled and sorted. Of all other rows no
-    more than the first and last value of each cell is needed, which is an aggregate without any
-    sort, taken over the keys that have a wanted row.
+    Rows without key or time have no place in a series and are left out. A key that holds more than a
+    task's share of a sample is cut into ranges of its own order, each of which is sorted by a task of its
+    own; the first and last row of each range, carried over by the driver (fewer than twice the shuffle
+    partitions), join them. All rows are shuffled and sorted once; a table without such keys is not read
+    again. The sample, and the edges if there are cuts, are read when this is called.
     """
-    rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn(
-        "_cell", F.date_trunc(grain, F.col(time))
-    )
-    cells = rows.where(wanted).select(key, "_cell").distinct()
+    rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    order = F.struct(time, *tie)
+    cuts = _hot_cuts(rows, key, order)
+    cells = _cells(rows, key, order, cuts)
     within = Window.partitionBy(key, "_cell").orderBy(time, *tie)
+    # A struct is NULL only where the range has no such row; its field may be NULL where the value is.
     boxed = F.struct(F.col(value).alias("v"))
-    inside = (
-        rows.join(cells, [key, "_cell"], "left_semi")
-        .withColumns({"_p": F.lag(boxed).over(within), "_n": F.lead(boxed).over(within)})
-        .where(wanted)
-    )
-
-    order = F.struct(time, *tie) if tie else F.col(time)
-    ends = (
-        rows.join(cells.select(key).distinct(), key, "left_semi")
-        .groupBy(key, "_cell")
-        .agg(F.min_by(value, order).alias("_first"), F.max_by(value, order).alias("_last"))
-    )
-    across = Window.partitionBy(key).orderBy("_cell")
-    ends = ends.select(
-        key,
-        "_cell",
-        F.lag(F.struct(F.col("_last").alias("v"))).over(across).alias("_before"),
-        F.lead(F.struct(F.col("_first").alias("v"))).over(across).alias("_after"),
-    )
-    return inside.join(ends, [key, "_cell"]).select(
-        *df.columns,
-        F.coalesce("_p", "_before")["v"].alias(prev_name),
-        F.coalesce("_n", "_after")["v"].alias(next_name),
-    )
+    sided = cells.withColumns({"_p": F.lag(boxed).over(within), "_n": F.lead(boxed).over(within)})
+    before, after = F.col("_p.v"), F.col("_n.v")
+    if cuts:
+        edges = _carried(cells, key, value, order, cuts)
+        sided = sided.join(F.broadcast(edges), (F.col(key) == F.col("_hot")) & (F.col("_cell") == F.col("_at")), "left")
+        before = F.when(F.col("_p").isNull(), F.col("_before")).otherwise(before)
+        after = F.when(F.col("_n").isNull(), F.col("_after")).otherwise(after)
+    return sided.select(*df.columns, before.alias(prev_name), after.alias(next_name))
 
 
 def _ranged(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.functions.columns import midpoint
-from siltbed.operators.ordering import neighbours, neighbours_of
+from siltbed.operators.ordering import neighbours
 
 
 def interpolate_neighbors(
@@ -15,20 +15,13 @@ def interpolate_neighbors(
     time: str = "eventtime",
     value: str = "heartrate",
     tie: tuple[str, ...] = (),
-    grain: str = "day",
-    few: bool = False,
 ) -> DataFrame:
     """Broken (negative) readings with the mean of the readings before and after them.
 
     A reading at the end of its key's series has one neighbour only and becomes NULL; a
-    neighbour that is itself broken is used as it is. ``few`` says that broken readings are rare;
-    the result is the same, but most readings are then never shuffled.
+    neighbour that is itself broken is used as it is.
     """
-    broken = F.col(value) < 0
-    if few:
-        sided = neighbours_of(readings, broken, key, time, value, tie, grain)
-    else:
-        sided = neighbours(readings, key, time, value, tie, grain).where(broken)
+    sided = neighbours(readings, key, time, value, tie).where(F.col(value) < 0)
     return sided.select(
         *[
             midpoint("prev_amt", "next_amt").alias(c) if c == value else F.col(c)
@@ -43,13 +36,12 @@ def repaired(
     time: str = "eventtime",
     value: str = "heartrate",
     tie: tuple[str, ...] = (),
-    grain: str = "day",
 ) -> DataFrame:
     """All readings, broken ones replaced: the repair of a table that is not stored yet.
 
     Same result as merging ``interpolate_neighbors`` back, without the join.
     """
-    sided = neighbours(readings, key, time, value, tie, grain)
+    sided = neighbours(readings, key, time, value, tie)
     fixed = F.when(F.col(value) < 0, midpoint("prev_amt", "next_amt")).otherwise(F.col(value))
     placed = sided.select(*[fixed.alias(c) if c == value else F.col(c) for c in readings.columns])
     unplaced = readings.where(F.col(key).isNull() | F.col(time).isNull())

@@ -6,7 +6,8 @@ Every fact about a commit is a directory name, so as-of reads, history and "was
 already written" prune by directory and read no data they do not need.
 
 Each commit also holds the table's schema (``_schema``, a line of JSON that readers of data skip), since
-types cannot be told from folder names: a partition named 007 may be text.
+types cannot be told from folder names: a partition named 007 may be text. It may hold ``_marks``, the
+64-bit hashes of its rows, by which a merge finds the commits that may know a row without reading them.
 
 One writer per table at a time. A commit is written to a staging folder beside the table and moved
 into it in one rename, so a lost driver leaves no half commit behind.
@@ -16,14 +17,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from siltbed.operators.schemas import SchemaMismatch, enforce, evolved, from_ddl
-from siltbed.sources.paths import file_system, glob
+from siltbed.sources.paths import exists, file_system, glob, read_text, write_text
 from siltbed.sources.readers import table_stream
 
 COMMIT_COLUMNS = ["commit_v", "_op", "_source", "_batch_id"]
@@ -63,7 +65,7 @@ def table_schema(spark: SparkSession, table: str) -> StructType | None:
     dirs = commit_dirs(spark, table)
     if not dirs:
         return None
-    return StructType.fromJson(json.loads(spark.read.text(f"{dirs[-1]}/_schema").first()[0]))
+    return StructType.fromJson(json.loads(read_text(spark, f"{dirs[-1]}/_schema")))
 
 
 def last_batch(spark: SparkSession, table: str, source: str) -> int | None:
@@ -72,6 +74,26 @@ def last_batch(spark: SparkSession, table: str, source: str) -> int | None:
     return max((int(f.rstrip("/").rsplit("_batch_id=", 1)[1]) for f in found), default=None)
 
 
+def changed_partitions(
+    spark: SparkSession, table: str, column: str, after: int = -1, upto: int | None = None, op: str = "*"
+) -> list[str | None]:
+    """Values of a partition column that commits after ``after`` and up to ``upto`` hold rows of, as text;
+    None for NULL. Folder names are the manifest: no file is opened."""
+    found = set()
+    for path in glob(spark, f"{table}/commit_v=*/_op={op}/_source=*/_batch_id=*/{column}=*"):
+        if after < _version_of(path) and (upto is None or _version_of(path) <= upto):
+            value = unquote(path.rstrip("/").rsplit(f"/{column}=", 1)[1])
+            found.add(None if value == "__HIVE_DEFAULT_PARTITION__" else value)
+    return sorted(found, key=lambda v: (v is not None, v))
+
+
+def in_partitions(column: str, values: Iterable[str | None]) -> Column:
+    """True for the rows in these partitions, never NULL; Spark prunes folders by it."""
+    values = list(values)
+    named = F.coalesce(F.col(column).cast("string").isin([v for v in values if v is not None]), F.lit(False))
+    return named | F.col(column).isNull() if None in values else named
+
+
 def _nullable(fields: Sequence[StructField]) -> StructType:
     """As read back from files, where every column may be NULL."""
     return StructType([StructField(f.name, f.dataType, True) for f in fields])
@@ -88,6 +110,7 @@ def commit(
     evolve: bool = False,
     skip_empty: bool = False,
     cluster: bool = True,
+    marks: Sequence[str] = (),
 ) -> int | None:
     """Write ``df`` as the next commit and return its number.
 
@@ -98,6 +121,7 @@ def commit(
     ``cluster`` brings the rows of one table partition together before the write, so that files
     do not number tasks times partitions. It is a rebalance, which adaptive execution splits
     again where one partition is large. Switch it off where a batch has few partition values.
+    ``marks`` names columns whose hash is stored with the commit (see ``holders``).
     """
     spark = df.sparkSession
     written = last_batch(spark, table, source)
@@ -113,12 +137,15 @@ def commit(
     rows = df.hint("rebalance", *partition_by) if partition_by and cluster else df
     rows.write.partitionBy(*partition_by).parquet(f"{staging}/{home}")
     fields = sorted(df.schema, key=lambda f: f.name in partition_by)
-    stored = spark.createDataFrame([(_nullable(fields).json(),)], "value STRING")
-    stored.coalesce(1).write.text(f"{staging}/commit_v={version}/_schema")
+    write_text(spark, f"{staging}/commit_v={version}/_schema", _nullable(fields).json())
     fs, staged = file_system(spark, staging)
     try:
-        if skip_empty and spark.read.schema(df.schema).parquet(f"{staging}/{home}").isEmpty():
+        written_rows = spark.read.schema(df.schema).parquet(f"{staging}/{home}")
+        if skip_empty and written_rows.isEmpty():
             return None
+        if marks:
+            hashes = written_rows.select(F.xxhash64(*marks).alias("h")).distinct()
+            hashes.sortWithinPartitions("h").write.parquet(f"{staging}/commit_v={version}/_marks")
         fs.mkdirs(file_system(spark, table)[1])
         moved = fs.rename(
             file_system(spark, f"{staging}/commit_v={version}")[1],
@@ -154,6 +181,21 @@ def read_commits(
     return df if as_of is None else df.where(F.col("commit_v") <= as_of)
 
 
+def holders(spark: SparkSession, table: str, rows: DataFrame, marks: Sequence[str]) -> list[int]:
+    """Numbers of the commits that may hold one of ``rows``, judged by ``marks``: those with an equal
+    64-bit hash, and all that were written without marks. Reads 8 bytes for each stored row."""
+    dirs = commit_dirs(spark, table)
+    marked = [d for d in dirs if exists(spark, f"{d}/_marks")]
+    unknown = [_version_of(d) for d in dirs if d not in set(marked)]
+    if not marked:
+        return unknown
+    wanted = rows.select(F.xxhash64(*marks).alias("h")).distinct()
+    stored = spark.read.schema("h BIGINT").parquet(*(f"{d}/_marks" for d in marked))
+    number = F.regexp_extract("_metadata.file_path", r"commit_v=(\d+)/_marks", 1).cast("int")
+    found = stored.select("h", number.alias("v")).join(wanted, "h").select("v").distinct()
+    return sorted([*unknown, *(r["v"] for r in found.collect())])
+
+
 def current_rows(commits: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The visible rows: for each key, its newest update and whatever was appended after it.
 
@@ -180,15 +222,33 @@ def read_as_of(
     table: str,
     version: int | None = None,
     keys: Sequence[str] = (),
+    within: str | None = None,
+    only: Iterable[str | None] | None = None,
 ) -> DataFrame:
-    """Table contents as of a commit (default: now). Tables with updates need their key."""
+    """Table contents as of a commit (default: now). Tables with updates need their key.
+
+    ``within`` names a partition column that all rows of one key share (the day of an event time in the
+    key). Then only the partitions that an update commit holds rows of are joined with their updates, and
+    all others are plain scans. ``only`` restricts the read to some of its values, given as text."""
     if version is not None and version > latest_version(spark, table):
         raise ValueError(f"{table} has no commit {version}")
     commits = read_commits(spark, table, version)
-    # The filter is on a folder name: without update commits no file is left to look into.
-    if keys and not commits.where(F.col("_op") == "update").isEmpty():
-        return current_rows(commits, keys)
-    return commits.drop(*COMMIT_COLUMNS)
+    if only is not None:
+        commits = commits.where(in_partitions(within, only))
+    plain = commits.drop(*COMMIT_COLUMNS)
+    if not keys:
+        return plain
+    if within is None:
+        updates = glob(spark, f"{table}/commit_v=*/_op=update")
+        updated = any(version is None or _version_of(u) <= version for u in updates)
+        return current_rows(commits, keys) if updated else plain
+    touched = changed_partitions(spark, table, within, upto=version, op="update")
+    if only is not None:
+        touched = [v for v in touched if v in set(only)]
+    if not touched:
+        return plain
+    changed = in_partitions(within, touched)
+    return current_rows(commits.where(changed), keys).unionByName(commits.where(~changed).drop(*COMMIT_COLUMNS))
 
 
 def history(commits: DataFrame, version: str | Column, *extra: Column) -> DataFrame:
@@ -217,11 +277,14 @@ def table_history(spark: SparkSession, table: str) -> DataFrame:
 __all__ = [
     "COMMIT_COLUMNS",
     "SchemaMismatch",
+    "changed_partitions",
     "commit",
     "commit_dirs",
     "create_table",
     "current_rows",
     "history",
+    "holders",
+    "in_partitions",
     "last_batch",
     "latest_version",
     "read_as_of",

@@ -404,11 +404,11 @@ def _(spark, sf):
        WHERE hr < 0""",
 )
 def _(spark, sf):
-    """Only the highest values are broken here, so few cells need sorting."""
+    """Only the highest values are broken here."""
     e = table(spark, sf, "events").select(
         "event_id", "user_id", "ts", (F.lit(200) - F.col("value")).alias("hr")
     )
-    out = repair.interpolate_neighbors(e, "user_id", "ts", "hr", tie=("event_id",), few=True)
+    out = repair.interpolate_neighbors(e, "user_id", "ts", "hr", tie=("event_id",))
     return out.select("event_id", r6("hr").alias("hr"))
 
 

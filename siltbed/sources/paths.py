@@ -20,3 +20,22 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
 def exists(spark: SparkSession, path: str) -> bool:
     fs, location = file_system(spark, path)
     return fs.exists(location)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written by the driver without a Spark job."""
+    fs, location = file_system(spark, path)
+    out = fs.create(location, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, location = file_system(spark, path)
+    stream = fs.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

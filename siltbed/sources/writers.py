@@ -2,16 +2,58 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.sources.paths import exists, file_system
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, location = file_system(spark, source)
+    if not fs.rename(location, file_system(spark, target)[1]):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the table at ``path`` by ``df``, which may read that table, and return it.
+
+    All rows are written beside the table first; it then changes by renames of whole folders. Up to the
+    first of them a failure leaves the table as it was. If the driver dies between the two, the table lies
+    at ``path.previous``, where ``published`` finds it, until the next ``publish`` is through.
+    """
+    spark, previous = df.sparkSession, f"{path}.previous"
+    staging = f"{path}.staging/{uuid.uuid4().hex[:12]}"
+    fs, staged = file_system(spark, f"{path}.staging")
+    try:
+        df.write.partitionBy(*partition_by).parquet(staging)
+        if exists(spark, path):
+            fs.delete(file_system(spark, previous)[1], True)
+            _move(spark, path, previous)
+        try:
+            fs.mkdirs(file_system(spark, path)[1].getParent())
+            _move(spark, staging, path)
+        except Exception:
+            if exists(spark, previous) and not exists(spark, path):
+                _move(spark, previous, path)
+            raise
+        fs.delete(file_system(spark, previous)[1], True)
+    finally:
+        fs.delete(staged, True)
+    return spark.read.parquet(path)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` as last published, also where a lost driver left it between two renames."""
+    return spark.read.parquet(path if exists(spark, path) else f"{path}.previous")
+
 
 def overwrite_path(
     df: DataFrame, path: str, partition_by: Sequence[str] = ()
 ) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    publish(df, path, partition_by)
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

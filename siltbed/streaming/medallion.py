@@ -12,13 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.operators import aggregates, merge, ordering, repair, transforms, versions
+from siltbed.functions.columns import midpoint
+from siltbed.operators import merge, ordering, transforms, versions
 from siltbed.sources import readers, writers
+from siltbed.streaming import daily
 from siltbed.streaming.control import finish
 from siltbed.streaming.sinks import append_writer
 
 READING_KEY = ["device_id", "eventtime"]
-FEW_BROKEN = 0.01  # below this share only the surroundings of broken readings are sorted
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,10 @@ class Layers:
     def silver(self) -> str:
         return f"{self.root}/silver"
 
+    @property
+    def daily(self) -> str:
+        return f"{self.root}/daily"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
@@ -58,7 +63,7 @@ def raw_to_bronze(spark: SparkSession, layers: Layers) -> None:
     lines = transforms.ingest_metadata(readers.text_stream(spark, layers.raw))
     writer = append_writer(
         lines, layers.bronze, layers.checkpoint("bronze"), "write_raw_to_bronze",
-        partition_by=["p_ingestdate"], schema=transforms.BRONZE_SCHEMA, cluster=False,
+        partition_by=["p_ingestdate"], schema=transforms.BRONZE_SCHEMA, cluster=False, marks=["value"],
     )
     finish(writer.trigger(availableNow=True).start(), layers.limit)
 
@@ -84,45 +89,53 @@ def bronze_to_silver(
 
 
 def merge_late(spark: SparkSession, layers: Layers, path: str, batch_id: int) -> int | None:
-    """Lines of a late file that bronze does not hold yet, as a new commit."""
+    """Lines of a late file that bronze does not hold yet, as a new commit.
+
+    Bronze stores the 64-bit hash of each line beside its commits. Only commits with a hash of the late
+    file are read, and there lines are compared as text."""
     late = transforms.ingest_metadata(readers.text_batch(spark, path))
-    bronze = versions.read_as_of(spark, layers.bronze)
-    fresh = merge.unseen_rows(bronze, late, ["value"])
+    held = versions.holders(spark, layers.bronze, late, ["value"])
+    if held:
+        known = versions.read_commits(spark, layers.bronze).where(F.col("commit_v").isin(held))
+        late = merge.unseen_rows(known, late, ["value"])
     return versions.commit(
-        fresh, layers.bronze, "late", batch_id,
-        partition_by=["p_ingestdate"], skip_empty=True, cluster=False,
+        late, layers.bronze, "late", batch_id,
+        partition_by=["p_ingestdate"], skip_empty=True, cluster=False, marks=["value"],
     )
 
 
 def silver_now(spark: SparkSession, layers: Layers, version: int | None = None) -> DataFrame:
-    return versions.read_as_of(spark, layers.silver, version, READING_KEY)
+    return versions.read_as_of(spark, layers.silver, version, READING_KEY, daily.DAY)
 
 
 def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     """Replace broken readings by the mean of their neighbours; False if there was none.
 
-    Silver is read as one fixed version, so the update stays right while streams append. The scan
-    of one column tells whether there is work at all, and how much.
+    The partial statistics (``daily``) name the days with broken readings; only these are read and sorted,
+    each device's day by itself. What stands before the first and after the last reading of a day comes
+    from the partial rows of the device's other days. Silver is read as one fixed version, so the update
+    stays right while streams append.
 
     A reading that came several times counts once: its greatest value is its value, so a sound copy
     repairs a broken one, and only a reading without any sound copy takes its neighbours' mean. All
     its copies get the same new value.
     """
-    before = versions.latest_version(spark, layers.silver)
-    silver = silver_now(spark, layers, before)
-    found = silver.agg(
-        F.count_if(F.col("heartrate") < 0).alias("broken"), F.count("*").alias("rows")
-    ).first()
-    if not found["broken"]:
+    daily.refresh(spark, layers.silver, layers.daily, READING_KEY)
+    before = versions.last_batch(spark, layers.daily, daily.SOURCE)
+    if before is None:
+        return False
+    rows = daily.current(spark, layers.daily)
+    days = daily.broken_days(rows)
+    if not days:
         return False
-    few = found["broken"] < FEW_BROKEN * found["rows"]
-    once = silver.groupBy(*READING_KEY).agg(
+    silver = versions.read_as_of(spark, layers.silver, before, READING_KEY, daily.DAY, days)
+    known = silver.where("device_id is not null and eventtime is not null")
+    once = known.groupBy(daily.DAY, *READING_KEY).agg(
         F.max("heartrate").alias("heartrate"), F.min("heartrate").alias("_least")
     )
-    grain = ordering.suggest_grain(once, *READING_KEY)
-    updates = repair.interpolate_neighbors(once, grain=grain, few=few)
-    sound = once.where("_least < 0 and heartrate >= 0")
-    updates = updates.unionByName(sound).select(*READING_KEY, "heartrate")
+    updates = day_neighbours(once, rows).where("heartrate < 0 or _least < 0")
+    fixed = F.when(F.col("heartrate") < 0, midpoint("prev_amt", "next_amt")).otherwise(F.col("heartrate"))
+    updates = updates.select(*READING_KEY, fixed.alias("heartrate"))
     changed = merge.changed_rows(silver, updates, READING_KEY, {"heartrate": "heartrate"})
     done = versions.commit(
         changed, layers.silver, "repair", before, op="update",
@@ -131,11 +144,24 @@ def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     return done is not None
 
 
+def day_neighbours(once: DataFrame, rows: DataFrame) -> DataFrame:
+    """Readings of whole days with the values before and after, those of other days from ``rows``."""
+    series = F.concat_ws("|", F.col(daily.DAY).cast("string"), F.col("device_id").cast("string"))
+    boxed = once.withColumns({"_series": series, "_box": F.struct(F.col("heartrate").alias("v"))})
+    inside = ordering.neighbours(boxed, "_series", "eventtime", "_box", prev_name="_p", next_name="_n")
+    edges = daily.beside(rows)
+    joined = inside.join(edges, (F.col("device_id") == F.col("_device")) & (F.col(daily.DAY) == F.col("_day")), "left")
+    return joined.select(
+        *once.columns, F.coalesce("_p", "_before")["v"].alias("prev_amt"), F.coalesce("_n", "_after")["v"].alias("next_amt")
+    )
+
+
 def silver_to_gold(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Per-device statistics over the visible silver rows, replacing gold."""
-    gold = aggregates.key_stats(silver_now(spark, layers), "device_id", "heartrate")
-    writers.overwrite_path(gold, layers.gold)
-    return spark.read.parquet(layers.gold)
+    """Per-device statistics over the visible silver rows, replacing gold.
+
+    Days that silver's new commits do not touch are not read: their partial statistics stand."""
+    daily.refresh(spark, layers.silver, layers.daily, READING_KEY)
+    return writers.publish(daily.stats(daily.current(spark, layers.daily)), layers.gold)
 
 
 def run_chain(spark: SparkSession, layers: Layers) -> DataFrame:

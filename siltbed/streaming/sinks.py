@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from siltbed.operators import versions
+from siltbed.sources import writers
 
 _QUERY_ID = "sql.streaming.queryId"  # set by Spark on the thread that runs a batch
 
@@ -24,6 +25,7 @@ def append_writer(
     schema: StructType | str | None = None,
     evolve: bool = False,
     cluster: bool = True,
+    marks: Sequence[str] = (),
 ) -> DataStreamWriter:
     """Named, checkpointed append stream into a commit table; call ``.start()`` on the result.
 
@@ -38,7 +40,7 @@ def append_writer(
         source = f"{name}.{checkpoint_id}" if checkpoint_id else name
         versions.commit(
             batch, table, source, batch_id,
-            partition_by=partition_by, schema=schema, evolve=evolve, cluster=cluster,
+            partition_by=partition_by, schema=schema, evolve=evolve, cluster=cluster, marks=marks,
         )
 
     return (
@@ -52,10 +54,11 @@ def append_writer(
 def complete_writer(
     stream: DataFrame, path: str, checkpoint: str, name: str
 ) -> DataStreamWriter:
-    """Aggregate stream whose whole result replaces the table on every batch."""
+    """Aggregate stream whose whole result replaces the table on every batch: a batch becomes visible at
+    once and whole, or not at all (``writers.publish``)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        writers.publish(batch, path)
 
     return (
         stream.writeStream.queryName(name)

@@ -299,3 +299,131 @@ def test_steps_wait_as_long_as_they_need_or_are_told(spark, home):
     with pytest.raises(TimeoutError, match="still runs after 1"):
         control.finish(query, 1)
     assert not query.isActive
+
+
+def readings_of(spark, days, device=1, beat=lambda i: 60.0 + i % 7, step=3600):
+    rows = []
+    for d in days:
+        for i in range(24):
+            rows.append((f'{{"device_id": {device}, "heartrate": {beat(24 * d + i)}, "name": "a", "time": {1577836800 + 86400 * d + step * i}}}',))
+    return readers.rows(spark, rows, "value STRING")
+
+
+def test_a_second_run_reads_only_the_touched_days(spark, home, monkeypatch):
+    """Gold after one more day equals a recompute; of silver only that day, and its broken neighbour, is read."""
+    from siltbed.operators import aggregates
+    from siltbed.streaming import daily
+
+    layers = medallion.Layers(f"{home}/layers")
+    beat = lambda i: -5.0 if i % 24 == 0 and i else 60.0 + i % 7  # noqa: E731  the first reading of a day is broken
+    writers.write_lines(readings_of(spark, range(6), beat=beat).coalesce(1), layers.raw)
+    medallion.run_chain(spark, layers)
+    asked = []
+    read = versions.read_as_of
+
+    def spied(spark, table, version=None, keys=(), within=None, only=None):
+        if table == layers.silver:
+            asked.append(None if only is None else list(only))
+        return read(spark, table, version, keys, within, only)
+
+    monkeypatch.setattr(versions, "read_as_of", spied)
+    writers.write_lines(readings_of(spark, [6], beat=beat).coalesce(1), layers.raw, "append")
+    gold = medallion.run_chain(spark, layers)
+    # new day: partial rows, repair, partial rows of what was repaired
+    assert asked == [["2020-01-07"]] * 3
+    monkeypatch.undo()
+    whole = aggregates.key_stats(medallion.silver_now(spark, layers), "device_id", "heartrate").first()
+    got = gold.first()
+    assert got["max_heartrate"] == whole["max_heartrate"]
+    assert abs(got["mean_heartrate"] - whole["mean_heartrate"]) < 1e-9 and abs(got["std_heartrate"] - whole["std_heartrate"]) < 1e-9
+    # the broken first reading of the new day lies between the last of the day before and its own second
+    fixed = medallion.silver_now(spark, layers).where("eventtime = '2020-01-07 00:00:00'").first()["heartrate"]
+    assert fixed == ((60.0 + 143 % 7) + (60.0 + 145 % 7)) / 2
+    assert daily.current(spark, layers.daily).count() == 7
+
+
+def test_gold_of_bad_lines_and_late_days(spark, home):
+    """A line without device or time, a device with one reading, a late day between others."""
+    from siltbed.operators import aggregates
+
+    layers = medallion.Layers(f"{home}/layers")
+    for days, extra in (([0, 3], ["not json", "{}"]), ([1], ['{"device_id": 2, "heartrate": -1.0, "name": "b", "time": 1577836800.0}']), ([3], [])):
+        lines = readings_of(spark, days).unionAll(readers.rows(spark, [(x,) for x in extra], "value STRING"))
+        writers.write_lines(lines, layers.raw, "append")
+        gold = medallion.run_chain(spark, layers)
+    want = aggregates.key_stats(medallion.silver_now(spark, layers), "device_id", "heartrate").collect()
+    key = lambda rows: {r[0]: tuple(None if x is None else round(x, 9) for x in r[1:]) for r in rows}
+    assert key(gold.collect()) == key(want)
+    assert medallion.silver_now(spark, layers).where("device_id = 1").count() == 96
+
+
+def test_partial_statistics_do_not_cancel(spark):
+    from siltbed.operators import aggregates
+    from siltbed.streaming import daily
+
+    rows = spark.range(2000).selectExpr("cast(id % 3 as int) AS device_id", "1e9 + (id % 10) * 1e-3 AS heartrate", "timestamp_seconds(id * 500) AS eventtime", "to_date(timestamp_seconds(id * 500)) AS p_eventdate")
+    got = {r["device_id"]: r for r in daily.stats(daily.partials(rows)).collect()}
+    for r in aggregates.key_stats(rows, "device_id", "heartrate").collect():
+        assert abs(got[r["device_id"]]["std_heartrate"] / r["std_heartrate"] - 1) < 1e-4
+
+
+def test_a_late_file_of_new_lines_opens_no_bronze_file(spark, home, monkeypatch):
+    layers = medallion.Layers(f"{home}/layers")
+    for day in range(3):
+        writers.write_lines(readings_of(spark, [day]), layers.raw, "append")
+        medallion.raw_to_bronze(spark, layers)
+    opened = []
+    read = versions.read_commits
+    monkeypatch.setattr(versions, "read_commits", lambda *a, **k: opened.append(a[1]) or read(*a, **k))
+    writers.write_lines(readings_of(spark, [7]), layers.late)
+    assert medallion.merge_late(spark, layers, layers.late, 0) is not None
+    assert opened == []
+    monkeypatch.undo()
+    assert versions.holders(spark, layers.bronze, readings_of(spark, [1]), ["value"]) == [1]
+    writers.write_lines(readings_of(spark, [1, 8]), f"{home}/more")
+    medallion.merge_late(spark, layers, f"{home}/more", 1)
+    assert versions.read_as_of(spark, layers.bronze).count() == 24 * 5
+    assert medallion.merge_late(spark, layers, f"{home}/more", 2) is None
+
+
+def test_a_failure_before_the_rename_leaves_the_old_table(spark, home, monkeypatch):
+    path = f"{home}/result"
+    writers.publish(spark.range(3), path)
+    move = writers._move
+
+    def lost(spark, source, target):
+        raise OSError("lost the driver here")
+
+    monkeypatch.setattr(writers, "_move", lost)
+    with pytest.raises(OSError):
+        writers.publish(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3 and writers.published(spark, path).count() == 3
+
+    def between(spark, source, target):
+        if target == path:
+            raise OSError("and here")
+        move(spark, source, target)
+
+    monkeypatch.setattr(writers, "_move", between)
+    with pytest.raises(OSError):
+        writers.publish(spark.range(9), path)
+    assert writers.published(spark, path).count() == 3
+    monkeypatch.undo()
+    assert writers.publish(writers.published(spark, path).union(spark.range(2)), path).count() == 5
+    assert writers.published(spark, path).count() == 5
+
+
+def test_a_failing_batch_of_a_complete_stream_leaves_the_old_result(spark, home, monkeypatch):
+    writers.write_lines(readings_of(spark, [0]).coalesce(1), f"{home}/raw")
+    stream = readers.text_stream(spark, f"{home}/raw").groupBy().agg(F.count("*").alias("n"))
+    run = lambda: control.finish(sinks.complete_writer(stream, f"{home}/n", f"{home}/c", "n_lines").trigger(availableNow=True).start())
+    run()
+    writers.write_lines(readings_of(spark, [1]).coalesce(1), f"{home}/raw", "append")
+    move = writers._move
+    monkeypatch.setattr(writers, "_move", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert writers.published(spark, f"{home}/n").first()["n"] == 24
+    monkeypatch.setattr(writers, "_move", move)
+    run()
+    assert writers.published(spark, f"{home}/n").first()["n"] == 48

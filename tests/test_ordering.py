@@ -33,43 +33,53 @@ def series(spark, data):
 )
 def test_neighbours(spark, points):
     data = [(i, *p) for i, p in enumerate(points)]
-    got = {
-        r["id"]: (r["prev_amt"], r["next_amt"])
-        for r in ordering.neighbours(series(spark, data), "k", "t", "v", tie=("id",)).collect()
-    }
+    before, ordering._SAMPLED = ordering._SAMPLED, 3  # so that the hot key is cut
+    try:
+        sided = ordering.neighbours(series(spark, data), "k", "t", "v", tie=("id",)).collect()
+    finally:
+        ordering._SAMPLED = before
+    got = {r["id"]: (r["prev_amt"], r["next_amt"]) for r in sided}
     want = {}
     for key in {d[1] for d in data} - {None}:
         own = sorted((d[2], d[0], d[3]) for d in data if d[1] == key and d[2] is not None)
         for i, (_t, row, _v) in enumerate(own):
             want[row] = (own[i - 1][2] if i else None, own[i + 1][2] if i + 1 < len(own) else None)
     assert got == want
-    few = ordering.neighbours_of(series(spark, data), F.col("v") < 0, "k", "t", "v", tie=("id",))
-    broken = {d[0] for d in data if d[3] is not None and d[3] < 0}
-    assert {r["id"]: (r["prev_amt"], r["next_amt"]) for r in few.collect()} == {
-        i: w for i, w in want.items() if i in broken
-    }
 
 
-def test_grain_does_not_change_the_result(spark):
+def test_cuts_do_not_change_the_result(spark, monkeypatch):
+    """A hot key of one day, with ties, is cut into many ranges or none."""
     rnd = random.Random(5)
-    data = [(i, "hot" if i % 3 else f"k{i % 11}", rnd.randrange(10**6), rnd.uniform(-20, 80)) for i in range(3000)]
+    data = [(i, "hot" if i % 3 else f"k{i % 11}", rnd.randrange(5000), rnd.uniform(-20, 80)) for i in range(3000)]
     df = series(spark, data)
-    results = [
-        sorted(map(tuple, repair.interpolate_neighbors(df, "k", "t", "v", ("id",), g).collect()))
-        for g in ("day", "hour", "minute")
-    ]
+    results = []
+    for sampled in (2, 20, 10**6):
+        monkeypatch.setattr(ordering, "_SAMPLED", sampled)
+        results.append(sorted(map(tuple, repair.interpolate_neighbors(df, "k", "t", "v", ("id",)).collect())))
     assert results[0] == results[1] == results[2]
+    monkeypatch.setattr(ordering, "_SAMPLED", 2)
     whole = repair.repaired(df, "k", "t", "v", ("id",))
     fixes = {r["id"]: r["v"] for r in repair.interpolate_neighbors(df, "k", "t", "v", ("id",)).collect()}
     assert {r["id"]: r["v"] for r in whole.collect()} == {d[0]: fixes.get(d[0], d[3]) for d in data}
 
 
-def test_suggest_grain(spark):
-    df = series(spark, [(i, "k", i * 60, 1.0) for i in range(3000)])
-    assert ordering.suggest_grain(df, "k", "t", 5000) == "day"
-    assert ordering.suggest_grain(df, "k", "t", 100) == "hour"
-    assert ordering.suggest_grain(df, "k", "t", 30) == "minute"
-    assert ordering.suggest_grain(df, "k", "t", 0) == "second"
+def test_one_device_and_day_spreads_over_tasks(spark):
+    data = [(i, "hot", i, 1.0) for i in range(20_000)]
+    cuts = ordering._hot_cuts(series(spark, data).repartition(6), "k", F.struct("t", "id"))
+    assert 4 <= len(cuts["hot"]) < 8
+    cells = ordering._cells(series(spark, data), "k", F.struct("t", "id"), cuts)
+    sizes = [r["count"] for r in cells.groupBy("_cell").count().collect()]
+    assert len(sizes) == len(cuts["hot"]) + 1 and max(sizes) < 8000
+
+
+def test_values_of_any_type_and_nulls_in_the_tie(spark):
+    rows = [(i % 2, 5, None if i % 3 else i, f"x{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "k INT, t BIGINT, tie INT, v STRING")
+    got = {r["v"]: (r["p"], r["n"]) for r in ordering.neighbours(df, "k", "t", "v", ("tie", "v"), "p", "n").collect()}
+    for key in (0, 1):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[2] is not None, r[2] or 0, r[3]))
+        for i, r in enumerate(own):
+            assert got[r[3]] == (own[i - 1][3] if i else None, own[i + 1][3] if i + 1 < len(own) else None)
 
 
 def test_row_numbers(spark):

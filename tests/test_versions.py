@@ -118,3 +118,68 @@ def test_commit_of_partitioned_rows(spark, home):
     versions.commit(df, t, "s", 0, partition_by=["k"])
     assert versions.read_as_of(spark, t).columns == ["x", "k"]  # partition columns come last
     assert versions.read_as_of(spark, t).where("k = 2").count() == 250
+
+
+def scanned_files(df):
+    """Files that the scans of an executed DataFrame read."""
+    df.collect()
+    plan, total, todo = df._jdf.queryExecution().executedPlan(), 0, []
+    todo.append(plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan)
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan"):
+            total += node.metrics().apply("numFiles").value()
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def day_table(spark, t, days=6):
+    ddl = "k INT, x STRING, day STRING"
+    for d in range(days):
+        versions.commit(rows(spark, *[(10 * d + i, "old", f"d{d}") for i in range(5)], ddl=ddl), t, "load", d, partition_by=["day"])
+    return ddl
+
+
+def test_a_read_joins_only_the_partitions_an_update_touched(spark, home):
+    t = f"{home}/t"
+    ddl = day_table(spark, t)
+    versions.commit(rows(spark, (20, "new", "d2"), (23, "new", "d2"), ddl=ddl), t, "fix", 0, op="update", partition_by=["day"])
+    now = versions.read_as_of(spark, t, keys=["k"], within="day")
+    assert values(now) == values(versions.read_as_of(spark, t, keys=["k"]))
+    assert versions.changed_partitions(spark, t, "day", op="update") == ["d2"]
+    text = now._jdf.queryExecution().toString()
+    joined = text[text.index("== Physical Plan"):].split("Initial Plan")[0]
+    assert joined.count("FileScan") == 3  # the day's rows, its updates, and all other days
+    # five other days once, and the updated day's load and fix, and the fix again for its keys
+    assert scanned_files(now) <= 5 + 2 + 2
+    assert values(versions.read_as_of(spark, t, 5, ["k"], "day").where("day = 'd2'")) == [(20 + i, "old", "d2") for i in range(5)]
+
+
+def test_reading_some_partitions_only(spark, home):
+    t = f"{home}/t"
+    ddl = day_table(spark, t)
+    versions.commit(rows(spark, (20, "new", "d2"), (None, "none", None), ddl=ddl), t, "fix", 0, op="update", partition_by=["day"])
+    assert versions.changed_partitions(spark, t, "day", after=4) == [None, "d2", "d5"]
+    one = versions.read_as_of(spark, t, keys=["k"], within="day", only=["d2", "d3"])
+    assert sorted({r["day"] for r in one.collect()}) == ["d2", "d3"] and one.where("x = 'new'").count() == 1
+    assert scanned_files(versions.read_as_of(spark, t, keys=["k"], within="day", only=["d3"])) == 1
+
+
+def test_partition_values_with_signs_are_read_back(spark, home):
+    t, ddl = f"{home}/t", "k INT, day STRING"
+    odd = ["a/b", "50%", "x=y", "2020-01-01 00:00:00"]
+    versions.commit(rows(spark, *enumerate(odd), ddl=ddl), t, "load", 0, partition_by=["day"])
+    assert versions.changed_partitions(spark, t, "day") == sorted(odd)
+
+
+def test_marks_name_the_commits_that_may_hold_a_row(spark, home):
+    t = f"{home}/t"
+    for batch in range(4):
+        versions.commit(rows(spark, (batch, f"x{batch}"), (9, "twice")), t, "s", batch, marks=["x"] if batch != 2 else [])
+    asked = lambda *x: versions.holders(spark, t, rows(spark, *[(0, v) for v in x]), ["x"])
+    assert asked("x1") == [1, 2] and asked("none", "x0", "x3") == [0, 2, 3] and asked("none") == [2]
+    assert asked("twice") == [0, 1, 2, 3]
+    assert versions.read_as_of(spark, t).count() == 8  # marks are no data
