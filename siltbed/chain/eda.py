@@ -153,8 +153,8 @@ def _summed(names: list[str]) -> list[Column]:
 
 def _with_amounts(rows: DataFrame, name: str, limbs: list[str]) -> DataFrame:
     """``name`` as DECIMAL(38,0), NULL beyond 38 digits, and ``<name>_digits`` exact at any size."""
-    digits = rows.withColumn(f"{name}_digits", amounts.text([F.col(n) for n in limbs])).drop(*limbs)
-    return digits.withColumn(name, amounts.decimal(F.col(f"{name}_digits")))
+    sums = [F.col(n) for n in limbs]
+    return rows.withColumns({name: amounts.number(sums), f"{name}_digits": amounts.text(sums)}).drop(*limbs)
 
 
 def balance_on(transfers: DataFrame, day: date | str, address: Column | None = None) -> DataFrame:

@@ -25,9 +25,16 @@ def canonical(text: Column) -> Column:
 
 
 def limbs(digits: Column) -> list[Column]:
-    """The limbs of canonical digits, named as ``NAMES``."""
+    """The limbs of canonical digits, named as ``NAMES``. Most amounts are short and are cut as numbers."""
+    short = F.when(F.length(digits) <= 2 * LIMB_DIGITS, digits).cast("bigint")
     padded = F.lpad(digits, LIMBS * LIMB_DIGITS, "0")
-    return [F.substring(padded, (LIMBS - 1 - i) * LIMB_DIGITS + 1, LIMB_DIGITS).cast("bigint").alias(n) for i, n in enumerate(NAMES)]
+    low = [short % BASE, F.floor(short / F.lit(BASE).cast("DECIMAL(10,0)")).cast("bigint")]
+    out = []
+    for i, name in enumerate(NAMES):
+        cut = F.substring(padded, (LIMBS - 1 - i) * LIMB_DIGITS + 1, LIMB_DIGITS).cast("bigint")
+        quick = low[i] if i < 2 else F.lit(0).cast("bigint")
+        out.append(F.when(F.length(digits) <= 2 * LIMB_DIGITS, quick).otherwise(cut).alias(name))
+    return out
 
 
 def _carried(sums: Sequence[Column]) -> Column:
@@ -43,22 +50,46 @@ def _carried(sums: Sequence[Column]) -> Column:
     return F.aggregate(F.array(*sums), start, step)
 
 
-def text(sums: Sequence[Column]) -> Column:
-    """The decimal digits of summed limbs, with a minus sign below zero; NULL if a limb is."""
+def _spelled(sums: Sequence[Column]) -> Column:
     signed = F.struct(_carried(sums).alias("plain"), _carried([-s for s in sums]).alias("turned"))
 
-    def spelled(both: Column) -> Column:
+    def digits_of(both: Column) -> Column:
         below = both["plain"]["carry"] < 0
         state = F.when(below, both["turned"]).otherwise(both["plain"])
         high = F.concat(F.array(state["carry"]), F.reverse(state["low"]))
         digits = F.array_join(F.transform(high, lambda x: F.lpad(x.cast("string"), LIMB_DIGITS, "0")), "")
         return F.concat(F.when(below, "-").otherwise(""), F.regexp_replace(digits, "^0+(?=[0-9])", ""))
 
+    # One element, so that both carries are computed once each.
+    return F.transform(F.array(signed), digits_of)[0]
+
+
+def _cases(sums: Sequence[Column]) -> tuple[Column, Column, Column, Column, Column]:
+    """Whether all limbs are known, whether BIGINT or DECIMAL(38,0) surely hold the sum, and it as either."""
     known = sums[0].isNotNull()
-    for s in sums[1:]:
+    two = four = F.abs(sums[0]) < BASE
+    for i, s in enumerate(sums[1:], 1):
         known = known & s.isNotNull()
-    # One element, so that both carries are computed once each.
-    return F.when(known, F.transform(F.array(signed), spelled)[0])
+        two = two & (s == 0 if i >= 2 else F.abs(s) < 9 * BASE - 9)
+        four = four & (s == 0 if i >= 4 else F.abs(s) < BASE)
+    short, scale = sums[0] + sums[1] * BASE, F.lit(str(BASE * BASE)).cast("DECIMAL(19,0)")
+    above = (sums[2] + sums[3] * BASE).cast("DECIMAL(19,0)") * scale
+    middle = (short.cast("DECIMAL(19,0)") + above.cast("DECIMAL(38,0)")).cast("DECIMAL(38,0)")
+    return known, two, four, short, middle
+
+
+def text(sums: Sequence[Column]) -> Column:
+    """The decimal digits of summed limbs, with a minus sign below zero; NULL if a limb is.
+
+    Sums that BIGINT or DECIMAL(38,0) surely hold need no carrying limb by limb."""
+    known, two, four, short, middle = _cases(sums)
+    return F.when(known, F.when(two, short.cast("string")).when(four, middle.cast("string")).otherwise(_spelled(sums)))
+
+
+def number(sums: Sequence[Column]) -> Column:
+    """Summed limbs as DECIMAL(38,0), NULL beyond 38 digits."""
+    known, two, four, short, middle = _cases(sums)
+    return F.when(known, F.when(two, short.cast("DECIMAL(38,0)")).when(four, middle).otherwise(decimal(_spelled(sums))))
 
 
 def parts(digits: Column, low: int = 18) -> tuple[Column, Column]:

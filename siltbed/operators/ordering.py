@@ -84,6 +84,7 @@ def neighbours(
     tie: Sequence[str] = (),
     prev_name: str = "prev_amt",
     next_name: str = "next_amt",
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """Previous and next ``value`` of the same key in the order of (time, tie).
 
@@ -91,11 +92,12 @@ def neighbours(
     task's share of a sample is cut into ranges of its own order, each of which is sorted by a task of its
     own; the first and last row of each range, carried over by the driver (fewer than twice the shuffle
     partitions), join them. All rows are shuffled and sorted once; a table without such keys is not read
-    again. The sample, and the edges if there are cuts, are read when this is called.
+    again. The sample, and the edges if there are cuts, are read when this is called. ``sampled`` are rows
+    to take the sample from, if ``df`` itself is costly to compute; any places cut rightly.
     """
     rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     order = F.struct(time, *tie)
-    cuts = _hot_cuts(rows, key, order)
+    cuts = _hot_cuts(rows if sampled is None else sampled, key, order)
     cells = _cells(rows, key, order, cuts)
     within = Window.partitionBy(key, "_cell").orderBy(time, *tie)
     # A struct is NULL only where the range has no such row; its field may be NULL where the value is.

@@ -144,7 +144,7 @@ def commit(
         if skip_empty and written_rows.isEmpty():
             return None
         if marks:
-            hashes = written_rows.select(F.xxhash64(*marks).alias("h")).distinct()
+            hashes = written_rows.select(F.xxhash64(*marks).alias("h"))
             hashes.sortWithinPartitions("h").write.parquet(f"{staging}/commit_v={version}/_marks")
         fs.mkdirs(file_system(spark, table)[1])
         moved = fs.rename(

@@ -6,13 +6,13 @@ rows add up to the statistics of any span, so gold is made from them; they say w
 read, and what stands beside the first and last reading of a day.
 
 ``refresh`` looks at the folder names of silver's commits since its last run and computes the days anew that
-these hold rows of, and no others. Each of its commits replaces whole days; a reader sees the newest commit
-of each day. So the work follows what is new, and a lost run is simply run again.
+these hold rows of, and no others. Each of its commits holds whole days; a reader sees the newest row of
+each day and device. So the work follows what is new, and a lost run is simply run again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -47,29 +47,41 @@ def refresh(spark: SparkSession, silver: str, daily: str, keys: list[str]) -> li
     days = versions.changed_partitions(spark, silver, DAY, after, now)
     if days:
         rows = versions.read_as_of(spark, silver, now, keys, DAY, days)
-        versions.commit(partials(rows), daily, SOURCE, now, partition_by=[DAY])
+        versions.commit(partials(rows), daily, SOURCE, now)
     return days
 
 
 def current(spark: SparkSession, daily: str) -> DataFrame:
-    """The rows of the newest commit of each day."""
+    """The newest row of each day and device. Silver loses no rows, so a day that was computed anew still has
+    all of its devices."""
     commits = versions.read_commits(spark, daily)
-    newest = commits.groupBy(F.col(DAY).alias("_day")).agg(F.max("commit_v").alias("_v"))
-    shown = commits.join(newest, F.col(DAY).eqNullSafe(F.col("_day")) & (F.col("commit_v") == F.col("_v")))
-    return shown.drop(*versions.COMMIT_COLUMNS, "_day", "_v")
+    values = [c for c in commits.columns if c not in (DAY, "device_id", *versions.COMMIT_COLUMNS)]
+    newest = commits.groupBy(DAY, "device_id").agg(F.max_by(F.struct(*values), "commit_v").alias("_newest"))
+    return newest.select(DAY, "device_id", "_newest.*")
 
 
 def stats(rows: DataFrame) -> DataFrame:
     """Mean, sample standard deviation and maximum per device, from partial rows.
 
-    Deviations of the days' means are taken from the whole mean, so nothing cancels."""
-    means = rows.groupBy(F.col("device_id").alias("_device")).agg((F.sum(F.col("n") * F.col("mean")) / F.nullif(F.sum("n"), F.lit(0))).alias("_mean"))
-    apart = F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean"))
-    summed = rows.join(means, F.col("device_id").eqNullSafe(F.col("_device"))).groupBy("device_id").agg(
-        F.sum("n").alias("n"), F.any_value("_mean").alias("mean_heartrate"), F.sum(apart).alias("m2"), F.max("greatest").alias("max_heartrate")
+    A device's days (one small row each) are merged pairwise by their counts, means and squared deviations,
+    so nothing cancels."""
+    day = F.struct("n", "mean", "m2")
+    grouped = rows.groupBy("device_id").agg(F.collect_list(F.when(F.col("n") > 0, day)).alias("days"), F.max("greatest").alias("max_heartrate"))
+
+    def merged(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"), (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2")
+        )
+
+    nothing = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    whole = grouped.select("device_id", "max_heartrate", F.aggregate("days", nothing, merged).alias("w"))
+    return whole.select(
+        "device_id",
+        F.when(F.col("w.n") > 0, F.col("w.mean")).alias("mean_heartrate"),
+        F.when(F.col("w.n") > 1, F.sqrt(F.col("w.m2") / (F.col("w.n") - 1))).alias("std_heartrate"),
+        "max_heartrate",
     )
-    deviation = F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("std_heartrate")
-    return summed.select("device_id", "mean_heartrate", deviation, "max_heartrate")
 
 
 def broken_days(rows: DataFrame) -> list[str]:

@@ -133,7 +133,7 @@ def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     once = known.groupBy(daily.DAY, *READING_KEY).agg(
         F.max("heartrate").alias("heartrate"), F.min("heartrate").alias("_least")
     )
-    updates = day_neighbours(once, rows).where("heartrate < 0 or _least < 0")
+    updates = day_neighbours(once, rows, known).where("heartrate < 0 or _least < 0")
     fixed = F.when(F.col("heartrate") < 0, midpoint("prev_amt", "next_amt")).otherwise(F.col("heartrate"))
     updates = updates.select(*READING_KEY, fixed.alias("heartrate"))
     changed = merge.changed_rows(silver, updates, READING_KEY, {"heartrate": "heartrate"})
@@ -144,11 +144,14 @@ def repair_silver(spark: SparkSession, layers: Layers) -> bool:
     return done is not None
 
 
-def day_neighbours(once: DataFrame, rows: DataFrame) -> DataFrame:
-    """Readings of whole days with the values before and after, those of other days from ``rows``."""
+def day_neighbours(once: DataFrame, rows: DataFrame, silver: DataFrame) -> DataFrame:
+    """Readings of whole days with the values before and after, those of other days from ``rows``; the rows
+    of ``silver`` tell where to cut a very long day."""
     series = F.concat_ws("|", F.col(daily.DAY).cast("string"), F.col("device_id").cast("string"))
     boxed = once.withColumns({"_series": series, "_box": F.struct(F.col("heartrate").alias("v"))})
-    inside = ordering.neighbours(boxed, "_series", "eventtime", "_box", prev_name="_p", next_name="_n")
+    inside = ordering.neighbours(
+        boxed, "_series", "eventtime", "_box", prev_name="_p", next_name="_n", sampled=silver.withColumn("_series", series)
+    )
     edges = daily.beside(rows)
     joined = inside.join(edges, (F.col("device_id") == F.col("_device")) & (F.col(daily.DAY) == F.col("_day")), "left")
     return joined.select(
