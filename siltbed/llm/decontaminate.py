@@ -1,21 +1,32 @@
-"""Benchmark decontamination: runs of characters counted along diagonals, exact edit distance.
-
-Texts are read with lower case and single spaces. A passage at a small edit distance to an item shares many
-runs of ``q`` characters with it, and all of these lie near one diagonal: place in the text less place in
-the item. For each document the runs it shares with the items are counted in overlapping bands of diagonals;
-a band that holds enough of them is held against the whole item, by characters, with the exact distance of
-the item to the best place in the band and ``MAX_SHARE`` of the item's size on either side.
-
-An edit voids at most ``q`` runs, so items of fewer than ``LONG`` characters are found for certain: they are
-looked for by runs of two or three, and a band passes if it holds what so many edits must leave. Longer ones
-are looked for by runs of six in bands of ``1 << BAND`` to twice as many diagonals, which must hold
-``SHARED`` of the item's size. Evenly spread edits near ``MAX_SHARE`` can leave less than that; the README
-gives the measured recall. Nothing depends on which words an edit hits.
+"""Benchmark decontamination: random walks and sampled steps find candidates, exact edit distance decides.
+
+Texts are read with lower case and single spaces. A walk reads a window from its first character on: at each
+step it notes the character it stands on and goes on by one or stays, as a random table of (step, character)
+says. The same table for all texts makes two walks that an edit has parted meet again, so a small edit distance
+of two windows becomes a small Hamming distance of their notes (the CGK embedding; going on is likelier here
+than staying, which lets a walk pass a changed letter). The key of a walk is ``SAMPLED`` of its first
+``STEPS`` notes, at random steps spread over them: later ones have drifted too far. ``WALKS`` walks give as many tables of keys.
+
+An item of ``LONG`` characters or more is embedded from each of its words on, as are the windows of a
+document from each of its words on; within words of more than ``UNBROKEN`` characters (scripts without
+spaces), items from each character on and documents from every eighth. A key in common is a vote for an item
+and a diagonal (place in the text less place in the item). Two different places that vote for one item near
+one diagonal make a candidate. At the limit of 20 % edits, one window and walk survives with a probability of
+about an eighth, and an item has a window per word and three walks of each; the README gives the measured
+recall. The work for a character hardly depends on the number of items.
+
+Items below ``LONG`` characters hold too few windows. They are found for certain: an edit voids at most ``q``
+of the runs of ``q`` characters that a passage shares with its item, so these are counted, by runs of two or
+three, in overlapping bands of diagonals, and a band passes if it holds what so many edits must leave.
+
+Every candidate must hold as many of the item's runs as ``MAX_SHARE`` of edits must leave it, and is then held
+against the whole item, by characters, with the exact distance of the item to the best place in the band and
+``MAX_SHARE`` of the item's size on either side.
 
 A passage is a leak if its distance is at most ``MAX_SHARE`` of the item's characters; an item too short for
 any edit must stand there as whole words. The benchmark is read in blocks of at most ``BLOCK_ITEMS`` items,
 the bound of what is sent to the tasks; documents are scanned once per block, in place, without a shuffle.
-The work for a character of a document grows with the size of the benchmark.
+The work for a character of a document grows with the number of short items only.
 
 Defined cases: null texts count as empty and match nothing, nor do items without a word; repeated items
 and repeated documents give a row each; a null doc_id is kept as null; ties between places take the
@@ -35,8 +46,13 @@ from siltbed.llm.common import documents, importable, text_of
 
 MAX_SHARE = 0.2
 BLOCK_ITEMS = 20_000
-#: Items from this size on are looked for by runs of six: bits of a band's width, and the share of hits.
-LONG, BAND, SHARED = 80, 4, 0.09
+#: Items from this size on are looked for by walks.
+LONG = 80
+#: Walks from each window, steps of a walk, how many of them make its key, and of 256 how many go on.
+WALKS, STEPS, SAMPLED, GOES_ON = 3, 24, 7, 192
+#: Places that must vote for a candidate, bits of the width of their band of diagonals, and the size of a word
+#: from which windows begin inside it too, in documents at every ``STRIDE`` characters.
+VOTES, BAND, UNBROKEN, STRIDE = 2, 5, 16, 8
 #: Characters of items that are looked for together, characters of text in one step, and hits held at once.
 GROUP, STEP, HELD = 1 << 16, 1 << 17, 1 << 21
 _HASH_BITS = 20
@@ -69,12 +85,9 @@ class Item:
         self.n, self.most = n, int(MAX_SHARE * len(text))
         self.text = text if self.most else f" {text} "
         size = len(self.text)
-        self.q = 6 if size >= LONG else 3 if size >= 16 else 2
+        self.q = 3 if size >= 16 else 2
         self.runs = run_hashes(codes(self.text), self.q)
-        if size >= LONG:
-            self.band, self.least = BAND, max(2, round(SHARED * size))
-        else:
-            self.band, self.least = self.most.bit_length(), size - self.q + 1 - self.q * self.most
+        self.band, self.least = self.most.bit_length(), size - self.q + 1 - self.q * self.most
 
 
 class Group:
@@ -136,14 +149,104 @@ class Group:
             yield x, low - len(x.text), high - 1 - len(x.text)
 
 
+_random = np.random.default_rng(8)
+_ON = (_random.integers(0, 256, (WALKS, STEPS, 1024)) < GOES_ON).astype(np.int32)
+# One random step of each of SAMPLED equal stretches, so that every key spans its window.
+_NOTED = ((np.arange(SAMPLED) + _random.random((WALKS, SAMPLED))) * STEPS / SAMPLED).astype(int)
+
+
+def windows(c: np.ndarray, stride: int) -> np.ndarray:
+    """Where windows of a text begin: at each word, and every ``stride`` characters inside long ones."""
+    gap = (c == 32) | (c == 10)
+    begins = ~gap
+    begins[1:] &= gap[:-1]
+    begins = np.flatnonzero(begins)
+    if not len(begins):
+        return begins
+    gaps = np.r_[np.flatnonzero(gap), len(c)]
+    size = gaps[np.searchsorted(gaps, begins)] - begins
+    more = [np.arange(b + stride, b + n, stride) for b, n in zip(begins[size > UNBROKEN].tolist(), size[size > UNBROKEN].tolist())]
+    return np.concatenate([begins, *more])
+
+
+def walk(c: np.ndarray, starts: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of one walk from each start, and where each walk ends."""
+    small = np.concatenate([((c ^ (c >> np.uint32(10))) & np.uint32(1023)).astype(np.int32), np.zeros(STEPS + 1, np.int32)])
+    at, key = starts.astype(np.int32), np.zeros(len(starts), dtype=np.uint64)
+    noted = set(_NOTED[number].tolist())
+    for step in range(STEPS):
+        met = small[at]
+        if step in noted:
+            key = key * np.uint64(0x9E3779B97F4A7C15) + met.astype(np.uint64)
+        at += _ON[number, step][met]
+    key ^= key >> np.uint64(32)
+    return key * np.uint64(0xD1342543DE82EF95), at
+
+
+class Walks:
+    """All items of ``LONG`` characters or more, by the keys of their windows."""
+
+    def __init__(self, items: list[Item]):
+        self.items = items
+        self.longest = max(len(x.text) for x in items)
+        self.step = max(STEP, 2 * self.longest)
+        self.whole = self.step + 2 * self.longest
+        self.bins = (self.whole + self.longest >> BAND) + 3
+        whole = "\n".join(x.text for x in items)
+        ends = np.cumsum([len(x.text) + 1 for x in items]) - 1
+        c = codes(whole)
+        starts = windows(c, 1)
+        owner = np.searchsorted(ends, starts, "right")
+        offset = starts - (ends - [len(x.text) for x in items])[owner]
+        self.tables = []
+        for number in range(WALKS):
+            key, end = walk(c, starts, number)
+            inside = end <= ends[owner]
+            order = np.argsort(key[inside], kind="stable")
+            key = key[inside][order]
+            bits = np.uint64(min(26, max(20, len(key).bit_length() + 6)))
+            known = np.zeros(1 << int(bits), dtype=bool)  # most windows share no key: a look at one byte
+            known[key >> (np.uint64(64) - bits)] = True
+            self.tables.append((key, owner[inside][order], offset[inside][order], known, np.uint64(64) - bits))
+
+    def bands(self, c: np.ndarray) -> Iterator[tuple[Item, int, int]]:
+        """(item, least and greatest diagonal) of the stretches of bands with enough votes."""
+        starts = windows(c, STRIDE)
+        votes = []
+        for number, (keys, owner, offset, known, shift) in enumerate(self.tables):
+            key, _ = walk(c, starts, number)
+            likely = np.flatnonzero(known[key >> shift])
+            first = np.searchsorted(keys, key[likely])
+            n = np.searchsorted(keys, key[likely], "right") - first
+            total = int(n.sum())
+            if total:
+                at = np.arange(total) + np.repeat(first - (np.cumsum(n) - n), n)
+                place = np.repeat(starts[likely], n)
+                band = (place - offset[at] + self.longest) >> BAND
+                votes.append(((owner[at] * self.bins + band) << 24) | place)
+        if not votes:
+            return
+        band, n = np.unique(np.unique(np.concatenate(votes)) >> 24, return_counts=True)
+        beside = np.r_[np.where(band[1:] == band[:-1] + 1, n[1:], 0), 0]
+        found = band[n + beside >= VOTES]
+        if not len(found):
+            return
+        cut = np.flatnonzero(np.diff(found) > 2) + 1
+        for a, b in zip(np.r_[0, cut], np.r_[cut, len(found)]):
+            x, low = divmod(int(found[a]), self.bins)
+            high = int(found[b - 1]) - x * self.bins + 2
+            yield self.items[x], (low << BAND) - self.longest, (high << BAND) - 1 - self.longest
+
+
 class Index:
     """The items of a block, in groups."""
 
     def __init__(self, items: list[tuple]):
         texts = [folded(t) for _, t in items]
         self.items = [Item(n, t) for n, t in enumerate(texts) if t]
-        self.groups, held, size = [], [], 0
-        for x in sorted(self.items, key=lambda x: (x.q, len(x.text))):
+        long = [x for x in self.items if len(x.text) >= LONG]
+        self.groups, held, size = [Walks(long)] if long else [], [], 0
+        for x in sorted((x for x in self.items if len(x.text) < LONG), key=lambda x: (x.q, len(x.text))):
             if held and (x.q != held[0].q or size + len(x.text) > GROUP):
                 self.groups.append(Group(held))
                 held, size = [], 0
@@ -159,13 +262,18 @@ class Index:
         ends = np.cumsum([len(t) + 1 for t in split])
         c = codes(whole)
         best: dict[tuple[int, int], tuple[int, int]] = {}
+        held = np.zeros(1 << _HASH_BITS, dtype=bool)
         for group in self.groups:
             for at in range(0, len(c), group.step):
                 for x, low, high in group.bands(c[at : at + group.whole]):
                     size = len(x.text)
                     low, high = max(0, at + low - x.most), min(len(c), at + high + size + x.most)
                     # The hits may be a few runs of the item over and over.
-                    if np.isin(x.runs, run_hashes(c[low:high], x.q)).sum() < x.least:
+                    near = run_hashes(c[low:high], x.q)
+                    held[near] = True
+                    enough = np.count_nonzero(held[x.runs]) >= x.least
+                    held[near] = False
+                    if not enough:
                         continue
                     for d in range(int(np.searchsorted(ends, low, "right")), len(split)):
                         begin = int(ends[d]) - len(split[d]) - 1
@@ -211,12 +319,6 @@ def best_place(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     return (least, end) if least <= most else None
 
 
-def best_distance(pattern: str, text: str, most: int) -> int | None:
-    """The least edit distance of ``pattern`` to any stretch of ``text``; None above ``most``."""
-    place = best_place(pattern, text, most)
-    return None if place is None else place[0]
-
-
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
     """The items in blocks of a bounded size, dealt by a hash of all they hold."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

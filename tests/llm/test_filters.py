@@ -342,8 +342,8 @@ def test_distance_against_the_whole_table():
     for _ in range(300):
         p = "".join(r.choice("ab ") for _ in range(r.randrange(1, 90)))
         t = "".join(r.choice("ab ") for _ in range(r.randrange(0, 120)))
-        assert decontaminate.best_distance(p, t, 1000) == edit_distance_inside(p, t)
-    assert decontaminate.best_distance("abcdef", "xyz", 2) is None
+        assert decontaminate.best_place(p, t, 1000)[0] == edit_distance_inside(p, t)
+    assert decontaminate.best_place("abcdef", "xyz", 2) is None
 
 
 def test_op8_finds_every_passage(spark, sf, small):
@@ -410,7 +410,7 @@ def test_spans_are_written_as_json(spark, sf):
 
 def leaked_of(pairs, words):
     """Which of (item, its edited form) are found, each form between other words; forms beyond the limit are left out."""
-    pairs = [(x, y) for x, y in pairs if decontaminate.best_distance(x, y, int(decontaminate.MAX_SHARE * len(x))) is not None]
+    pairs = [(x, y) for x, y in pairs if decontaminate.best_place(x, y, int(decontaminate.MAX_SHARE * len(x))) is not None]
     docs = [" ".join([*words(30), y, *words(30)]) for _, y in pairs]
     found = {(d, n) for d, n, *_ in decontaminate.Index([(i, x) for i, (x, _) in enumerate(pairs)]).leaks(docs)}
     return [(i, i) in found for i in range(len(pairs))]
@@ -443,6 +443,64 @@ def test_recall_up_to_the_limit():
             y[i] = r.choice("qrstuvwxyz")
         spread.append((x, "".join(y)))
     assert sum(leaked_of(spread, words)) >= 0.98 * len(spread)
+    even = []
+    for _ in range(150):
+        x = " ".join(words(r.randrange(15, 60)))
+        even.append((x, "".join(r.choice("qrstuvwxyz") if i % 5 == 4 else c for i, c in enumerate(x))))
+    assert sum(leaked_of(even, words)) >= 0.9 * len(even)
+    mixed = []
+    for _ in range(150):
+        x = " ".join(words(r.randrange(15, 60)))
+        y = list(x)
+        for _ in range(int(0.2 * len(x))):
+            at = r.randrange(len(y))
+            y[at : at + 1] = r.choice([[], [r.choice("qrstuvwxyz")], [y[at], r.choice("abc ")]])
+        mixed.append((x, "".join(y)))
+    assert sum(leaked_of(mixed, words)) >= 0.9 * len(mixed)
+
+
+def test_op8_against_every_pair(spark, sf, small):
+    """The registered result: all documents, all items, exact distances over whole texts."""
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").toPandas()
+    got = {(r.doc_id, r.item_id): r.distance for r in QUERIES["op8_decontamination"](spark, sf).collect()}
+    want = {}
+    for d, text in zip(small.doc_id, map(decontaminate.folded, small.text)):
+        for i, x in zip(items.item_id, map(decontaminate.folded, items.text)):
+            place = decontaminate.best_place(x, text, int(decontaminate.MAX_SHARE * len(x)))
+            if place is not None:
+                want[d, i] = place[0]
+    assert got == want
+
+
+def test_items_without_spaces(spark):
+    """Scripts without word gaps: windows begin inside the long words."""
+    r = random.Random(14)
+    letters = [chr(0x4E00 + i) for i in range(600)]
+    pairs = []
+    for _ in range(60):
+        x = "".join(r.choices(letters, k=r.randrange(90, 200)))
+        y = list(x)
+        for i in r.sample(range(len(y)), len(y) // 12):
+            y[i] = r.choice(letters)
+        pairs.append((x, "".join(y)))
+    docs = ["".join(r.choices(letters, k=150)) + y + "".join(r.choices(letters, k=151)) for _, y in pairs]
+    found = {(d, n) for d, n, *_ in decontaminate.Index([(i, x) for i, (x, _) in enumerate(pairs)]).leaks(docs)}
+    assert len(found & {(i, i) for i in range(60)}) >= 57 and all(d == n for d, n in found)
+
+
+def test_walks_meet_again():
+    """Equal windows have equal keys, and one changed letter leaves a good share of keys."""
+    r = random.Random(15)
+    same, n = 0, 3000
+    for _ in range(n):
+        x = "".join(r.choice("abcdefghijklmnop ") for _ in range(40))
+        at = r.randrange(18)
+        y = x[:at] + r.choice("qrstuv") + x[at + 1 :]
+        for number in range(decontaminate.WALKS):
+            keys = [decontaminate.walk(decontaminate.codes(t), np.zeros(1, int), number)[0][0] for t in (x, x, y)]
+            assert keys[0] == keys[1]
+            same += keys[0] == keys[2]
+    assert 0.25 < same / (n * decontaminate.WALKS) < 0.6
 
 
 def test_short_items_and_long_insertions():
