@@ -44,22 +44,22 @@ def _nulls_first(place: tuple) -> tuple:
 
 
 def _cells(rows: DataFrame, key: str, order: Column, cuts: dict) -> DataFrame:
-    """``rows`` with ``_cell``, the number of the key's cuts at or before the row's place."""
+    """``rows`` with ``_cell``, the number of the key's cuts at or before the row's place; -1 without cuts."""
     if not cuts:
-        return rows.withColumn("_cell", F.lit(0))
+        return rows.withColumn("_cell", F.lit(-1))
     place = rows.select(order.alias("o")).schema["o"].dataType
     fields = StructType([StructField("_hot", rows.schema[key].dataType), StructField("_cuts", ArrayType(place))])
     known = rows.sparkSession.createDataFrame([(k, [tuple(c) for c in v]) for k, v in cuts.items()], fields)
     # Fewer cuts than shuffle partitions in all.
     joined = rows.join(F.broadcast(known), F.col(key) == F.col("_hot"), "left")
     passed = F.size(F.filter("_cuts", lambda c: c <= order))
-    return joined.withColumn("_cell", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).drop("_hot", "_cuts")
+    return joined.withColumn("_cell", F.when(F.col("_cuts").isNull(), -1).otherwise(passed)).drop("_hot", "_cuts")
 
 
-def _carried(cells: DataFrame, key: str, value: str, order: Column, cuts: dict) -> DataFrame:
+def _carried(cells: DataFrame, key: str, value: str, order: Column) -> DataFrame:
     """(key, cell, value before the cell, value after it) of the cut keys: one row per cell."""
     ends = (
-        cells.where(F.col(key).isin(list(cuts)))
+        cells.where("_cell >= 0")
         .groupBy(F.col(key).alias("k"), "_cell")
         .agg(F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"))
     )
@@ -105,7 +105,7 @@ def neighbours(
     sided = cells.withColumns({"_p": F.lag(boxed).over(within), "_n": F.lead(boxed).over(within)})
     before, after = F.col("_p.v"), F.col("_n.v")
     if cuts:
-        edges = _carried(cells, key, value, order, cuts)
+        edges = _carried(cells, key, value, order)
         sided = sided.join(F.broadcast(edges), (F.col(key) == F.col("_hot")) & (F.col("_cell") == F.col("_at")), "left")
         before = F.when(F.col("_p").isNull(), F.col("_before")).otherwise(before)
         after = F.when(F.col("_n").isNull(), F.col("_after")).otherwise(after)
@@ -172,58 +172,110 @@ def row_number_within(
     return numbered.join(starts, same).select(*df.columns, position)
 
 
+#: Buckets that a column's remaining values are counted in at once, and values that are fetched to end with.
+_BUCKETS, _FETCHED = 1024, 4096
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], q: float = 0.5
 ) -> DataFrame:
     """Exact interpolated quantile of each numeric column, NULLs left out: (column, value).
 
-    Equal values are counted before the shuffle; the distinct values are then range-sorted, and
-    per-range totals place the two ranks around the quantile in one range. No task or driver
-    ever holds a whole column.
+    By selection: the values between two bounds are counted in buckets, and only the bucket that holds the
+    rank is looked at again, between its own least and greatest value. Two or three passes of counting are
+    usual; nothing is sorted, shuffled or stored, and the driver sees bucket counts only, and at the end at
+    most a few thousand different values. NaN counts as greater than all numbers. Reads ``df`` when called.
     """
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns)
-    counts = (
-        df.selectExpr(f"stack({len(columns)}, {pairs}) as (column, v)")
-        .where("v is not null")
-        .groupBy("column", "v")
-        .agg(F.count("*").alias("n"))
-    )
-    placed = _ranged(counts, ["column", "v"], "quantile")
-    totals = placed.groupBy("column", "_part").agg(F.sum("n").alias("n"))
-    # Rows here: at most columns x ranges.
-    earlier = Window.partitionBy("column").orderBy("_part")
-    totals = totals.select(
-        "column",
-        "_part",
-        F.coalesce(
-            F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        F.col("n").alias("_in"),
-        F.sum("n").over(Window.partitionBy("column")).alias("_total"),
-    )
-    rank = F.lit(float(q)) * (F.col("_total") - 1)
-    wanted = totals.withColumn("_lo", F.floor(rank)).withColumn("_hi", F.ceil(rank))
-    wanted = wanted.withColumn("_frac", rank - F.col("_lo"))
-    holds = (F.col("_hi") >= F.col("_before")) & (
-        F.col("_lo") < F.col("_before") + F.col("_in")
-    )
-    near = placed.join(F.broadcast(wanted.where(holds)), ["column", "_part"])
-    upto = (
-        Window.partitionBy("column", "_part")
-        .orderBy("_pos")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    near = near.withColumn("_end", F.col("_before") + F.sum("n").over(upto))
-    spans = lambda r: (F.col(r) >= F.col("_end") - F.col("n")) & (F.col(r) < F.col("_end"))
-    picked = near.groupBy("column").agg(
-        F.max(F.when(spans("_lo"), F.col("v"))).alias("_vlo"),
-        F.max(F.when(spans("_hi"), F.col("v"))).alias("_vhi"),
-        F.max("_frac").alias("_frac"),
-    )
-    return picked.select(
-        "column",
-        (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"),
-    )
+    spark = df.sparkSession
+    number = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    found: dict[str, float] = {}
+    open_: dict[str, tuple[float, float, int]] = {}  # bounds, and the values below them
+    rank: dict[str, float] = {}
+    finite = {c: ~F.isnan(v) & (F.abs(v) < float("inf")) for c, v in number.items()}
+    sums = []
+    for c, v in number.items():
+        sums += [F.count(v), F.count_if(v == float("-inf")), F.count_if(finite[c]), F.count_if(F.isnan(v)), F.min(F.when(finite[c], v)), F.max(F.when(finite[c], v))]
+    row = df.agg(*sums).first()
+    for k, c in enumerate(columns):
+        n, below, inside, nan, low, high = row[6 * k : 6 * k + 6]
+        if n:
+            rank[c] = q * (n - 1)
+            parts = [(below, float("-inf")), (inside, None), (n - below - inside - nan, float("inf")), (nan, float("nan"))]
+            if (at := _part_of(parts, int(rank[c]))) is None:
+                open_[c] = (low, high, below)
+            else:
+                found[c] = at
+    while open_:
+        counts = _bucket_counts(df, number, open_)
+        fetch = {}
+        for c, rows in counts.items():
+            before = open_[c][2]
+            for r in sorted(rows, key=lambda r: r["low"]):
+                if int(rank[c]) < before + r["n"]:
+                    break
+                before += r["n"]
+            if r["low"] == r["high"]:
+                found[c] = r["low"]
+                del open_[c]
+            else:
+                open_[c] = (r["low"], r["high"], before)
+                if r["n"] <= _FETCHED:
+                    fetch[c] = open_.pop(c)
+        if fetch:
+            pairs = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.when(number[c].between(*b[:2]), number[c]).alias("v")) for c, b in fetch.items()])))
+            each: dict[str, list] = {}
+            for r in pairs.where("v is not null").groupBy("column", "v").agg(F.count("*").alias("n")).collect():
+                each.setdefault(r["column"], []).append((r["v"], r["n"]))
+            for c, values in each.items():
+                before = fetch[c][2]
+                for v, n in sorted(values):
+                    if int(rank[c]) < before + n:
+                        break
+                    before += n
+                found[c] = v
+    rows = _interpolated(df, number, found, rank)
+    return spark.createDataFrame(rows, "column STRING, value DOUBLE")
+
+
+def _part_of(parts: list[tuple[int, float | None]], rank: int) -> float | None:
+    """The value of the part that holds a rank; None where its values differ."""
+    for n, value in parts:
+        if rank < n:
+            return value
+        rank -= n
+    raise ValueError("rank beyond the values")
+
+
+def _bucket_counts(df: DataFrame, number: dict[str, Column], bounds: dict[str, tuple]) -> dict[str, list]:
+    """Per column the count, least and greatest value of each bucket between its bounds: one pass."""
+    cells = []
+    for c, (low, high, _) in bounds.items():
+        v, half = number[c], high / 2 - low / 2  # halves, so that the width stays a number
+        part = F.least(F.floor((v / 2 - F.lit(low / 2)) / F.lit(half) * _BUCKETS), F.lit(_BUCKETS - 1)) if half else F.lit(0)
+        inside = v.between(low, high)
+        cells.append(F.struct(F.lit(c).alias("column"), F.when(inside, v).alias("v"), F.when(inside, part.cast("int")).alias("bucket")))
+    rows = df.select(F.inline(F.array(*cells))).where("v is not null")
+    counted = rows.groupBy("column", "bucket").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    out: dict[str, list] = {}
+    for r in counted.collect():
+        out.setdefault(r["column"], []).append(r)
+    return out
+
+
+def _interpolated(df: DataFrame, number: dict[str, Column], found: dict[str, float], rank: dict[str, float]) -> list[tuple]:
+    """Between the value at the rank below and the next one, where the rank is no whole number."""
+    between = [c for c in found if rank[c] != int(rank[c])]
+    if between:
+        # NaN is the greatest value for Spark's comparisons as well.
+        row = df.agg(*[a for c in between for a in (F.count_if(number[c] <= found[c]), F.min(F.when(number[c] > found[c], number[c])))]).first()
+        after = {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(between)}
+    out = []
+    for c, low in found.items():
+        value = low
+        if c in between and after[c][0] <= int(rank[c]) + 1:
+            value = low + (after[c][1] - low) * (rank[c] - int(rank[c]))
+        out.append((c, float(value)))
+    return out
 
 
 def latest_by_key(

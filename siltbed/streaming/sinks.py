@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
@@ -68,6 +69,26 @@ def complete_writer(
     )
 
 
-def preview(stream: DataFrame, name: str, mode: str = "append") -> DataStreamWriter:
-    """Live in-memory view of a stream under ``name``, for looking at small streams only."""
-    return stream.writeStream.format("memory").queryName(name).outputMode(mode)
+def preview(stream: DataFrame, name: str, mode: str = "append", rows: int | None = None) -> DataStreamWriter:
+    """Live in-memory view of a stream under ``name``.
+
+    Without ``rows`` the view holds every row the stream gives out: for complete results, which are small, or
+    small streams. With ``rows`` it holds a sample of so many: each row draws a hash of its values and batch,
+    and the rows with the least hashes of all batches stay. Each batch sends at most ``rows`` of its rows to
+    the driver, which never holds more than twice that many.
+    """
+    if rows is None:
+        return stream.writeStream.format("memory").queryName(name).outputMode(mode)
+    held: list[tuple] = []
+    fields, session = stream.schema, stream.sparkSession  # a batch has a session of its own
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        nonlocal held
+        drawn = F.xxhash64(F.to_json(F.struct("*")), F.lit(batch_id), F.monotonically_increasing_id())
+        least = batch.select(drawn.alias("_h"), F.struct("*").alias("_row")).orderBy("_h").limit(rows).collect()
+        if mode == "complete":
+            held = []
+        held = sorted(held + [(r["_h"], tuple(r["_row"])) for r in least], key=lambda r: r[0])[:rows]
+        session.createDataFrame([r for _, r in held], fields).createOrReplaceTempView(name)
+
+    return stream.writeStream.queryName(name).outputMode(mode).foreachBatch(keep)

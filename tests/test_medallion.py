@@ -427,3 +427,49 @@ def test_a_failing_batch_of_a_complete_stream_leaves_the_old_result(spark, home,
     monkeypatch.setattr(writers, "_move", move)
     run()
     assert writers.published(spark, f"{home}/n").first()["n"] == 48
+
+
+def test_missing_slots_of_silent_keys_and_fine_steps(spark):
+    """A key without any row, a NULL key, rows off the grid, and holes of many seconds."""
+    import datetime as dt
+
+    rows = [("a", "2020-01-01 00:00:03"), ("a", "2020-01-01 00:00:03"), ("a", "2020-01-01 00:00:07.5"), ("b", "2019-01-01 00:00:00"), (None, "2020-01-01 00:00:00")]
+    df = readers.rows(spark, rows, "k STRING, t STRING").withColumn("t", F.col("t").cast("timestamp"))
+    start, end = (F.lit(t).cast("timestamp") for t in ("2020-01-01 00:00:00", "2020-01-01 04:00:00"))
+    expected = readers.rows(spark, [("a",), ("z",)], "k STRING")
+    n = 4 * 3600 + 1
+    got = repair.missing_slots(df, "k", F.col("t"), start, end, "1 second", expected)
+    every = {dt.datetime(2020, 1, 1) + dt.timedelta(seconds=i) for i in range(n)}
+    held = {"a": {dt.datetime(2020, 1, 1, 0, 0, 3)}, None: {dt.datetime(2020, 1, 1)}}
+    found = {}
+    for r in got.select("k", F.date_format("slot", "yyyy-MM-dd HH:mm:ss").alias("s")).collect():
+        found.setdefault(r["k"], []).append(dt.datetime.fromisoformat(r["s"]))
+    assert set(found) == {"a", "b", "z", None}
+    for k, slots in found.items():
+        assert len(slots) == len(set(slots)) and set(slots) == every - held.get(k, set())
+    report = {r["k"]: (r["expected"], r["actual"], r["missing"]) for r in repair.missing_report(df, "k", F.col("t"), start, end, "1 second", expected).collect()}
+    assert report == {"a": (n, 2, n - 2), "b": (n, 0, n), "z": (n, 0, n), None: (n, 1, n - 1)}
+
+
+def test_missing_months_and_days(spark):
+    df = readers.rows(spark, [("a", "2020-03-01"), ("a", "2020-05-01")], "k STRING, d STRING").withColumn("d", F.col("d").cast("date"))
+    start, end = F.lit("2020-01-01").cast("date"), F.lit("2020-06-01").cast("date")
+    got = repair.missing_slots(df, "k", F.col("d"), start, end, "1 month")
+    assert sorted(str(r["slot"]) for r in got.collect()) == ["2020-01-01", "2020-02-01", "2020-04-01", "2020-06-01"]
+    week = repair.missing_slots(df, "k", F.col("d"), F.lit("2020-02-28").cast("date"), F.lit("2020-03-08").cast("date"), "2 days")
+    assert sorted(str(r["slot"]) for r in week.collect()) == ["2020-02-28", "2020-03-03", "2020-03-05", "2020-03-07"]
+    with pytest.raises(ValueError, match="whole days"):
+        repair.missing_slots(df, "k", F.col("d"), start, end, "5 hours")
+
+
+def test_a_bounded_preview_holds_a_sample_of_all_batches(spark, home):
+    for day in range(4):
+        writers.write_lines(readings_of(spark, [day]).coalesce(1), f"{home}/raw", "append")
+    stream = readers.text_stream(spark, f"{home}/raw")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{home}/raw") if stream.columns == ["value"] else stream
+    query = sinks.preview(stream, "bounded", rows=10).option("checkpointLocation", f"{home}/c")
+    control.finish(query.trigger(availableNow=True).start())
+    shown = spark.table("bounded")
+    assert shown.count() == 10 and shown.columns == stream.columns
+    days = {r[0] for r in shown.select((F.get_json_object("value", "$.time").cast("double") / 86400).cast("int")).collect()}
+    assert len(days) > 1

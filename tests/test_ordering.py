@@ -125,3 +125,34 @@ def test_latest_by_key(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", 5, "y"), (None, 1, "z")], "k STRING, v INT, x STRING")
     got = {r["k"]: (r["v"], r["x"]) for r in ordering.latest_by_key(df, ["k"], ["v"]).collect()}
     assert got == {"a": (2, "x"), "b": (5, "y"), None: (1, "z")}
+
+
+def test_quantiles_of_outliers_and_odd_numbers(spark):
+    """Values over 600 orders of magnitude, infinities, NaN, one value held by most rows."""
+    rnd = random.Random(8)
+    spread = [rnd.choice([-1, 1]) * 10.0 ** rnd.randrange(-300, 300) for _ in range(9000)]
+    cases = {
+        "spread": spread,
+        "outlier": [float(i) for i in range(20_000)] + [1e308, -1e308],
+        "most": [5.0] * 9000 + [float(i) for i in range(5000)],
+        "infinite": [float("inf")] * 5 + [float("-inf")] * 3 + [1.0, 2.0],
+        "one": [7.0],
+    }
+    for name, values in cases.items():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v DOUBLE").repartition(5)
+        for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+            own = sorted(values)
+            r = q * (len(own) - 1)
+            low, high = own[int(r)], own[min(int(r) + 1, len(own) - 1)]
+            want = low if r == int(r) or low == high else low + (high - low) * (r - int(r))
+            got = ordering.exact_quantiles(df, ["v"], q).collect()
+            assert len(got) == 1 and (got[0]["value"] == want or want != want and got[0]["value"] != got[0]["value"]), (name, q)
+    mixed = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,)], "v DOUBLE")
+    assert ordering.exact_quantiles(mixed, ["v"]).first()["value"] == 2.0
+    assert ordering.exact_quantiles(mixed.where("v is null"), ["v"]).collect() == []
+
+
+def test_quantiles_leave_no_files(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "materialize", lambda *a: (_ for _ in ()).throw(AssertionError("written")))
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("v"))
+    assert len(ordering.exact_quantiles(df, ["v"]).collect()) == 1

@@ -108,3 +108,23 @@ def test_null_profile(spark):
     assert {r[0]: r[1] for r in aggregates.null_profile(df).collect()} == {"a": 1, "b": 2}
     assert aggregates.columns_with_nulls(df.select(F.lit(1).alias("c"))).count() == 0
     assert {r[0]: r[1] for r in aggregates.schema_profile(df).collect()} == {"int": 1, "string": 1}
+
+
+def test_one_outlier_does_not_spoil_the_layout(spark, home):
+    """Files a box filter has to read, by their own min and max, with an extreme outlier in each column."""
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).cast("double").alias("a"), (F.col("id") * 104_729 % 20_021).cast("double").alias("b"))
+    df = df.unionAll(readers.rows(spark, [(1e18, -1e18)], "a DOUBLE, b DOUBLE"))
+    writers.write_clustered(df, f"{home}/z", ["a", "b"], files=16)
+    ranges = spark.read.parquet(f"{home}/z").groupBy(F.input_file_name().alias("f")).agg(*[f(c).alias(f"{n}_{c}") for c in "ab" for n, f in (("low", F.min), ("high", F.max))]).collect()
+    assert len(ranges) == 16
+    box = [r for r in ranges if r["low_a"] <= 4000 and r["high_a"] >= 2000 and r["low_b"] <= 4000 and r["high_b"] >= 2000]
+    assert len(box) <= 5
+    assert spark.read.parquet(f"{home}/z").count() == 20_001
+
+
+def test_rank_cells(spark):
+    df = readers.rows(spark, [(None,), (-5.0,), (1.0,), (1.0,), (1.0,), (9.0,)], "v DOUBLE")
+    assert [r[0] for r in df.select(writers.rank_cell("v", [-1.0, 1.0, 8.0])).collect()] == [0, 0, 2, 2, 2, 3]
+    borders = writers.rank_borders(spark.range(1000).select(F.col("id").cast("double").alias("v")), ["v"], 3)[0]
+    assert len(borders) == 7 and all(abs(b - 125 * (i + 1)) <= 3 for i, b in enumerate(borders))
+    assert writers.rank_borders(df.where("v is null"), ["v"]) == [[]]
