@@ -356,6 +356,22 @@ def _(spark, sf):
     )
 
 
+@query(
+    "missing_expected",
+    """WITH a AS (SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS actual FROM events
+                  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY user_id),
+            k AS (SELECT user_id FROM events UNION SELECT c_custkey FROM customer)
+       SELECT k.user_id, CAST(30 AS BIGINT) AS expected, coalesce(actual, 0) AS actual, 30 - coalesce(actual, 0) AS missing
+       FROM k LEFT JOIN a ON a.user_id = k.user_id""",
+)
+def _(spark, sf):
+    """Customers are the expected keys; most of them have no event at all."""
+    first, last = F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date")
+    return repair.missing_report(
+        table(spark, sf, "events"), "user_id", F.col("ts").cast("date"), first, last, "1 day", table(spark, sf, "customer").select("c_custkey")
+    )
+
+
 @query(
     "null_profile",
     """SELECT 'c_custkey' AS col_name, count(*) - count(c_custkey) AS n_null FROM customer

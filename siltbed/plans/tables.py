@@ -351,6 +351,19 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    "read_as_of_days",
+    """SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN day(ts) = 3 THEN -value ELSE value END AS value FROM events""",
+)
+def _(spark, sf):
+    """A table by day, one of whose days was corrected: all others are plain scans."""
+    home = fresh_dir(spark, "by-day")
+    e = table(spark, sf, "events").select("event_id", "value", F.col("ts").cast("date").alias("day"))
+    versions.commit(e, home, "load", 0, partition_by=["day"])
+    versions.commit(e.where("day(day) = 3").withColumn("value", -F.col("value")), home, "fix", 0, op="update", partition_by=["day"])
+    return versions.read_as_of(spark, home, None, ["event_id", "day"], "day")
+
+
 @query(
     "table_history",
     """SELECT CAST(day(CAST(ts AS DATE)) AS BIGINT) AS version, count(*) AS n_rows, min(event_id) AS first_id

@@ -238,6 +238,47 @@ def _(spark, sf):
     )
 
 
+@query(
+    "etl_long_amounts",
+    f"""SELECT CAST(address AS VARCHAR) AS address, CAST(token_address AS VARCHAR) AS token_address, balance IS NULL AS beyond,
+               CASE WHEN q = 0 THEN '0' ELSE CAST(q AS VARCHAR) || repeat('0', 40) END AS balance_digits
+        FROM (SELECT address, token_address, CAST(sum(q) AS BIGINT) AS q, CASE WHEN sum(q) = 0 THEN 0 END AS balance
+              FROM ({MOVES_SQL}) GROUP BY address, token_address)""",
+)
+def _(spark, sf):
+    """Amounts of 41 and 42 digits from bronze text to balances."""
+    moves = transfers(spark, sf, sender=True)
+    text = F.concat(F.col("value").cast("string"), F.lit("0" * 40))
+    names = [F.col(c).cast("string").alias(c) for c in ("token_address", "from_address", "to_address", "transaction_hash")]
+    silver = etl.silver_transfers(moves.select(*names, text.alias("value"), F.col("date").cast("timestamp").alias("block_timestamp")))
+    out = eda.balance_on(silver, "2100-01-01")
+    return out.select("address", "token_address", F.col("balance").isNull().alias("beyond"), "balance_digits")
+
+
+@query(
+    "etl_silver_transactions",
+    """SELECT '0x' || lower(printf('%X', o_orderkey)) AS hash, CAST(o_custkey AS VARCHAR) AS from_address,
+              CAST(round(o_totalprice * 100) AS BIGINT) AS value, CAST(round(o_totalprice * 100) AS BIGINT)::VARCHAR AS value_digits,
+              CAST(NULL AS BIGINT) AS gas, CAST(o_orderdate AS DATE) AS date, CAST(date_trunc('month', o_orderdate) AS DATE) AS p_month FROM orders""",
+)
+def _(spark, sf):
+    """Bronze transactions as text with an odd column, ingested twice into a table by month."""
+    home = fresh_dir(spark, "transactions")
+    orders = table(spark, sf, "orders").select(
+        F.concat(F.lit(" 0x"), F.hex("o_orderkey")).alias("hash"),
+        F.col("o_custkey").cast("string").alias("from_address"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("value"),
+        F.col("o_orderdate").cast("date").cast("string").alias("block_timestamp"),
+        F.lit("none").alias("gas"),
+        F.lit(1).alias("extra"),
+    )
+    orders.write.parquet(f"{home}/bronze")
+    for _run in range(2):
+        etl.ingest_table(spark, "transactions", f"{home}/bronze", orders.schema, f"{home}/silver", f"{home}/checkpoint")
+    silver = versions.read_as_of(spark, f"{home}/silver")
+    return silver.select("hash", "from_address", F.col("value").cast("bigint").alias("value"), F.col("digits").alias("value_digits"), "gas", "date", "p_month")
+
+
 @query(
     "price_enrich",
     f"""WITH p AS (SELECT l_partkey AS token_address, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price_usd
