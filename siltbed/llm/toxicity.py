@@ -68,19 +68,22 @@ def features(word: str) -> tuple[int, ...]:
 # -- labelled tokens ---------------------------------------------------------------------------------
 
 
-def distinct_texts(texts: list[str]) -> list[int]:
-    """Indices without those that are near copies of an earlier text."""
-    sets = [shingles(t) for t in texts]
-    full = [i for i, s in enumerate(sets) if len(s)]
+def distinct_texts(texts: list[str], at_once: int = 1 << 17) -> list[int]:
+    """Indices without those that are near copies of an earlier text; about ``at_once`` shingles are held."""
     seen: set[int] = set()
-    out = []
-    for at in range(0, len(full), 512):
-        part = full[at : at + 512]
-        for i, keys in zip(part, band_keys(sketches([sets[i] for i in part]))):
-            keys = keys.tolist()
-            if seen.isdisjoint(keys):
-                out.append(i)
-            seen.update(keys)
+    out, part, sets, size = [], [], [], 0
+    for i, t in enumerate(texts):
+        s = shingles(t)
+        if len(s):
+            part.append(i)
+            sets.append(s)
+            size += len(s)
+        if part and (size >= at_once or i == len(texts) - 1):
+            for k, keys in zip(part, band_keys(sketches(sets)).tolist()):
+                if seen.isdisjoint(keys):
+                    out.append(k)
+                seen.update(keys)
+            part, sets, size = [], [], 0
     return out
 
 
@@ -93,7 +96,11 @@ def telling_words(texts: list[str], y: np.ndarray) -> set[str]:
     """Words and beginnings in more toxic documents than chance allows, given how many are tested."""
     toxic, clean = Counter(), Counter()
     for t, label in zip(texts, y):
-        (toxic if label else clean).update({x for w in set(t.split()) for x in stems(core_of(w))})
+        if label:
+            toxic.update({x for w in set(t.split()) for x in stems(core_of(w))})
+    for t, label in zip(texts, y):
+        if not label:  # what no toxic text holds tells nothing
+            clean.update({x for w in set(t.split()) for x in stems(core_of(w)) if x in toxic})
     n1, n = float(y.sum()), len(y)
     if not 0 < n1 < n:
         return set()
@@ -170,23 +177,18 @@ def _pairs(e: np.ndarray, step: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarr
 
 def train_field(texts: list[str], y: np.ndarray, telling: set[str]) -> dict[str, np.ndarray]:
     """Weights of places (own, before, after) and of steps, by stochastic ascent of the likelihood."""
+    # A word is held as its row in a table of features, four bytes, however often it comes.
+    row: dict[str, int] = {}
     segments, marks = [], []
-    table: dict[str, tuple[int, ...]] = {}
     for t, label in zip(texts, y):
         words = t.split()
-        if not words:
-            continue
-        f = np.array([table.get(w) or table.setdefault(w, features(w)) for w in words])
-        z = np.array([bool(label) and is_telling(w, telling) for w in words])
-        for at in range(0, len(words), SEGMENT):
-            segments.append(f[at : at + SEGMENT])
-            marks.append(z[at : at + SEGMENT])
-    r = np.random.default_rng(6)
-    # All segments with a mark, and a fixed multiple of others: most words say nothing new.
-    marked = [i for i, z in enumerate(marks) if z.any()]
-    plain = [i for i, z in enumerate(marks) if not z.any()]
-    plain = list(r.permutation(plain)[: max(2000, 4 * len(marked))]) if plain else []
-    use = np.array(marked + plain, dtype=np.int64)
+        f = np.array([row.setdefault(w, len(row)) for w in words], dtype=np.int32)
+        z = np.array([bool(label) and is_telling(w, telling) for w in words], dtype=bool)
+        segments += [f[at : at + SEGMENT] for at in range(0, len(words), SEGMENT)]
+        marks += [z[at : at + SEGMENT] for at in range(0, len(words), SEGMENT)]
+    table = np.array([features(w) for w in row], dtype=np.int32).reshape(-1, WEIGHTS)
+    row.clear()
+    r, use = np.random.default_rng(6), np.arange(len(segments))
     w = {"own": np.zeros(PLACES), "before": np.zeros(PLACES), "after": np.zeros(PLACES), "step": np.zeros((2, 2)), "bias": np.full(1, -4.0)}
     adam = Adam(RATE)
     epochs = max(EPOCHS, -(-STEPS // max(1, -(-len(use) // BATCH))))
@@ -196,10 +198,10 @@ def train_field(texts: list[str], y: np.ndarray, telling: set[str]) -> dict[str,
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
             sizes = np.array([len(segments[i]) for i in part])
-            f = np.zeros((len(part), SEGMENT, WEIGHTS), dtype=np.int64)
+            f = np.zeros((len(part), SEGMENT, WEIGHTS), dtype=np.int32)
             z = np.zeros((len(part), SEGMENT))
             for k, i in enumerate(part):
-                f[k, : sizes[k]], z[k, : sizes[k]] = segments[i], marks[i]
+                f[k, : sizes[k]], z[k, : sizes[k]] = table[segments[i]], marks[i]
             inside = np.arange(SEGMENT) < sizes[:, None]
             e = emissions(w, f, inside)
             p, expected = _pairs(e, w["step"], sizes)
@@ -303,7 +305,9 @@ def train(texts: list[str], y: np.ndarray) -> dict | float:
     if not telling:
         return share
     model = {"field": train_field([texts[i] for i in once], y[once], telling)}
-    model["output"] = logistic(evidence(Tagger(model | {"output": None}).tag(texts)), y, ridge=0.1)
+    tagger = Tagger(model | {"output": None})
+    known = [evidence(tagger.tag(texts[at : at + 256])) for at in range(0, len(texts), 256)]
+    model["output"] = logistic(np.concatenate(known), y, ridge=0.1)
     return model
 
 
