@@ -208,21 +208,21 @@ def _likely(best: bool):
 
 def _across(members: DataFrame, classes: DataFrame, roots: DataFrame, best: bool) -> DataFrame:
     """Likely pairs (u, v) within the buckets that hold several components, block against block."""
-    placed = members.join(roots, members["a"] == roots["node"], "left").select("band", "a", "n", F.coalesce("root", "a").alias("root"))
+    placed = members.join(roots, members["id"] == roots["node"], "left").select("band", "id", "n", F.coalesce("root", "id").alias("root"))
     torn = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    rest = placed.join(torn.select("band", blocks.alias("blocks")), "band").join(classes.select("a", "sketch"), "a")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("a", F.lit(1)), F.col("blocks")).cast("int"))
+    rest = placed.join(torn.select("band", blocks.alias("blocks")), "band").join(classes.select("id", "sketch"), "id")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     place = ["band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-    rest = rest.select(*place, "block", "a", "n", "root", "sketch").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    rest = rest.select(*place, "block", "id", "n", "root", "sketch").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     return rest.mapInArrow(_likely(best), "u long, v long").distinct()
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets are close enough."""
-    second = pairs.join(texts.select(F.col("a").alias("v"), F.col("text").alias("t")), "v")
-    both = second.join(texts.select(F.col("a").alias("u"), F.col("text").alias("s")), "u")
+    second = pairs.join(texts.select(F.col("id").alias("v"), F.col("text").alias("t")), "v")
+    both = second.join(texts.select(F.col("id").alias("u"), F.col("text").alias("s")), "u")
     return both.select("u", "v", "s", "t").mapInArrow(_confirmed, "u long, v long")
 
 
@@ -233,19 +233,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     whole = text_of(docs)
     marked = whole.withColumn("mark", F.xxhash64("doc_id", "text"))
     made = stored(marked.mapInArrow(_sketched, "doc_id long, mark long, n_shingles long, a long, b long, bands array<long>, sketch binary"), "sketches")
-    classes = stored(
-        made.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
-        "classes",
+    sets = made.where("a is not null").groupBy("a", "b").agg(
+        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
-    dealt = classes.select(F.explode("bands").alias("band"), "a", "n", "least")
-    full = dealt.groupBy("band").agg(F.min("a").alias("hub"), F.max("a").alias("other")).where("hub <> other").select("band", "hub")
+    # The numbers are written with the classes, so they stay what they are.
+    classes = stored(sets.withColumn("id", F.monotonically_increasing_id()), "classes")
+    dealt = classes.select(F.explode("bands").alias("band"), "id", "n")
+    full = dealt.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("other")).where("hub <> other").select("band", "hub")
     members = stored(dealt.join(full, "band"), "members")
 
-    # The texts of all candidates, one per class, by the least id of the class.
-    wanted = members.select("a", "least").distinct()
-    texts = stored(whole.join(wanted, whole["doc_id"].eqNullSafe(wanted["least"])).select("a", "text").transform(_of_its_class), "texts")
+    # The texts of all candidates, one per class: that of the one row it is named by, however often it comes.
+    wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", "a", "b", F.col("row.doc_id").alias("_doc"), F.col("row.mark").alias("_mark"))
+    found = marked.join(wanted, (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).select("id", "a", "b", "text")
+    texts = stored(found.transform(_of_its_class).groupBy("id").agg(F.first("text").alias("text")), "texts")
 
-    star = members.where("a <> hub").select(F.col("hub").alias("u"), F.col("a").alias("v")).distinct()
+    star = members.where("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct()
     links = stored(_links(star, texts), "links")
     roots = components(links)
 
@@ -254,10 +256,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = stored(links.unionAll(_links(across, texts)), "links")
         roots = components(links)
 
-    rooted = classes.select("a", "least").join(roots, classes["a"] == roots["node"], "left").select("a", "least", F.coalesce("root", "a").alias("component"))
+    rooted = classes.select("id", "a", "b", "least").join(roots, classes["id"] == roots["node"], "left").select("a", "b", "least", F.coalesce("root", "id").alias("component"))
     named = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = rooted.select("a", "component").join(named, "component")
-    out = made.select("doc_id", "mark", "n_shingles", "a").join(by_class, "a", "left")
+    by_class = rooted.select("a", "b", "component").join(named, "component")
+    out = made.select("doc_id", "mark", "n_shingles", "a", "b").join(by_class, ["a", "b"], "left")
     component_id = F.when(F.col("a").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id",
@@ -283,15 +285,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def _of_its_class(found: DataFrame) -> DataFrame:
-    """Rows found by doc_id whose text belongs to the class they were found for: an id may come twice."""
+    """(id, text) of the rows whose text belongs to the class they were found for: two marks may coincide."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = map(shingles, b.column(1).to_pylist())
-            ok = [len(s) > 0 and _set_key(s)[0] == a for a, s in zip(b.column(0).to_pylist(), sets)]
-            yield b.filter(pa.array(ok, pa.bool_()))
+            names = zip(b.column(1).to_pylist(), b.column(2).to_pylist())
+            sets = map(shingles, b.column(3).to_pylist())
+            ok = [len(s) > 0 and _set_key(s) == name for name, s in zip(names, sets)]
+            part = b.filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3)], names=["id", "text"])
 
-    return found.mapInArrow(run, "a long, text string")
+    return found.mapInArrow(run, "id long, text string")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

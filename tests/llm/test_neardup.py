@@ -114,3 +114,20 @@ def test_components_of_a_long_chain(spark):
     got = {r.node: r.root for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(1, n + 1)}, 1001: 1000, 1002: 1000}
     assert components(links.limit(0)).count() == 0
+
+
+def test_copies_without_ids_do_not_multiply(spark, monkeypatch):
+    """2,000 near copies with null ids and one row 500 times: one text for each different set."""
+    sizes, write = {}, neardup.stored
+
+    def counted(df, label, *more):
+        out = write(df, label, *more)
+        sizes[label] = sizes.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    words = [f"word{i}" for i in range(60)]
+    rows = [(None, " ".join([*words, f"x{i}"])) for i in range(2000)] + [(None, " ".join(words))] * 500
+    got = neardup.near_duplicates(table(spark, rows).repartition(8)).collect()
+    assert len(got) == 2500 and len({r.component for r in got}) == 1
+    assert sizes["texts"] == 2001
