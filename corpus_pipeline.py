@@ -4,6 +4,11 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as the next stage's documents. All but the last return the columns of ``documents``: toxic documents go,
 one document of each group of near-duplicates stays, documents that hold a benchmark item go, personal
 data is replaced in the text, and what is left is packed into windows.
+
+Defined cases, as the operators' modules say: a null text counts as empty, is neither toxic nor a copy nor a
+leak, and is packed as the end id alone; of rows with one id and text one stays, of rows with one id each
+text is a document; a null id stays null and never names a group; long texts are read whole; other columns
+pass through all stages but the last; an empty table gives no rows.
 """
 
 from __future__ import annotations

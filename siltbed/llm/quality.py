@@ -6,7 +6,8 @@ and a small hidden layer turns these into features of the chunk. The document ta
 maximum over all chunks, and a logistic output makes one probability.
 
 The network learns from a bounded sample of labelled documents (``SAMPLE``), then scores every document
-in one pass over the table. Scores depend on the text alone.
+in one pass over the table. Scores depend on the text alone. In an epoch of training a longer document shows
+``TRAIN_CHUNKS`` of its chunks, drawn anew each time; scores always read all chunks.
 
 Defined cases: a null text counts as empty; an empty text is scored as one chunk of padding; without
 labels of both kinds every score is the share of ones (0.5 without any); repeated rows and null ids are
@@ -74,7 +75,6 @@ def train(texts: list[str], y: np.ndarray) -> dict[str, np.ndarray] | float:
         return float(y.mean()) if len(y) else 0.5
     r, p, adam = np.random.default_rng(9), initial(), Adam(RATE)
     cut = [chunks_of(t) for t in texts]
-    # Filters start from one answer per symbol of a document, so that frequent symbols do not drown others.
     for epoch in range(EPOCHS):
         adam.rate = RATE * (1 - epoch / EPOCHS) + 1e-4
         order = r.permutation(len(cut))
