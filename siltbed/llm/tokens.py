@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,15 +64,20 @@ class Encoder:
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
+
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        # Without the offsets of the tokens, which nothing here needs.
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype=self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """One word of the tokenizer's own cutting: letters with at most one space before, or marks."""
         got = self.pieces.get(piece)
         if got is None:
             spelled = piece.encode().decode("latin-1").translate(self.letters)
-            got = np.array([t.id for t in self.bpe.tokenize(spelled)], dtype=self.dtype).tobytes()
+            got = self._bytes([t.id for t in self.bpe.tokenize(spelled)])
             if len(self.pieces) < PIECES:
                 self.pieces[piece] = got
         return got
@@ -109,9 +115,11 @@ class Encoder:
             try:
                 return b"".join(map(known.__getitem__, parts))
             except KeyError:
-                ids = [known.get(p) or self._chunk(p) for p in parts]
-            if None not in ids and not _edge(text):
-                return b"".join(ids)
+                new = {p: self._chunk(p) for p in set(parts).difference(known)}
+            if None not in new.values() and not _edge(text):
+                if new.keys() <= known.keys():
+                    return b"".join(map(known.__getitem__, parts))
+                return b"".join([known[p] if p in known else new[p] for p in parts])
         first, *rest = _SAFE_SPACE.split(text)
         return b"".join([self._whole(first), *(self.chunks.get(" " + r) or self._whole(" " + r) for r in rest)])
 
