@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +263,30 @@ def test_blocks_do_not_change_the_recall(spark, monkeypatch):
     assert got[0] == got[1] and 0 < got[0]["recall"] < 1
 
 
+def test_counting_ends_when_a_pair_is_settled(spark, monkeypatch):
+    """Rounds of a few tokens against plain products; numbers below the bar are exact, no other is below it."""
+    data = [(f"w{w}", f"t{t}") for w in range(30) for t in range(60) if w == 0 and t % 10 or (w * 5 + t) % 4 == 0]
+    ids = recommend.with_integer_ids(readers.rows(spark, data, "wallet STRING, token STRING").withColumn("n_transfers", F.lit(1)))
+    model = recommend.fit_als(ids, rank=3, max_iter=3)
+    names = {c: {r[c]: r[f"{c}_id"] for r in ids.collect()} for c in ("wallet", "token")}
+    users, items = ({r["id"]: np.array(r["features"], dtype=float) for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    known, pairs = set(data), [(w, t) for w in range(30) for t in range(60) if (w + t) % 10 == 0]
+    want = {}
+    for w, t in ((f"w{w}", f"t{t}") for w, t in pairs):
+        score = {x: users[names["wallet"][w]] @ items[i] for x, i in names["token"].items()}
+        near = recommend.TIE * abs(score[t])
+        before = [x for x in score if (w, x) not in known and (score[x] > score[t] + near or abs(score[x] - score[t]) <= near and names["token"][x] < names["token"][t])]
+        want[names["wallet"][w], names["token"][t]] = len(before)
+    trained = ids.select("wallet_id", "token_id")
+    held = spark.createDataFrame(list(want), "wallet_id int, token_id int")
+    monkeypatch.setattr(recommend, "TOKENS_AT_ONCE", 4)
+    for a_round in (9, 1000):
+        monkeypatch.setattr(recommend, "TOKENS_A_ROUND", a_round)
+        whole, cut = ({r[:2]: r[2] for r in recommend.tokens_ahead(model, trained, held, most).collect()} for most in (None, 5))
+        assert whole == want
+        assert cut.keys() == want.keys() and all(min(cut[k], 5) == min(want[k], 5) for k in want)
+
+
 def test_amounts_of_78_digits_survive_to_the_worth(spark, home):
     """Silver, balance, history and worth of amounts near 2 ** 256; each token's balances add up to nothing."""
     most = 2**256 - 1
