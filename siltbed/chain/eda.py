@@ -151,12 +151,6 @@ def _summed(names: list[str]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def _with_amounts(rows: DataFrame, name: str, limbs: list[str]) -> DataFrame:
-    """``name`` as DECIMAL(38,0), NULL beyond 38 digits, and ``<name>_digits`` exact at any size."""
-    sums = [F.col(n) for n in limbs]
-    return rows.withColumns({name: amounts.number(sums), f"{name}_digits": amounts.text(sums)}).drop(*limbs)
-
-
 def balance_on(transfers: DataFrame, day: date | str, address: Column | None = None) -> DataFrame:
     """Token balances at the end of a day; ``address`` is an optional predicate on it.
 
@@ -166,7 +160,7 @@ def balance_on(transfers: DataFrame, day: date | str, address: Column | None = N
     moves = movements(transfers).where(F.col("date") <= F.lit(str(day)).cast("date"))
     if address is not None:
         moves = moves.where(address)
-    sums = _with_amounts(moves.groupBy("address", "token_address").agg(*_summed(amounts.NAMES)), "balance", amounts.NAMES)
+    sums = amounts.totals(moves.groupBy("address", "token_address").agg(*_summed(amounts.NAMES)), amounts.NAMES, "balance")
     whole, rest = amounts.parts(F.col("balance_digits"))
     return sums.withColumns({"whole": whole, "rest": rest})
 
@@ -184,7 +178,7 @@ def balance_history(transfers: DataFrame) -> DataFrame:
     )
     so_far = [f"total_{n}" for n in amounts.NAMES]
     summed = daily.withColumns({t: F.sum(n).over(upto) for t, n in zip(so_far, amounts.NAMES)})
-    return _with_amounts(_with_amounts(summed, "change", amounts.NAMES), "balance", so_far)
+    return amounts.totals(amounts.totals(summed, amounts.NAMES, "change"), so_far, "balance")
 
 
 def per_day(rows: DataFrame, time: str, name: str = "n") -> DataFrame:

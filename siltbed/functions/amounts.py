@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIMBS, LIMB_DIGITS, MOST_DIGITS = 9, 9, 78
@@ -92,6 +92,43 @@ def number(sums: Sequence[Column]) -> Column:
     return F.when(known, F.when(two, short.cast("DECIMAL(38,0)")).when(four, middle).otherwise(decimal(_spelled(sums))))
 
 
+def totals(rows: DataFrame, limbs: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with ``number`` and ``text`` of the summed limbs in place of these columns, as ``name`` and
+    ``<name>_digits``.
+
+    Three limbs at a time are one DECIMAL(38,0), whatever BIGINTs they are. Steps are projections: each is
+    computed once, and all of them make a method short enough for the JVM to compile.
+    """
+    sums, others = [F.col(n) for n in limbs], [c for c in rows.columns if c not in limbs]
+    lit = lambda x, p: F.lit(str(x)).cast(f"DECIMAL({p},0)")
+    wide = lambda x: x.cast("DECIMAL(38,0)")
+    group = BASE**3
+    three = lambda i: wide(wide(sums[i] + sums[i + 1] * lit(BASE, 10)) + sums[i + 2] * lit(BASE**2, 19))
+    above = lambda x: F.call_function("div", x, lit(group, 28))
+    rest = lambda x: x % lit(group, 28)
+    known, two, four, short, middle = _cases(sums)
+    case = F.when(~known, 0).when(two, 1).when(four, 2).otherwise(3)
+    out = rows.withColumn("_case", case)
+    long = lambda x: F.when(F.col("_case") == 3, x)
+    out = out.withColumns({"_a": long(three(0)), "_b": long(three(3)), "_c": long(three(6))})
+    out = out.withColumns({"_b": wide(F.col("_b") + above(F.col("_a"))), "_a": rest(F.col("_a"))})
+    out = out.withColumns({"_c": wide(F.col("_c") + above(F.col("_b"))), "_b": rest(F.col("_b"))})
+    # Division cuts towards zero, so parts may differ in sign; the highest that is not zero has the amount's.
+    below = F.when(F.col("_c") != 0, F.col("_c") < 0).when(F.col("_b") != 0, F.col("_b") < 0).otherwise(F.col("_a") < 0)
+    out = out.withColumn("_below", below)
+    # Unary minus would round a DECIMAL to 34 digits; a difference is exact.
+    out = out.withColumns({p: F.when(F.col("_below"), wide(lit(0, 1) - F.col(p))).otherwise(F.col(p)) for p in ("_a", "_b", "_c")})
+    out = out.withColumn("_b", wide(F.col("_b") - (F.col("_a") < 0).cast("int")))
+    out = out.withColumn("_c", wide(F.col("_c") - (F.col("_b") < 0).cast("int")))
+    low = [F.lpad(F.pmod(F.col(p), lit(group, 28)).cast("string"), 3 * LIMB_DIGITS, "0") for p in ("_b", "_a")]
+    digits = F.regexp_replace(F.concat(F.col("_c").cast("string"), *low), "^0+(?=[0-9])", "")
+    out = out.withColumn("_long", F.concat(F.when(F.col("_below"), "-").otherwise(""), digits))
+    pick = lambda *x: F.when(F.col("_case") == 1, x[0]).when(F.col("_case") == 2, x[1]).when(F.col("_case") == 3, x[2])
+    number_ = pick(short.cast("DECIMAL(38,0)"), middle, decimal(F.col("_long")))
+    text_ = pick(short.cast("string"), middle.cast("string"), F.col("_long"))
+    return out.select(*others, number_.alias(name), text_.alias(f"{name}_digits"))
+
+
 def parts(digits: Column, low: int = 18) -> tuple[Column, Column]:
     """(whole, rest) of signed digits: all but the last ``low`` of them, and those, both with the sign. The
     whole is NULL beyond 38 digits."""
