@@ -541,6 +541,29 @@ def test_copies_do_not_fill_the_sample_of_findings(spark, monkeypatch):
     assert (scores >= bar).mean() >= secrets.RECALL
 
 
+def test_secrets_are_learned_from_all_findings(spark, monkeypatch):
+    """The only confirmed keys set aside beyond the sample score as they do: the bar counts them, and the
+    network moves with findings that the sample does not hold."""
+    r = random.Random(13)
+    texts = []
+    for i in range(400):
+        key = "".join(r.choice("0123456789abcdef") for _ in range(32)) if i % 2 else f"section{r.randrange(10**6)}.example.org/page{i}"
+        texts.append((i, f'words and token = "{key}" and more' if i % 2 else f"words and see {key} for more of it"))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    whole = secrets.candidates(df)
+    aside = whole.where("not fit and confirmed > 0").collect()
+    monkeypatch.setattr(secrets, "SAMPLE", 60)
+    monkeypatch.setattr(secrets, "BLOCK", 100)
+    network, bar = secrets.learn(df)
+    again, same = secrets.learn(df)
+    assert bar == same and all((network[k] == again[k]).all() for k in network)
+    scores = secrets.probabilities(network, [secrets._sequence(x.x) for x in aside])
+    assert len(aside) > 30 and bar == secrets.threshold(scores, np.array([x.confirmed for x in aside], float))
+    seqs, n, confirmed, fit = secrets.findings(df)
+    first = secrets.train([s for s, f in zip(seqs, fit) if f], (2 * confirmed >= n).astype(float)[fit])
+    assert any((first[k] != network[k]).any() for k in network)
+
+
 def test_threshold_recalls_what_it_says():
     scores, times = np.array([0.9, 0.3, 0.2, 0.1]), np.array([1.0, 1000.0, 1.0, 1.0])
     assert secrets.threshold(scores, times) == 0.1
