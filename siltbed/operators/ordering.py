@@ -72,7 +72,7 @@ def _carried(cells: DataFrame, key: str, value: str, order: Column) -> DataFrame
         for i, r in enumerate(own)
     ]
     kind = cells.schema[value].dataType
-    names = [("_hot", cells.schema[key].dataType), ("_at", IntegerType()), ("_before", kind), ("_after", kind)]
+    names = [("_hot", cells.schema[key].dataType), ("_hot_cell", IntegerType()), ("_before", kind), ("_after", kind)]
     return cells.sparkSession.createDataFrame(rows, StructType([StructField(n, t) for n, t in names]))
 
 
@@ -106,7 +106,7 @@ def neighbours(
     before, after = F.col("_p.v"), F.col("_n.v")
     if cuts:
         edges = _carried(cells, key, value, order)
-        sided = sided.join(F.broadcast(edges), (F.col(key) == F.col("_hot")) & (F.col("_cell") == F.col("_at")), "left")
+        sided = sided.join(F.broadcast(edges), (F.col(key) == F.col("_hot")) & (F.col("_cell") == F.col("_hot_cell")), "left")
         before = F.when(F.col("_p").isNull(), F.col("_before")).otherwise(before)
         after = F.when(F.col("_n").isNull(), F.col("_after")).otherwise(after)
     return sided.select(*df.columns, before.alias(prev_name), after.alias(next_name))

@@ -156,3 +156,12 @@ def test_quantiles_leave_no_files(spark, monkeypatch):
     monkeypatch.setattr(ordering, "materialize", lambda *a: (_ for _ in ()).throw(AssertionError("written")))
     df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("v"))
     assert len(ordering.exact_quantiles(df, ["v"]).collect()) == 1
+
+
+def test_a_hot_key_may_have_columns_of_any_name(spark, monkeypatch):
+    """A series cut into ranges, in a column that the ranges' edges once had a name in common with."""
+    rows = spark.range(4000).select((F.col("id") % 2).alias("key"), F.col("id").alias("_at"))
+    monkeypatch.setattr(ordering, "_hot_cuts", lambda *a: {0: [(1000,), (3000,)]})
+    got = ordering.neighbours(rows, "key", "_at", "_at").where("key = 0").collect()
+    assert len(got) == 2000
+    assert all(r["prev_amt"] == (r["_at"] - 2 if r["_at"] else None) and r["next_amt"] == (r["_at"] + 2 if r["_at"] < 3998 else None) for r in got)
