@@ -21,6 +21,7 @@ from siltbed.ml import models as models_io
 from siltbed.ml import monitor, runlog
 from siltbed.ml.registry import Registry
 from siltbed.operators import versions
+from siltbed.scratch import free_shuffles, passing
 
 MODEL = "token-recommender"
 HELD_OUT_SHARE = 5  # every fifth wallet-token pair, by hash, is kept from training
@@ -75,7 +76,8 @@ def stored_ids(spark: SparkSession, model_path: str) -> DataFrame:
 
 def miss_rate(spark: SparkSession, path: str, pairs: DataFrame) -> float:
     """One less the recall of held-out pairs among a stored model's best of all tokens, by its own ids."""
-    return 1.0 - recommend.recall_at_k(ALSModel.load(path), stored_ids(spark, path), pairs).first()["recall"]
+    with passing(spark):
+        return 1.0 - recommend.recall_at_k(ALSModel.load(path), stored_ids(spark, path), pairs).first()["recall"]
 
 
 def train(
@@ -92,6 +94,7 @@ def train(
     test_rows = pairs.where(_held_out())
     models = project.new_models()
     recommend.with_integer_ids(train_rows).write.parquet(f"{models}/ids")
+    free_shuffles(spark)
     ids = spark.read.parquet(f"{models}/ids")
     tags = runlog.data_tags(ids, "train") | runlog.data_tags(test_rows, "test")
 
@@ -99,6 +102,7 @@ def train(
     for number, params in enumerate(grid):
         path = f"{models}/als-{number}"
         recommend.fit_als(ids, seed=seed, **params).save(path)
+        free_shuffles(spark)
         models_io.save_signature(spark, path, ids.select("wallet_id", "token_id", "n_transfers").schema)
         error = miss_rate(spark, path, test_rows)
         run = runlog.log_run(
@@ -153,8 +157,10 @@ def run_project(
     transfers = ingest(spark, project, bronze, schema)
     for question, answer in explore(transfers).items():
         answer.write.mode("overwrite").parquet(f"{home}/explore/{question}")
+    free_shuffles(spark)
     pairs_path = f"{home}/pairs"
     recommend.interactions(transfers, start).write.mode("overwrite").parquet(pairs_path)
+    free_shuffles(spark)
     pairs = spark.read.parquet(pairs_path)
     staged = train(spark, project, pairs, grid)
     watch(spark, project, pairs, staged)

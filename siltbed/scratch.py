@@ -8,11 +8,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltbed.sources.paths import file_system
+
 _SETTING = "spark.checkpoint.dir"
 _local_base: dict[str, str] = {}
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,10 +46,33 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     depend on partition layout), and to cut lineage.
     """
     path = fresh_dir(df.sparkSession, label)
+    if (mine := _passing.get()) is not None:
+        mine.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the files of a shuffle once the driver's JVM has collected all that refers to it; a job
+    of many steps asks for that after each, so that its disk holds the shuffles of one step at a time."""
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is materialized within is deleted at the end: for steps whose result is taken before."""
+    paths: list[str] = []
+    token = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in paths:
+            fs, location = file_system(spark, path)
+            fs.delete(location, True)
+        free_shuffles(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative algorithms cut their lineage here; a folder that is already set is kept."""
     if spark.sparkContext.getCheckpointDir() is None:

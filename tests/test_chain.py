@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal
 
 import numpy as np
@@ -9,6 +10,7 @@ from siltbed.ml import runlog
 from siltbed.ml.registry import Registry
 from siltbed.operators import versions
 from siltbed.operators.schemas import SchemaMismatch
+from siltbed.scratch import shared_dir
 from siltbed.sources import readers
 
 ETHER = 10**18
@@ -196,6 +198,18 @@ def test_recall_counts_unknown_pairs_apart(spark):
     assert (none["n_unknown"], none["recall"]) == (3, 0.0)
 
 
+def test_ranking_leaves_no_tables(spark, home):
+    """What a model's ranking writes on its way is gone once its number is known."""
+    data = [(f"w{w}", f"t{t}") for w in range(12) for t in range(20) if (w + t) % 3]
+    ids = recommend.with_integer_ids(readers.rows(spark, data, "wallet STRING, token STRING").withColumn("n_transfers", F.lit(1)))
+    ids.write.parquet(f"{home}/ids")
+    recommend.fit_als(ids, rank=2, max_iter=1).save(f"{home}/als")
+    held = readers.rows(spark, [(f"w{w}", f"t{t}") for w in range(12) for t in range(20) if not (w + t) % 3], "wallet STRING, token STRING")
+    before = set(os.listdir(shared_dir(spark)))
+    assert 0 <= project.miss_rate(spark, f"{home}/als", held) < 1
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
 def test_project_runs_again(spark, home):
     """Two rounds over a growing bronze: versions add up, one version serves, links are given."""
     wallet, token = F.col("id") % 17, (F.col("id") * 7 + F.col("id") % 5) % 23
