@@ -14,8 +14,10 @@ blocks are held against each other by their sketches; only pairs of different co
 agree in ``LIKELY`` of their coordinates go on to the exact comparison. At similarity 0.75 that is five
 standard deviations below what is expected (one pair in two million). First each class is compared with
 the one most like it, which joins nearly all that can be joined; then all likely pairs that are still of
-different components are compared. A pair of one component joins nothing that is not joined already, so
-the components are those of all links among the candidates.
+different components are compared, where the blocks meet: their texts come along, and only links leave, so
+pairs that share much but too little for a link are never rows. A pair that meets in several buckets is
+compared in the first. A pair of one component joins nothing that is not joined already, so the components
+are those of all links among the candidates.
 
 Defined cases: words are cut at ASCII white space after lower-casing A-Z; fewer than five words make one
 shingle of them all; a null or empty text has no shingles and is linked with nothing; rows with one
@@ -163,14 +165,39 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _likely(best: bool):
-    """Likely pairs of different components; rows come sorted by (band, i, j), at most two blocks each.
-    With ``best`` only the likeliest one of each row."""
+def shared(x: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements of each of ``sets`` are in ``x``; all are sorted and have elements."""
+    out = np.empty(len(sets), dtype=np.int64)
+    ends = np.cumsum([len(s) for s in sets])
+    a = 0
+    while a < len(sets):  # about a million elements at a time
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 20), "right")))
+        some = np.concatenate(sets[a:b])
+        hit = x[np.minimum(np.searchsorted(x, some), len(x) - 1)] == some
+        starts = np.cumsum([0, *(len(s) for s in sets[a : b - 1])])
+        out[a:b] = np.add.reduceat(hit.astype(np.int64), starts)
+        a = b
+    return out
+
+
+def _met(best: bool):
+    """Rows come sorted by (band, i, j), at most two blocks each: with ``best`` the likeliest partner of each
+    row among those of other components; without, the links among all likely pairs of different components."""
 
     def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
         block, a, n, root = (np.array([r[k] for r in rows], dtype=np.int64) for k in (3, 4, 5, 6))
         sketch = np.frombuffer(b"".join(r[7] for r in rows), dtype="<u2").reshape(len(rows), T)
         whole = rows[0][1] == rows[0][2]
+        if not best:
+            bands = np.array([r[8] for r in rows], dtype=np.int64)
+            here = (bands == rows[0][0]).argmax(axis=1)
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(rows[i][9])
+            return sets[i]
+
         u, v = [], []
         for r in range(len(rows)):
             ok = (root != root[r]) & (100 * np.minimum(n, n[r]) >= PERCENT * np.maximum(n, n[r]))
@@ -184,6 +211,11 @@ def _likely(best: bool):
                 at, share = at[share >= LIKELY], share[share >= LIKELY]
                 if best and len(at):
                     at = at[[np.lexsort((a[at], -share))[0]]]
+                if not best and len(at):
+                    at = at[(bands[at] == bands[r]).argmax(axis=1) == here[r]]
+                if not best and len(at):
+                    both = shared(set_of(r), [set_of(i) for i in at.tolist()])
+                    at = at[100 * both >= PERCENT * (n[at] + n[r] - both)]
                 u.extend(np.minimum(a[at], a[r]).tolist())
                 v.extend(np.maximum(a[at], a[r]).tolist())
         return u, v
@@ -206,17 +238,19 @@ def _likely(best: bool):
     return run
 
 
-def _across(members: DataFrame, classes: DataFrame, roots: DataFrame, best: bool) -> DataFrame:
-    """Likely pairs (u, v) within the buckets that hold several components, block against block."""
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, best: bool) -> DataFrame:
+    """Pairs (u, v) within the buckets that hold several components, block against block, as ``_met``."""
     placed = members.join(roots, members["id"] == roots["node"], "left").select("band", "id", "n", F.coalesce("root", "id").alias("root"))
     torn = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    rest = placed.join(torn.select("band", blocks.alias("blocks")), "band").join(classes.select("id", "sketch"), "id")
+    known = classes.select("id", "sketch") if best else classes.select("id", "sketch", "bands").join(texts, "id")
+    rest = placed.join(torn.select("band", blocks.alias("blocks")), "band").join(known, "id")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     place = ["band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-    rest = rest.select(*place, "block", "id", "n", "root", "sketch").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return rest.mapInArrow(_likely(best), "u long, v long").distinct()
+    rest = rest.select(*place, "block", "id", "n", "root", *known.columns[1:]).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    met = rest.mapInArrow(_met(best), "u long, v long")
+    return met.distinct() if best else met
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -251,10 +285,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = stored(_links(star, texts), "links")
     roots = components(links)
 
-    for best in (True, False):
-        across = stored(_across(members, classes, roots, best), "across")
-        links = stored(links.unionAll(_links(across, texts)), "links")
-        roots = components(links)
+    likeliest = stored(_across(members, classes, texts, roots, True), "across")
+    links = stored(links.unionAll(_links(likeliest, texts)), "links")
+    roots = components(links)
+    links = stored(links.unionAll(_across(members, classes, texts, roots, False)), "links")
+    roots = components(links)
 
     rooted = classes.select("id", "a", "b", "least").join(roots, classes["id"] == roots["node"], "left").select("a", "b", "least", F.coalesce("root", "id").alias("component"))
     named = rooted.groupBy("component").agg(F.min("least").alias("component_id"))

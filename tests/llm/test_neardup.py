@@ -131,3 +131,36 @@ def test_copies_without_ids_do_not_multiply(spark, monkeypatch):
     got = neardup.near_duplicates(table(spark, rows).repartition(8)).collect()
     assert len(got) == 2500 and len({r.component for r in got}) == 1
     assert sizes["texts"] == 2001
+
+
+def test_shared_counts_elements():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 500, k, dtype=np.uint64)) for k in (1, 3, 40, 400, 9)]
+    for x in sets:
+        assert neardup.shared(x, sets).tolist() == [len(np.intersect1d(x, y)) for y in sets]
+
+
+def test_unlinked_pairs_are_no_rows(spark, monkeypatch):
+    """300 texts that share 70 % of their shingles pairwise: too little for a link, too much for a sketch to
+    tell. No table holds a row for each pair, and the few real links among them are found."""
+    sizes, write = {}, neardup.stored
+
+    def counted(df, label, *more):
+        out = write(df, label, *more)
+        sizes[label] = max(sizes.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    compared, confirm = spark.sparkContext.accumulator(0), neardup._links
+
+    def links(pairs, texts):
+        compared.add(pairs.count())
+        return confirm(pairs, texts)
+
+    monkeypatch.setattr(neardup, "_links", links)
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    common = [f"word{i}" for i in range(104)]
+    rows = [(i, " ".join([*common, *(f"x{i}y{j}" for j in range(19 + i % 3))])) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 300, 50)]
+    compare(neardup.near_duplicates(table(spark, rows)).collect(), rows)
+    assert compared.value < 20 * len(rows) and max(sizes.values()) < 80 * len(rows)
