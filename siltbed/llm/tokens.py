@@ -61,23 +61,29 @@ class Encoder:
         )
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.bpe, self.letters = self.tokenizer.model, _byte_letters()
+        self.space = self.letters[32]
+        unit = "H" if self.dtype.itemsize == 2 else "I"
+        self.packers = [struct.Struct(f"<{n}{unit}").pack for n in range(33)]
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
-
     def _whole(self, text: str) -> bytes:
         # Without the offsets of the tokens, which nothing here needs.
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype=self.dtype).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _merged(self, piece: str) -> bytes:
         """One word of the tokenizer's own cutting: letters with at most one space before, or marks."""
-        got = self.pieces.get(piece)
+        # Of the ASCII characters in such a word only the space has another letter.
+        spelled = piece.replace(" ", self.space) if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.bpe.tokenize(spelled)]
+        return self.packers[len(ids)](*ids) if len(ids) < 33 else np.array(ids, dtype=self.dtype).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """The same for a part of a chunk, which may be a chunk met before."""
+        got = self.chunks.get(piece) or self.pieces.get(piece)
         if got is None:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-            got = self._bytes([t.id for t in self.bpe.tokenize(spelled)])
+            got = self._merged(piece)
             if len(self.pieces) < PIECES:
                 self.pieces[piece] = got
         return got
@@ -88,14 +94,16 @@ class Encoder:
             got = self._whole(chunk)
         else:
             body = chunk[1:] if chunk[:1] == " " else chunk
-            if not body or body[0].isspace() or body[-1].isspace():
+            if body.isalpha():
+                got = self.pieces.get(chunk) or self._merged(chunk)
+            elif not body or body[0].isspace() or body[-1].isspace():
                 return None
-            word = chunk.rstrip(_PUNCTUATION)
-            if (word[1:] if word[:1] == " " else word).isalpha():
-                marks = chunk[len(word) :]
-                got = self._piece(word) + (self._piece(marks) if marks else b"")
             else:
-                got = self._whole(chunk)
+                word = chunk.rstrip(_PUNCTUATION)
+                if (word[1:] if word[:1] == " " else word).isalpha():
+                    got = self._piece(word) + self._piece(chunk[len(word) :])
+                else:
+                    got = self._whole(chunk)
         if len(self.chunks) < CHUNKS and len(chunk) < 80:
             self.chunks[chunk] = got
         return got

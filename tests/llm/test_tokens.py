@@ -134,3 +134,13 @@ def test_neighbours_share_a_window():
     shard = packing.Shard(docs, idf, 200.0)
     shard.left[0] = False
     assert all(n % 2 == 0 for n in shard.neighbours(0))
+
+
+def test_a_new_word_is_kept_once():
+    """Words alone and before marks, seen in either order; ids are those of the whole text."""
+    from siltbed.llm import tokens
+
+    enc = tokens.Encoder(tokens.tokenizer_path())
+    for text in ("the zorblat qwix the", "zorblat, qwix; zorblat!", "caf\u00e9 na\u00efve, caf\u00e9. plonk? plonk", "x" * 300 + " " + "\u00e9" * 90 + "!", "it's 'quoted' z9 ,, ,"):
+        assert enc.encode(text) == enc._whole(text)
+    assert " qwix" in enc.chunks and " qwix" not in enc.pieces
