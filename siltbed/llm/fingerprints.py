@@ -34,64 +34,114 @@ from siltbed.llm.common import documents, importable, text_of
 from siltbed.llm.neardup import mix
 
 SAMPLES = 128
-#: Rows of drawn samples (1 KB each) that a worker keeps.
+#: Rows of drawn samples (1 KB each) that a worker keeps for good, and as many for a while.
 KEPT = 60_000
 _SEEDS = mix(np.arange(1, 3 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)).reshape(3, SAMPLES)
 
 
-def _uniform(bits: np.ndarray) -> np.ndarray:
-    """Numbers strictly between 0 and 1 from the lowest 24 bits."""
-    return ((bits & np.uint64(0xFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
+def _mixed(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """``mix`` in place."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= np.right_shift(x, np.uint64(shift), out=spare)
+        x *= np.uint64(factor)
+    x ^= np.right_shift(x, np.uint64(31), out=spare)
+    return x
+
+
+def _uniform(bits: np.ndarray, half: int) -> np.ndarray:
+    """Numbers strictly between 0 and 1 from the lowest 24 bits of each low (0) or high (1) half."""
+    x = (bits.view("<u4")[..., half::2] & np.uint32(0xFFFFFF)).view("<i4").astype(np.float32)
+    x += np.float32(0.5)
+    x *= np.float32(2.0**-24)
+    return x
+
+
+def _log_of_product(bits: np.ndarray) -> np.ndarray:
+    x = _uniform(bits, 0)
+    x *= _uniform(bits, 1)
+    return np.log(x, out=x)
 
 
 def draws(words: list[bytes], weights: np.ndarray) -> np.ndarray:
     """One row per word: for each sample ln a as an ordered number in the high half and the code of
     (word, t) in the low half, so that the least number of a column is the sample."""
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[:, None]
-    m = [mix(h + s) for s in _SEEDS]
-    high = np.uint64(32)
-    r, b = -np.log(_uniform(m[0]) * _uniform(m[0] >> high)), _uniform(m[2])
-    ln_c = np.log(-np.log(_uniform(m[1]) * _uniform(m[1] >> high)))
-    t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + b)
-    ln_a = (ln_c - r * (t - b) - r).astype(np.float32)
-    bits = ln_a.view(np.uint32)
-    ordered = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
-    code = mix(h ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(32)
-    return ordered << np.uint64(32) | code
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.dtype("<u8"), len(words))[:, None]
+    m, spare = np.empty((2, len(words), SAMPLES), dtype="<u8")
+    r = _log_of_product(_mixed(np.add(h, _SEEDS[0], out=m), spare))
+    np.negative(r, out=r)
+    ln_a = _log_of_product(_mixed(np.add(h, _SEEDS[1], out=m), spare))
+    np.negative(ln_a, out=ln_a)
+    np.log(ln_a, out=ln_a)
+    b = _uniform(_mixed(np.add(h, _SEEDS[2], out=m), spare), 0)
+    t = np.floor(b)  # with weight 1, whose logarithm is 0
+    more = np.flatnonzero(weights != 1)
+    t[more] = np.floor(np.log(weights[more].astype(np.float32))[:, None] / r[more] + b[more])
+    ln_a -= np.multiply(r, np.subtract(t, b, out=b), out=b)
+    ln_a -= r
+    bits = ln_a.view("<u4")
+    bits ^= (ln_a.view("<i4") >> 31).view("<u4") | np.uint32(1 << 31)
+    out = bits.astype(np.uint64)
+    out <<= np.uint64(32)
+    # Where t is 0 in every sample, all have one code.
+    moved = np.flatnonzero(t.any(axis=1))
+    plain = np.ones(len(words), dtype=bool)
+    plain[moved] = False
+    out[plain] |= mix(h[plain]) >> np.uint64(32)
+    out[moved] |= mix(h[moved] ^ (t[moved].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(32)
+    return out
+
+
+class _Places(dict):
+    """The row of each word (met once in a text) or (word, weight); a new one has the next row."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        self[key] = at = len(self)
+        self.new.append(key)
+        return at
 
 
 class Sampler:
     def __init__(self):
-        self.at: dict[tuple[bytes, int], int] = {}
+        self.at = _Places()
+        #: The words met after the first KEPT, in the order of their rows.
+        self.later: list = []
         self.rows = np.zeros((1024, SAMPLES), dtype=np.uint64)
+        self.spare = np.empty((256, SAMPLES), dtype=np.uint64)
 
-    def _draw(self, base: int, new: list[tuple[bytes, int]]) -> None:
+    def _draw(self, base: int, new: list) -> None:
         while len(self.rows) < base + len(new):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        for i in range(0, len(new), 2048):
-            part = new[i : i + 2048]
+        for i in range(0, len(new), 128):  # small enough for the processor's cache
+            part = [k if type(k) is tuple else (k, 1) for k in new[i : i + 128]]
             self.rows[base + i : base + i + len(part)] = draws([w for w, _ in part], np.array([n for _, n in part]))
 
+    def _least(self, rows: np.ndarray) -> np.ndarray:
+        least = None
+        for i in range(0, len(rows), len(self.spare)):
+            part = rows[i : i + len(self.spare)]
+            found = np.take(self.rows, part, axis=0, out=self.spare[: len(part)], mode="clip").min(axis=0)
+            least = found if least is None else np.minimum(least, found)
+        return least
+
     def codes(self, texts: list[str]) -> list[np.ndarray | None]:
         """The 16-bit sample codes of each text; None without words."""
-        counted = [list(Counter(t.encode().lower().split()).items()) for t in texts]
-        new = list({k for c in counted for k in c if k not in self.at})
-        base = len(self.at)
-        self._draw(base, new)
-        # The words met first are kept, frequent ones among them; later ones serve these texts only.
-        at = dict(zip(new, range(base, base + len(new))))
-        self.at.update((k, at[k]) for k in new[: max(0, KEPT - base)])
-        known = self.at
-        out = []
-        for c in counted:
-            if not c:
-                out.append(None)
-                continue
-            rows = np.fromiter((at[k] if k in at else known[k] for k in c), np.int64, len(c))
-            least = self.rows[rows[:4096]].min(axis=0)
-            for i in range(4096, len(rows), 4096):
-                least = np.minimum(least, self.rows[rows[i : i + 4096]].min(axis=0))
-            out.append((least & np.uint64(0xFFFF)).astype(">u2"))
+        at, base = self.at, len(self.at)
+        places = []
+        for t in texts:
+            keys = [w if n == 1 else (w, n) for w, n in Counter(t.encode().lower().split()).items()]
+            places.append(np.fromiter(map(at.__getitem__, keys), np.int64, len(keys)))
+        self._draw(base, at.new)
+        out = [(self._least(rows) & np.uint64(0xFFFF)).astype(">u2") if len(rows) else None for rows in places]
+        # The words met first are kept, frequent ones among them; later ones until there are too many.
+        self.later += at.new[max(0, KEPT - base) :]
+        at.new.clear()
+        if len(self.later) > KEPT:
+            for k in self.later:
+                del at[k]
+            self.later.clear()
         return out
 
 

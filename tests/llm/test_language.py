@@ -85,6 +85,41 @@ def test_draws_are_consistent():
     assert (a == c).all() and (b == d).all()
 
 
+def test_words_met_lately_are_drawn_once(monkeypatch):
+    """Words beyond the first KEPT stay for a while; what is drawn anew or kept gives the same samples."""
+    monkeypatch.setattr(fingerprints, "KEPT", 40)
+    drawn, draws = [], fingerprints.draws
+    monkeypatch.setattr(fingerprints, "draws", lambda words, n: drawn.extend(words) or draws(words, n))
+    s = fingerprints.Sampler()
+    first, later = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(20)) + " b1 b1 c"
+    s.codes([first])
+    x, y = s.codes([later])[0], s.codes([later])[0]
+    assert len(drawn) == 50 + 21 and (x == y).all()
+    for k in range(9):
+        s.codes([" ".join(f"d{k}x{i}" for i in range(30))])
+        assert len(s.at) <= 2 * 40
+    assert (s.codes([later])[0] == x).all() and (fingerprints.Sampler().codes([later])[0] == x).all()
+
+
+def test_draws_follow_the_definition():
+    """Whatever is worked out once for many samples, each is that of its word, weight and seed."""
+    words, weights = [b"w%d" % i for i in range(300)], np.arange(300) % 7 + 1
+    got = fingerprints.draws(words, weights)
+    low = np.uint64(0xFFFFFF)
+    for i in (0, 1, 8, 255, 299):
+        h = np.uint64(fingerprints.xxhash.xxh3_64_intdigest(words[i]))
+        m = [fingerprints.mix(h + s) for s in fingerprints._SEEDS]
+        u = lambda bits: ((bits & low).astype(np.float64) + 0.5) / 2**24
+        r, b = -np.log(u(m[0]) * u(m[0] >> np.uint64(32))), u(m[2])
+        t = np.floor(np.log(weights[i]) / r + b)
+        ln_a = np.log(-np.log(u(m[1]) * u(m[1] >> np.uint64(32)))) - r * (t - b) - r
+        high = (got[i] >> np.uint64(32)).astype(np.uint32)
+        bits = np.where(high >> np.uint32(31), high ^ np.uint32(1 << 31), ~high)
+        assert np.allclose(bits.view(np.float32), ln_a, rtol=1e-3, atol=1e-3)
+        code = fingerprints.mix(h ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(32)
+        assert ((got[i] & np.uint64(0xFFFFFFFF)) == code).mean() > 0.99
+
+
 # -- language model ----------------------------------------------------------------------------------
 
 
