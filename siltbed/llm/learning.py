@@ -26,8 +26,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, allowed: Co
     return [r.text for r in rows], np.array([r.y for r in rows], dtype=np.float64)
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def sigmoid(x: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    if out is None:
+        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    np.negative(np.clip(x, -30, 30, out=out), out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.divide(1, out, out=out)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -47,12 +52,24 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
 
 class Adam:
     def __init__(self, rate: float):
-        self.rate, self.t, self.m, self.v = rate, 0, {}, {}
+        self.rate, self.t, self.m, self.v, self.spare = rate, 0, {}, {}, {}
 
     def step(self, params: dict[str, np.ndarray], grads: dict[str, np.ndarray]) -> None:
         self.t += 1
         for k, g in grads.items():
-            self.m[k] = 0.9 * self.m.get(k, 0) + 0.1 * g
-            self.v[k] = 0.999 * self.v.get(k, 0) + 0.001 * g * g
-            m, v = self.m[k] / (1 - 0.9**self.t), self.v[k] / (1 - 0.999**self.t)
-            params[k] -= (self.rate * m / (np.sqrt(v) + 1e-8)).astype(params[k].dtype)
+            g = np.asarray(g)
+            if k not in self.m:
+                self.m[k], self.v[k], self.spare[k] = np.zeros_like(g), np.zeros_like(g), np.empty_like(g)
+            m, v, x = self.m[k], self.v[k], self.spare[k]
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=x)
+            np.multiply(g, 0.001, out=x)
+            x *= g
+            v *= 0.999
+            v += x
+            np.sqrt(np.divide(v, 1 - 0.999**self.t, out=x), out=x)
+            x += 1e-8
+            change = np.asarray(m / (1 - 0.9**self.t))
+            change *= self.rate
+            change /= x
+            params[k] -= change.astype(params[k].dtype, copy=False)

@@ -136,8 +136,8 @@ class Vocabulary:
         kind[-1] = END
         if len(words):
             kind[:-1] = self.kind[at] if len(self.kind) else 0
-            for i in np.flatnonzero(at < 0):
-                kind[i] = shared_class(words[i])
+            others = np.flatnonzero(at < 0)
+            kind[others] = [shared_class(words[i]) for i in others.tolist()]
         return at, kind
 
 
@@ -204,11 +204,23 @@ def noise_of(n: Vocabulary) -> np.ndarray:
 
 def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Row k: the sum of the rows of ``values`` where ``at`` is k."""
-    order = np.argsort(at, kind="stable")
-    k = at[order]
-    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    order = np.argsort(at.astype(np.int16) if n < 1 << 15 else at, kind="stable")  # short numbers sort faster
+    k = at.take(order)
+    new = np.ones(len(k), dtype=bool)
+    np.not_equal(k[1:], k[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    times = np.r_[first[1:], len(k)] - first
     out = np.zeros((n, values.shape[1]), dtype=values.dtype)
-    out[k[first]] = np.add.reduceat(values[order], first, axis=0)
+    # Most come once or twice: these are added all at once.
+    for m in (1, 2, 3):
+        some = first[times == m]
+        rows = [values.take(order[some + i], axis=0) for i in range(m)]
+        out[k[some]] = rows[0] if m == 1 else rows[0] + (rows[1] if m == 2 else rows[1] + rows[2])
+    often = times > 3
+    if often.any():
+        many = times[often]
+        rows = values.take(order[np.repeat(often, times)], axis=0)
+        out[k[first[often]]] = np.add.reduceat(rows, np.cumsum(many) - many, axis=0)
     return out
 
 
@@ -216,28 +228,39 @@ def fit(p: dict, rows: np.ndarray, q: np.ndarray, rate: float, passes: int, seed
     """Noise-contrastive estimation: tell each target from NOISE classes drawn from ``q``, which all
     contexts of a batch share. With ``adam`` it goes on where that one stopped."""
     r, adam, log_kq = np.random.default_rng(seed), adam or Adam(rate), np.log(NOISE * q).astype(np.float32)
-    classes = len(q)
+    classes, chances = len(q), q.cumsum()
+    chances /= chances[-1]
     for _ in range(passes):
         order = r.permutation(len(rows))
         for at in range(0, len(order), BATCH):
-            far, near, target = np.ascontiguousarray(rows[order[at : at + BATCH]].T)
-            x, y = p["context"][near], p["context"][far]
-            v = x @ p["near"] + y @ p["far"]
-            drawn = r.choice(classes, NOISE, p=q)
-            wanted, others = p["target"][target], p["target"][drawn]
+            far, near, target = np.ascontiguousarray(rows.take(order[at : at + BATCH], axis=0).T)
+            x, y = p["context"].take(near, axis=0), p["context"].take(far, axis=0)
+            v = x @ p["near"]
+            v += y @ p["far"]
+            drawn = chances.searchsorted(r.random(NOISE), side="right")  # as r.choice(classes, NOISE, p=q)
+            wanted, others = p["target"].take(target, axis=0), p["target"].take(drawn, axis=0)
             true = sigmoid((v * wanted).sum(axis=1) + p["bias"][target] - log_kq[target]) - 1
-            false = sigmoid(v @ others.T + p["bias"][drawn] - log_kq[drawn])
+            false = v @ others.T
+            false += p["bias"][drawn]
+            false -= log_kq[drawn]
             n = np.float32(1 / len(target))
-            true, false = (true * n).astype(np.float32), (false * n).astype(np.float32)
-            dv = true[:, None] * wanted + false @ others
+            true, false = (true * n).astype(np.float32), sigmoid(false, out=false)
+            false *= n
+            dv = false @ others
+            wanted *= true[:, None]
+            dv += wanted
+            target_sums = _sums(target, true[:, None] * v, classes)
+            target_sums += _sums(drawn, false.T @ v, classes)
+            context_sums = _sums(near, dv @ p["near"].T, classes)
+            context_sums += _sums(far, dv @ p["far"].T, classes)
             adam.step(
                 p,
                 {
-                    "target": _sums(target, true[:, None] * v, classes) + _sums(drawn, false.T @ v, classes),
+                    "target": target_sums,
                     "bias": (np.bincount(target, true, classes) + np.bincount(drawn, false.sum(axis=0), classes)).astype(np.float32),
                     "near": x.T @ dv,
                     "far": y.T @ dv,
-                    "context": _sums(near, dv @ p["near"].T, classes) + _sums(far, dv @ p["far"].T, classes),
+                    "context": context_sums,
                 },
             )
 
@@ -329,15 +352,19 @@ class Scorer:
         if self.table is not None:
             return self.table[pair, target].astype(np.float64)
         new = np.unique(pair[np.isnan(self.divisor[pair])])
-        for at in range(0, len(new), 2048):
-            part = new[at : at + 2048]
-            s = (self.far[part // self.classes] + self.near[part % self.classes]) @ self.target.T + self.bias
+        for at in range(0, len(new), 64):  # small enough for the processor's cache
+            part = new[at : at + 64]
+            s = (self.far[part // self.classes] + self.near[part % self.classes]) @ self.target.T
+            s += self.bias
             top = s.max(axis=1)
-            self.divisor[part] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+            s -= top[:, None]
+            self.divisor[part] = top + np.log(np.exp(s, out=s).sum(axis=1))
         out = np.empty(len(pair))
-        for at in range(0, len(pair), 1 << 15):
-            cut = slice(at, at + (1 << 15))
-            score = np.einsum("ij,ij->i", self.far[far[cut]] + self.near[near[cut]], self.target[target[cut]])
+        for at in range(0, len(pair), 1 << 11):
+            cut = slice(at, at + (1 << 11))
+            both = self.far.take(far[cut], axis=0)
+            both += self.near.take(near[cut], axis=0)
+            score = np.einsum("ij,ij->i", both, self.target.take(target[cut], axis=0))
             out[cut] = score + self.bias[target[cut]] - self.divisor[pair[cut]]
         return out / np.log(10)
 

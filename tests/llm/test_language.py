@@ -219,3 +219,34 @@ def test_own_classes_grow_with_the_vocabulary():
     for far, near in ((0, 0), (900, lm.END), (lm.OWN + 3, 1000)):
         logs = lm.Scorer(p).logs(np.full_like(every, far), np.full_like(every, near), every)
         assert abs((10**logs).sum() - 1) < 1e-4
+
+
+def test_sums_of_rows_met_any_number_of_times():
+    r = np.random.default_rng(5)
+    for n, classes in ((1, 3), (64, 40_000), (500, 400), (2048, 60)):
+        at, values = r.integers(0, classes, n), r.normal(size=(n, 4)).astype(np.float32)
+        wanted = np.zeros((classes, 4))
+        np.add.at(wanted, at, values)
+        assert np.allclose(lm._sums(at, values, classes), wanted, atol=1e-4)
+
+
+def test_new_pairs_need_little_memory():
+    """Divisors are worked out a few pairs at a time, and steps of the optimiser keep their own arrays."""
+    import tracemalloc
+
+    from siltbed.llm.learning import Adam
+
+    scorer = lm.Scorer(lm.initial(np.full(2000, 1 / 2000)))
+    pair = np.random.default_rng(1).permutation(2000**2)[:4000]
+    tracemalloc.start()
+    try:
+        logs = scorer.logs(pair // 2000, pair % 2000, pair % 2000)
+        assert tracemalloc.get_traced_memory()[1] < 4e6
+    finally:
+        tracemalloc.stop()
+    assert np.isfinite(logs).all() and (logs < 0).all()
+    adam, p = Adam(0.01), {"w": np.ones((9, 3), np.float32), "b": np.ones((), np.float64)}
+    adam.step(p, {k: x * 2 for k, x in p.items()})
+    kept = adam.m["w"]
+    adam.step(p, {k: x * 2 for k, x in p.items()})
+    assert adam.m["w"] is kept and np.allclose(p["w"], 0.98, atol=1e-4) and np.allclose(p["b"], 0.98, atol=1e-4)
