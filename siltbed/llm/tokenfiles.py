@@ -35,20 +35,37 @@ _BLOCKS = "part int, block int, first_start long, doc_ids array<long>, n_tokens
 _LENGTHS = np.array([[1 + (c >> s & 3) for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.uint8)
 
 
-def pack_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit numbers."""
-    n = numbers.astype("<u4")
-    lengths = 1 + (n > 0xFF).astype(np.uint8) + (n > 0xFFFF) + (n > 0xFFFFFF)
-    data = n.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
-    padded = np.zeros(-len(n) // 4 * -4, dtype=np.uint8)
-    padded[: len(n)] = lengths - 1
+def pack_numbers(numbers: np.ndarray, counts: list[int] | None = None) -> tuple[bytes, bytes]:
+    """Control and data bytes of unsigned 32-bit numbers. With ``counts``, these are runs of so many numbers
+    one after the other, each as if packed alone."""
+    n = np.ascontiguousarray(numbers, dtype="<u4")
+    counts = np.array([len(n)] if counts is None else counts, dtype=np.int64)
+    more = n > 0xFF
+    lengths = 1 + more.astype(np.uint8) + (n > 0xFFFF) + (n > 0xFFFFFF)
+    if len(n) and int(n.max()) <= 0xFFFF:  # the first byte of each and the second of some
+        kept = np.ones(2 * len(n), dtype=bool)
+        kept[1::2] = more
+        data = n.astype("<u2").view(np.uint8)[np.flatnonzero(kept)]
+    else:
+        data = n.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    fours = -(-counts // 4)
+    padded = np.zeros(int(fours.sum()) * 4, dtype=np.uint8)
+    padded[_places(counts, fours)] = lengths - 1
     four = padded.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
-def unpack_numbers(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
-    lengths = _LENGTHS[control].ravel()[:count].astype(np.int64)
+def _places(counts: np.ndarray, fours: np.ndarray) -> np.ndarray:
+    """Where the numbers of each run stand when every run begins at a multiple of four."""
+    before = np.cumsum(fours * 4 - counts) - (fours * 4 - counts)
+    return np.arange(int(counts.sum())) + np.repeat(before, counts)
+
+
+def unpack_numbers(control: np.ndarray, data: np.ndarray, counts: int | list[int]) -> np.ndarray:
+    """All numbers of one run of so many, or of several packed one after the other."""
+    counts = np.array([counts] if isinstance(counts, int) else counts, dtype=np.int64)
+    lengths = _LENGTHS[control].ravel()[_places(counts, -(-counts // 4))].astype(np.int64)
     at = np.cumsum(lengths) - lengths
     out = data[at].astype(np.uint32)
     for k in (1, 2, 3):
@@ -95,9 +112,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> No
         def close() -> pa.RecordBatch:
             lengths = [len(x) for _, x in held]
             # Each document's control bytes begin anew, so that it can be read alone.
-            packed = [pack_numbers(rank_of[x]) for _, x in held]
-            row = [[part], [block], [start], [[d for d, _ in held]], [lengths]]
-            row += [[b"".join(c for c, _ in packed)], [b"".join(d for _, d in packed)]]
+            control, data = pack_numbers(rank_of[np.concatenate([x for _, x in held])], lengths)
+            row = [[part], [block], [start], [[d for d, _ in held]], [lengths], [control], [data]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             names = [c.split()[0] for c in _BLOCKS.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
@@ -135,20 +151,17 @@ def read_tokens(spark: SparkSession, path: str, finish: Callable[[np.ndarray], o
     ranked = [r.id for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()]
     id_of, base = np.array(ranked or [0], dtype=np.uint32), _starts(blocks)
     finish = finish or (lambda ids: ids.astype(np.int64))
-    sizes = _LENGTHS.astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
                 control, data = (np.frombuffer(row[c], dtype=np.uint8) for c in ("control", "data"))
-                start, c, d, out = base[row["part"]] + row["first_start"], 0, 0, [[], [], []]
+                start, at, out = base[row["part"]] + row["first_start"], 0, [[], [], []]
+                whole = id_of[unpack_numbers(control, data, row["n_tokens"])]
                 for n in row["n_tokens"]:
-                    own = control[c : (c := c - (-n // 4))]
-                    size = int(sizes[own].ravel()[:n].sum())
-                    ids = id_of[unpack_numbers(own, data[d : (d := d + size)], n)]
-                    for column, value in zip(out, (start, n, finish(ids))):
+                    for column, value in zip(out, (start, n, finish(whole[at : at + n]))):
                         column.append(value)
-                    start += n
+                    start, at = start + n, at + n
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2])],
                     names=["doc_id", "start", "n_tokens", "ids"],
@@ -158,7 +171,7 @@ def read_tokens(spark: SparkSession, path: str, finish: Callable[[np.ndarray], o
 
 
 def ids_crc32(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

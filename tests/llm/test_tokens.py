@@ -144,3 +144,16 @@ def test_a_new_word_is_kept_once():
     for text in ("the zorblat qwix the", "zorblat, qwix; zorblat!", "caf\u00e9 na\u00efve, caf\u00e9. plonk? plonk", "x" * 300 + " " + "\u00e9" * 90 + "!", "it's 'quoted' z9 ,, ,"):
         assert enc.encode(text) == enc._whole(text)
     assert " qwix" in enc.chunks and " qwix" not in enc.pieces
+
+
+def test_a_block_is_packed_and_read_at_once():
+    """The bytes of many documents in one step are those of each alone."""
+    r = np.random.default_rng(6)
+    for most in (200, 60_000, 1 << 32):
+        runs = [r.integers(0, most, n).astype(np.uint32) for n in (0, 1, 4, 5, 300, 0, 7)]
+        counts = [len(x) for x in runs]
+        alone = [tokenfiles.pack_numbers(x) for x in runs]
+        control, data = tokenfiles.pack_numbers(np.concatenate(runs), counts)
+        assert control == b"".join(c for c, _ in alone) and data == b"".join(d for _, d in alone)
+        numbers = tokenfiles.unpack_numbers(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), counts)
+        assert (numbers == np.concatenate(runs)).all()
