@@ -38,6 +38,15 @@ COMMON = 0.05
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids of a document in ascending order, and how often each comes."""
+    ids = np.sort(ids)
+    new = np.ones(len(ids) + 1, dtype=bool)
+    np.not_equal(ids[1:], ids[:-1], out=new[1:-1])
+    first = np.flatnonzero(new)
+    return ids[first[:-1]], first[1:] - first[:-1]
+
+
 def id_document_counts(tokens: DataFrame, dtype: str) -> tuple[np.ndarray, int, float]:
     """Documents that hold each id, number of documents, mean length. The counts have one entry per id
     of the tokenizer; id -1 carries the two totals."""
@@ -46,7 +55,7 @@ def id_document_counts(tokens: DataFrame, dtype: str) -> tuple[np.ndarray, int,
         df, docs, length = np.zeros(1 << 16, dtype=np.int64), 0, 0
         for b in batches:
             for blob in b.column(0).to_pylist():
-                ids = np.unique(np.frombuffer(blob, dtype=dtype))
+                ids, _ = distinct(np.frombuffer(blob, dtype=dtype))
                 if len(ids) and ids[-1] >= len(df):
                     df = np.pad(df, (0, int(ids[-1]) + 1 - len(df)))
                 df[ids] += 1
@@ -78,7 +87,7 @@ class Shard:
         self.next_unused = 0
         terms, weights, owner, self.queries = [], [], [], []
         for d, ids in enumerate(docs):
-            t, tf = np.unique(ids, return_counts=True)
+            t, tf = distinct(ids)
             w = (idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32)
             terms.append(t)
             weights.append(w)
@@ -87,11 +96,11 @@ class Shard:
         term, order = np.concatenate(terms), None
         order = np.argsort(term, kind="stable")
         self.owner, self.weight = np.concatenate(owner)[order], np.concatenate(weights)[order]
-        self.ends = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self.ends = np.searchsorted(term[order], np.arange(len(idf) + 1)).tolist()
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused documents that share an id of the seed's query, the best score first."""
-        spans = [(self.ends[t], self.ends[t + 1]) for t in self.queries[seed]]
+        spans = [(self.ends[t], self.ends[t + 1]) for t in self.queries[seed].tolist()]
         owner = np.concatenate([self.owner[a:b] for a, b in spans])
         weight = np.concatenate([self.weight[a:b] for a, b in spans])
         score = np.bincount(owner, weight, minlength=len(self.docs))

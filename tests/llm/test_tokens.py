@@ -157,3 +157,11 @@ def test_a_block_is_packed_and_read_at_once():
         assert control == b"".join(c for c, _ in alone) and data == b"".join(d for _, d in alone)
         numbers = tokenfiles.unpack_numbers(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), counts)
         assert (numbers == np.concatenate(runs)).all()
+
+
+def test_ids_of_a_document_are_told_apart():
+    r = np.random.default_rng(7)
+    for n in (0, 1, 2, 900):
+        ids = r.integers(0, 50, n).astype("<u2")
+        for got, wanted in zip(packing.distinct(ids), np.unique(ids, return_counts=True)):
+            assert (got == wanted).all() and len(got) == len(wanted)
