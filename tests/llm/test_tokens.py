@@ -165,3 +165,40 @@ def test_ids_of_a_document_are_told_apart():
         ids = r.integers(0, 50, n).astype("<u2")
         for got, wanted in zip(packing.distinct(ids), np.unique(ids, return_counts=True)):
             assert (got == wanted).all() and len(got) == len(wanted)
+
+
+def test_a_column_gives_the_ids_of_its_texts(tokenizer, small, odd_rows, monkeypatch):
+    """In one step or several, with a full table of words or an empty one, whatever white space a text has."""
+    import pyarrow as pa
+
+    from siltbed.llm import tokens
+
+    r = random.Random(3)
+    alphabet = ["a", "Word", " ", "\n", "  ", ".", ",", "'s", "'", "\t", "9", "\u00e9", "\u0416", "\u00a0", "\x1c", "_", "\u00b2", "\u4e2d", "!!", "\0", "\ua7da", "\r\n", "x" * 90]
+    made = ["".join(r.choice(alphabet) for _ in range(r.randrange(12))) for _ in range(3000)]
+    texts = [t or "" for _, t, *_ in odd_rows] + list(small.text.fillna("")) + made + ["", "\n", " ", "\0", "a\nb", "\ua7da, x"]
+    wanted = [ids_of(tokenizer, t).astype("<u2") for t in texts]
+    for kept, step in ((tokens.WORDS, tokens.STEP), (50, 3000), (0, 1)):
+        monkeypatch.setattr(tokens, "WORDS", kept)
+        monkeypatch.setattr(tokens, "STEP", step)
+        enc, ids, sizes = Encoder(tokenizer_path()), [], []
+        column = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+        halves = [pa.RecordBatch.from_arrays([b.column(0), b.column(0)], names=["doc_id", "text"]) for b in (column.slice(0, 700), column.slice(700))]
+        for b in tokens._steps(iter(halves)):
+            got, n = enc.encode_column(b.column(1), 0)
+            ids.append(got)
+            sizes += n.tolist()
+        assert sizes == [len(w) for w in wanted]
+        assert (np.concatenate(ids) == np.concatenate(wanted)).all()
+        assert len(enc.words) <= kept
+
+
+def test_a_word_is_handed_over_once_for_all_its_marks(monkeypatch):
+    import pyarrow as pa
+
+    enc, met = Encoder(tokenizer_path()), []
+    chunk = Encoder._chunk
+    monkeypatch.setattr(Encoder, "_chunk", lambda self, c: met.append(c) or chunk(self, c))
+    for _ in range(2):
+        enc.encode_column(pa.array(["the plonk plonk, plonk. plonk!", "so plonk\nplonk, caf\u00e9, caf\u00e9."]), 0)
+    assert sorted(met) == sorted(["the", " plonk", "so", "\n", "plonk", " caf\u00e9", ",", ".", "!"])
