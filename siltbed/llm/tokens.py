@@ -27,8 +27,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 TOKENIZER = "byte_bpe_50k.json"
 #: Entries kept per worker; beyond these a chunk is encoded anew each time it comes.
 CHUNKS, PIECES = 700_000, 300_000
-#: The same for the table of a column's words, and the characters of text that are encoded in one step.
-WORDS, STEP = 1_500_000, 32 << 20
+#: The same for the table of a column's words, and the bytes of text that are encoded in one step.
+WORDS, STEP = 1_500_000, 16 << 20
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Latin and Cyrillic words; letters that only some versions of Unicode know are not among them.
 _LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481]+$"
