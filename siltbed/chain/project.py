@@ -22,6 +22,7 @@ from siltbed.ml import monitor, runlog
 from siltbed.ml.registry import Registry
 from siltbed.operators import versions
 from siltbed.scratch import free_shuffles, passing
+from siltbed.sources.paths import exists
 
 MODEL = "token-recommender"
 HELD_OUT_SHARE = 5  # every fifth wallet-token pair, by hash, is kept from training
@@ -74,10 +75,19 @@ def stored_ids(spark: SparkSession, model_path: str) -> DataFrame:
     return spark.read.parquet(f"{model_path.rsplit('/', 1)[0]}/ids")
 
 
-def miss_rate(spark: SparkSession, path: str, pairs: DataFrame) -> float:
+def stored_names(spark: SparkSession, model_path: str) -> dict[str, DataFrame] | None:
+    """Each wallet and token with its id, beside the ids; None for models that were stored without them."""
+    paths = {c: f"{model_path.rsplit('/', 1)[0]}/{c}_ids" for c in ("wallet", "token")}
+    return {c: spark.read.parquet(p) for c, p in paths.items()} if all(exists(spark, p) for p in paths.values()) else None
+
+
+def miss_rate(spark: SparkSession, path: str, pairs: DataFrame | recommend.HeldOut) -> float:
     """One less the recall of held-out pairs among a stored model's best of all tokens, by its own ids."""
     with passing(spark):
-        return 1.0 - recommend.recall_at_k(ALSModel.load(path), stored_ids(spark, path), pairs).first()["recall"]
+        held = pairs
+        if not isinstance(held, recommend.HeldOut):
+            held = recommend.by_ids(stored_ids(spark, path), pairs, stored_names(spark, path))
+        return 1.0 - recommend.recall(ALSModel.load(path), held).first()["recall"]
 
 
 def train(
@@ -93,22 +103,28 @@ def train(
     train_rows = pairs.where(~_held_out()).select("wallet", "token", "n_transfers")
     test_rows = pairs.where(_held_out())
     models = project.new_models()
-    recommend.with_integer_ids(train_rows).write.parquet(f"{models}/ids")
+    with passing(spark):
+        for c, numbered in recommend.integer_ids(train_rows).items():
+            numbered.write.parquet(f"{models}/{c}_ids")
+    names = stored_names(spark, f"{models}/als")
+    recommend.with_integer_ids(train_rows, names=names).write.parquet(f"{models}/ids")
     free_shuffles(spark)
     ids = spark.read.parquet(f"{models}/ids")
     tags = runlog.data_tags(ids, "train") | runlog.data_tags(test_rows, "test")
 
     tried = []
-    for number, params in enumerate(grid):
-        path = f"{models}/als-{number}"
-        recommend.fit_als(ids, seed=seed, **params).save(path)
-        free_shuffles(spark)
-        models_io.save_signature(spark, path, ids.select("wallet_id", "token_id", "n_transfers").schema)
-        error = miss_rate(spark, path, test_rows)
-        run = runlog.log_run(
-            spark, project.runs, MODEL, f"als-{number}", params, {"miss_rate": error}, tags, path, data_version
-        )
-        tried.append((error, run))
+    with passing(spark):
+        held = recommend.by_ids(ids, test_rows, names)
+        for number, params in enumerate(grid):
+            path = f"{models}/als-{number}"
+            recommend.fit_als(ids, seed=seed, **params).save(path)
+            free_shuffles(spark)
+            models_io.save_signature(spark, path, ids.select("wallet_id", "token_id", "n_transfers").schema)
+            error = miss_rate(spark, path, held)
+            run = runlog.log_run(
+                spark, project.runs, MODEL, f"als-{number}", params, {"miss_rate": error}, tags, path, data_version
+            )
+            tried.append((error, run))
     version = registry.register(MODEL, min(tried)[1])
     registry.transition(MODEL, version, "Staging")
     return version
@@ -136,7 +152,7 @@ def recommend_tokens(
     runs = runlog.read_runs(spark, project.runs)
     path = Registry(spark, project.registry).resolve(f"models:/{MODEL}/Production", runs)
     model = ALSModel.load(path)
-    best = recommend.recommend_als(model, stored_ids(spark, path), wallet, k, pairs)
+    best = recommend.recommend_als(model, stored_ids(spark, path), wallet, k, pairs, stored_names(spark, path))
     link = F.concat(F.lit(recommend.TOKEN_PAGE), F.col("token").cast("string"))
     return best.withColumn("link", link)
 

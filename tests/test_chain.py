@@ -372,3 +372,43 @@ def test_silver_of_the_other_tables(spark, home):
         assert versions.read_as_of(spark, f"{home}/{name}/silver").count() == 2
     with pytest.raises(SchemaMismatch):
         etl.silver_table(bronze.withColumn("asof", F.array("asof")), "prices")
+
+
+def test_tokens_of_a_direction_against_all_products():
+    """What settles a pair before the rounds: every likely token that ranks before it, trained ones left out."""
+    rng = np.random.default_rng(5)
+    factors, users = rng.normal(size=(300, 3)), rng.normal(size=(50, 3))
+    users[0] = 0
+    places, likely = recommend._likely_tokens(factors, users[:7])
+    row, token = np.repeat(np.arange(50), 4), rng.integers(0, 300, 200)
+    own = np.einsum("ij,ij->i", users[row], factors[token])
+    trained = np.nonzero(rng.random((50, len(places))) < 0.3)
+    got = recommend._likely_ahead(users, row, own, trained, likely)
+    known, directions = set(zip(*(t.tolist() for t in trained))), likely[2]
+    for i in range(200):
+        mine = likely[1][int(np.argmax(directions @ users[row[i]]))]
+        scores = {p: users[row[i]] @ factors[places[p]] for p in mine.tolist() if (row[i], p) not in known}
+        assert got[i] == sum(s > own[i] + recommend.TIE * abs(own[i]) for s in scores.values())
+    best = set(np.argsort(-(directions[1] @ factors.T))[: recommend._LIKELY].tolist())
+    assert set(places[likely[1][1]].tolist()) == best
+
+
+def test_rounds_read_open_wallets_only(spark, home, monkeypatch):
+    """Two groups with tokens of their own: once most pairs are settled, later rounds meet the wallets of the
+    others, and what they read is that of these wallets."""
+    data = [(f"w{w}", f"t{t}") for w in range(80) for t in range(90) if t % 2 == w % 2 and (w * 7 + t) % 9]
+    ids = recommend.with_integer_ids(readers.rows(spark, data, "wallet STRING, token STRING").withColumn("n_transfers", F.lit(1)))
+    model = recommend.fit_als(ids, rank=4, max_iter=3)
+    # Half of the tokens held out are of the other group: for such pairs many tokens rank before them.
+    held = [(f"w{w}", f"t{t}") for w in range(80) for t in range(90) if t % 2 != w % 2 and (w + t) % 11 == 0 or w < 8 and t % 2 == w % 2 and not (w * 7 + t) % 9]
+    pairs = readers.rows(spark, held, "wallet STRING, token STRING")
+    whole = recommend.recall_at_k(model, ids, pairs, 3).first()
+    written, plain = [], recommend.materialize
+    monkeypatch.setattr(recommend, "materialize", lambda df, label: (written.append((label, out := plain(df, label))), out)[1])
+    monkeypatch.setattr(recommend, "TOKENS_A_ROUND", 30)
+    monkeypatch.setattr(recommend, "_FIRST_ROUND", 10, raising=False)
+    assert recommend.recall_at_k(model, ids, pairs, 3).first() == whole
+    counted = [t.count() for label, t in written if label == "counted"]
+    users, trained = ([t for label, t in written if label == "open" and ("features" in t.columns) == f] for f in (True, False))
+    assert counted[0] == whole["n_pairs"] and len(counted) > 1 and all(n < counted[0] // 2 for n in counted[1:])
+    assert users and users[-1].count() <= 40 and trained[-1].count() <= len(data) // 2
